@@ -35,7 +35,7 @@ from creditflow.plans.inputs import (
     reissue_flow,
     wall_clock,
 )
-from creditflow.sources.tables import table
+from creditflow.sources.tables import spread, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -271,7 +271,7 @@ def json_request_parse(spark, folder):
         .when(kind == "purchase", F.concat(head, F.lit(',"prospectId":'), user))
         .when(kind == "signup", F.col("props"))
     )
-    messages = table(spark, folder, "events").select(
+    messages = spread(table(spark, folder, "events")).select(
         "event_id", payload.safe_text(raw.cast("binary")).alias("value")
     )
     parsed = jsonio.parse_requests(messages, "value")
@@ -308,11 +308,11 @@ def payload_slice(spark, folder):
 
 
 def _payload_rows(spark, folder) -> DataFrame:
-    docs = table(spark, folder, "documents").select(
+    docs = spread(table(spark, folder, "documents")).select(
         F.lit("documents").alias("origin"), F.col("doc_id").alias("id"),
         F.col("text").cast("binary").alias("value"),
     )
-    events = table(spark, folder, "events").select(
+    events = spread(table(spark, folder, "events")).select(
         F.lit("events").alias("origin"), F.col("event_id").alias("id"),
         F.col("props").cast("binary").alias("value"),
     )

@@ -13,6 +13,7 @@ def local_session(app: str = "creditflow", cores: str | int = 8, **conf: str) ->
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "12g")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.shuffle.partitions", str(cores))

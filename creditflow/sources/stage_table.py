@@ -76,6 +76,22 @@ class StageTable:
             return self.spark.createDataFrame([], self.schema)
         return self.spark.read.schema(self.schema).parquet(*files)
 
+    def lookup(self, value: str) -> DataFrame:
+        """The row of one key: reads one bucket (of each day)."""
+        bucket = self.spark.range(1).select(self._bucket(F.lit(value))).first()[0]
+        snapshot = self.snapshot()
+        chosen = [p for p in snapshot.dirs if p.split("/")[-1] == f"bucket={bucket}"]
+        return self.read(snapshot, chosen).filter(F.col(self.key) == value)
+
+    def since(self, ms: int) -> DataFrame:
+        """The rows whose ``day_of`` time is at or after ``ms``: older days are not read."""
+        if not self.day_of:
+            raise ValueError("the table is not split by day")
+        snapshot = self.snapshot()
+        first = ms // DAY_MS
+        chosen = [p for p in snapshot.dirs if int(p.split("/")[0].split("=")[1]) >= first]
+        return self.read(snapshot, chosen).filter(F.col(self.day_of) >= ms)
+
     # --- writes -------------------------------------------------------------------------
 
     def merge(
@@ -109,12 +125,14 @@ class StageTable:
             expect=expect,
         )
 
+    def _bucket(self, key: Column) -> Column:
+        return F.pmod(F.hash(key), F.lit(self.buckets))
+
     def _partition_columns(self) -> dict[str, Column]:
-        bucket = F.pmod(F.hash(F.col(self.key)), F.lit(self.buckets))
+        bucket = {"bucket": self._bucket(F.col(self.key))}
         if not self.day_of:
-            return {"bucket": bucket}
-        day = F.floor(F.col(self.day_of) / F.lit(DAY_MS))
-        return {"day": day, "bucket": bucket}
+            return bucket
+        return {"day": F.floor(F.col(self.day_of) / F.lit(DAY_MS)), **bucket}
 
     def _rewrite(
         self,

@@ -12,11 +12,12 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
 from creditflow.operators import alerts, merge, metrics, outbox
 from creditflow.session import checkpoint_root
 from creditflow.sources.stage_table import ConcurrentCommit, StageTable
-from creditflow.sources.topics import append_topic
+from creditflow.sources.topics import append_topic, encode
 from creditflow.streaming.state import count_events
 
 Transform = Callable[[DataFrame], DataFrame]
@@ -67,6 +68,27 @@ def run_publish(
     )
 
 
+def run_publish_kafka(
+    source: DataFrame,
+    schema: StructType,
+    options: dict[str, str],
+    name: str,
+    key: str | None = None,
+    fmt: str = "json",
+    checkpoint: str | None = None,
+    trigger: dict = DRAIN,
+) -> StreamingQuery:
+    """Records to a broker topic, at least once, keyed by column ``key``."""
+    return (
+        encode(source, schema, key, fmt)
+        .writeStream.format("kafka")
+        .options(**options)
+        .option("checkpointLocation", _checkpoint(source, checkpoint, name))
+        .trigger(**trigger)
+        .start()
+    )
+
+
 def run_upsert(
     source: DataFrame,
     transform: Transform,

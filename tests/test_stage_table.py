@@ -135,3 +135,26 @@ def test_second_consumer_has_its_own_flag(spark, data, tmp_path):
     assert run_outbox(table, outbox.NOTIFICATION, str(tmp_path / "e5"))
     assert not run_outbox(table, outbox.NOTIFICATION, str(tmp_path / "e5"))
     assert table.read().filter("sent_to_ns AND sent_to_ldis").count() == flow.loan.count()
+
+
+def test_lookup_reads_one_bucket(spark, data, income):
+    flow = inputs.order_flow(spark, data)
+    income.merge(flow.income, merge.INCOME, ORDER)
+    key = flow.income.agg(F.max("request_id")).first()[0]
+    found = income.lookup(key)
+    assert [r.request_id for r in found.collect()] == [key]
+    assert len(found.inputFiles()) == 1
+    assert income.lookup("req-none").count() == 0
+
+
+def test_since_skips_older_days(spark, data, tmp_path):
+    flow = inputs.order_flow(spark, data)
+    metrics = flow.metrics("1 day")
+    table = StageTable(spark, str(tmp_path / "m"), schemas.WINDOW_METRICS, key="bucket_start",
+                       buckets=1, day_of="bucket_start")
+    table.merge(metrics, merge.METRICS, ["window_end"])
+    newest = metrics.agg(F.max("bucket_start")).first()[0]
+    recent = table.since(newest - 3 * 86_400_000)
+    assert 0 < len(recent.inputFiles()) <= 4
+    assert rows(recent) == rows(
+        metrics.select(recent.columns).filter(F.col("bucket_start") >= newest - 3 * 86_400_000))
