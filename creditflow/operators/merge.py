@@ -142,17 +142,3 @@ def upsert(
 ) -> DataFrame:
     """The table after all rows of ``batch``. ``target`` holds each key once."""
     return merge_folded(target, fold(batch, spec, order), spec)
-
-
-def update_matched(
-    target: DataFrame, updates: DataFrame, key: str, columns: Sequence[str]
-) -> DataFrame:
-    """Set ``columns`` on the rows of ``target`` whose key is in ``updates`` (one row per key)."""
-    u = updates.select(key, F.struct(*columns).alias("_set"))
-    joined = target.join(u, key, "left")
-    return joined.selectExpr(
-        *[
-            f"CASE WHEN _set IS NULL THEN {c} ELSE _set.{c} END AS {c}" if c in columns else c
-            for c in target.columns
-        ]
-    )

@@ -10,8 +10,7 @@ from pyspark.sql.types import StructType
 
 from creditflow import schemas
 from creditflow.functions.clock import decision_clock, shifted
-from creditflow.operators.merge import update_matched
-from creditflow.operators.records import effective_id, to_message
+from creditflow.operators.records import effective_id, snake, to_message
 
 
 @dataclass(frozen=True)
@@ -103,9 +102,40 @@ def messages(sent: DataFrame, spec: OutboxSpec) -> DataFrame:
     return to_message(sent, spec.message, zero_longs=True)
 
 
+def _content(spec: OutboxSpec) -> str:
+    """A hash of what a row's message says, flag and stamps aside."""
+    own = {spec.flag, *spec.stamps}
+    said = [snake(f.name) for f in spec.message if snake(f.name) not in own]
+    said += [c for c in ("prospect_id",) if c not in said]
+    return f"xxhash64({', '.join(said)})"
+
+
+def marks(sent: DataFrame, spec: OutboxSpec, *carry: str) -> DataFrame:
+    """Key, flag and stamps of handed-over rows, with the content they were sent with."""
+    return sent.selectExpr(
+        *dict.fromkeys([spec.key, *carry]), spec.flag, *spec.stamps, f"{_content(spec)} AS _said"
+    )
+
+
+def apply_marks(table: DataFrame, marked: DataFrame, spec: OutboxSpec) -> DataFrame:
+    """Set flag and stamps where the row still says what was sent.
+
+    A row that was upserted with other values since stays pending.
+    """
+    columns = [spec.flag, *spec.stamps]
+    m = marked.selectExpr(spec.key, "_said", f"struct({', '.join(columns)}) AS _set")
+    joined = table.withColumn("_says", F.expr(_content(spec))).join(m, spec.key, "left")
+    return joined.selectExpr(
+        *[
+            f"CASE WHEN _said = _says THEN _set.{c} ELSE {c} END AS {c}" if c in columns else c
+            for c in table.columns
+        ]
+    )
+
+
 def mark_sent(table: DataFrame, sent: DataFrame, spec: OutboxSpec) -> DataFrame:
-    """The table with the flag and stamps of the rows in ``sent``."""
-    return update_matched(table, sent, spec.key, [spec.flag, *spec.stamps])
+    """The table with the flag and stamps of the rows in ``sent`` (each key once)."""
+    return apply_marks(table, marks(sent, spec), spec)
 
 
 def unsent(requests: DataFrame, log: DataFrame, key: str = "request_id") -> DataFrame:

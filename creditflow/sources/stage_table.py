@@ -8,7 +8,7 @@ today's buckets.
 
 A commit is one small new file that names the directory of every bucket. Data is written before
 it and removed only by :meth:`StageTable.expire`, so a job that dies at any point leaves the last
-snapshot whole, and of two writers racing for the same version the second fails and can retry.
+snapshot whole, and of two writers racing for the same version the second tries again on top.
 This needs a file system with atomic rename, such as HDFS; on an object store use a table format,
 whose ``MERGE INTO`` does the same job.
 """
@@ -16,6 +16,7 @@ whose ``MERGE INTO`` does the same job.
 from __future__ import annotations
 
 import json
+import time
 import uuid
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
@@ -31,7 +32,7 @@ from creditflow.operators.merge import MergeSpec, fold, merge_folded
 
 
 class ConcurrentCommit(RuntimeError):
-    """Another writer committed first; read again and retry."""
+    """Another writer committed first."""
 
 
 @dataclass
@@ -53,9 +54,15 @@ class StageTable:
         key: str = "request_id",
         buckets: int = 16,
         day_of: str | None = None,
+        attempts: int = 5,
     ):
+        """One task writes one bucket: choose ``buckets`` for about a gigabyte each.
+
+        The commit file lists every bucket (of every day), so keep their number well below a
+        million.
+        """
         self.spark, self.path, self.schema, self.key = spark, path.rstrip("/"), schema, key
-        self.buckets, self.day_of = buckets, day_of
+        self.buckets, self.day_of, self.attempts = buckets, day_of, attempts
 
     # --- snapshots ----------------------------------------------------------------------
 
@@ -108,21 +115,12 @@ class StageTable:
             folded, lambda old, new: merge_folded(old, new, spec), writer, batch_id
         )
 
-    def mark_sent(
-        self, sent: DataFrame, spec: outbox.OutboxSpec, expect: Snapshot
-    ) -> Snapshot:
-        """Set flag and stamps of rows handed over from snapshot ``expect``.
-
-        Fails when the table has moved on since: a row that was upserted again in between must
-        be sent again, not marked.
-        """
-        columns = [self.key, spec.flag, *spec.stamps]
-        if self.day_of:
-            columns.append(self.day_of)
+    def mark_sent(self, sent: DataFrame, spec: outbox.OutboxSpec) -> Snapshot:
+        """Set flag and stamps of handed-over rows that have not changed since."""
+        carry = [self.day_of] if self.day_of else []
         return self._rewrite(
-            sent.select(*dict.fromkeys(columns)),
-            lambda old, new: outbox.mark_sent(old, new, spec),
-            expect=expect,
+            outbox.marks(sent, spec, *carry),
+            lambda old, new: outbox.apply_marks(old, new, spec),
         )
 
     def _bucket(self, key: Column) -> Column:
@@ -140,14 +138,12 @@ class StageTable:
         apply: Callable[[DataFrame, DataFrame], DataFrame],
         writer: str | None = None,
         batch_id: int | None = None,
-        expect: Snapshot | None = None,
     ) -> Snapshot:
-        base = self.snapshot()
-        if expect is not None and expect.version != base.version:
-            raise ConcurrentCommit(f"version {expect.version} has become {base.version}")
-        if writer is not None and batch_id is not None:
-            if base.writers.get(writer, -1) >= batch_id:
-                return base
+        """Apply ``changes`` to the buckets they touch and commit.
+
+        When another writer commits meanwhile, the work stands if it touched other buckets, and
+        is done again on the new snapshot otherwise.
+        """
         parts = self._partition_columns()
         changes = changes.persist(StorageLevel.MEMORY_AND_DISK)
         try:
@@ -156,33 +152,57 @@ class StageTable:
             touched = [
                 r[0] for r in changes.select(F.concat_ws("/", *names)).distinct().collect()
             ]
-            # Both sides are dealt by the hash that makes the buckets: the join needs no other
-            # shuffle, and each task writes one bucket.
-            old = self.read(base, touched).repartition(self.buckets, self.key)
-            new = changes.repartition(self.buckets, self.key)
-            out = apply(old, new).withColumns(parts)
-            directory = f"{base.version + 1:020d}-{uuid.uuid4().hex}"
-            out.write.partitionBy(*parts).parquet(f"{self.path}/data/{directory}")
+            for _ in range(self.attempts):
+                base = self.snapshot()
+                if writer is not None and base.writers.get(writer, -1) >= batch_id:
+                    return base
+                # Both sides are dealt by the hash that makes the buckets: the join needs no
+                # other shuffle, and each task writes one bucket.
+                old = self.read(base, touched).repartition(self.buckets, self.key)
+                new = changes.repartition(self.buckets, self.key)
+                directory = f"{base.version + 1:020d}-{uuid.uuid4().hex}"
+                apply(old, new).withColumns(parts).write.partitionBy(*parts).parquet(
+                    f"{self.path}/data/{directory}"
+                )
+                written = {p: f"{directory}/{p}" for p in touched}
+                done = self._commit_onto(base, written, writer, batch_id)
+                if done:
+                    return done
         finally:
             changes.unpersist()
-        writers = dict(base.writers)
-        if writer is not None and batch_id is not None:
-            writers[writer] = batch_id
-        dirs = {**base.dirs, **{p: f"{directory}/{p}" for p in touched}}
-        return self._commit(Snapshot(base.version + 1, dirs, writers))
-
-    def expire(self, keep: int = 2) -> None:
-        """Drop the directories that none of the last ``keep`` snapshots uses."""
+        raise ConcurrentCommit(f"gave up after {self.attempts} attempts")
+
+    def _commit_onto(
+        self, base: Snapshot, written: dict[str, str], writer: str | None, batch_id: int | None
+    ) -> Snapshot | None:
+        """Commit buckets written from ``base``; None when one of them has changed since."""
+        while True:
+            latest = self.snapshot()
+            if any(latest.dirs.get(p) != base.dirs.get(p) for p in written):
+                return None
+            writers = dict(latest.writers)
+            if writer is not None:
+                writers[writer] = batch_id
+            try:
+                return self._commit(
+                    Snapshot(latest.version + 1, {**latest.dirs, **written}, writers)
+                )
+            except ConcurrentCommit:
+                continue
+
+    def expire(self, keep: int = 2, idle_hours: float = 24.0) -> None:
+        """Drop the directories that none of the last ``keep`` snapshots uses.
+
+        A directory younger than ``idle_hours`` may belong to a writer at work and stays.
+        """
         names = sorted(self._list(f"{self.path}/commits"))
         used: set[str] = set()
         for name in names[-keep:]:
             dirs = json.loads(self._read_text(f"{self.path}/commits/{name}"))["dirs"]
             used |= {d.split("/", 1)[0] for d in dirs.values()}
-        if not names:
-            return
-        newest = names[-1].split(".")[0]  # a writer at work is beyond it
-        for directory in self._list(f"{self.path}/data"):
-            if directory not in used and directory.split("-", 1)[0] <= newest:
+        limit = (time.time() - idle_hours * 3600) * 1000
+        for directory, modified in self._list(f"{self.path}/data").items():
+            if directory not in used and modified <= limit:
                 self._delete(f"{self.path}/data/{directory}")
         for name in names[:-keep]:
             self._delete(f"{self.path}/commits/{name}")
@@ -195,15 +215,13 @@ class StageTable:
         conf = self.spark._jsparkSession.sessionState().newHadoopConf()
         return hadoop_path.getFileSystem(conf), hadoop_path
 
-    def _list(self, path: str) -> list[str]:
+    def _list(self, path: str) -> dict[str, int]:
+        """Names in a directory with their modification times (milliseconds)."""
         fs, p = self._fs(path)
         if not fs.exists(p):
-            return []
-        return [
-            s.getPath().getName()
-            for s in fs.listStatus(p)
-            if not s.getPath().getName().startswith((".", "_"))
-        ]
+            return {}
+        found = {s.getPath().getName(): s.getModificationTime() for s in fs.listStatus(p)}
+        return {n: t for n, t in found.items() if not n.startswith((".", "_"))}
 
     def _read_text(self, path: str) -> str:
         fs, p = self._fs(path)

@@ -16,7 +16,7 @@ from pyspark.sql.types import StructType
 
 from creditflow.operators import alerts, merge, metrics, outbox
 from creditflow.session import checkpoint_root
-from creditflow.sources.stage_table import ConcurrentCommit, StageTable
+from creditflow.sources.stage_table import StageTable
 from creditflow.sources.topics import append_topic, encode
 from creditflow.streaming.state import count_events
 
@@ -120,22 +120,18 @@ def run_outbox(
 ) -> bool:
     """One pass: send the pending rows of a snapshot, then mark them.
 
-    Returns False when nothing was pending. Sending and marking are two steps; after a crash in
-    between, or when the table moved on meanwhile, the next pass sends the same keys again, which
-    the keyed stage behind absorbs.
+    Returns False when nothing was pending. Sending and marking are two steps: after a crash in
+    between the next pass sends the same keys again, which the keyed stage behind absorbs. A row
+    that was upserted meanwhile is not marked, so its new state goes out with the next pass.
     """
-    snapshot = table.snapshot()
-    todo = outbox.pending(table.read(snapshot), spec)
+    todo = outbox.pending(table.read(), spec)
     if todo.isEmpty():
         return False
     if proc_ms is None:  # one reading of the clock, so that message and mark agree
         proc_ms = F.lit(int(time.time() * 1000))
     sent = outbox.hand_over(todo, spec, proc_ms)
     append_topic(outbox.messages(outbox.ordered(sent, spec), spec), topic_path)
-    try:
-        table.mark_sent(sent, spec, expect=snapshot)
-    except ConcurrentCommit:
-        pass
+    table.mark_sent(sent, spec)
     return True
 
 

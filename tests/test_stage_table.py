@@ -98,19 +98,53 @@ def test_outbox_order_puts_missing_times_last(spark, data):
 
 
 def test_a_row_upserted_meanwhile_is_not_marked(spark, data, income):
-    flow = inputs.order_flow(spark, data)
-    income.merge(flow.income, merge.INCOME, ORDER)
-    seen = income.snapshot()
-    sent = outbox.hand_over(income.read(seen), outbox.INCOME, F.lit(0))
+    """Between sending and marking some requests come in again, with another clock."""
+    flow, again = inputs.order_flow(spark, data), inputs.reissue_flow(spark, data).income
     income.merge(flow.income, merge.INCOME, ORDER)
-    with pytest.raises(ConcurrentCommit):
-        income.mark_sent(sent, outbox.INCOME, expect=seen)
-    assert income.read().filter("sent_to_npl").count() == 0
+    sent = outbox.hand_over(income.read(), outbox.INCOME, F.lit(0))
+    income.merge(again, merge.INCOME, ORDER)
+    income.mark_sent(sent, outbox.INCOME)
+    changed = {r.request_id for r in again.select("request_id").distinct().collect()}
+    pending = {r.request_id for r in outbox.pending(income.read(), outbox.INCOME).collect()}
+    assert pending == changed and len(changed) < income.read().count()
+
+
+def racing(table, work, monkeypatch):
+    """Let ``work`` commit between the next job's write and its commit."""
+    commit_onto = StageTable._commit_onto
+    pending = [work]
+
+    def first_the_other(self, *args):
+        if pending:
+            pending.pop()()
+        return commit_onto(self, *args)
+
+    monkeypatch.setattr(StageTable, "_commit_onto", first_the_other)
 
 
-def test_racing_writers(spark, data, income):
+def test_racing_writers_same_bucket(spark, data, income, monkeypatch):
+    """The slower writer does its work again, on top of the faster one's."""
     flow = inputs.order_flow(spark, data)
-    income.merge(flow.income, merge.INCOME, ORDER)
+    racing(income, lambda: income.merge(flow.income_sent, merge.INCOME, ORDER), monkeypatch)
+    income.merge(flow.income, merge.INCOME, ORDER, writer="slow", batch_id=3)
+    expected = merge.upsert(flow.income_sent, flow.income, merge.INCOME, ORDER)
+    assert rows(income.read()) == rows(expected)
+    assert income.snapshot().writers == {"slow": 3}
+
+
+def test_racing_writers_other_bucket(spark, data, income, monkeypatch):
+    """Work on other buckets stands, and is committed on top."""
+    flow = inputs.order_flow(spark, data)
+    by_bucket = F.pmod(F.hash("request_id"), F.lit(4))
+    one, other = (flow.income.filter(by_bucket == i) for i in (0, 1))
+    racing(income, lambda: income.merge(other, merge.INCOME, ORDER), monkeypatch)
+    income.merge(one, merge.INCOME, ORDER)
+    assert rows(income.read()) == rows(one.unionByName(other))
+    assert income.snapshot().version == 2
+
+
+def test_two_streams_of_commits_cannot_share_a_version(spark, data, income):
+    income.merge(inputs.order_flow(spark, data).income, merge.INCOME, ORDER)
     with pytest.raises(ConcurrentCommit):
         income._commit(income.snapshot())
 
@@ -121,6 +155,8 @@ def test_expire_keeps_what_snapshots_use(spark, data, income, tmp_path):
         income.merge(flow.income, merge.INCOME, ORDER)
     before = rows(income.read())
     income.expire(keep=1)
+    assert len(list((tmp_path / "income" / "data").iterdir())) == 3
+    income.expire(keep=1, idle_hours=0)
     assert len(list((tmp_path / "income" / "data").iterdir())) == 1
     assert rows(income.read()) == before
     income.merge(flow.income, merge.INCOME, ORDER)
