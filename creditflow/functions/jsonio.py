@@ -6,7 +6,25 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, LongType, StringType, StructField, StructType
 
-from creditflow.functions.payload import NULL_MESSAGE
+from creditflow.functions.payload import ERROR_MARK, NULL_MESSAGE
+from creditflow.schemas import snake
+
+# Texts of the parse result, length of the shown part, defaults of the fields.
+NULL_RECEIVED = "Received null message from Kafka"
+DECODE_ERROR = "Deserialization error: "
+PARSE_ERROR = "Error parsing JSON: malformed, Raw data: "
+PROCESSED = (
+    "Processed JSON Request: ID=%s, Customer=%s, Prospect=%s, Source=%s, Customer=%s, Count=%s"
+)
+SHOWN_CHARS = 100
+DEFAULTS = {
+    "request_id": "unknown",
+    "customer_id": "N/A",
+    "prospect_id": "N/A",
+    "income_source": "unknown",
+    "is_customer": False,
+    "event_count": 0,
+}
 
 _EXTRACT = StructType(
     [
@@ -33,26 +51,18 @@ def parse_requests(df: DataFrame, text: str) -> DataFrame:
     """
     raw = F.col(text)
     body = F.from_json(raw, _EXTRACT, {"mode": "PERMISSIVE"})
-    preview = F.when(
-        F.length(raw) > 100, F.concat(F.substring(raw, 1, 100), F.lit("..."))
-    ).otherwise(raw)
+    shown = F.substring(raw, 1, SHOWN_CHARS)
+    preview = F.when(F.length(raw) > SHOWN_CHARS, F.concat(shown, F.lit("..."))).otherwise(raw)
     error = (
-        F.when(raw.isNull() | (raw == NULL_MESSAGE), F.lit("Received null message from Kafka"))
-        .when(raw.startswith("[Error:"), F.concat(F.lit("Deserialization error: "), raw))
-        .when(
-            ~is_json(raw),
-            F.concat(F.lit("Error parsing JSON: malformed, Raw data: "), preview),
-        )
+        F.when(raw.isNull() | (raw == NULL_MESSAGE), F.lit(NULL_RECEIVED))
+        .when(raw.startswith(ERROR_MARK.strip()), F.concat(F.lit(DECODE_ERROR), raw))
+        .when(~is_json(raw), F.concat(F.lit(PARSE_ERROR), preview))
     )
     parsed = df.withColumn("_body", body).withColumn("parse_error", error)
     ok = F.col("parse_error").isNull()
     fields = {
-        "request_id": F.coalesce(F.col("_body.requestId"), F.lit("unknown")),
-        "customer_id": F.coalesce(F.col("_body.customerId"), F.lit("N/A")),
-        "prospect_id": F.coalesce(F.col("_body.prospectId"), F.lit("N/A")),
-        "income_source": F.coalesce(F.col("_body.incomeSource"), F.lit("unknown")),
-        "is_customer": F.coalesce(F.col("_body.isCustomer"), F.lit(False)),
-        "event_count": F.coalesce(F.col("_body.eventCount"), F.lit(0).cast("bigint")),
+        snake(f.name): F.coalesce(F.col(f"_body.{f.name}"), F.lit(DEFAULTS[snake(f.name)]))
+        for f in _EXTRACT
     }
     return parsed.withColumns({k: F.when(ok, v) for k, v in fields.items()}).drop("_body")
 
@@ -60,8 +70,7 @@ def parse_requests(df: DataFrame, text: str) -> DataFrame:
 def request_message(df: DataFrame) -> Column:
     """The log line of a parsed request, or its error text (after :func:`parse_requests`)."""
     line = F.format_string(
-        "Processed JSON Request: ID=%s, Customer=%s, Prospect=%s, Source=%s, Customer=%s, Count=%s",
-        df["request_id"], df["customer_id"], df["prospect_id"], df["income_source"],
+        PROCESSED, df["request_id"], df["customer_id"], df["prospect_id"], df["income_source"],
         df["is_customer"].cast("string"), df["event_count"].cast("string"),
     )
     return F.coalesce(df["parse_error"], line)

@@ -5,8 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Fixed values of the diagnostic output.
+# Texts and sizes of the diagnostic output.
 NULL_MESSAGE = "[null message]"
+ERROR_MARK = "[Error: "
+RECEIVED = "Received income prediction Request: "
+NOT_PRINTABLE = "·"
 PREVIEW_CHARS = 150
 ID_CHARS = 36
 
@@ -16,13 +19,13 @@ def safe_text(value: Column) -> Column:
     text = F.try_validate_utf8(value.cast("string"))
     return (
         F.when(value.isNull(), F.lit(NULL_MESSAGE))
-        .when(text.isNull(), F.lit("[Error: invalid UTF-8]"))
+        .when(text.isNull(), F.lit(ERROR_MARK + "invalid UTF-8]"))
         .otherwise(text)
     )
 
 
 def received_message(text: Column) -> Column:
-    return F.concat(F.lit("Received income prediction Request: "), text)
+    return F.concat(F.lit(RECEIVED), text)
 
 
 def counter_message(request_id: Column, count: Column, customer_id: Column) -> Column:
@@ -62,7 +65,7 @@ def hex_preview(value: Column) -> Column:
 
 def printable(value: Column) -> Column:
     """One character per byte: printable ASCII as is, any other byte as a middle dot."""
-    return F.regexp_replace(F.decode(value, "ISO-8859-1"), "[^ -~]", "·")
+    return F.regexp_replace(F.decode(value, "ISO-8859-1"), "[^ -~]", NOT_PRINTABLE)
 
 
 def printable_preview(value: Column) -> Column:

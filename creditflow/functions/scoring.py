@@ -6,6 +6,10 @@ is DOUBLE and keeps its written order: the truncations are sensitive to the last
 
 from __future__ import annotations
 
+import operator
+from collections.abc import Iterable
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -34,9 +38,46 @@ INDUSTRIES = [
 # The same five numbers for an industry that is not listed.
 UNKNOWN_INDUSTRY = (0.5, 0.35, 0.20, 0.55, 0.25)
 
+# Income of an entity id, as base and step per last digit.
+INCOME_BASE, INCOME_STEP = 50000.0, 5000.0
+# The lower half of the draws spreads over 0..0.8, the upper half over 0.8..1.
+NPL_SPLIT, NPL_LOW_SLOPE, NPL_HIGH_BASE, NPL_HIGH_SLOPE = 0.5, 0.8, 0.8, 0.4
+# Weight of each factor, in the order in which they are summed.
+WEIGHTS = [
+    ("credit_points", 0.30),
+    ("npl_points", 0.25),
+    ("income_score", 0.20),
+    ("debt_points", 0.15),
+    ("stability_points", 0.05),
+    ("industry_points", 0.05),
+]
+APPROVED, MANUAL_REVIEW, REJECTED = "APPROVED", "MANUAL_REVIEW", "REJECTED"
+# Lowest score of a band, share of draws that hit, decision on a hit, on a miss.
+DECISION_BANDS = [
+    (80, 1.0, APPROVED, APPROVED),
+    (70, 0.8, APPROVED, MANUAL_REVIEW),
+    (60, 0.5, APPROVED, MANUAL_REVIEW),
+    (45, 0.7, MANUAL_REVIEW, REJECTED),
+    (30, 0.3, MANUAL_REVIEW, REJECTED),
+]
+# Limits that reject whatever the score (below, above, above).
+MIN_CREDIT, MAX_NPL, MAX_DTI = 400, 0.8, 0.7
+# Debt ratio below which a share applies, share base, share width.
+AMOUNT_SHARES = [(0.3, 0.8, 0.1), (0.5, 0.65, 0.15), (float("inf"), 0.5, 0.15)]
+# Weights of the composite risk and the floor of each risk category.
+RISK_WEIGHTS = (0.4, 0.3, 0.3)
+RISK_CATEGORIES = [(0.7, "HIGH"), (0.4, "MEDIUM")]
+
 PROFILE_COLUMNS = ["credibility", "dti_base", "dti_width", "stab_base", "stab_width"]
 
-APPROVED, MANUAL_REVIEW, REJECTED = "APPROVED", "MANUAL_REVIEW", "REJECTED"
+
+def _first_match(cases: Iterable[tuple[Column, object]], otherwise: object) -> Column:
+    """CASE WHEN over (condition, value) pairs."""
+    head, *rest = cases
+    chain = F.when(*head)
+    for condition, value in rest:
+        chain = chain.when(condition, value)
+    return chain.otherwise(otherwise)
 
 
 def half_up_2(x: Column) -> Column:
@@ -45,26 +86,23 @@ def half_up_2(x: Column) -> Column:
 
 
 def predicted_income(entity_id: Column) -> Column:
-    return F.lit(50000.0) + (entity_id % 10) * F.lit(5000.0)
+    return F.lit(INCOME_BASE) + (entity_id % 10) * F.lit(INCOME_STEP)
 
 
 def credit_score(u_band: Column, u_value: Column) -> Column:
     """A score in 300..849; the first draw picks the band, the second the place in it."""
-    score = None
-    for share, low, width in CREDIT_BANDS:
-        value = F.lit(low).cast("bigint") + (u_value * float(width)).cast("bigint")
-        if score is None:
-            score = F.when(u_band < share, value)
-        elif share < 1.0:
-            score = score.when(u_band < share, value)
-        else:
-            score = score.otherwise(value)
-    return score
+    places = [
+        (share, F.lit(low).cast("bigint") + (u_value * float(width)).cast("bigint"))
+        for share, low, width in CREDIT_BANDS
+    ]
+    return _first_match([(u_band < share, v) for share, v in places[:-1]], places[-1][1])
 
 
 def npl_score(u: Column) -> Column:
     """Default risk, floored to two decimals; half of the draws land at 0.8 or above."""
-    skewed = F.when(u < 0.5, u * 0.8).otherwise((u - 0.5) * 0.4 + 0.8)
+    skewed = F.when(u < NPL_SPLIT, u * NPL_LOW_SLOPE).otherwise(
+        (u - NPL_SPLIT) * NPL_HIGH_SLOPE + NPL_HIGH_BASE
+    )
     return F.floor(skewed * 100.0) / 100.0
 
 
@@ -125,42 +163,23 @@ def factor_scores(
     }
 
 
-def weighted_score(
-    income: Column,
-    credit: Column,
-    npl: Column,
-    industry_points: Column,
-    debt: Column,
-    stability: Column,
-) -> Column:
+def weighted_score(points: dict[str, Column]) -> Column:
     """Weighted total of the factor scores; the order of the sum is part of the contract."""
-    total = (
-        credit * 0.30
-        + npl * 0.25
-        + income * 0.20
-        + debt * 0.15
-        + stability * 0.05
-        + industry_points * 0.05
-    )
+    total = reduce(operator.add, [points[name] * weight for name, weight in WEIGHTS])
     return total.cast("int")
 
 
 def decide(score: Column, credit: Column, npl: Column, dti: Column, u: Column) -> Column:
     """APPROVED, MANUAL_REVIEW or REJECTED; the hard limits override the score."""
-
-    def draw(share: float, hit: str, miss: str) -> Column:
-        return F.when(u < share, hit).otherwise(miss)
-
-    banded = (
-        F.when(score >= 80, APPROVED)
-        .when(score >= 70, draw(0.8, APPROVED, MANUAL_REVIEW))
-        .when(score >= 60, draw(0.5, APPROVED, MANUAL_REVIEW))
-        .when(score >= 45, draw(0.7, MANUAL_REVIEW, REJECTED))
-        .when(score >= 30, draw(0.3, MANUAL_REVIEW, REJECTED))
-        .otherwise(REJECTED)
+    banded = _first_match(
+        [
+            (score >= low, F.when(u < share, hit).otherwise(miss))
+            for low, share, hit, miss in DECISION_BANDS
+        ],
+        REJECTED,
     )
-    hard_limit = (credit < 400) | (npl > 0.8) | (dti > 0.7)
-    return F.when(hard_limit, REJECTED).otherwise(banded)
+    beyond = (credit < MIN_CREDIT) | (npl > MAX_NPL) | (dti > MAX_DTI)
+    return F.when(beyond, REJECTED).otherwise(banded)
 
 
 def is_approved(decision: Column) -> Column:
@@ -171,17 +190,15 @@ def is_approved(decision: Column) -> Column:
 def loan_amount(dti: Column, income: Column, u: Column) -> Column:
     """Income over debt ratio, cut by a drawn share, to the nearest 100."""
     potential = F.when(dti > 0, income / F.nullif(dti, F.lit(0.0))).otherwise(income * 2.0)
-    share = (
-        F.when(dti < 0.3, u * 0.1 + 0.8)
-        .when(dti < 0.5, u * 0.15 + 0.65)
-        .otherwise(u * 0.15 + 0.5)
-    )
+    shares = [(dti < limit, u * width + base) for limit, base, width in AMOUNT_SHARES]
+    share = _first_match(shares[:-1], shares[-1][1])
     return F.floor(potential * share / 100.0 + 0.5) * 100.0
 
 
 def composite_risk(npl: Column, dti: Column, credit: Column) -> Column:
-    return npl * 0.4 + dti * 0.3 + (F.lit(1000) - credit) / 1000.0 * 0.3
+    w_npl, w_dti, w_credit = RISK_WEIGHTS
+    return npl * w_npl + dti * w_dti + (F.lit(1000) - credit) / 1000.0 * w_credit
 
 
 def risk_category(risk: Column) -> Column:
-    return F.when(risk > 0.7, "HIGH").when(risk > 0.4, "MEDIUM").otherwise("LOW")
+    return _first_match([(risk > floor, name) for floor, name in RISK_CATEGORIES], "LOW")

@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 from creditflow.functions.scoring import risk_category
 from creditflow.operators.records import common_tags
 
+# Risk above which an approved loan alerts, and the texts of the alert.
 ALERT_RISK = 0.8
+ALERT_TYPE, SEVERITY, MESSAGE = "HIGH_RISK_APPROVED", "HIGH", "High-risk loan approved: "
 
 
 def tagged_notifications(df: DataFrame, environment: str = "development") -> DataFrame:
@@ -29,9 +31,9 @@ def high_risk_alerts(df: DataFrame, threshold: float = ALERT_RISK) -> DataFrame:
     hits = df.filter((F.col("risk_score") > threshold) & F.col("loan_decision"))
     return hits.select(
         F.col("event_time").alias("timestamp"),
-        F.lit("HIGH_RISK_APPROVED").alias("alert_type"),
-        F.lit("HIGH").alias("severity"),
-        F.concat(F.lit("High-risk loan approved: "), F.col("request_id")).alias("message"),
+        F.lit(ALERT_TYPE).alias("alert_type"),
+        F.lit(SEVERITY).alias("severity"),
+        F.concat(F.lit(MESSAGE), F.col("request_id")).alias("message"),
         "customer_id",
         "risk_score",
         "loan_amount",

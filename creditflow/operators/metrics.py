@@ -14,12 +14,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from creditflow import schemas
 from creditflow.functions.clock import nanos
 
+# Risk above which a loan is high risk, measurement name, tags.
 HIGH_RISK = 0.7
-_MICROS = 1_000_000.0
-
 MEASUREMENT = "loan_decisions"
 TAGS = {"window_type": "tumbling"}
 # Field order of the line format; ``i`` marks an integer field.
@@ -35,6 +33,7 @@ LINE_FIELDS = [
     ("window_start", "i"),
     ("window_end", "i"),
 ]
+_MICROS = 1_000_000.0
 METRIC_FIELDS = [name for name, _ in LINE_FIELDS]
 
 
@@ -168,6 +167,3 @@ def points(df: DataFrame, timestamp: str, now_ms: Column) -> DataFrame:
 def metrics_pivot(long: DataFrame, fields: Sequence[str] = METRIC_FIELDS) -> DataFrame:
     """Back to one row per time; the field list is given, so no extra pass finds it."""
     return long.groupBy("time").pivot("field", list(fields)).agg(F.first("value"))
-
-
-WINDOW_COLUMNS = schemas.WINDOW_METRICS.fieldNames()

@@ -10,7 +10,8 @@ from pyspark.sql.types import StructType
 
 from creditflow import schemas
 from creditflow.functions.clock import decision_clock, shifted
-from creditflow.operators.records import effective_id, snake, to_message
+from creditflow.operators.records import effective_id, to_message
+from creditflow.schemas import snake
 
 
 @dataclass(frozen=True)

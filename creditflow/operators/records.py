@@ -2,16 +2,11 @@
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, LongType, StructType
 
-
-def snake(name: str) -> str:
-    """``e1ProducedAt`` -> ``e1_produced_at``."""
-    return re.sub(r"(?<!^)(?=[A-Z])", "_", name).lower()
+from creditflow.schemas import snake
 
 
 def from_message(df: DataFrame, message: StructType, zero_longs: bool = False) -> DataFrame:

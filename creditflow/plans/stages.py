@@ -17,7 +17,10 @@ from creditflow.functions import clock, scoring
 from creditflow.functions.draws import Draw, keyed_draws
 from creditflow.operators.records import conform, from_message
 
+# Where the ids of customers and prospects start, and how many there are of each.
 CUSTOMER_ID_BASE, PROSPECT_ID_BASE, ID_RANGE = 1_000_000, 2_000_000, 1_000_000
+# Income source of customers and of prospects.
+CUSTOMER_SOURCE, PROSPECT_SOURCE = "batch", "real-time"
 
 
 def request_draws() -> Draw:
@@ -48,7 +51,7 @@ def route_requests(
     customer = F.col("is_customer")
     return routed.withColumns(
         {
-            "income_source": F.when(customer, "batch").otherwise("real-time"),
+            "income_source": F.when(customer, CUSTOMER_SOURCE).otherwise(PROSPECT_SOURCE),
             "income_requested_at": F.when(
                 customer, F.col("npl_requested_at") - clock.DAY_MS
             ).otherwise(F.col("npl_requested_at")),
@@ -67,7 +70,7 @@ def stage_income(e1: DataFrame, proc_ms: Column) -> DataFrame:
     return conform(
         rec.withColumns(
             {
-                "kafka_source": F.lit("income_prediction_request"),
+                "kafka_source": F.lit(schemas.TOPICS["e1"][0]),
                 "predicted_income": scoring.predicted_income(F.col("prospect_id")),
                 "e1_consumed_at": clock.shifted(
                     F.col("income_requested_at"), proc_ms, F.col("system_time")
@@ -117,7 +120,7 @@ def stage_npl_request(e3: DataFrame, proc_ms: Column, draw: Draw) -> DataFrame:
     return conform(
         with_risk_scores(rec, draw).withColumns(
             {
-                "kafka_source": F.lit("npl_prediction_request"),
+                "kafka_source": F.lit(schemas.TOPICS["e3"][0]),
                 "sent_to_npl": F.lit(True),
                 "e3_consumed_at": clock.shifted(
                     F.col("npl_requested_at"), proc_ms, F.col("system_time")
@@ -159,17 +162,8 @@ def with_factor_scores(df: DataFrame) -> DataFrame:
 
 
 def with_total_score(df: DataFrame) -> DataFrame:
-    return df.withColumn(
-        "total_score",
-        scoring.weighted_score(
-            income=F.col("income_score"),
-            credit=F.col("credit_points"),
-            npl=F.col("npl_points"),
-            industry_points=F.col("industry_points"),
-            debt=F.col("debt_points"),
-            stability=F.col("stability_points"),
-        ),
-    )
+    points = {name: F.col(name) for name, _ in scoring.WEIGHTS}
+    return df.withColumn("total_score", scoring.weighted_score(points))
 
 
 def with_decision(df: DataFrame, draw: Draw) -> DataFrame:

@@ -6,6 +6,8 @@ the store. ``?`` marks a nullable field.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql.types import (
     BooleanType,
     DataType,
@@ -32,6 +34,11 @@ def _struct(**fields: str) -> StructType:
     )
 
 
+def snake(name: str) -> str:
+    """``e1ProducedAt`` -> ``e1_produced_at``."""
+    return re.sub(r"(?<!^)(?=[A-Z])", "_", name).lower()
+
+
 # --- messages ---------------------------------------------------------------------------
 
 INCOME_REQUEST = _struct(  # e1
@@ -76,6 +83,17 @@ JSON_REQUEST = _struct(
     requestedAt="long?", incomeSource="str", isCustomer="bool", eventCount="long",
 )
 
+# Topic name, message schema and record name of each event. e5 and e6 differ only
+# in who listens.
+TOPICS = {
+    "e1": ("income_prediction_request", INCOME_REQUEST, "IncomePredictionRequest"),
+    "e2": ("income_prediction_result", INCOME_RESULT, "IncomePredictionResult"),
+    "e3": ("npl_prediction_request", NPL_REQUEST, "NplPredictionRequest"),
+    "e4": ("npl_prediction_result", NPL_RESULT, "NplPredictionResult"),
+    "e5": ("loan_decision_result_notification", DECISION_RESULT, "LoanDecisionResultNotification"),
+    "e6": ("loan_decision_result_disbursement", DECISION_RESULT, "LoanDecisionResultDisbursement"),
+}
+
 # --- stage tables, all keyed by request_id ----------------------------------------------
 
 INCOME_TABLE = _struct(

@@ -14,7 +14,7 @@ from creditflow.sources import topics
 
 
 def test_snake():
-    assert [records.snake(n) for n in ("requestId", "e1ProducedAt", "sentToNpl")] == [
+    assert [schemas.snake(n) for n in ("requestId", "e1ProducedAt", "sentToNpl")] == [
         "request_id", "e1_produced_at", "sent_to_npl"]
 
 
@@ -164,6 +164,11 @@ def test_dead_letters(spark):
         "malformed", "malformed", "missing field", "null record"]
 
 
+def test_every_topic_has_an_avro_schema():
+    names = [json.loads(topics.avro_schema(s, r))["name"] for _, s, r in schemas.TOPICS.values()]
+    assert names == [r for _, _, r in schemas.TOPICS.values()]
+
+
 def test_avro_schema_text():
     schema = json.loads(topics.avro_schema(schemas.INCOME_REQUEST, "IncomePredictionRequest"))
     by_name = {f["name"]: f for f in schema["fields"]}
