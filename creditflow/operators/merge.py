@@ -72,12 +72,15 @@ LOAN = MergeSpec(
     reset={"sent_to_ns": False, "sent_to_ldis": False},
 )
 
-METRICS = MergeSpec(
-    name="metrics",
-    table=schemas.WINDOW_METRICS,
-    key="bucket_start",
-    refresh=tuple(c for c in schemas.WINDOW_METRICS.fieldNames() if c != "bucket_start"),
-)
+def _newest_per_window(name: str, table: StructType) -> MergeSpec:
+    """A window that is emitted again replaces its earlier state."""
+    key = "bucket_start"
+    rest = tuple(c for c in table.fieldNames() if c != key)
+    return MergeSpec(name=name, table=table, key=key, refresh=rest)
+
+
+METRICS = _newest_per_window("metrics", schemas.WINDOW_METRICS)
+NOTIFICATION_METRICS = _newest_per_window("notification_metrics", schemas.NOTIFICATION_METRICS)
 
 
 def _literal(spec: MergeSpec, name: str) -> str:

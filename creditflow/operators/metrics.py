@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from creditflow.functions.clock import nanos
+from creditflow.functions.clock import nanos, now_ms
 
 # Risk above which a loan is high risk, measurement name, tags.
 HIGH_RISK = 0.7
@@ -131,6 +131,34 @@ def line_protocol(metrics: DataFrame) -> DataFrame:
     return metrics.select(F.concat_ws(" ", F.lit(head), fields, stamp).alias("value"))
 
 
+# Names under which the notification metrics are written, and their label.
+NOTIFICATION_NAMES = {
+    "window_start": "bucket_start",
+    "window_end": "bucket_end",
+    "total_notifications": "total_count",
+    "approved_loans": "approved_count",
+    "rejected_loans": "rejected_count",
+    "approval_rate": "approval_rate",
+    "total_loan_amount": "total_amount",
+    "avg_loan_amount": "avg_amount",
+    "avg_risk_score": "avg_risk_score",
+    "high_risk_loans": "high_risk_count",
+    "avg_processing_time": "avg_processing_time",
+}
+NOTIFICATION_WINDOW = "1min"
+
+
+def notification_json(metrics: DataFrame, written_ms: Column | None = None) -> DataFrame:
+    """One JSON line per window; ``written_ms`` defaults to the wall clock."""
+    stamp = written_ms if written_ms is not None else now_ms()
+    record = F.struct(
+        *[F.col(column).alias(name) for name, column in NOTIFICATION_NAMES.items()],
+        stamp.alias("timestamp"),
+        F.lit(NOTIFICATION_WINDOW).alias("window"),
+    )
+    return metrics.select(F.to_json(record).alias("value"))
+
+
 def metrics_long(
     metrics: DataFrame, fields: Sequence[str] = METRIC_FIELDS, time: str = "window_end"
 ) -> DataFrame:
@@ -144,10 +172,11 @@ def metrics_long(
     return long.withColumn("field", F.substring(F.col("field"), 3, 255))
 
 
-def points(df: DataFrame, timestamp: str, now_ms: Column) -> DataFrame:
+def points(df: DataFrame, timestamp: str, fallback_ms: Column | None = None) -> DataFrame:
     """Split a record for a time-series store: numbers to fields, text to tags.
 
-    Other types are left out; a missing timestamp falls back to ``now_ms``.
+    Other types are left out; a missing timestamp falls back to ``fallback_ms``, by default the
+    wall clock.
     """
     numeric = [
         f.name for f in df.schema
@@ -155,7 +184,9 @@ def points(df: DataFrame, timestamp: str, now_ms: Column) -> DataFrame:
     ]
     text = [f.name for f in df.schema if f.dataType.typeName() == "string"]
     stamped = df.select(
-        F.coalesce(F.col(timestamp), now_ms).alias("time"),
+        F.coalesce(
+            F.col(timestamp), fallback_ms if fallback_ms is not None else now_ms()
+        ).alias("time"),
         *text,
         *[F.col(c).cast("double").alias(c) for c in numeric],
     )

@@ -215,6 +215,31 @@ def notification_metrics(spark, folder):
     return metrics.notification_metrics(notes, WINDOW)
 
 
+_NOTIFICATION_FIELDS = (
+    "window_start bigint, window_end bigint, total_notifications bigint, approved_loans bigint, "
+    "rejected_loans bigint, approval_rate double, total_loan_amount double, "
+    "avg_loan_amount double, avg_risk_score double, high_risk_loans bigint, "
+    "avg_processing_time double, timestamp bigint, window string"
+)
+
+
+@query
+def notification_json(spark, folder):
+    """Notification metrics written as JSON lines and read back."""
+    notes = metrics.event_time(order_flow(spark, folder).notifications, "event_time")
+    lines = metrics.notification_json(
+        metrics.notification_metrics(notes, WINDOW), F.col("bucket_end")
+    )
+    return lines.select(F.from_json("value", _NOTIFICATION_FIELDS).alias("m")).select("m.*")
+
+
+@query
+def alert_points(spark, folder):
+    """Alerts as points of a time-series store: numbers are fields, texts are tags."""
+    found = alerts.high_risk_alerts(order_flow(spark, folder).notifications, ALERT_LINE)
+    return metrics.points(found, "timestamp")
+
+
 # --- counters, JSON, payloads -----------------------------------------------------------
 
 
@@ -227,6 +252,21 @@ def event_counter(spark, folder):
     return counted.select("event_id", "user_id", "event_count")
 
 
+@query
+def counter_messages(spark, folder):
+    """The running count as log lines."""
+    events = table(spark, folder, "events").select(
+        "event_id", "user_id", clock.epoch_ms(F.col("ts")).alias("ts_ms")
+    )
+    counted = counter.running_count(events, "user_id", "ts_ms", "event_id")
+    line = payload.counter_message(
+        F.concat(F.lit("req-"), F.col("event_id").cast("string")),
+        F.col("event_count"),
+        F.col("user_id"),
+    )
+    return counted.select("event_id", line.alias("message"))
+
+
 def _event_request(events: DataFrame) -> DataFrame:
     """Events as JSON requests; the user id stands for the customer or the prospect."""
     customer = F.col("event_type") != "signup"
@@ -271,7 +311,7 @@ def json_request_parse(spark, folder):
         .when(kind == "purchase", F.concat(head, F.lit(',"prospectId":'), user))
         .when(kind == "signup", F.col("props"))
     )
-    messages = spread(table(spark, folder, "events")).select(
+    messages = spread(table(spark, folder, "events"), "event_id").select(
         "event_id", payload.safe_text(raw.cast("binary")).alias("value")
     )
     parsed = jsonio.parse_requests(messages, "value")
@@ -308,11 +348,11 @@ def payload_slice(spark, folder):
 
 
 def _payload_rows(spark, folder) -> DataFrame:
-    docs = spread(table(spark, folder, "documents")).select(
+    docs = spread(table(spark, folder, "documents"), "doc_id").select(
         F.lit("documents").alias("origin"), F.col("doc_id").alias("id"),
         F.col("text").cast("binary").alias("value"),
     )
-    events = spread(table(spark, folder, "events")).select(
+    events = spread(table(spark, folder, "events"), "event_id").select(
         F.lit("events").alias("origin"), F.col("event_id").alias("id"),
         F.col("props").cast("binary").alias("value"),
     )
@@ -559,6 +599,33 @@ def latest_prospect_npl(spark, folder):
     return rows.select("request_id", "is_customer", "e4_produced_at", "predicted_npl")
 
 
+@query
+def latest_by_source(spark, folder):
+    """The newest risk rows of each income source."""
+    rows = order_flow(spark, folder).npl_sent
+    live, batch = (
+        reports.latest_rows(rows.filter(F.col("income_source") == source), "e4_produced_at")
+        for source in (stages.PROSPECT_SOURCE, stages.CUSTOMER_SOURCE)
+    )
+    return live.unionByName(batch)
+
+
+@query
+def income_report(spark, folder):
+    """The newest income rows with readable times."""
+    rows = order_flow(spark, folder).income_sent
+    return reports.with_time_text(reports.latest_rows(rows, "e1_produced_at"))
+
+
+@query
+def npl_report(spark, folder):
+    """The newest prospect's risk row with readable times."""
+    rows = order_flow(spark, folder).npl_sent
+    return reports.with_time_text(
+        reports.latest_rows(rows, "e4_produced_at", among=~F.col("is_customer"))
+    )
+
+
 @query
 def source_filters(spark, folder):
     """Risk rows by the way they came in: a batch customer from the request topic, or a

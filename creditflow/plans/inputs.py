@@ -28,7 +28,7 @@ MAX_LATENCY_MS = 5000.0
 
 def _requests(df: DataFrame, order_key: str, entity: str, date: str) -> DataFrame:
     base_ms = epoch_ms(F.col(date)) + (F.col(order_key) * 1000) % DAY_MS
-    ids = spread(df).withColumns(
+    ids = spread(df, order_key, entity, date).withColumns(
         {
             "request_id": F.concat(F.lit("req-"), F.col(order_key).cast("string")),
             "application_id": F.concat(F.lit("app-"), F.col(order_key).cast("string")),

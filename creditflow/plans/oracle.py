@@ -450,24 +450,44 @@ FROM notes""")
 SELECT event_time AS timestamp, 'HIGH_RISK_APPROVED' AS alert_type, 'HIGH' AS severity,
        'High-risk loan approved: ' || request_id AS message, customer_id, risk_score, loan_amount
 FROM notes WHERE loan_decision AND risk_score > {d(0.45)}""")
-    sql["notification_metrics"] = with_(*FLOW, NOTES, select=f"""
-SELECT b * {DAY} AS bucket_start, (b + 1) * {DAY} AS bucket_end, n AS total_count,
-       approved_count, n - approved_count AS rejected_count,
-       approved_count / CAST(n AS DOUBLE) AS approval_rate, total_amount,
-       total_amount / n AS avg_amount, risk_micros / {d(1000000)} / n AS avg_risk_score,
-       high_risk_count, proc_sum / CAST(n AS DOUBLE) AS avg_processing_time
-FROM (
-  SELECT CAST(floor(event_time / {d(DAY)}) AS BIGINT) AS b, count(*) AS n,
-         count(*) FILTER (WHERE loan_decision) AS approved_count,
-         sum(loan_amount) AS total_amount,
-         CAST(sum(CAST(floor(risk_score * {d(1000000)} + {d(0.5)}) AS BIGINT)) AS DOUBLE)
-           AS risk_micros,
-         count(*) FILTER (WHERE risk_score > {d(0.7)}) AS high_risk_count,
-         CAST(sum(processing_time_ms) AS DOUBLE) AS proc_sum
-  FROM notes GROUP BY 1)""")
+    note_rows = f"""
+note_metrics AS (
+  SELECT b * {DAY} AS bucket_start, (b + 1) * {DAY} AS bucket_end, n AS total_count,
+         approved_count, n - approved_count AS rejected_count,
+         approved_count / CAST(n AS DOUBLE) AS approval_rate, total_amount,
+         total_amount / n AS avg_amount, risk_micros / {d(1000000)} / n AS avg_risk_score,
+         high_risk_count, proc_sum / CAST(n AS DOUBLE) AS avg_processing_time
+  FROM (
+    SELECT CAST(floor(event_time / {d(DAY)}) AS BIGINT) AS b, count(*) AS n,
+           count(*) FILTER (WHERE loan_decision) AS approved_count,
+           sum(loan_amount) AS total_amount,
+           CAST(sum(CAST(floor(risk_score * {d(1000000)} + {d(0.5)}) AS BIGINT)) AS DOUBLE)
+             AS risk_micros,
+           count(*) FILTER (WHERE risk_score > {d(0.7)}) AS high_risk_count,
+           CAST(sum(processing_time_ms) AS DOUBLE) AS proc_sum
+    FROM notes GROUP BY 1)
+)"""
+    sql["notification_metrics"] = with_(
+        *FLOW, NOTES, note_rows, select="SELECT * FROM note_metrics")
+    sql["notification_json"] = with_(*FLOW, NOTES, note_rows, select="""
+SELECT bucket_start AS window_start, bucket_end AS window_end,
+       total_count AS total_notifications, approved_count AS approved_loans,
+       rejected_count AS rejected_loans, approval_rate, total_amount AS total_loan_amount,
+       avg_amount AS avg_loan_amount, avg_risk_score, high_risk_count AS high_risk_loans,
+       avg_processing_time, bucket_end AS timestamp, '1min' AS "window"
+FROM note_metrics""")
+    sql["alert_points"] = with_(*FLOW, NOTES, select=" UNION ALL ".join(f"""
+SELECT event_time AS time, 'HIGH_RISK_APPROVED' AS alert_type, 'HIGH' AS severity,
+       'High-risk loan approved: ' || request_id AS message, '{c}' AS field,
+       CAST({c} AS DOUBLE) AS value
+FROM notes WHERE loan_decision AND risk_score > {d(0.45)}"""
+        for c in ("customer_id", "risk_score", "loan_amount")))
 
     sql["event_counter"] = with_(
         COUNTED, select="SELECT event_id, user_id, event_count FROM counted")
+    sql["counter_messages"] = with_(COUNTED, select="""
+SELECT event_id, 'request req-' || event_id || ' - ' || event_count || ' - customer ' || user_id
+         AS message FROM counted""")
     sql["json_request_write"] = with_(COUNTED, select="""
 SELECT event_id,
        '{"requestId":"req-' || event_id || '","applicationId":"app-' || event_id
@@ -629,6 +649,19 @@ WHERE e1_produced_at = (SELECT max(e1_produced_at) FROM o_inc)""")
     sql["latest_prospect_npl"] = with_(*FLOW, select="""
 SELECT request_id, is_customer, e4_produced_at, predicted_npl FROM o_npl_sent
 WHERE e4_produced_at = (SELECT max(e4_produced_at) FROM o_npl_sent WHERE is_customer = FALSE)""")
+    sql["latest_by_source"] = with_(*FLOW, select=" UNION ALL ".join(
+        f"""SELECT {NPL_COLUMNS} FROM o_npl_sent WHERE income_source = '{source}'
+  AND e4_produced_at = (SELECT max(e4_produced_at) FROM o_npl_sent
+                        WHERE income_source = '{source}')"""
+        for source in ("real-time", "batch")))
+    sql["income_report"] = with_(*FLOW, select=f"""
+SELECT {INCOME_COLUMNS}, {text_times(INCOME_TIMES)}
+FROM (SELECT *, TRUE AS sent_to_npl, e2_stamp AS e2_produced_at FROM o_inc)
+WHERE e1_produced_at = (SELECT max(e1_produced_at) FROM o_inc)""")
+    sql["npl_report"] = with_(*FLOW, select=f"""
+SELECT {NPL_COLUMNS}, {text_times([c for c in LOAN_TIMES if c != "e4_consumed_at"])}
+FROM o_npl_sent
+WHERE e4_produced_at = (SELECT max(e4_produced_at) FROM o_npl_sent WHERE NOT is_customer)""")
     sql["source_filters"] = with_(*FLOW, select="""
 SELECT request_id, income_source, kafka_source, is_customer FROM o_npl
 WHERE (income_source = 'batch' AND kafka_source = 'npl_prediction_request')

@@ -139,6 +139,12 @@ WINDOW_METRICS = _struct(
     avg_amount="dbl", avg_risk_score="dbl", high_risk_count="long", avg_proc_time="dbl",
 )
 
+NOTIFICATION_METRICS = _struct(
+    bucket_start="long", bucket_end="long", total_count="long", approved_count="long",
+    rejected_count="long", approval_rate="dbl", total_amount="dbl", avg_amount="dbl",
+    avg_risk_score="dbl", high_risk_count="long", avg_processing_time="dbl",
+)
+
 NOTIFICATION = _struct(
     request_id="str", application_id="str", customer_id="int", loan_decision="bool",
     loan_amount="dbl", risk_score="dbl", credit_score="long", processing_time_ms="long",

@@ -49,7 +49,7 @@ def run_publish(
     checkpoint: str | None = None,
     transform: Transform | None = None,
     count_by: str | None = None,
-    idle_minutes: int | None = None,
+    idle_minutes: float | None = None,
     trigger: dict = DRAIN,
 ) -> StreamingQuery:
     """Records to a directory topic, exactly once.
@@ -135,14 +135,6 @@ def run_outbox(
     return True
 
 
-def windowed(
-    source: DataFrame, transform: Transform, ts: str, size: str, delay: str
-) -> DataFrame:
-    """Window metrics of a stream; windows older than the delay leave the state."""
-    records = metrics.event_time(source.transform(transform), ts)
-    return metrics.window_metrics(records.withWatermark("event_ts", delay), size)
-
-
 def run_metrics(
     source: DataFrame,
     transform: Transform,
@@ -151,31 +143,36 @@ def run_metrics(
     ts: str = "timestamp",
     size: str = "1 second",
     delay: str = "10 seconds",
+    aggregate: Callable[[DataFrame, str], DataFrame] = metrics.window_metrics,
+    spec: merge.MergeSpec = merge.METRICS,
     sink: StageTable | None = None,
     lines: str | None = None,
+    as_lines: Transform = metrics.line_protocol,
     trigger: dict = DRAIN,
 ) -> StreamingQuery:
-    """Decisions to window metrics.
+    """Records to window metrics.
 
-    Each micro-batch emits the windows it changed, and ``sink`` overwrites them by window, so the
-    table holds the newest state of every window. ``lines`` also appends them as text lines; a
-    time-series store overwrites a point in the same way. Without either, metrics go nowhere.
+    ``ts`` is the event time of a record in milliseconds; windows older than ``delay`` leave the
+    state. Each micro-batch emits the windows it changed, and ``sink`` overwrites them by window,
+    so the table holds the newest state of every window. ``lines`` also appends them as text,
+    for a store that overwrites a point in the same way. Without either, metrics go nowhere.
     """
+
     def write(batch: DataFrame, batch_id: int) -> None:
         writer = _writer(batch, name)
         batch = batch.persist()
         try:
             batch.count()  # the state of every partition commits, whatever the sinks read
             if lines is not None:
-                target = f"{lines}/batch={batch_id}"
-                metrics.line_protocol(batch).write.mode("overwrite").text(target)
+                as_lines(batch).write.mode("overwrite").text(f"{lines}/batch={batch_id}")
             if sink is not None:
-                sink.merge(batch, merge.METRICS, ["window_end"], writer, batch_id)
+                sink.merge(batch, spec, ["bucket_end"], writer, batch_id)
         finally:
             batch.unpersist()
 
+    records = metrics.event_time(source.transform(transform), ts)
     return (
-        windowed(source, transform, ts, size, delay)
+        aggregate(records.withWatermark("event_ts", delay), size)
         .writeStream.outputMode("update")
         .foreachBatch(write)
         .queryName(name)

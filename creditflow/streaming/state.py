@@ -12,7 +12,7 @@ from pyspark.sql.types import LongType, StructField, StructType
 _STATE = StructType([StructField("count", LongType())])
 
 
-def count_events(df: DataFrame, key: str, idle_minutes: int | None = None) -> DataFrame:
+def count_events(df: DataFrame, key: str, idle_minutes: float | None = None) -> DataFrame:
     """Each row with ``event_count``, the number of rows of its key so far, itself included.
 
     Rows count in arrival order and go through in Arrow batches, so a key with many rows is not
@@ -37,7 +37,7 @@ def count_events(df: DataFrame, key: str, idle_minutes: int | None = None) -> Da
             yield rows
         state.update((count,))
         if idle_minutes is not None:
-            state.setTimeoutDuration(idle_minutes * 60_000)
+            state.setTimeoutDuration(int(idle_minutes * 60_000))
 
     timeout = (
         GroupStateTimeout.NoTimeout

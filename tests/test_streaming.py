@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -222,6 +224,51 @@ def test_publish_replays_nothing(spark, data, tmp_path, topic):
     assert rows(spark.read.schema(e1.schema).parquet(out)) == rows(e1)
 
 
+def test_notification_metrics_stream(spark, data, tmp_path, topic):
+    """The same job with the notification aggregate, JSON lines and its own table."""
+    flow = inputs.order_flow(spark, data)
+    sink = stage_table(spark, tmp_path, "n", schemas.NOTIFICATION_METRICS, key="bucket_start")
+    drained(jobs.run_metrics(
+        topic(flow.e6, "e5"), lambda df: stages.stage_notify(df, flow.clock("notify")), "notes",
+        str(tmp_path / "ck"), ts="event_time", size="1 day", delay="4000 days",
+        aggregate=metrics.notification_metrics, spec=merge.NOTIFICATION_METRICS, sink=sink,
+        lines=f"{tmp_path}/lines",
+        as_lines=lambda df: metrics.notification_json(df, F.col("bucket_end"))))
+    expected = metrics.notification_metrics(
+        metrics.event_time(flow.notifications, "event_time"), "1 day")
+    assert rows(sink.read()) == rows(expected.select(sink.schema.fieldNames()))
+    newest = spark.read.text(f"{tmp_path}/lines/*").select("value").distinct()
+    want = metrics.notification_json(expected, F.col("bucket_end"))
+    assert want.exceptAll(newest).count() == 0
+
+
+def test_idle_state_is_dropped(spark, tmp_path):
+    """A key that was idle starts over; one that was not goes on."""
+    path = tmp_path / "in"
+    schema = "user_id long, n long"
+
+    def send(*users):
+        spark.createDataFrame([(u, 0) for u in users], schema).coalesce(1).write.mode(
+            "append").parquet(str(path))
+
+    send(1, 2)
+    source = spark.readStream.schema(schema).parquet(str(path))
+    query = jobs.run_publish(
+        source, str(tmp_path / "out"), "idle", str(tmp_path / "ck"), count_by="user_id",
+        idle_minutes=0.05, trigger={"processingTime": "0 seconds"})
+    try:
+        query.processAllAvailable()
+        time.sleep(8)
+        send(1)
+        query.processAllAvailable()
+        send(1)
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    got = spark.read.parquet(str(tmp_path / "out")).filter("user_id = 1")
+    assert sorted(r.event_count for r in got.collect())[:2] == [1, 1]
+
+
 def test_notifications_fan_out(spark, data, tmp_path, topic):
     flow = inputs.order_flow(spark, data)
     out = str(tmp_path / "notify")
