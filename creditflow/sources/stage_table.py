@@ -152,6 +152,8 @@ class StageTable:
             touched = [
                 r[0] for r in changes.select(F.concat_ws("/", *names)).distinct().collect()
             ]
+            if not touched:
+                return self.snapshot()
             for _ in range(self.attempts):
                 base = self.snapshot()
                 if writer is not None and base.writers.get(writer, -1) >= batch_id:

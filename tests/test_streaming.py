@@ -245,6 +245,7 @@ def test_notification_metrics_stream(spark, data, tmp_path, topic):
 def test_idle_state_is_dropped(spark, tmp_path):
     """A key that was idle starts over; one that was not goes on."""
     path = tmp_path / "in"
+    (tmp_path / "out").mkdir()
     schema = "user_id long, n long"
 
     def send(*users):
@@ -253,20 +254,27 @@ def test_idle_state_is_dropped(spark, tmp_path):
 
     send(1, 2)
     source = spark.readStream.schema(schema).parquet(str(path))
+    out = str(tmp_path / "out")
     query = jobs.run_publish(
-        source, str(tmp_path / "out"), "idle", str(tmp_path / "ck"), count_by="user_id",
-        idle_minutes=0.05, trigger={"processingTime": "0 seconds"})
+        source, out, "idle", str(tmp_path / "ck"), count_by="user_id", idle_minutes=0.02,
+        trigger={"processingTime": "1 second"})
+
+    def rows_out(n):
+        for _ in range(60):
+            got = spark.read.schema("user_id long, event_count long").parquet(out).collect()
+            if len(got) >= n:
+                return got
+            time.sleep(0.5)
+        raise AssertionError(f"fewer than {n} rows: {query.exception()}")
+
     try:
-        query.processAllAvailable()
-        time.sleep(8)
-        send(1)
-        query.processAllAvailable()
+        rows_out(2)
+        time.sleep(6)
         send(1)
-        query.processAllAvailable()
+        got = rows_out(3)
     finally:
         query.stop()
-    got = spark.read.parquet(str(tmp_path / "out")).filter("user_id = 1")
-    assert sorted(r.event_count for r in got.collect())[:2] == [1, 1]
+    assert sorted(r.event_count for r in got if r.user_id == 1) == [1, 1]
 
 
 def test_notifications_fan_out(spark, data, tmp_path, topic):
