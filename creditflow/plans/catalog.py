@@ -536,8 +536,10 @@ def metrics_pivot(spark, folder):
 
 
 def _recent(spark, folder) -> DataFrame:
-    rows = _metrics(spark, folder)
-    return dashboard.trailing(rows, dashboard.latest(rows), RANGE_MS)
+    """The trailing range of metrics. Its anchor, the newest event, needs no windows."""
+    flow = order_flow(spark, folder)
+    newest = dashboard.latest(flow.analytics, "timestamp")
+    return dashboard.trailing(flow.metrics(WINDOW), newest, RANGE_MS)
 
 
 @query
