@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
 from creditflow.operators import outbox
@@ -61,6 +62,21 @@ def test_pending_flag_reaches_the_scan(spark, data, tmp_path):
     assert re.search(r"PushedFilters: \[[^\]]*Not\(EqualTo\(sent_to_ldis,true\)\)", text)
 
 
+def test_sent_row_groups_are_skipped(spark, data, tmp_path):
+    """Of a sent and an unsent file the scan delivers only the rows of the unsent one."""
+    flow = inputs.order_flow(spark, data)
+    done = F.col("e4_consumed_at") % 2 == 0
+    path = str(tmp_path / "loan")
+    flow.loan_sent.filter(done).coalesce(1).write.parquet(path)
+    todo = flow.loan.filter(~done).coalesce(1)
+    todo.write.mode("append").parquet(path)
+    found = outbox.pending(spark.read.parquet(path), outbox.DISBURSEMENT)
+    assert len(found.collect()) == todo.count()
+    executed = found._jdf.queryExecution().executedPlan()
+    scan = executed.collectLeaves().head()
+    assert scan.metrics().apply("numOutputRows").value() == todo.count()
+
+
 def test_upsert_shuffles_each_side_once(spark, data):
     text = plan(QUERIES["upsert_income"](spark, data))
     assert len(shuffles(text)) == 2 and "partial_max_by" in text
