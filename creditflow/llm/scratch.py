@@ -6,6 +6,7 @@ session may fall back to a folder of its own. Each call takes a fresh folder, so
 
 from __future__ import annotations
 
+import gc
 import os
 import uuid
 from collections.abc import Iterator
@@ -35,6 +36,15 @@ class Scratch:
         df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def release(self) -> None:
+        """Let Spark drop shuffle files whose results have been written: no plan needs them.
+
+        Spark drops them when the driver's garbage collector finds that nothing refers to them,
+        which may otherwise happen only long after.
+        """
+        gc.collect()
+        self.spark.sparkContext._jvm.System.gc()
+
 
 def importable(spark: SparkSession) -> None:
     """Let Python workers import this package from where the driver has it.
