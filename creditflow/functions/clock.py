@@ -50,10 +50,6 @@ def event_or_system_time(event: Column, system: Column, proc_ms: Column) -> Colu
     return F.coalesce(event, system, proc_ms)
 
 
-def elapsed(start: Column, end: Column) -> Column:
-    return end - start
-
-
 def epoch_text(ms: Column) -> Column:
     """``YYYY-MM-DD HH:MM:SS.mmm`` in the session time zone; null stays null."""
     return F.date_format(F.timestamp_millis(ms), "yyyy-MM-dd HH:mm:ss.SSS")

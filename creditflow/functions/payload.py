@@ -28,11 +28,15 @@ def received_message(text: Column) -> Column:
     return F.concat(F.lit(RECEIVED), text)
 
 
+# The words of the counter's log line.
+COUNTER_WORDS = ("request ", "unknown", " - ", " - customer ")
+
+
 def counter_message(request_id: Column, count: Column, customer_id: Column) -> Column:
     return F.concat(
-        F.lit("request "), F.coalesce(request_id, F.lit("unknown")),
-        F.lit(" - "), count.cast("string"),
-        F.lit(" - customer "), F.coalesce(customer_id, F.lit(0)).cast("string"),
+        F.lit(COUNTER_WORDS[0]), F.coalesce(request_id, F.lit(COUNTER_WORDS[1])),
+        F.lit(COUNTER_WORDS[2]), count.cast("string"),
+        F.lit(COUNTER_WORDS[3]), F.coalesce(customer_id, F.lit(0)).cast("string"),
     )
 
 
@@ -81,10 +85,11 @@ def printable_bytes(value: Column) -> Column:
 
 def payload_kind(value: Column) -> Column:
     """``json``, ``avro_like`` (first byte zero), ``empty`` or ``other``."""
-    head = F.substring(value, 1, 20)
+    # White space before the brace is skipped however long it is.
+    text = F.regexp_replace(F.decode(value, "ISO-8859-1"), "^[ \\t\\r\\n]+", "")
     return (
         F.when(value.isNull() | (F.octet_length(value) == 0), "empty")
-        .when(F.trim(F.decode(head, "ISO-8859-1")).startswith("{"), "json")
+        .when(text.startswith("{"), "json")
         .when(F.hex(F.substring(value, 1, 1)) == "00", "avro_like")
         .otherwise("other")
     )

@@ -17,31 +17,35 @@ def running_count(
     key: str,
     ts_ms: str,
     tie: str,
-    slice_ms: int = 3_600_000,
-    missing_key: object = 0,
+    slice_ms: int = 60_000,
 ) -> DataFrame:
     """Add ``event_count``: the rank of the row among its key's rows by (ts_ms, tie).
 
-    One task holds at most one key's rows of one slice; choose ``slice_ms`` for that. Rows
-    without a key are counted together under ``missing_key``. ``ts_ms`` must not be null.
+    ``key`` may be of any type that can be compared and stays as it is; rows without a key are
+    counted together, apart from every real key. One task holds at most one key's rows of one
+    slice, whatever its share of the table; choose ``slice_ms`` for that. ``ts_ms`` must not be
+    null.
     """
+    # A null never equals a null in a join, so a missing key is told by a flag of its own.
     sliced = df.withColumns(
         {
-            key: F.coalesce(F.col(key), F.lit(missing_key)),
+            "_key": F.coalesce(F.col(key).cast("string"), F.lit("")),
+            "_keyed": F.col(key).isNotNull(),
             "_slice": F.floor(F.col(ts_ms) / F.lit(slice_ms)),
         }
     )
-    per_slice = sliced.groupBy(key, "_slice").agg(F.count(F.lit(1)).alias("_n"))
-    earlier = Window.partitionBy(key).orderBy("_slice").rowsBetween(
+    group = ["_key", "_keyed"]
+    per_slice = sliced.groupBy(*group, "_slice").agg(F.count(F.lit(1)).alias("_n"))
+    earlier = Window.partitionBy(*group).orderBy("_slice").rowsBetween(
         Window.unboundedPreceding, -1
     )
     offsets = per_slice.select(
-        key, "_slice", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before")
+        *group, "_slice", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before")
     )
-    within = Window.partitionBy(key, "_slice").orderBy(ts_ms, tie)
+    within = Window.partitionBy(*group, "_slice").orderBy(ts_ms, tie)
     numbered = sliced.withColumn("_rank", F.row_number().over(within))
     return (
-        numbered.join(offsets, [key, "_slice"])
+        numbered.join(offsets, [*group, "_slice"])
         .withColumn("event_count", F.col("_before") + F.col("_rank"))
-        .drop("_slice", "_rank", "_before")
+        .drop(*group, "_slice", "_rank", "_before")
     )

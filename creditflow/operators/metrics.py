@@ -43,7 +43,11 @@ def event_time(df: DataFrame, ts_ms: str) -> DataFrame:
 
 
 def _exact_sum(x: Column) -> Column:
-    return F.sum(F.floor(x * _MICROS + 0.5)) / _MICROS
+    """The sum in whole millionths; a score with more decimals fails instead of being rounded."""
+    whole = F.floor(x * _MICROS + 0.5)
+    finer = F.raise_error(F.concat(F.lit("risk score with more than six decimals: "), x.cast("string")))
+    exact = F.when(F.abs(x * _MICROS - whole) < 1e-3, whole).when(x.isNotNull(), finer.cast("bigint"))
+    return F.sum(exact) / _MICROS
 
 
 def _ratio(numerator: Column, denominator: Column) -> Column:
@@ -169,7 +173,7 @@ def metrics_long(
     long = wide.unpivot(
         ["time", "measurement", *TAGS], [f"f_{c}" for c in fields], "field", "value"
     )
-    return long.withColumn("field", F.substring(F.col("field"), 3, 255))
+    return long.withColumn("field", F.expr("substring(field, 3)"))
 
 
 def points(df: DataFrame, timestamp: str, fallback_ms: Column | None = None) -> DataFrame:
@@ -196,5 +200,7 @@ def points(df: DataFrame, timestamp: str, fallback_ms: Column | None = None) ->
 
 
 def metrics_pivot(long: DataFrame, fields: Sequence[str] = METRIC_FIELDS) -> DataFrame:
-    """Back to one row per time; the field list is given, so no extra pass finds it."""
-    return long.groupBy("time").pivot("field", list(fields)).agg(F.first("value"))
+    """Back to one row per time, in one aggregation: the field list is given."""
+    return long.groupBy("time").agg(
+        *[F.max(F.when(F.col("field") == f, F.col("value"))).alias(f) for f in fields]
+    )

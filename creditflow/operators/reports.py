@@ -56,10 +56,6 @@ def loan_report(loans: DataFrame) -> DataFrame:
     return with_time_text(loans).orderBy(F.col("system_time").desc_nulls_first())
 
 
-def lookup(df: DataFrame, request_id: str) -> DataFrame:
-    return df.filter(F.col("request_id") == request_id)
-
-
 def stage_latency(income: DataFrame, npl: DataFrame, loan: DataFrame) -> DataFrame:
     """Latency per stage of each loan, by joining the three stage tables on their key.
 

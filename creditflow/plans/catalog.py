@@ -35,7 +35,7 @@ from creditflow.plans.inputs import (
     reissue_flow,
     wall_clock,
 )
-from creditflow.sources.tables import spread, table
+from creditflow.sources.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -209,6 +209,24 @@ def alerts_high_risk(spark, folder):
     )
 
 
+@query
+def alerts_default_line(spark, folder):
+    """Alerts above the operator's own line; none, if hard limits hold."""
+    found = alerts.high_risk_alerts(order_flow(spark, folder).notifications)
+    return found.select("timestamp", "customer_id", "risk_score", "loan_amount")
+
+
+@query
+def event_counter_text_key(spark, folder):
+    """The running count by a text key, of which some rows have none."""
+    key = F.when(F.col("user_id") % 7 != 0, F.concat(F.lit("req-"), (F.col("user_id") % 50).cast("string")))
+    events = table(spark, folder, "events").select(
+        "event_id", key.alias("request_id"), clock.epoch_ms(F.col("ts")).alias("ts_ms")
+    )
+    counted = counter.running_count(events, "request_id", "ts_ms", "event_id")
+    return counted.select("event_id", "request_id", "event_count")
+
+
 @query
 def notification_metrics(spark, folder):
     notes = metrics.event_time(order_flow(spark, folder).notifications, "event_time")
@@ -311,7 +329,7 @@ def json_request_parse(spark, folder):
         .when(kind == "purchase", F.concat(head, F.lit(',"prospectId":'), user))
         .when(kind == "signup", F.col("props"))
     )
-    messages = spread(table(spark, folder, "events"), "event_id").select(
+    messages = table(spark, folder, "events").select(
         "event_id", payload.safe_text(raw.cast("binary")).alias("value")
     )
     parsed = jsonio.parse_requests(messages, "value")
@@ -348,11 +366,11 @@ def payload_slice(spark, folder):
 
 
 def _payload_rows(spark, folder) -> DataFrame:
-    docs = spread(table(spark, folder, "documents"), "doc_id").select(
+    docs = table(spark, folder, "documents").select(
         F.lit("documents").alias("origin"), F.col("doc_id").alias("id"),
         F.col("text").cast("binary").alias("value"),
     )
-    events = spread(table(spark, folder, "events"), "event_id").select(
+    events = table(spark, folder, "events").select(
         F.lit("events").alias("origin"), F.col("event_id").alias("id"),
         F.col("props").cast("binary").alias("value"),
     )
@@ -435,16 +453,22 @@ def outbox_pending_loan(spark, folder):
     )
 
 
+def _handed_on(flow: Flow, which: Column) -> DataFrame:
+    """The loan table of which the rows that meet ``which`` have been handed on."""
+    return outbox.mark_where(
+        flow.loan, outbox.DISBURSEMENT, wall_clock(order_draws(), "e6_produce"), which
+    )
+
+
 @query
 def outbox_mark_sent(spark, folder):
-    """The loan table after the pending rows went out, by key."""
-    sent, new = _outbox_flows(spark, folder)
-    rows = sent.loan_sent.unionByName(new.loan)
-    out = outbox.hand_over(
-        outbox.pending(rows, outbox.DISBURSEMENT), outbox.DISBURSEMENT,
-        wall_clock(order_draws(), "e6_produce"),
+    """The loan table after a pass that sent some of its pending rows: others were sent before,
+    under another clock, or stay pending."""
+    rows = _handed_on(order_flow(spark, folder), F.col("credit_score") % 3 == 0)
+    return outbox.mark_where(
+        rows, outbox.DISBURSEMENT, wall_clock(order_draws(), "notify"),
+        F.col("credit_score") % 2 == 0,
     )
-    return outbox.mark_sent(rows, out, outbox.DISBURSEMENT)
 
 
 @query
@@ -570,20 +594,25 @@ def dash_daily(spark, folder):
 
 @query
 def stage_counts(spark, folder):
+    """Row counts per stage table; some rows of the income and loan tables are still unsent."""
     flow = order_flow(spark, folder)
+    income = outbox.mark_where(
+        flow.income, outbox.INCOME, flow.clock("e2_produce"), F.col("predicted_income") % 10_000 == 0
+    )
+    loan = _handed_on(flow, F.col("credit_score") % 3 == 0)
 
-    def line(name: str, df: DataFrame) -> DataFrame:
+    def line(name: str, df: DataFrame, sent: str) -> DataFrame:
         return reports.counts(
             df,
             n_real_time=F.col("income_source") == "real-time",
             n_prospects=~F.col("is_customer"),
-            n_sent=F.col("sent_to_npl"),
+            n_sent=F.col(sent),
         ).select(F.lit(name).alias("stage"), "*")
 
     return (
-        line("income_prediction", flow.income_sent)
-        .unionByName(line("npl_prediction", flow.npl))
-        .unionByName(line("loan_result", flow.loan))
+        line("income_prediction", income, "sent_to_npl")
+        .unionByName(line("npl_prediction", flow.npl, "sent_to_ldes"))
+        .unionByName(line("loan_result", loan, "sent_to_ldis"))
     )
 
 
@@ -644,17 +673,35 @@ def source_filters(spark, folder):
     )
 
 
+@query
+def source_batch(spark, folder):
+    """Risk rows of batch customers alone: a filter on the income source."""
+    rows = order_flow(spark, folder).npl.filter(F.col("income_source") == "batch")
+    return rows.select("request_id", "income_source", "kafka_source", "is_customer")
+
+
+@query
+def source_income_stage(spark, folder):
+    """Risk rows that came through the income stage: a filter on the topic."""
+    rows = order_flow(spark, folder).npl.filter(F.col("kafka_source") != "npl_prediction_request")
+    return rows.select("request_id", "income_source", "kafka_source", "is_customer")
+
+
+@query
+def source_high_risk_prospects(spark, folder):
+    """Real-time prospects with a default risk above one half: filters on both and on the score."""
+    rows = order_flow(spark, folder).npl.filter(
+        ~F.col("is_customer") & (F.col("predicted_npl") > 0.5)
+    )
+    return rows.select("request_id", "income_source", "kafka_source", "is_customer")
+
+
 @query
 def request_lookup(spark, folder):
-    """The loan of one request: that of the most expensive order."""
+    """The loan of one request: that of the most expensive order. The raw key reaches the scan."""
     orders = table(spark, folder, "orders")
-    top = orders.agg(
-        F.max_by(
-            F.concat(F.lit("req-"), F.col("o_orderkey").cast("string")),
-            F.struct("o_totalprice", "o_orderkey"),
-        )
-    ).scalar()
-    return order_flow(spark, folder).loan.filter(F.col("request_id") == top)
+    top = orders.agg(F.max_by("o_orderkey", F.struct("o_totalprice", "o_orderkey"))).scalar()
+    return order_flow(spark, folder, F.col("o_orderkey") == top).loan
 
 
 @query

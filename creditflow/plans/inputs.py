@@ -20,7 +20,7 @@ from creditflow.operators import outbox
 from creditflow.operators.metrics import event_time, window_metrics
 from creditflow.operators.records import to_message
 from creditflow.plans import stages
-from creditflow.sources.tables import spread, table
+from creditflow.sources.tables import table
 
 CUSTOMER_SHARE = 0.8
 MAX_LATENCY_MS = 5000.0
@@ -28,7 +28,7 @@ MAX_LATENCY_MS = 5000.0
 
 def _requests(df: DataFrame, order_key: str, entity: str, date: str) -> DataFrame:
     base_ms = epoch_ms(F.col(date)) + (F.col(order_key) * 1000) % DAY_MS
-    ids = spread(df, order_key, entity, date).withColumns(
+    ids = df.withColumns(
         {
             "request_id": F.concat(F.lit("req-"), F.col(order_key).cast("string")),
             "application_id": F.concat(F.lit("app-"), F.col(order_key).cast("string")),
@@ -154,13 +154,16 @@ class Flow:
         return window_metrics(event_time(self.analytics, "timestamp"), size)
 
 
-def order_requests(spark: SparkSession, folder: str) -> DataFrame:
-    return _requests(table(spark, folder, "orders"), "o_orderkey", "o_custkey", "o_orderdate")
+def order_requests(spark: SparkSession, folder: str, which: Column | None = None) -> DataFrame:
+    """Requests of all orders, or of those that meet ``which``."""
+    orders = table(spark, folder, "orders")
+    orders = orders if which is None else orders.filter(which)
+    return _requests(orders, "o_orderkey", "o_custkey", "o_orderdate")
 
 
-def order_flow(spark: SparkSession, folder: str) -> Flow:
-    """The flow of all orders, each request issued once."""
-    return Flow(order_requests(spark, folder), order_draws())
+def order_flow(spark: SparkSession, folder: str, which: Column | None = None) -> Flow:
+    """The flow of all orders, or of those that meet ``which``, each request issued once."""
+    return Flow(order_requests(spark, folder, which), order_draws())
 
 
 def processed_flow(spark: SparkSession, folder: str) -> Flow:

@@ -368,7 +368,7 @@ profiled AS (
   SELECT origin, id, CAST(strlen(t) AS BIGINT) AS n_bytes,
          CAST(length(regexp_replace(t, '[^ -~]', '', 'g')) AS BIGINT) AS n_printable,
          CASE WHEN t IS NULL OR t = '' THEN 'empty'
-              WHEN starts_with(trim(substr(t, 1, 20), ' '), '{') THEN 'json'
+              WHEN starts_with(ltrim(t, ' ' || chr(9) || chr(10) || chr(13)), '{') THEN 'json'
               WHEN starts_with(t, chr(0)) THEN 'avro_like'
               ELSE 'other' END AS kind,
          substr(lower(hex(encode(t))), 1, 150)
@@ -570,8 +570,14 @@ SELECT request_id AS "requestId", application_id AS "applicationId",
        predicted_npl AS "predictedNpl", debt_to_income_ratio AS "debtToIncomeRatio",
        loan_decision AS "loanDecision", loan_amount AS "loanAmount", e6_stamp AS "e5ProducedAt"
 FROM o_e6 WHERE NOT ({npl_done})""")
-    sql["outbox_mark_sent"] = with_(
-        *FLOW, select=f"SELECT {LOAN_COLUMNS} FROM ({loan_rows('TRUE')})")
+    before, now = "credit_score % 3 = 0", "credit_score % 2 = 0"
+    start = "CASE WHEN is_customer THEN npl_requested_at ELSE income_requested_at END"
+    sent_at = f"""CASE WHEN {before} THEN e6_stamp
+      WHEN {now} THEN {start} + {clock("notify")} - system_time END"""
+    sql["outbox_mark_sent"] = with_(*FLOW, select=f"""
+SELECT {LOAN_COLUMNS} FROM (
+  SELECT * REPLACE (({before} OR {now}) AS sent_to_ldis, {sent_at} AS e5_produced_at,
+                    {sent_at} AS e6_produced_at) FROM o_loan)""")
     sql["outbox_anti"] = with_(*REQ, select="""
 SELECT request_id, is_customer, system_time FROM o_req
 WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem WHERE l_linestatus = 'F')""")
@@ -634,15 +640,17 @@ SELECT CAST(sum(approved_count) AS BIGINT) AS approved,
          AS daily_approval_rate
 FROM recent""")
 
-    def count_line(stage: str, rel: str) -> str:
+    def count_line(stage: str, rel: str, sent: str) -> str:
         return f"""SELECT '{stage}' AS stage, count(*) AS n_rows,
   count(*) FILTER (WHERE income_source = 'real-time') AS n_real_time,
-  count(*) FILTER (WHERE NOT is_customer) AS n_prospects, count(*) AS n_sent FROM {rel}"""
+  count(*) FILTER (WHERE NOT is_customer) AS n_prospects,
+  count(*) FILTER (WHERE {sent}) AS n_sent FROM {rel}"""
 
     sql["stage_counts"] = with_(*FLOW, select=" UNION ALL ".join(
-        count_line(s, r) for s, r in [
-            ("income_prediction", "o_inc"), ("npl_prediction", "o_npl"),
-            ("loan_result", "o_loan")]))
+        count_line(*line) for line in [
+            ("income_prediction", "o_inc", "CAST(predicted_income AS BIGINT) % 10000 = 0"),
+            ("npl_prediction", "o_npl", "sent_to_ldes"),
+            ("loan_result", "o_loan", "credit_score % 3 = 0")]))
     sql["latest_by_max"] = with_(*FLOW, select="""
 SELECT request_id, e1_produced_at, e1_consumed_at, predicted_income FROM o_inc
 WHERE e1_produced_at = (SELECT max(e1_produced_at) FROM o_inc)""")
@@ -666,6 +674,21 @@ WHERE e4_produced_at = (SELECT max(e4_produced_at) FROM o_npl_sent WHERE NOT is_
 SELECT request_id, income_source, kafka_source, is_customer FROM o_npl
 WHERE (income_source = 'batch' AND kafka_source = 'npl_prediction_request')
    OR (income_source = 'real-time' AND kafka_source <> 'npl_prediction_request')""")
+    source_row = "SELECT request_id, income_source, kafka_source, is_customer FROM o_npl WHERE "
+    sql["source_batch"] = with_(*FLOW, select=source_row + "income_source = 'batch'")
+    sql["source_income_stage"] = with_(
+        *FLOW, select=source_row + "kafka_source <> 'npl_prediction_request'")
+    sql["source_high_risk_prospects"] = with_(
+        *FLOW, select=source_row + f"NOT is_customer AND predicted_npl > {d(0.5)}")
+    sql["alerts_default_line"] = with_(*FLOW, NOTES, select=f"""
+SELECT event_time AS timestamp, customer_id, risk_score, loan_amount
+FROM notes WHERE loan_decision AND risk_score > {d(0.8)}""")
+    sql["event_counter_text_key"] = """
+SELECT event_id, request_id,
+       row_number() OVER (PARTITION BY request_id ORDER BY ts_ms, event_id) AS event_count
+FROM (SELECT event_id, epoch_ms(ts) AS ts_ms,
+             CASE WHEN user_id % 7 <> 0 THEN 'req-' || (user_id % 50) END AS request_id
+      FROM events)"""
     sql["request_lookup"] = with_(*FLOW, select=f"""
 SELECT {LOAN_COLUMNS} FROM o_loan
 WHERE request_id = (SELECT 'req-' || o_orderkey FROM orders

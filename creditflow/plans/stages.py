@@ -23,11 +23,6 @@ CUSTOMER_ID_BASE, PROSPECT_ID_BASE, ID_RANGE = 1_000_000, 2_000_000, 1_000_000
 CUSTOMER_SOURCE, PROSPECT_SOURCE = "batch", "real-time"
 
 
-def request_draws() -> Draw:
-    """Draws tied to the request and to when it was made: a replay scores alike."""
-    return keyed_draws("concat_ws('@', request_id, system_time)")
-
-
 def route_requests(
     df: DataFrame, is_customer: Column, entity: Column, sequential_ms: Column, wall_ms: Column
 ) -> DataFrame:

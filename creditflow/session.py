@@ -30,13 +30,17 @@ def local_session(app: str = "creditflow", cores: str | int = 8, **conf: str) ->
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared folder named by the cluster, or a fresh scratch folder where none is set.
+    """The shared folder named by the cluster, or a scratch folder where none is set.
 
-    Only a local master may fall back to a scratch folder of this machine.
+    Only a local master may fall back to a scratch folder of this machine, one per session.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("spark.checkpoint.dir must name a shared folder on a cluster")
-    return tempfile.mkdtemp(prefix="creditflow-")
+    made = spark.conf.get("spark.creditflow.scratch", None)
+    if not made:
+        made = tempfile.mkdtemp(prefix="creditflow-")
+        spark.conf.set("spark.creditflow.scratch", made)
+    return made

@@ -1,22 +1,19 @@
-"""A keyed stage table on plain parquet: merge by key, read a snapshot, mark rows.
-
-Rows are spread over a fixed number of buckets by the hash of their key. A merge reads and
-rewrites only the buckets its batch touches and leaves the files of all others alone. Where a
-time column never changes for a key (``system_time`` is set once and carried by every message),
-``day_of`` splits the table by that day too, so that a batch of today's requests touches only
-today's buckets.
-
-A commit is one small new file that names the directory of every bucket. Data is written before
-it and removed only by :meth:`StageTable.expire`, so a job that dies at any point leaves the last
-snapshot whole, and of two writers racing for the same version the second tries again on top.
-This needs a file system with atomic rename, such as HDFS; on an object store use a table format,
-whose ``MERGE INTO`` does the same job.
+"""A keyed stage table on plain parquet for one writer: merge by key, read, mark rows.
+
+Rows are spread over a fixed number of buckets by the hash of their key and, with ``day_of``, over
+days. A merge reads and rewrites only the parts that hold its keys or will hold them, and leaves
+the files of all others alone. Every merge writes a directory of its own and then one small
+version file, which names the parts; a job that dies at any point leaves the last version whole.
+
+The first merge stores the layout with the table, and a table opened with another one is refused.
+There is one writer at a time: a second one that comes to the same version is refused, not
+merged. Several writers, object stores and tables of very many parts need a table format, whose
+``MERGE INTO`` takes the same rules (:mod:`creditflow.operators.merge`).
 """
 
 from __future__ import annotations
 
 import json
-import time
 import uuid
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
@@ -32,17 +29,22 @@ from creditflow.operators.merge import MergeSpec, fold, merge_folded
 
 
 class ConcurrentCommit(RuntimeError):
-    """Another writer committed first."""
+    """Another writer has written this version; the table is for one writer."""
+
+
+#: Times that split a table by day when ``day_of`` is ``auto``.
+DAY_COLUMNS = ("bucket_start", "system_time")
 
 
 @dataclass
 class Snapshot:
     """``dirs`` maps a partition such as ``bucket=3`` to its directory; ``writers`` holds the
-    last batch id that each stream has merged."""
+    last batch id that each stream has merged; ``layout`` tells how rows are spread."""
 
     version: int = 0
     dirs: dict[str, str] = field(default_factory=dict)
     writers: dict[str, int] = field(default_factory=dict)
+    layout: dict[str, object] = field(default_factory=dict)
 
 
 class StageTable:
@@ -54,15 +56,21 @@ class StageTable:
         key: str = "request_id",
         buckets: int = 16,
         day_of: str | None = None,
-        attempts: int = 5,
     ):
-        """One task writes one bucket: choose ``buckets`` for about a gigabyte each.
+        """One task writes one bucket: choose ``buckets`` for about a gigabyte each (per day).
 
-        The commit file lists every bucket (of every day), so keep their number well below a
-        million.
+        ``day_of`` splits by the day of a time column, so that a batch of today's rows leaves
+        the parts of other days alone; ``"auto"`` takes the first of ``DAY_COLUMNS`` that the
+        schema has. The version file lists every part, so keep their number well below a million.
         """
         self.spark, self.path, self.schema, self.key = spark, path.rstrip("/"), schema, key
-        self.buckets, self.day_of, self.attempts = buckets, day_of, attempts
+        if day_of == "auto":
+            day_of = next((c for c in DAY_COLUMNS if c in schema.fieldNames()), None)
+        self.buckets, self.day_of = buckets, day_of
+
+    @property
+    def layout(self) -> dict[str, object]:
+        return {"key": self.key, "buckets": self.buckets, "day_of": self.day_of}
 
     # --- snapshots ----------------------------------------------------------------------
 
@@ -70,7 +78,10 @@ class StageTable:
         names = self._list(f"{self.path}/commits")
         if not names:
             return Snapshot()
-        return Snapshot(**json.loads(self._read_text(f"{self.path}/commits/{max(names)}")))
+        found = Snapshot(**json.loads(self._read_text(f"{self.path}/commits/{max(names)}")))
+        if found.layout != self.layout:
+            raise ValueError(f"the table is laid out as {found.layout}, not as {self.layout}")
+        return found
 
     def read(
         self, snapshot: Snapshot | None = None, partitions: Sequence[str] | None = None
@@ -117,9 +128,8 @@ class StageTable:
 
     def mark_sent(self, sent: DataFrame, spec: outbox.OutboxSpec) -> Snapshot:
         """Set flag and stamps of handed-over rows that have not changed since."""
-        carry = [self.day_of] if self.day_of else []
         return self._rewrite(
-            outbox.marks(sent, spec, *carry),
+            outbox.marks(sent, spec),
             lambda old, new: outbox.apply_marks(old, new, spec),
         )
 
@@ -132,6 +142,20 @@ class StageTable:
             return bucket
         return {"day": F.floor(F.col(self.day_of) / F.lit(DAY_MS)), **bucket}
 
+    def _partition_name(self) -> Column:
+        parts = self._partition_columns().items()
+        return F.concat_ws("/", *[F.concat(F.lit(f"{n}="), c.cast("string")) for n, c in parts])
+
+    def _parts_of_keys(self, base: Snapshot, changes: DataFrame) -> list[str]:
+        """The parts that hold keys of ``changes``, whatever day the changes carry."""
+        buckets = {f"bucket={r[0]}" for r in changes.select(self._bucket(F.col(self.key))).distinct().collect()}
+        near = [p for p in base.dirs if p.split("/")[-1] in buckets]
+        if not self.day_of or not near:
+            return near
+        # Only key and day are read; the keys of the batch decide, not a time that may change.
+        held = self.read(base, near).join(changes.select(self.key).distinct(), self.key, "left_semi")
+        return [r[0] for r in held.select(self._partition_name()).distinct().collect()]
+
     def _rewrite(
         self,
         changes: DataFrame,
@@ -139,72 +163,58 @@ class StageTable:
         writer: str | None = None,
         batch_id: int | None = None,
     ) -> Snapshot:
-        """Apply ``changes`` to the buckets they touch and commit.
+        """Apply ``changes`` to the parts that hold their keys, and commit what was written.
 
-        When another writer commits meanwhile, the work stands if it touched other buckets, and
-        is done again on the new snapshot otherwise.
+        Rows whose part changes move: the parts that they leave are rewritten too, and so are
+        the parts that receive them.
         """
+        base = self.snapshot()
+        if writer is not None and base.writers.get(writer, -1) >= batch_id:
+            return base
         parts = self._partition_columns()
         changes = changes.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            # At most one name per bucket (and day of the batch).
-            names = [F.concat(F.lit(f"{n}="), c.cast("string")) for n, c in parts.items()]
-            touched = [
-                r[0] for r in changes.select(F.concat_ws("/", *names)).distinct().collect()
-            ]
-            if not touched:
-                return self.snapshot()
-            for _ in range(self.attempts):
-                base = self.snapshot()
-                if writer is not None and base.writers.get(writer, -1) >= batch_id:
-                    return base
-                # Both sides are dealt by the hash that makes the buckets: the join needs no
-                # other shuffle, and each task writes one bucket.
-                old = self.read(base, touched).repartition(self.buckets, self.key)
-                new = changes.repartition(self.buckets, self.key)
-                directory = f"{base.version + 1:020d}-{uuid.uuid4().hex}"
-                apply(old, new).withColumns(parts).write.partitionBy(*parts).parquet(
-                    f"{self.path}/data/{directory}"
-                )
-                written = {p: f"{directory}/{p}" for p in touched}
-                done = self._commit_onto(base, written, writer, batch_id)
-                if done:
-                    return done
+            old_parts = set(self._parts_of_keys(base, changes))
+            if self.day_of in changes.columns:
+                coming = changes.select(self._partition_name()).distinct().collect()
+                old_parts |= {r[0] for r in coming} & base.dirs.keys()
+            # Both sides are dealt by the hash that makes the buckets: the join needs no other
+            # shuffle, and each task writes one bucket.
+            old = self.read(base, sorted(old_parts)).repartition(self.buckets, self.key)
+            new = changes.repartition(self.buckets, self.key)
+            directory = f"{base.version + 1:020d}-{uuid.uuid4().hex}"
+            apply(old, new).withColumns(parts).write.partitionBy(*parts).parquet(
+                f"{self.path}/data/{directory}"
+            )
         finally:
             changes.unpersist()
-        raise ConcurrentCommit(f"gave up after {self.attempts} attempts")
-
-    def _commit_onto(
-        self, base: Snapshot, written: dict[str, str], writer: str | None, batch_id: int | None
-    ) -> Snapshot | None:
-        """Commit buckets written from ``base``; None when one of them has changed since."""
-        while True:
-            latest = self.snapshot()
-            if any(latest.dirs.get(p) != base.dirs.get(p) for p in written):
-                return None
-            writers = dict(latest.writers)
-            if writer is not None:
-                writers[writer] = batch_id
-            try:
-                return self._commit(
-                    Snapshot(latest.version + 1, {**latest.dirs, **written}, writers)
-                )
-            except ConcurrentCommit:
-                continue
-
-    def expire(self, keep: int = 2, idle_hours: float = 24.0) -> None:
-        """Drop the directories that none of the last ``keep`` snapshots uses.
-
-        A directory younger than ``idle_hours`` may belong to a writer at work and stays.
+        written = self._written(f"{self.path}/data/{directory}", len(parts))
+        if not written and not old_parts:
+            return base
+        dirs = {p: d for p, d in base.dirs.items() if p not in old_parts}
+        dirs |= {p: f"{directory}/{p}" for p in written}
+        writers = base.writers if writer is None else {**base.writers, writer: batch_id}
+        return self._commit(Snapshot(base.version + 1, dirs, writers, self.layout))
+
+    def _written(self, path: str, depth: int) -> list[str]:
+        """The parts that a merge has written."""
+        names = [""]
+        for _ in range(depth):
+            names = [f"{n}/{c}" for n in names for c in self._list(f"{path}{n}") if "=" in c]
+        return [n[1:] for n in names]
+
+    def expire(self, keep: int = 2) -> None:
+        """Drop the directories that none of the last ``keep`` versions uses.
+
+        For the writer, between two merges.
         """
         names = sorted(self._list(f"{self.path}/commits"))
         used: set[str] = set()
         for name in names[-keep:]:
             dirs = json.loads(self._read_text(f"{self.path}/commits/{name}"))["dirs"]
             used |= {d.split("/", 1)[0] for d in dirs.values()}
-        limit = (time.time() - idle_hours * 3600) * 1000
-        for directory, modified in self._list(f"{self.path}/data").items():
-            if directory not in used and modified <= limit:
+        for directory in self._list(f"{self.path}/data"):
+            if directory not in used:
                 self._delete(f"{self.path}/data/{directory}")
         for name in names[:-keep]:
             self._delete(f"{self.path}/commits/{name}")
@@ -217,13 +227,13 @@ class StageTable:
         conf = self.spark._jsparkSession.sessionState().newHadoopConf()
         return hadoop_path.getFileSystem(conf), hadoop_path
 
-    def _list(self, path: str) -> dict[str, int]:
-        """Names in a directory with their modification times (milliseconds)."""
+    def _list(self, path: str) -> list[str]:
+        """Names in a directory."""
         fs, p = self._fs(path)
         if not fs.exists(p):
-            return {}
-        found = {s.getPath().getName(): s.getModificationTime() for s in fs.listStatus(p)}
-        return {n: t for n, t in found.items() if not n.startswith((".", "_"))}
+            return []
+        found = [s.getPath().getName() for s in fs.listStatus(p)]
+        return [n for n in found if not n.startswith((".", "_"))]
 
     def _read_text(self, path: str) -> str:
         fs, p = self._fs(path)
@@ -234,7 +244,7 @@ class StageTable:
             stream.close()
 
     def _commit(self, snapshot: Snapshot) -> Snapshot:
-        """Write the commit aside, then rename it into place: only one writer can."""
+        """Write the version aside, then rename it into place; a second writer is refused."""
         fs, target = self._fs(f"{self.path}/commits/{snapshot.version:020d}.json")
         _, aside = self._fs(f"{self.path}/commits/.{uuid.uuid4().hex}")
         stream = fs.create(aside, False)

@@ -5,15 +5,5 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 
-def spread(df: DataFrame, *by: str) -> DataFrame:
-    """Deal out a scan that has fewer splits than there are cores, by the hash of ``by``.
-
-    A file of one row group is one task, however much work follows. A table with splits enough
-    for every core is left as it is, so large tables are never shuffled here.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, *by)
-
-
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")

@@ -49,9 +49,13 @@ def read_topic_batch(spark: SparkSession, path: str, schema: StructType) -> Data
     return spark.read.schema(schema).parquet(path)
 
 
-def append_topic(messages: DataFrame, path: str) -> None:
-    """Append a batch of messages, in its order."""
-    messages.write.mode("append").parquet(path)
+def append_topic(messages: DataFrame, path: str, broker: dict[str, str] | None = None) -> None:
+    """Append a batch of messages, in its order, to a directory or with ``broker`` options to a
+    broker, which takes (key, value) pairs only."""
+    if broker is not None:
+        messages.write.format("kafka").options(**broker).save()
+    else:
+        messages.write.mode("append").parquet(path)
 
 
 def read_text_topic(spark: SparkSession, path: str) -> DataFrame:
@@ -91,19 +95,9 @@ def kafka_source_options(
     return options
 
 
-def kafka_sink_options(
-    topic: str, servers: str = "localhost:9092", transaction_timeout_ms: int = 5000
-) -> dict[str, str]:
-    """Options for ``writeStream.format("kafka")``, which delivers at least once."""
-    return {
-        "kafka.bootstrap.servers": servers,
-        "topic": topic,
-        "kafka.transaction.timeout.ms": str(transaction_timeout_ms),
-    }
-
-
-def read_kafka(spark: SparkSession, **options: str) -> DataFrame:
-    return spark.readStream.format("kafka").options(**options).load()
+def kafka_sink_options(topic: str, servers: str = "localhost:9092") -> dict[str, str]:
+    """Options for a write with ``format("kafka")``, which delivers at least once."""
+    return {"kafka.bootstrap.servers": servers, "topic": topic}
 
 
 # --- encoding ---------------------------------------------------------------------------

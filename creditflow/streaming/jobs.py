@@ -15,9 +15,8 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from creditflow.operators import alerts, merge, metrics, outbox
-from creditflow.session import checkpoint_root
 from creditflow.sources.stage_table import StageTable
-from creditflow.sources.topics import append_topic, encode
+from creditflow.sources.topics import append_topic, decode, encode, split_bad
 from creditflow.streaming.state import count_events
 
 Transform = Callable[[DataFrame], DataFrame]
@@ -26,8 +25,14 @@ DRAIN = {"availableNow": True}
 
 
 def _checkpoint(source: DataFrame, given: str | None, name: str) -> str:
-    """The checkpoint folder of a query, by default under the session's shared folder."""
-    return given or f"{checkpoint_root(source.sparkSession)}/{name}"
+    """The checkpoint folder of a query: given, or under the folder that the session names.
+
+    There is no other default: a job that takes a new folder at each start never resumes.
+    """
+    root = source.sparkSession.conf.get("spark.checkpoint.dir", None)
+    if not given and not root:
+        raise ValueError("give a checkpoint folder or set spark.checkpoint.dir")
+    return given or f"{root.rstrip('/')}/{name}"
 
 
 def _writer(batch: DataFrame, name: str) -> str:
@@ -42,6 +47,19 @@ def _writer(batch: DataFrame, name: str) -> str:
     return f"{name}@{query_id}"
 
 
+def _own_folder(root: str, batch: DataFrame, batch_id: int) -> str:
+    """The directory of one micro-batch of one query."""
+    return f"{root}/query={_writer(batch, '').removeprefix('@')}/batch={batch_id}"
+
+
+def _not_fewer(batch: DataFrame, held: DataFrame, key: str, counts: Sequence[str]) -> DataFrame:
+    """The windows of ``batch`` that count at least as many records as the table's own."""
+    total = lambda df: sum((F.col(c) for c in counts), F.lit(0))
+    known = held.select(key, total(held).alias("_held"))
+    joined = batch.join(known, key, "left")
+    return joined.filter(F.col("_held").isNull() | (total(batch) >= F.col("_held"))).drop("_held")
+
+
 def run_publish(
     source: DataFrame,
     topic_path: str,
@@ -98,13 +116,24 @@ def run_upsert(
     name: str,
     checkpoint: str | None = None,
     trigger: dict = DRAIN,
+    message: StructType | None = None,
+    fmt: str = "json",
+    rejects: str | None = None,
 ) -> StreamingQuery:
-    """Messages to a keyed stage table, one merge per micro-batch."""
+    """Messages to a keyed stage table, one merge per micro-batch.
+
+    With ``message`` the source holds (key, value) pairs, which are decoded first. A bad message
+    fails the job, or goes to the folder ``rejects`` with its reason (JSON only).
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        target.merge(
-            batch.transform(transform), spec, order, _writer(batch, name), batch_id
-        )
+        rows = batch
+        if message is not None and rejects is not None:
+            rows, bad = split_bad(batch, message)
+            bad.write.mode("overwrite").parquet(_own_folder(rejects, batch, batch_id))
+        elif message is not None:
+            rows = decode(batch, message, fmt)
+        target.merge(rows.transform(transform), spec, order, _writer(batch, name), batch_id)
 
     return (
         source.writeStream.foreachBatch(write)
@@ -116,25 +145,51 @@ def run_upsert(
 
 
 def run_outbox(
-    table: StageTable, spec: outbox.OutboxSpec, topic_path: str, proc_ms: Column | None = None
+    table: StageTable,
+    spec: outbox.OutboxSpec,
+    topic_path: str,
+    proc_ms: Column | None = None,
+    fmt: str | None = None,
+    broker: dict[str, str] | None = None,
+    since_ms: int | None = None,
 ) -> bool:
     """One pass: send the pending rows of a snapshot, then mark them.
 
-    Returns False when nothing was pending. Sending and marking are two steps: after a crash in
+    With ``fmt`` (``json`` or ``avro``) messages go out as (key, value) pairs, keyed by request;
+    ``broker`` sends them to a broker topic. ``since_ms`` reads only the days from then on, for a
+    table that is split by day and whose older rows have all been sent. Returns False when nothing was pending. Sending and marking are two steps: after a crash in
     between the next pass sends the same keys again, which the keyed stage behind absorbs. A row
     that was upserted meanwhile is not marked, so its new state goes out with the next pass.
     """
-    todo = outbox.pending(table.read(), spec)
+    todo = outbox.pending(table.read() if since_ms is None else table.since(since_ms), spec)
     if todo.isEmpty():
         return False
     if proc_ms is None:  # one reading of the clock, so that message and mark agree
         proc_ms = F.lit(int(time.time() * 1000))
     sent = outbox.hand_over(todo, spec, proc_ms)
-    append_topic(outbox.messages(outbox.ordered(sent, spec), spec), topic_path)
+    out = outbox.messages(outbox.ordered(sent, spec), spec)
+    if fmt is not None:
+        out = encode(out, spec.message, "requestId", fmt)
+    append_topic(out, topic_path, broker)
     table.mark_sent(sent, spec)
     return True
 
 
+def poll_outbox(
+    table: StageTable, spec: outbox.OutboxSpec, topic_path: str, name: str, every: str = "100 milliseconds",
+    checkpoint: str | None = None, **options,
+) -> StreamingQuery:
+    """Outbox passes for as long as the query runs, one per trigger; ``options`` as for a pass."""
+    ticks = table.spark.readStream.format("rate").option("rowsPerSecond", 1).load()
+    return (
+        ticks.writeStream.foreachBatch(lambda _batch, _id: run_outbox(table, spec, topic_path, **options) and None)
+        .queryName(name)
+        .option("checkpointLocation", _checkpoint(ticks, checkpoint, name))
+        .trigger(processingTime=every)
+        .start()
+    )
+
+
 def run_metrics(
     source: DataFrame,
     transform: Transform,
@@ -142,20 +197,26 @@ def run_metrics(
     checkpoint: str | None = None,
     ts: str = "timestamp",
     size: str = "1 second",
-    delay: str = "10 seconds",
+    delay: str | None = None,
     aggregate: Callable[[DataFrame, str], DataFrame] = metrics.window_metrics,
     spec: merge.MergeSpec = merge.METRICS,
     sink: StageTable | None = None,
     lines: str | None = None,
     as_lines: Transform = metrics.line_protocol,
+    more_of: Sequence[str] | None = ("approved_count", "rejected_count"),
     trigger: dict = DRAIN,
 ) -> StreamingQuery:
     """Records to window metrics.
 
-    ``ts`` is the event time of a record in milliseconds; windows older than ``delay`` leave the
-    state. Each micro-batch emits the windows it changed, and ``sink`` overwrites them by window,
-    so the table holds the newest state of every window. ``lines`` also appends them as text,
-    for a store that overwrites a point in the same way. Without either, metrics go nowhere.
+    ``ts`` is the event time of a record in milliseconds. No record is dropped by default, however
+    late: windows stay in the state, one row each. With ``delay``, windows older than that leave
+    the state and later records of theirs are dropped; the query's progress reports their number
+    (``numRowsDroppedByWatermark``). Each micro-batch emits the windows it changed, and ``sink``
+    overwrites them by window, so the table holds the newest state of every window. A window is
+    not replaced by one that counts fewer records (the sum of ``more_of``), so a query that
+    starts over on a topic that has lost its oldest records leaves complete windows as they are.
+    ``lines`` also appends the windows as text, for a store that overwrites a point in the same
+    way. Without either, metrics go nowhere.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -164,15 +225,19 @@ def run_metrics(
         try:
             batch.count()  # the state of every partition commits, whatever the sinks read
             if lines is not None:
-                as_lines(batch).write.mode("overwrite").text(f"{lines}/batch={batch_id}")
+                as_lines(batch).write.mode("overwrite").text(_own_folder(lines, batch, batch_id))
             if sink is not None:
+                if more_of is not None:
+                    batch = _not_fewer(batch, sink.read(), spec.key, more_of)
                 sink.merge(batch, spec, ["bucket_end"], writer, batch_id)
         finally:
             batch.unpersist()
 
     records = metrics.event_time(source.transform(transform), ts)
+    if delay is not None:
+        records = records.withWatermark("event_ts", delay)
     return (
-        aggregate(records.withWatermark("event_ts", delay), size)
+        aggregate(records, size)
         .writeStream.outputMode("update")
         .foreachBatch(write)
         .queryName(name)
@@ -194,18 +259,19 @@ def run_notifications(
 ) -> StreamingQuery:
     """One stream, two sinks: tagged points, and alerts as JSON lines.
 
-    Each micro-batch owns a directory per sink and overwrites it when replayed.
+    Each micro-batch of each query owns a directory per sink and overwrites it when replayed; a
+    query that starts over from a fresh checkpoint leaves the directories of others alone.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         records = batch.transform(transform).persist()
         try:
             alerts.tagged_notifications(records, environment).write.mode("overwrite").parquet(
-                f"{out}/points/batch={batch_id}"
+                _own_folder(f"{out}/points", batch, batch_id)
             )
             alerts.json_lines(alerts.high_risk_alerts(records, threshold)).write.mode(
                 "overwrite"
-            ).text(f"{out}/alerts/batch={batch_id}")
+            ).text(_own_folder(f"{out}/alerts", batch, batch_id))
         finally:
             records.unpersist()
 

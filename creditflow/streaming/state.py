@@ -12,13 +12,20 @@ from pyspark.sql.types import LongType, StructField, StructType
 _STATE = StructType([StructField("count", LongType())])
 
 
+def counts_by_key(df: DataFrame, key: str) -> DataFrame:
+    """The number of rows per key so far, for an update-mode sink: counted inside the engine,
+    pre-aggregated per task, so a busy key is one row per task."""
+    return df.groupBy(key).count().withColumnRenamed("count", "event_count")
+
+
 def count_events(df: DataFrame, key: str, idle_minutes: float | None = None) -> DataFrame:
     """Each row with ``event_count``, the number of rows of its key so far, itself included.
 
-    Rows count in arrival order and go through in Arrow batches, so a key with many rows is not
-    held in memory. State is one number per key and is kept for good; for a stream that never
-    ends, ``idle_minutes`` drops the state of a key that has been idle that long, after which
-    its count starts again. (A query that waits for such timeouts does not end by itself, so
+    For jobs that need the number on every row; where the newest count per key is enough, use
+    :func:`counts_by_key`. All rows of a key in a micro-batch go through one task, in Arrow
+    batches, so they are not held in memory. State is one number per key and is kept for good;
+    ``idle_minutes`` drops the state of a key that has been idle that long, after which **its
+    count starts again at 1**. (A query that waits for such timeouts does not end by itself, so
     leave it unset where the source is only drained.)
     """
     output = StructType([*df.schema, StructField("event_count", LongType())])

@@ -26,6 +26,14 @@ def test_hot_key(spark, slice_ms):
 
 
 def test_rows_without_a_key_count_together(spark):
-    df = spark.createDataFrame([(1, None, 5), (2, None, 6), (3, 7, 5)], "id long, k long, ts long")
+    rows = [(1, None, 5), (2, None, 6), (3, 7, 5), (4, 0, 5)]
+    df = spark.createDataFrame(rows, "id long, k long, ts long")
+    got = {r.id: (r.k, r.event_count) for r in running_count(df, "k", "ts", "id").collect()}
+    assert got == {1: (None, 1), 2: (None, 2), 3: (7, 1), 4: (0, 1)}
+
+
+def test_text_keys(spark):
+    rows = [(1, "req-1", 5), (2, "", 6), (3, None, 7), (4, "req-1", 90_000), (5, "", 1)]
+    df = spark.createDataFrame(rows, "id long, k string, ts long")
     got = {r.id: (r.k, r.event_count) for r in running_count(df, "k", "ts", "id").collect()}
-    assert got == {1: (0, 1), 2: (0, 2), 3: (7, 1)}
+    assert got == {1: ("req-1", 1), 2: ("", 2), 3: (None, 1), 4: ("req-1", 2), 5: ("", 1)}

@@ -7,11 +7,10 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-import __spark_entry__ as contract
 from creditflow.operators import outbox
-from creditflow.plans import inputs
+from creditflow.plans import catalog, inputs
 
-QUERIES = contract.queries()
+QUERIES = catalog.registered()
 
 
 def plan(df) -> str:
@@ -27,9 +26,8 @@ def test_no_python_and_no_cross_join(spark, data, name):
 
 
 def shuffles(text: str) -> list[str]:
-    """Exchanges by key (the deal of a one-split test file is not one)."""
-    found = re.findall(r"Exchange hashpartitioning\(([^)]*)\), (\w+)", text)
-    return [by for by, why in found if why == "ENSURE_REQUIREMENTS"]
+    """Every exchange that moves rows between tasks, but for broadcasts."""
+    return re.findall(r"(?<!Broadcast)Exchange (?:hash|range|RoundRobin|single)\w*[^\n]*", text, re.IGNORECASE)
 
 
 def test_metrics_shuffle_windows_only(spark, data):
@@ -47,6 +45,40 @@ def test_scoring_needs_no_shuffle(spark, data):
 def test_scans_read_needed_columns_only(spark, data):
     text = plan(QUERIES["income_prediction"](spark, data))
     assert "o_custkey" in text and "o_totalprice" not in text and "o_orderstatus" not in text
+    assert "ReadSchema: struct<o_orderkey:bigint>" in plan(QUERIES["credit_score_bands"](spark, data))
+
+
+def scans(text: str) -> int:
+    return len(re.findall(r"FileScan parquet", text))
+
+
+@pytest.mark.parametrize(
+    "name, most",
+    [("outbox_mark_sent", 2), ("metrics_pivot", 2), ("window_metrics", 2), ("loan_decision", 2)],
+)
+def test_scans(spark, data, name, most):
+    """A flow reads its orders once for prospects and once for customers; a look-up once more."""
+    assert scans(plan(QUERIES[name](spark, data))) <= most
+
+
+def test_lookup_filters_on_the_raw_key(spark, data):
+    text = plan(QUERIES["request_lookup"](spark, data))
+    assert re.search(r"DataFilters: \[[^\]]*o_orderkey[^\]]*ubquery", text)
+
+
+def test_pivot_needs_one_more_shuffle(spark, data):
+    text = plan(QUERIES["metrics_pivot"](spark, data))
+    assert len(shuffles(text)) == 2
+
+
+def test_no_plan_depends_on_the_size_of_the_machine():
+    from pathlib import Path
+
+    import creditflow
+
+    for file in Path(creditflow.__file__).parent.rglob("*.py"):
+        if "llm" not in file.parts:
+            assert not re.search(r"getNumPartitions|defaultParallelism", file.read_text()), file
 
 
 def test_status_filter_reaches_the_scan(spark, data):

@@ -1,4 +1,4 @@
-"""The stage table: merge, replay, outbox passes, racing writers, partial rewrites."""
+"""The stage table: merge, replay, outbox passes, layout, moved rows, partial rewrites."""
 
 from __future__ import annotations
 
@@ -109,44 +109,68 @@ def test_a_row_upserted_meanwhile_is_not_marked(spark, data, income):
     assert pending == changed and len(changed) < income.read().count()
 
 
-def racing(table, work, monkeypatch):
-    """Let ``work`` commit between the next job's write and its commit."""
-    commit_onto = StageTable._commit_onto
-    pending = [work]
-
-    def first_the_other(self, *args):
-        if pending:
-            pending.pop()()
-        return commit_onto(self, *args)
-
-    monkeypatch.setattr(StageTable, "_commit_onto", first_the_other)
-
-
-def test_racing_writers_same_bucket(spark, data, income, monkeypatch):
-    """The slower writer does its work again, on top of the faster one's."""
-    flow = inputs.order_flow(spark, data)
-    racing(income, lambda: income.merge(flow.income_sent, merge.INCOME, ORDER), monkeypatch)
-    income.merge(flow.income, merge.INCOME, ORDER, writer="slow", batch_id=3)
-    expected = merge.upsert(flow.income_sent, flow.income, merge.INCOME, ORDER)
-    assert rows(income.read()) == rows(expected)
-    assert income.snapshot().writers == {"slow": 3}
-
-
-def test_racing_writers_other_bucket(spark, data, income, monkeypatch):
-    """Work on other buckets stands, and is committed on top."""
+def test_a_second_writer_is_refused(spark, data, income, monkeypatch):
+    """A writer whose version another one has taken fails, and the table keeps the first one's rows."""
     flow = inputs.order_flow(spark, data)
-    by_bucket = F.pmod(F.hash("request_id"), F.lit(4))
-    one, other = (flow.income.filter(by_bucket == i) for i in (0, 1))
-    racing(income, lambda: income.merge(other, merge.INCOME, ORDER), monkeypatch)
-    income.merge(one, merge.INCOME, ORDER)
-    assert rows(income.read()) == rows(one.unionByName(other))
-    assert income.snapshot().version == 2
-
-
-def test_two_streams_of_commits_cannot_share_a_version(spark, data, income):
-    income.merge(inputs.order_flow(spark, data).income, merge.INCOME, ORDER)
+    income.merge(flow.income_sent, merge.INCOME, ORDER)
+    before, commit = income.snapshot(), StageTable._commit
+    income.merge(flow.income, merge.INCOME, ORDER)
+    kept = rows(income.read())
     with pytest.raises(ConcurrentCommit):
-        income._commit(income.snapshot())
+        commit(income, type(before)(before.version + 1, before.dirs, {}, before.layout))
+    assert rows(income.read()) == kept
+
+
+def small(spark, rows_in):
+    """Income rows of (request number, system_time)."""
+    base = spark.createDataFrame(rows_in, "n long, system_time long")
+    values = {f.name: F.lit(None).cast(f.dataType) for f in schemas.INCOME_TABLE}
+    values |= {
+        "request_id": F.concat(F.lit("req-"), F.col("n").cast("string")), "system_time": F.col("system_time"),
+        "sent_to_npl": F.lit(False), "predicted_income": F.col("n").cast("double"),
+    }
+    return base.select(*[values[f.name].alias(f.name) for f in schemas.INCOME_TABLE])
+
+
+def test_another_layout_is_refused(spark, tmp_path):
+    path = str(tmp_path / "t")
+    table = StageTable(spark, path, schemas.INCOME_TABLE, buckets=4)
+    table.merge(small(spark, [(i, 0) for i in range(200)]), merge.INCOME, ["system_time"])
+    for other in ({"buckets": 8}, {"buckets": 4, "day_of": "system_time"}):
+        with pytest.raises(ValueError):
+            StageTable(spark, path, schemas.INCOME_TABLE, **other).merge(small(spark, [(1, 0)]), merge.INCOME, ["system_time"])
+    assert table.read().count() == 200
+
+
+def test_a_changed_time_moves_no_row_twice(spark, tmp_path):
+    """A key that comes again with another day stays one row, in the part of its stored time."""
+    day = 86_400_000
+    table = StageTable(spark, str(tmp_path / "t"), schemas.INCOME_TABLE, buckets=4, day_of="system_time")
+    table.merge(small(spark, [(i, day) for i in range(200)]), merge.INCOME, ["system_time"])
+    table.merge(small(spark, [(i, 4 * day) for i in range(50)] + [(900, 4 * day)]), merge.INCOME, ["system_time"])
+    table.merge(small(spark, [(i, 2 * day) for i in range(190, 210)]), merge.INCOME, ["system_time"])
+    got = [r.request_id for r in table.read().collect()]
+    assert len(got) == len(set(got)) == 211
+
+
+def test_marks_of_unknown_keys_change_nothing(spark, tmp_path):
+    table = StageTable(spark, str(tmp_path / "t"), schemas.INCOME_TABLE, buckets=4, day_of="system_time")
+    sent = outbox.hand_over(small(spark, [(7, 0)]), outbox.INCOME, F.lit(0))
+    table.mark_sent(sent, outbox.INCOME)
+    assert table.read().count() == 0
+    table.merge(small(spark, [(i, 0) for i in range(20)]), merge.INCOME, ["system_time"])
+    table.mark_sent(outbox.hand_over(small(spark, [(500, 0), (3, 0)]), outbox.INCOME, F.lit(0)), outbox.INCOME)
+    got = {r.request_id: r.sent_to_npl for r in table.read().collect()}
+    assert len(got) == 20 and [k for k, v in got.items() if v] == ["req-3"]
+
+
+def test_a_small_batch_rewrites_its_own_part(spark, tmp_path):
+    day = 86_400_000
+    table = StageTable(spark, str(tmp_path / "t"), schemas.INCOME_TABLE, buckets=4, day_of="auto")
+    before = table.merge(small(spark, [(i, i % 10 * day) for i in range(400)]), merge.INCOME, ["system_time"])
+    after = table.merge(small(spark, [(3, 3 * day)]), merge.INCOME, ["system_time"])
+    assert len(before.dirs) == 40
+    assert sum(after.dirs[p] != before.dirs[p] for p in after.dirs) == 1
 
 
 def test_expire_keeps_what_snapshots_use(spark, data, income, tmp_path):
@@ -155,8 +179,6 @@ def test_expire_keeps_what_snapshots_use(spark, data, income, tmp_path):
         income.merge(flow.income, merge.INCOME, ORDER)
     before = rows(income.read())
     income.expire(keep=1)
-    assert len(list((tmp_path / "income" / "data").iterdir())) == 3
-    income.expire(keep=1, idle_hours=0)
     assert len(list((tmp_path / "income" / "data").iterdir())) == 1
     assert rows(income.read()) == before
     income.merge(flow.income, merge.INCOME, ORDER)
