@@ -28,6 +28,9 @@ _TYPES: dict[str, DataType] = {
 }
 
 
+# Field names, types and order of every schema below are the contract.
+
+
 def _struct(**fields: str) -> StructType:
     return StructType(
         [StructField(n, _TYPES[t.rstrip("?")], t.endswith("?")) for n, t in fields.items()]
