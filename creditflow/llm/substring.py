@@ -28,7 +28,9 @@ RULE = "blank"
 WINDOW, GRAM = 20, 5
 HEAVY = 1e-5
 #: Packed bytes that a task gathers before it sends them, and that it sorts at once.
-SEND_BYTES, SORT_BYTES = 32 << 20, 4 << 20
+SEND_BYTES, SORT_BYTES = 16 << 20, 2 << 20
+#: Packed strings are about three times the text, so their shuffle has as many more partitions.
+PARTS = 4
 _LAST = (1 << 63) - 1  # stands for a null doc_id: after all others
 _U = np.uint64
 
@@ -250,7 +252,7 @@ def without_repeats(docs: DataFrame, scratch: Scratch, window: int = WINDOW, kee
     total = counted.where("run = 0").agg(F.sum("n")).first()[0] or 0
     heavy = counted.where((F.col("run") != 0) & (F.col("n") >= max(2.0, HEAVY * total))).select("run").collect()
     heavy = np.unique(np.array([r["run"] for r in heavy], dtype=np.int64).view(_U) >> _U(1))
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    parts = PARTS * int(spark.conf.get("spark.sql.shuffle.partitions"))
     sent = slim.mapInArrow(narrow(send, window, GRAM, parts, spark.sparkContext.broadcast(heavy)), "part int, blob binary")
     spans = scratch.table(sent.repartitionById(parts, F.col("part")).mapInArrow(narrow(later_windows, window), _SPAN_DDL), "spans")
     scratch.release()
