@@ -30,13 +30,12 @@ def pieces(tokenizer: str, end: int, capacity: int, batches: Iterator[pa.RecordB
     """Length and checksum of each document's pieces."""
     encode = tokens.encoder(tokenizer)
     for batch in batches:
-        out = []
-        for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text")):
-            ids = encode.ids(text.as_py(), end)
-            for k, start in enumerate(range(0, len(ids), capacity)):
-                part = ids[start : start + capacity]
-                out.append((doc_id, k, start, len(part), zlib.crc32(part)))
-        if out:
+        for at, to, ids, first in encode.encode(batch.column("text"), end):
+            out, bounds = [], first.tolist()
+            for i, doc_id in enumerate(batch.column("doc_id").slice(at, to - at).to_pylist()):
+                for k, start in enumerate(range(bounds[i], bounds[i + 1], capacity)):
+                    part = ids[start : min(start + capacity, bounds[i + 1])]
+                    out.append((doc_id, k, start - bounds[i], len(part), zlib.crc32(part)))
             yield pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(zip(*out), _PIECE)], schema=_PIECE)
 
 

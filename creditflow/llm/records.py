@@ -54,6 +54,13 @@ def unframe(record: bytes) -> bytes:
     return payload
 
 
+def _sequences(batch: pa.RecordBatch, encode: tokens.Encoder, end: int) -> Iterator[tuple[int | None, np.ndarray]]:
+    for at, to, ids, first in encode.encode(batch.column("text"), end):
+        bounds = first.tolist()
+        for k, doc_id in enumerate(batch.column("doc_id").slice(at, to - at).to_pylist()):
+            yield doc_id, ids[bounds[k] : bounds[k + 1]]
+
+
 def write_records(folder: str, tokenizer: str, end: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Encode and write the rows of a task in their order; returns a manifest row per file.
 
@@ -66,12 +73,11 @@ def write_records(folder: str, tokenizer: str, end: int, batches: Iterator[pa.Re
     done: list[tuple] = []
     data = index = None
     for batch in batches:
-        for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text")):
+        for doc_id, ids in _sequences(batch, encode, end):
             if data is None:
                 path = f"{root}/records-{task.partitionId():06d}-{len(done):04d}-{task.taskAttemptId()}"
                 data, index = fs.open_output_stream(f"{path}.rec"), fs.open_output_stream(f"{path}.idx")
                 records = ids_written = at = 0
-            ids = encode.ids(text.as_py(), end)
             record = frame(_HEAD.pack(width, doc_id is not None, doc_id or 0) + ids.astype(f"<u{width}").tobytes())
             data.write(record)
             index.write(struct.pack("<QQ", at, len(record)))

@@ -3,22 +3,34 @@
 from __future__ import annotations
 
 import os
+from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
+import regex
 
-#: Chunks whose ids a worker remembers, and the longest chunk that it remembers.
-MEMORY, LONGEST = 400_000, 64
-#: Characters given to the library at once.
-BATCH_CHARS = 1 << 18
+from creditflow.llm import text as T
+
+#: Chunks whose ids a worker remembers.
+MEMORY = 400_000
+#: Bytes of text encoded at once, and characters given to the library at once.
+BLOCK_BYTES, BATCH_CHARS = 2 << 20, 1 << 17
+# Fixed value: how word_bpe_49k.json cuts text into pieces (from the file).
+_PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
+_SUFFIX, _SPECIAL = "</w>", b"<|"
+# Characters for which lower case and normal form need no context and no newer Unicode version:
+# Latin and Cyrillic letters that are composed, and usual signs. Special tokens begin with "<|".
+_UNUSUAL = regex.compile("<\\||[^!-~\u00a1-\u012f\u0131-\u02ff\u0400-\u0482\u048a-\u052f\u2010-\u2027\u2030-\u203a\u20ac]")
 
 
 class Encoder:
-    """Encodes texts chunk by chunk.
+    """Encodes texts by their chunks, for tokenizers that drop white space and mark word ends.
 
-    A chunk is a run without blanks and line feeds. For tokenizers that drop white space and never
-    join across it (``word_bpe_49k.json`` does), a text's ids are those of its chunks in turn;
-    tests compare with whole texts. The library encodes each new chunk, and the ids of chunks
-    that come again are remembered, within a bound.
+    A chunk is a run without white space, and no token reaches across it. A block's chunks are
+    found and told apart by their 64-bit hashes, without regard to the case of A-Z, and only
+    those that are not remembered go to the library: usual ones are cut into the tokenizer's own
+    pieces and encoded many at a time, where the mark at a piece's end tells their ids apart;
+    unusual ones go one by one. Tests compare with whole texts.
     """
 
     def __init__(self, path: str):
@@ -26,35 +38,91 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {}
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        self.ends[[i for token, i in vocabulary.items() if token.endswith(_SUFFIX)]] = True
+        self._forget(0)
 
-    def ids(self, text: str | None, end: int) -> np.ndarray:
-        """The ids of a text (null is empty) and the end id, as unsigned 32-bit integers."""
-        chunks = (text or "").replace("\n", " ").split(" ")
-        known = self.known
-        missing = [c for c in dict.fromkeys(chunks) if c not in known]
-        if missing:
-            if len(known) + len(missing) > MEMORY:
-                known.clear()
-                missing = list(dict.fromkeys(chunks))
-            self._learn(missing)
-        ids = np.frombuffer(b"".join([known[c] for c in chunks]) + end.to_bytes(4, "little"), dtype="<u4")
-        if len(known) > MEMORY or any(len(c) > LONGEST for c in missing):
-            for c in missing:
-                if len(c) > LONGEST or len(known) > MEMORY:
-                    known.pop(c, None)
-        return ids
-
-    def _learn(self, chunks: list[str]) -> None:
+    def _forget(self, kept: int) -> None:
+        """Keep the chunks met first, among which are the frequent ones."""
+        if not kept:
+            self.hashes, self.bounds, self.pool = np.empty(0, np.uint64), np.zeros(1, np.int64), np.empty(0, "<u4")
+        else:
+            self.hashes, self.bounds = self.hashes[:kept], self.bounds[: kept + 1]
+            self.pool = self.pool[: self.bounds[-1]]
+        self.order = np.argsort(self.hashes)
+        self.sorted = self.hashes[self.order]
+
+    def encode(self, column: pa.Array, end: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+        """For each block of texts: first and last row, all ids (each text's and ``end``; null is
+        empty) as unsigned 32-bit integers, and where each text's begin."""
+        for at, to, data, offsets in T.blocks(column, BLOCK_BYTES):
+            raw = data.tobytes()
+            w = T.words(data, offsets, "blank" if _SPECIAL in raw else "blank_lower")
+            unique, first, inverse = np.unique(w.hashes, return_index=True, return_inverse=True)
+            place = np.minimum(np.searchsorted(self.sorted, unique), max(len(self.sorted) - 1, 0))
+            known = self.sorted[place] == unique if len(self.sorted) else np.zeros(len(unique), dtype=bool)
+            new = np.flatnonzero(~known)
+            spans = zip(w.starts[first[new]].tolist(), w.ends[first[new]].tolist())
+            ids, sizes = self._new([raw[a:b].decode("utf-8") for a, b in spans])
+            pool = np.concatenate([self.pool, ids, np.array([end], "<u4")])
+            begin, size = np.zeros(len(unique), np.int64), np.zeros(len(unique), np.int64)
+            if known.any():
+                own = self.order[place[known]]
+                begin[known], size[known] = self.bounds[own], np.diff(self.bounds)[own]
+            size[new] = sizes
+            begin[new] = len(self.pool) + np.cumsum(sizes) - sizes
+            begins = np.insert(begin[inverse], w.first[1:], len(pool) - 1)
+            counts = np.insert(size[inverse], w.first[1:], 1)
+            reach = np.append(0, np.cumsum(counts))
+            out = pool[np.repeat(begins - reach[:-1], counts) + np.arange(reach[-1])]
+            self._remember(unique[new], ids, sizes)
+            yield at, to, out, reach[w.first + np.arange(len(w.first))]
+
+    def _remember(self, hashes: np.ndarray, ids: np.ndarray, sizes: np.ndarray) -> None:
+        if not len(hashes):
+            return
+        self.bounds = np.append(self.bounds, self.bounds[-1] + np.cumsum(sizes))
+        self.pool, self.hashes = np.concatenate([self.pool, ids]), np.concatenate([self.hashes, hashes])
+        self._forget(len(self.hashes) if len(self.hashes) <= MEMORY else MEMORY // 2)
+
+    def _new(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of chunks end to end, and how many each has."""
+        parts, sizes = [], []
         at = 0
         while at < len(chunks):
             to, size = at, 0
             while to < len(chunks) and (to == at or size + len(chunks[to]) <= BATCH_CHARS):
                 size += len(chunks[to])
                 to += 1
-            for chunk, got in zip(chunks[at:to], self.tokenizer.encode_batch_fast(chunks[at:to], add_special_tokens=False)):
-                self.known[chunk] = np.array(got.ids, dtype="<u4").tobytes()
+            ids, counts = self._batch(chunks[at:to])
+            parts.append(ids)
+            sizes.append(counts)
             at = to
+        return np.concatenate([np.empty(0, "<u4"), *parts]), np.concatenate([np.empty(0, np.int64), *sizes])
+
+    def _batch(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        text = " ".join(chunks)
+        if not _UNUSUAL.search(text.replace(" ", "")):
+            pieces = [_PIECES.findall(c) for c in text.lower().split(" ")]
+            if len(pieces) == len(chunks):
+                (got,) = self.tokenizer.encode_batch_fast([" ".join([p for own in pieces for p in own])], add_special_tokens=False)
+                ids = np.array(got.ids, dtype="<u4")
+                stops = np.flatnonzero(self.ends[ids]) + 1
+                last = np.cumsum([len(own) for own in pieces])
+                if len(stops) == last[-1]:
+                    return ids, np.diff(stops[last - 1], prepend=0)
+        elif len(chunks) > 1:
+            half = len(chunks) // 2
+            both = [self._batch(chunks[:half]), self._batch(chunks[half:])]
+            return tuple(np.concatenate(x) for x in zip(*both))
+        each = [x.ids for x in self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False)]
+        return np.array([i for own in each for i in own], dtype="<u4"), np.array([len(own) for own in each], dtype=np.int64)
+
+    def ids(self, text: str | None, end: int) -> np.ndarray:
+        """The ids of one text."""
+        ((_, _, out, _),) = self.encode(pa.array([text], pa.string()), end)
+        return out
 
 
 _encoders: dict[str, Encoder] = {}
