@@ -1,7 +1,147 @@
-"""Reference SQL of the operators that SQL can express."""
+"""Reference SQL (DuckDB) of the operators that SQL can express.
+
+Language identification, URL verdicts, quality scores and token ids are beyond SQL; their queries
+are tested against plain restatements, round trips or held-out accuracy.
+"""
 
 from __future__ import annotations
 
+_BLANKS = r"[^\x20\x09-\x0D]+"
+_ITEM_WORDS = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+def _components(nodes: str) -> str:
+    """From ``links(a, b)``: ``component(id, component_id)`` over the ids of ``nodes``."""
+    return f"""
+both_ways AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
+reached AS (
+  SELECT id, id AS r FROM ({nodes})
+  UNION
+  SELECT reached.id, both_ways.b FROM reached JOIN both_ways ON reached.r = both_ways.a
+),
+component AS (SELECT id, min(r) AS component_id FROM reached GROUP BY id)"""
+
+
+def near_duplicates(percent: int = 85, width: int = 5) -> str:
+    return f"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all({_LOWER}, '{_BLANKS}') AS w FROM documents
+),
+shingles AS (
+  SELECT doc_id, unnest(CASE
+      WHEN len(w) >= {width} THEN list_distinct(list_transform(
+        range(1, len(w) - {width - 2}), lambda i: array_to_string(w[i:i + {width - 1}], ' ')))
+      WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS s
+  FROM words
+),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+pairs AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c
+  FROM shingles x JOIN shingles y ON x.s = y.s AND x.doc_id < y.doc_id GROUP BY 1, 2
+),
+links AS (
+  SELECT a, b FROM pairs JOIN sizes x ON a = x.doc_id JOIN sizes y ON b = y.doc_id
+  WHERE 100 * c >= {percent} * (x.n + y.n - c)
+),{_components("SELECT doc_id AS id FROM documents")}
+SELECT d.doc_id, coalesce(n, 0) AS n_shingles, component_id, d.doc_id = component_id AS kept
+FROM documents d JOIN component ON d.doc_id = component.id LEFT JOIN sizes ON d.doc_id = sizes.doc_id"""
+
+
+def warc() -> str:
+    digits = " || ".join(
+        f"substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((CAST('0x' || substr(h, {5 * k + 1}, 5) AS BIGINT) >> {shift}) & 31) + 1, 1)"
+        for k in range(8)
+        for shift in (15, 10, 5, 0)
+    )
+    return f"""
+WITH hashed AS (
+  SELECT page_id, coalesce(html, '') AS payload, sha1(coalesce(html, '')) AS h FROM pages
+),
+firsts AS (SELECT payload, min(page_id) AS first FROM hashed GROUP BY payload)
+SELECT page_id, CAST(strlen(payload) AS BIGINT) AS payload_bytes, {digits} AS payload_digest,
+       CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first THEN first END AS refers_to
+FROM hashed JOIN firsts USING (payload)"""
+
+
+def decontamination(window: int = 10) -> str:
+    return f"""
+WITH items AS (
+  SELECT item_id, regexp_extract_all({_LOWER}, '{_ITEM_WORDS}') AS w FROM benchmark
+),
+item_windows AS (
+  SELECT DISTINCT item_id, least(len(w), {window}) AS size, array_to_string(w[i:i + {window - 1}], ' ') AS s
+  FROM (SELECT *, unnest(range(1, greatest(1, len(w) - {window - 1}) + 1)) AS i FROM items WHERE len(w) > 0)
+),
+words AS (
+  SELECT doc_id, regexp_extract_all({_LOWER}, '{_ITEM_WORDS}') AS w FROM documents
+),
+document_windows AS (
+  SELECT doc_id, size, i, array_to_string(w[i:i + size - 1], ' ') AS s
+  FROM (SELECT doc_id, w, size, unnest(range(1, len(w) - size + 2)) AS i
+        FROM words, (SELECT DISTINCT size FROM item_windows) WHERE len(w) >= size)
+),
+hits AS (SELECT doc_id, i, size, item_id FROM document_windows JOIN item_windows USING (size, s)),
+hit_words AS (
+  SELECT doc_id, count(DISTINCT p) AS n_hit
+  FROM (SELECT doc_id, unnest(range(i, i + size)) AS p FROM hits) GROUP BY doc_id
+),
+hit_items AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM hits) GROUP BY doc_id
+)
+SELECT words.doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+FROM words LEFT JOIN hit_words USING (doc_id) LEFT JOIN hit_items USING (doc_id)"""
+
+
+def vectors(threshold: float = 0.95) -> str:
+    return f"""
+WITH RECURSIVE units AS (
+  SELECT vec_id, list_transform(v, lambda x: x / sqrt(list_inner_product(v, v))) AS u
+  FROM (SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS v FROM embeddings)
+  WHERE len(list_filter(v, lambda x: x IS NOT NULL AND isfinite(x))) = len(v)
+    AND len(list_filter(v, lambda x: x <> 0)) > 0
+),
+links AS (
+  SELECT x.vec_id AS a, y.vec_id AS b FROM units x JOIN units y
+  ON x.vec_id < y.vec_id AND list_inner_product(x.u, y.u) >= {threshold}
+),{_components("SELECT vec_id AS id FROM embeddings")},
+counted AS (SELECT a, count(*) AS n FROM both_ways GROUP BY a)
+SELECT vec_id, coalesce(n, 0) AS n_links, component_id, vec_id = component_id AS kept
+FROM embeddings JOIN component ON vec_id = component.id LEFT JOIN counted ON vec_id = a"""
+
+
+def substring(window: int = 20) -> str:
+    return f"""
+WITH words AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '{_BLANKS}') AS w FROM documents
+),
+windows AS (
+  SELECT doc_id, i, array_to_string(w[i:i + {window - 1}], ' ') AS s
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - {window - 2})) AS i FROM words WHERE len(w) >= {window})
+),
+late AS (
+  SELECT doc_id, i FROM (
+    SELECT doc_id, i, row_number() OVER (PARTITION BY s ORDER BY doc_id, i) AS rn FROM windows)
+  WHERE rn > 1
+),
+removed AS (SELECT DISTINCT doc_id, unnest(range(i, i + {window})) AS p FROM late),
+placed AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS p FROM words),
+kept AS (
+  SELECT doc_id, string_agg(word, ' ' ORDER BY p) AS text, count(*) AS n
+  FROM placed ANTI JOIN removed USING (doc_id, p) GROUP BY doc_id
+)
+SELECT words.doc_id, len(w) AS n_words, len(w) - coalesce(n, 0) AS n_removed, sha256(coalesce(text, '')) AS kept_sha256
+FROM words LEFT JOIN kept USING (doc_id)"""
+
 
 def statements() -> dict[str, str]:
-    return {}
+    return {
+        "op2_odd_sketch": near_duplicates(),
+        "op3_warc": warc(),
+        "op6_decontamination": decontamination(),
+        "op7_multi_index": vectors(),
+        "op9_substring_dedup": substring(),
+    }

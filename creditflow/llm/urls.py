@@ -4,7 +4,9 @@ Host names run words together, so each letter run is split by a unigram model (V
 model's words are those that make up at least ``FREQUENT`` of all words of the pages' html, which
 are at most ``1 / FREQUENT``; every other stretch is one unknown token, so the classifier's
 vocabulary is bounded as well. The classifier learns from all URLs that a rule decides and judges
-those that no rule fits.
+those that no rule fits. Rules say little about kinds of host that they never met, so a list of
+seed words counts as evidence too, each like ``SEED_SHARE`` of the URLs that rules decide
+(``SEED_LEAST`` URLs at least).
 """
 
 from __future__ import annotations
@@ -24,6 +26,12 @@ from creditflow.llm.scratch import Scratch, narrow
 
 FREQUENT = 1e-5
 LONGEST_WORD = 24
+# Words in host names that speak for blocking.
+SEEDS = {
+    "block": "adult ads advert bet bets betting casino casinos escort gambling jackpot lottery nude pharmacy pills "
+    "poker porn porno roulette sex slots spam tracker tracking viagra warez xxx".split(),
+}
+SEED_SHARE, SEED_LEAST = 0.05, 20
 #: Segmentations that a worker remembers.
 MEMORY = 100_000
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -136,12 +144,14 @@ class NaiveBayes:
     odds: dict[str, float]
 
     @classmethod
-    def of(cls, counts: dict[tuple[str, str], int]) -> NaiveBayes:
-        vocabulary = {t for t, _ in counts if t}
+    def of(cls, counts: dict[tuple[str, str], int], seeds: dict[tuple[str, str], int] | None = None) -> NaiveBayes:
+        """From counts of tokens per verdict; ``seeds`` add to tokens, not to the verdicts' totals."""
+        seeds = seeds or {}
+        vocabulary = {t for t, _ in [*counts, *seeds] if t}
         totals = {v: sum(n for (t, w), n in counts.items() if t and w == v) for v in ("allow", "block")}
         urls = {v: counts.get(("", v), 0) for v in ("allow", "block")}
         size = len(vocabulary)
-        rate = lambda t, v: math.log((counts.get((t, v), 0) + 1) / (totals[v] + size + 1))
+        rate = lambda t, v: math.log((counts.get((t, v), 0) + seeds.get((t, v), 0) + 1) / (totals[v] + size + 1))
         return cls(
             math.log((urls["block"] + 1) / (urls["allow"] + 1)) if any(urls.values()) else -1.0,
             {t: rate(t, "block") - rate(t, "allow") for t in vocabulary},
@@ -162,12 +172,14 @@ def decide(model, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), pa.array(verdicts, pa.string())], names=[*names, "verdict"])
 
 
-def judged(pages: DataFrame, scratch: Scratch, rules: list[tuple[str, str, str]]) -> DataFrame:
+def judged(
+    pages: DataFrame, scratch: Scratch, rules: list[tuple[str, str, str]], seeds: dict[str, list[str]] = SEEDS
+) -> DataFrame:
     """``(page_id, host, path, rule, verdict)`` for each page.
 
     A null URL or one without ``://`` has empty host and path and is judged by the class prior.
-    Where both verdicts are as likely, and where no URL is decided by a rule, the verdict is
-    ``allow``. Rows are judged one by one, whatever their ids. Other columns are ignored.
+    Where both verdicts are as likely the verdict is ``allow``; where no URL is decided by a rule,
+    only seed words speak against a URL. Rows are judged one by one, whatever their ids. Other columns are ignored.
     """
     context = pages.sparkSession.sparkContext
     words = scratch.table(
@@ -175,10 +187,15 @@ def judged(pages: DataFrame, scratch: Scratch, rules: list[tuple[str, str, str]]
     )
     total = words.agg(F.sum("n")).first()[0] or 0
     frequent = words.where(F.col("n") >= FREQUENT * total).collect()
-    segmenter = Segmenter.of({r["word"]: r["n"] for r in frequent}, total)
+    counts = {r["word"]: r["n"] for r in frequent}
+    # Seed words can be told apart in a name even where the pages hardly use them.
+    least = max(1, int(FREQUENT * total))
+    segmenter = Segmenter.of({w: least for own in seeds.values() for w in own} | counts, total)
     ruled = with_rule(pages.select(F.col("page_id").cast("long").alias("page_id"), "url"), rules)
     learnt = ruled.where("ruled is not null").select("host", "path", "ruled")
     counts = learnt.mapInArrow(narrow(count_tokens, context.broadcast(segmenter)), "token string, verdict string, n long")
     counts = {(r["token"], r["verdict"]): r["n"] for r in counts.groupBy("token", "verdict").agg(F.sum("n").alias("n")).collect()}
-    model = context.broadcast((segmenter, NaiveBayes.of(counts)))
+    weight = max(SEED_LEAST, int(SEED_SHARE * sum(n for (token, _), n in counts.items() if not token)))
+    extra = {(f"h:{word}", verdict): weight for verdict, own in seeds.items() for word in own}
+    model = context.broadcast((segmenter, NaiveBayes.of(counts, extra)))
     return ruled.drop("url").mapInArrow(narrow(decide, model), "page_id long, host string, path string, rule string, verdict string")

@@ -92,12 +92,12 @@ def test_repeats_query_and_text(spark, data):
     rows = pairs(spark, data, "documents", "doc_id", "text")
     check_repeats(registered()["op9_substring_dedup"](spark, data).collect(), rows)
     docs = table(spark, data, "documents")
-    out = substring.without_repeats(docs, fresh(spark), keep=tuple(docs.columns))
-    assert out.columns == [*docs.columns, "n_words", "n_removed"]
+    out = substring.without_repeats(docs, fresh(spark), keep=True)
+    assert out.columns == ["row", "text", "n_words", "n_removed"]
     whole, want = dict(rows), {d: (m, t) for d, _, m, t in brute.without_repeats(rows)}
     for r in out.collect():
-        removed, text = want[r["doc_id"]]
-        assert r["text"] == (text if removed else whole[r["doc_id"]])
+        removed, text = want[r["row"]["doc_id"]]
+        assert r["text"] == (text if removed else whole[r["row"]["doc_id"]])
 
 
 def test_decontamination_of_hard_rows(spark, documents):
