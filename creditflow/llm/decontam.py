@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from creditflow.llm import text as T
-from creditflow.llm.scratch import Scratch, narrow
+from creditflow.llm.scratch import Scratch, narrow, other_columns
 
 RULE = "alnum_lower"
 WINDOW = 10
@@ -205,18 +205,18 @@ def _measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(c) for c in kept] + list(columns.values()), names=kept + list(columns))
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, scratch: Scratch, window: int = WINDOW, keep: tuple[str, ...] = ()) -> DataFrame:
+def contaminated(docs: DataFrame, benchmark: DataFrame, scratch: Scratch, window: int = WINDOW, keep: bool = False) -> DataFrame:
     """``(doc_id, n_words, n_hit, n_items, items_sha256, contaminated)`` for each row of ``docs``.
 
     A null or wordless text has no words and is clean, as is everything if the benchmark holds no
     words. Item ids are text; items without an id are left out, and rows that repeat an item_id
-    are one item. Rows of ``docs`` are judged one by one, whatever their ids. ``keep`` names
-    further columns of ``docs`` to return; others are ignored.
+    are one item. Rows of ``docs`` are judged one by one, whatever their ids. With ``keep`` all
+    columns of ``docs`` come along as the struct ``row``; otherwise others are ignored.
     """
     items = benchmark.where("item_id is not null").select(F.col("item_id").cast("string").alias("item"), "text")
     windows = scratch.table(items.mapInArrow(narrow(item_windows, window), _WINDOW_DDL).groupBy("words").agg(F.collect_set("item").alias("items")), "windows")
     n_blocks = max(1, -(-windows.count() // BLOCK_WINDOWS))
-    columns = list(dict.fromkeys(["doc_id", "text", *keep]))
+    columns = ["doc_id", "text", other_columns(docs, "text")] if keep else ["doc_id", "text"]
     texts, state = docs.select("text"), docs.select(
         *columns, F.lit(0).cast("long").alias("n_words"), F.lit(b"").alias("spans"), F.array().cast("array<string>").alias("items")
     )
@@ -233,7 +233,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, scratch: Scratch, window
             # Cut here, so that a task holds one block at a time.
             state = scratch.table(state, f"block-{block}")
         state = state.mapInArrow(narrow(search, index), state.schema)
-    out = [f.simpleString().replace(":", " ", 1) for f in state.select("doc_id", *(c for c in columns if c != "doc_id")).schema]
-    measured = state.mapInArrow(_measured, ", ".join([*out, "n_words long", "n_hit long", "n_items long", "items_sha256 string"]))
-    wanted = ["doc_id", *keep, "n_words", "n_hit", "n_items", "items_sha256"]
-    return measured.select(*dict.fromkeys(wanted), (F.col("n_hit") > 0).alias("contaminated"))
+    kept = ["doc_id", *(["text", "row"] if keep else []), "n_words"]
+    ddl = ", ".join(f"{c} {state.schema[c].dataType.simpleString()}" for c in kept)
+    measured = state.select(*kept, "spans", "items").mapInArrow(_measured, f"{ddl}, n_hit long, n_items long, items_sha256 string")
+    return measured.withColumn("contaminated", F.col("n_hit") > 0)

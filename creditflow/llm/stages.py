@@ -41,18 +41,19 @@ def deduplicated(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame
 def without_repeats(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Documents without the words of passages that stand earlier in the corpus."""
     scratch = Scratch(spark, "substring")
-    out = substring.without_repeats(docs, scratch, keep=tuple(docs.columns))
-    if "n_chars" in docs.columns:
-        changed = F.when(F.col("n_removed") > 0, F.char_length("text")).otherwise(F.col("n_chars"))
-        out = out.withColumn("n_chars", changed.cast(docs.schema["n_chars"].dataType))
-    return out.select(*docs.columns)
+    out = substring.without_repeats(docs, scratch, keep=True)
+    columns = {c: F.col(f"row.`{c}`") for c in docs.columns if c != "text"} | {"text": F.col("text")}
+    if "n_chars" in columns:
+        changed = F.when(F.col("n_removed") > 0, F.char_length("text")).otherwise(columns["n_chars"])
+        columns["n_chars"] = changed.cast(docs.schema["n_chars"].dataType)
+    return out.select(*(columns[c].alias(c) for c in docs.columns))
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Documents that hold no passage of a benchmark item."""
     scratch = Scratch(spark, "decontam")
-    out = decontam.contaminated(docs, table(spark, folder, "benchmark"), scratch, keep=tuple(docs.columns))
-    return out.where("not contaminated").select(*docs.columns)
+    out = decontam.contaminated(docs, table(spark, folder, "benchmark"), scratch, keep=True).where("not contaminated")
+    return out.select(*((F.col("text") if c == "text" else F.col(f"row.`{c}`")).alias(c) for c in docs.columns))
 
 
 def packed(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:

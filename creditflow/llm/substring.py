@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from creditflow.llm import text as T
-from creditflow.llm.scratch import Scratch, narrow
+from creditflow.llm.scratch import Scratch, narrow, other_columns
 
 RULE = "blank"
 WINDOW, GRAM = 20, 5
@@ -34,9 +34,9 @@ PARTS = 4
 _LAST = (1 << 63) - 1  # stands for a null doc_id: after all others
 _U = np.uint64
 
-_KMER = pa.schema([("bucket", pa.uint64()), ("id", pa.int64()), ("h", pa.int64()), ("start", pa.int32()), ("n", pa.int32()), ("packed", pa.large_binary())])
-_SPAN = pa.schema([("id", pa.int64()), ("h", pa.int64()), ("begin", pa.int32()), ("end", pa.int32())])
-_SPAN_DDL = "id long, h long, begin int, end int"
+_KMER = pa.schema([("turn", pa.uint16()), ("id", pa.int64()), ("h", pa.int32()), ("start", pa.int32()), ("n", pa.int32()), ("packed", pa.large_binary())])
+_SPAN = pa.schema([("id", pa.int64()), ("h", pa.int32()), ("begin", pa.int32()), ("end", pa.int32())])
+_SPAN_DDL = "id long, h int, begin int, end int"
 
 
 def count_grams(gram: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -87,7 +87,7 @@ def super_kmers(w: T.Words, window: int, gram: int, heavy: np.ndarray) -> tuple[
 
 def send(window: int, gram: int, parts: int, heavy, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Super-k-mers of each text, gathered by destination and compressed."""
-    held, size = [], 0
+    held, size = [], 0  # of each: the parts of its rows, and the rows
     for batch in batches:
         ids, hashes = batch.column("id").to_numpy(), batch.column("h").to_numpy()
         for at, _, w in T.word_blocks(batch.column("text"), RULE):
@@ -109,25 +109,26 @@ def send(window: int, gram: int, parts: int, heavy, batches: Iterator[pa.RecordB
                     repeat[i] = own[j] != own[i] or start[j] != start[i]
                     again[i] = not repeat[i] and h[j] == h[i]
             # A repeat within the block needs no look-up: it only carries its place.
-            bucket = np.where(repeat, T.mix(own.astype(_U) + start.astype(_U)), bucket)
+            dealt = T.mix(np.where(repeat, T.mix(own.astype(_U) + start.astype(_U)), bucket))
+            part, turn = (dealt % _U(parts)).astype(np.int32), (dealt >> _U(48)).astype(np.uint16)
             for i in np.flatnonzero(repeat).tolist():
                 packed[i] = None
             own_batch = pa.RecordBatch.from_arrays(
-                [pa.array(bucket), pa.array(own), pa.array(h), pa.array(start.astype(np.int32)), pa.array(n.astype(np.int32)), pa.array(packed, pa.large_binary())],
+                [pa.array(turn), pa.array(own), pa.array(h), pa.array(start.astype(np.int32)), pa.array(n.astype(np.int32)), pa.array(packed, pa.large_binary())],
                 schema=_KMER,
             )
-            held.append(own_batch.filter(pa.array(~again)) if again.any() else own_batch)
+            held.append((part[~again], own_batch.filter(pa.array(~again)) if again.any() else own_batch))
             size += int((end - begin)[~repeat].sum()) + 40 * len(first)
             if size >= SEND_BYTES:
-                yield _blobs(held, parts)
+                yield _blobs(held)
                 held, size = [], 0
     if held:
-        yield _blobs(held, parts)
+        yield _blobs(held)
 
 
-def _blobs(held: list[pa.RecordBatch], parts: int) -> pa.RecordBatch:
-    table = pa.Table.from_batches(held)
-    part = (T.mix(table.column("bucket").to_numpy()) % _U(parts)).astype(np.int64)
+def _blobs(held: list[tuple[np.ndarray, pa.RecordBatch]]) -> pa.RecordBatch:
+    table = pa.Table.from_batches([rows for _, rows in held])
+    part = np.concatenate([own for own, _ in held])
     order = np.argsort(part, kind="stable")
     part = part[order]
     table = table.take(pa.array(order)).combine_chunks()
@@ -138,7 +139,7 @@ def _blobs(held: list[pa.RecordBatch], parts: int) -> pa.RecordBatch:
         with pa.ipc.new_stream(sink, _KMER, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", 3))) as out:
             out.write_table(table.slice(a, b - a))
         blobs.append(sink.getvalue().to_pybytes())
-    return pa.RecordBatch.from_arrays([pa.array(part[first].astype(np.int32)), pa.array(blobs, pa.binary())], names=["part", "blob"])
+    return pa.RecordBatch.from_arrays([pa.array(part[first]), pa.array(blobs, pa.binary())], names=["part", "blob"])
 
 
 def later_windows(window: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -157,8 +158,8 @@ def later_windows(window: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa
     yield pa.RecordBatch.from_arrays([alone.column("id").combine_chunks(), alone.column("h").combine_chunks(), pa.array(start), pa.array(end)], schema=_SPAN)
     table = table.filter(table.column("packed").is_valid())
     slices = max(1, -(-table.nbytes // SORT_BYTES))
-    # Buckets are dealt to slices by their hash; the bits differ from those that dealt to tasks.
-    turn = (T.mix(table.column("bucket").to_numpy() ^ _U(0x5BD1E995)) % _U(slices)).astype(np.int64)
+    # Buckets take turns by other bits of their hash than those that dealt them to tasks.
+    turn = table.column("turn").to_numpy().astype(np.int64) % slices
     order = np.argsort(turn, kind="stable")
     cuts = np.searchsorted(turn[order], np.arange(slices + 1))
     for a, b in zip(cuts[:-1], cuts[1:]):
@@ -171,7 +172,7 @@ def _later(window: int, table: pa.Table) -> pa.RecordBatch:
     order = np.lexsort((start, ids))
     table = table.take(pa.array(order))
     ids, hashes, start = ids[order], hashes[order], start[order]
-    bucket = table.column("bucket").to_numpy()
+    turn = table.column("turn").to_numpy().astype(_U)
     column = table.column("packed").combine_chunks()
     offsets = np.frombuffer(column.buffers()[1], np.int64)[column.offset : column.offset + len(column) + 1]
     data = np.frombuffer(column.buffers()[2], np.uint8)[offsets[0] : offsets[-1]]
@@ -181,7 +182,7 @@ def _later(window: int, table: pa.Table) -> pa.RecordBatch:
     place = np.arange(len(runs)) - w.first[row]
     inside = np.arange(len(runs)) + window <= w.first[row + 1]
     row, place = row[inside], place[inside]
-    name = T.mix(runs[inside] ^ T.mix(bucket[row]))
+    name = T.mix(runs[inside] ^ T.mix(turn[row]))
     by_name = np.argsort(name, kind="stable")
     head = np.append(True, name[by_name][1:] != name[by_name][:-1])
     earliest = by_name[np.flatnonzero(head)[np.cumsum(head) - 1]]
@@ -232,19 +233,19 @@ def cut(text_out: bool, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Record
             yield pa.RecordBatch.from_arrays([columns[c] if c in columns else part.column(c) for c in names], names=names)
 
 
-def without_repeats(docs: DataFrame, scratch: Scratch, window: int = WINDOW, keep: tuple[str, ...] | None = None) -> DataFrame:
+def without_repeats(docs: DataFrame, scratch: Scratch, window: int = WINDOW, keep: bool = False) -> DataFrame:
     """Remove each word covered by a window that also starts earlier.
 
     Earlier means in a document of smaller doc_id, or in the same one at an earlier word; windows
     are judged on the input. Returns ``(doc_id, n_words, n_removed, kept_sha256)`` for each row,
-    or, with ``keep``, the columns named there with ``text`` replaced by the kept words, joined by
-    one blank (as it was where nothing is removed), and ``n_words``, ``n_removed``.
+    or, with ``keep``, the other columns as the struct ``row``, ``text`` with the kept words joined
+    by one blank (as it was where nothing is removed), ``n_words`` and ``n_removed``.
     A null text has no words. Rows with a null doc_id count as one document after all others; rows
     that repeat a doc_id are one document, and equal ones keep the same words. Other columns are
     ignored.
     """
     spark = docs.sparkSession
-    keyed = docs.withColumns({"_id": F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST)), "_h": F.xxhash64("text")})
+    keyed = docs.withColumns({"_id": F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST)), "_h": F.hash("text")})
     slim = keyed.select(F.col("_id").alias("id"), F.col("_h").alias("h"), "text")
     counted = scratch.table(
         slim.select("text").mapInArrow(narrow(count_grams, GRAM), "run long, n long").groupBy("run").agg(F.sum("n").alias("n")), "runs"
@@ -255,12 +256,14 @@ def without_repeats(docs: DataFrame, scratch: Scratch, window: int = WINDOW, kee
     parts = PARTS * int(spark.conf.get("spark.sql.shuffle.partitions"))
     sent = slim.mapInArrow(narrow(send, window, GRAM, parts, spark.sparkContext.broadcast(heavy)), "part int, blob binary")
     spans = scratch.table(sent.repartitionById(parts, F.col("part")).mapInArrow(narrow(later_windows, window), _SPAN_DDL), "spans")
+    del sent
     scratch.release()
     marked = scratch.table(spans.groupBy("id", "h").agg(F.collect_set(F.struct("begin", "end")).alias("spans")), "marked")
-    names = ["doc_id", "text"] if keep is None else list(keep)
-    joined = keyed.select(*names, "_id", "_h").join(marked.toDF("_id", "_h", "spans"), ["_id", "_h"], "left").select(*names, "spans")
+    first = other_columns(docs, "text") if keep else F.col("doc_id")
+    rows = keyed.select(first, "text", "_id", "_h")
+    joined = rows.join(marked.toDF("_id", "_h", "spans"), ["_id", "_h"], "left").select(*rows.columns[:2], "spans")
+    named = f"{rows.columns[0]} {rows.schema[0].dataType.simpleString()}"
     measures = "n_words long, n_removed long"
-    if keep is None:
-        return joined.mapInArrow(narrow(cut, False), f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, {measures}, kept_sha256 string")
-    fields = [f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in names]
-    return joined.mapInArrow(narrow(cut, True), ", ".join([*fields, measures]))
+    if keep:
+        return joined.mapInArrow(narrow(cut, True), f"{named}, text string, {measures}")
+    return joined.mapInArrow(narrow(cut, False), f"{named}, {measures}, kept_sha256 string")
