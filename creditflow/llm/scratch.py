@@ -16,11 +16,19 @@ from pathlib import Path
 import numpy as np
 import pyarrow as pa
 import pyarrow.fs as pafs
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from creditflow.session import checkpoint_root
 
 
+#: The C library's own settings: blocks of a megabyte are mapped and returned, few arenas.
+_WORKER_MEMORY = {
+    "MALLOC_MMAP_THRESHOLD_": str(1 << 20), "MALLOC_TRIM_THRESHOLD_": str(1 << 20), "MALLOC_ARENA_MAX": "2",
+    "ARROW_DEFAULT_MEMORY_POOL": "system",
+}
+
+
 class Scratch:
     """One fresh folder for one run of one operator."""
 
@@ -49,12 +57,20 @@ class Scratch:
 def importable(spark: SparkSession) -> None:
     """Let Python workers import this package from where the driver has it.
 
-    On a cluster whose machines lack that folder, ship the package with ``--py-files``.
+    On a cluster whose machines lack that folder, ship the package with ``--py-files``. Workers
+    also give freed blocks back to the system, since they are kept and serve later stages.
     """
     home, env = str(Path(__file__).parents[2]), spark.sparkContext.environment
     paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
     if home not in paths:
         env["PYTHONPATH"] = os.pathsep.join([*paths, home])
+    for name, value in _WORKER_MEMORY.items():
+        env.setdefault(name, value)
+
+
+def other_columns(df: DataFrame, *but: str) -> Column:
+    """The columns of ``df`` but for some as one struct, so that their names meet no others."""
+    return F.struct(*(F.col(f"`{c}`") for c in df.columns if c not in but)).alias("row")
 
 
 def open_folder(uri: str) -> tuple[pafs.FileSystem, str]:
