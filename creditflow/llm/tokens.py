@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -11,8 +12,8 @@ import regex
 
 from creditflow.llm import text as T
 
-#: Chunks whose ids a worker remembers.
-MEMORY = 400_000
+#: Chunks, and pieces, whose ids a worker remembers.
+MEMORY = 300_000
 #: Bytes of text encoded at once, and characters given to the library at once.
 BLOCK_BYTES, BATCH_CHARS = 2 << 20, 1 << 17
 # Fixed value: how word_bpe_49k.json cuts text into pieces (from the file).
@@ -23,14 +24,23 @@ _SUFFIX, _SPECIAL = "</w>", b"<|"
 _UNUSUAL = regex.compile("<\\||[^!-~\u00a1-\u012f\u0131-\u02ff\u0400-\u0482\u048a-\u052f\u2010-\u2027\u2030-\u203a\u20ac]")
 
 
+def _cut(chunk: str) -> list[str]:
+    """The pieces of a chunk; a word, and a word with one sign behind it, need no pattern."""
+    if chunk.isalpha():
+        return [chunk]
+    if chunk[:-1].isalpha() and not chunk[-1].isalnum():
+        return [chunk[:-1], chunk[-1]]
+    return _PIECES.findall(chunk)
+
+
 class Encoder:
     """Encodes texts by their chunks, for tokenizers that drop white space and mark word ends.
 
     A chunk is a run without white space, and no token reaches across it. A block's chunks are
     found and told apart by their 64-bit hashes, without regard to the case of A-Z, and only
-    those that are not remembered go to the library: usual ones are cut into the tokenizer's own
-    pieces and encoded many at a time, where the mark at a piece's end tells their ids apart;
-    unusual ones go one by one. Tests compare with whole texts.
+    those that are not remembered are encoded: usual ones are cut into the tokenizer's own pieces,
+    of which new ones go to the library many at a time, where the mark at a piece's end tells
+    their ids apart; unusual ones go one by one. Tests compare with whole texts.
     """
 
     def __init__(self, path: str):
@@ -42,6 +52,7 @@ class Encoder:
         self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
         self.ends[[i for token, i in vocabulary.items() if token.endswith(_SUFFIX)]] = True
         self._forget(0)
+        self._keep_pieces(0)
 
     def _forget(self, kept: int) -> None:
         """Keep the chunks met first, among which are the frequent ones."""
@@ -82,9 +93,13 @@ class Encoder:
     def _remember(self, hashes: np.ndarray, ids: np.ndarray, sizes: np.ndarray) -> None:
         if not len(hashes):
             return
+        if len(self.hashes) + len(hashes) > MEMORY:
+            self._forget(min(len(self.hashes), MEMORY // 2))
+        place = np.searchsorted(self.sorted, hashes)
+        self.sorted = np.insert(self.sorted, place, hashes)
+        self.order = np.insert(self.order, place, len(self.hashes) + np.arange(len(hashes)))
         self.bounds = np.append(self.bounds, self.bounds[-1] + np.cumsum(sizes))
         self.pool, self.hashes = np.concatenate([self.pool, ids]), np.concatenate([self.hashes, hashes])
-        self._forget(len(self.hashes) if len(self.hashes) <= MEMORY else MEMORY // 2)
 
     def _new(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of chunks end to end, and how many each has."""
@@ -104,14 +119,14 @@ class Encoder:
     def _batch(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
         text = " ".join(chunks)
         if not _UNUSUAL.search(text.replace(" ", "")):
-            pieces = [_PIECES.findall(c) for c in text.lower().split(" ")]
+            pieces = [_cut(c) for c in text.lower().split(" ")]
             if len(pieces) == len(chunks):
-                (got,) = self.tokenizer.encode_batch_fast([" ".join([p for own in pieces for p in own])], add_special_tokens=False)
-                ids = np.array(got.ids, dtype="<u4")
-                stops = np.flatnonzero(self.ends[ids]) + 1
-                last = np.cumsum([len(own) for own in pieces])
-                if len(stops) == last[-1]:
-                    return ids, np.diff(stops[last - 1], prepend=0)
+                at = self._places([p for own in pieces for p in own])
+                if at is not None:
+                    sizes = np.diff(self.piece_bounds)[at]
+                    reach = np.append(0, np.cumsum(sizes))
+                    ids = self.piece_pool[np.repeat(self.piece_bounds[at] - reach[:-1], sizes) + np.arange(reach[-1])]
+                    return ids, np.diff(reach[np.cumsum([len(own) for own in pieces])], prepend=0)
         elif len(chunks) > 1:
             half = len(chunks) // 2
             both = [self._batch(chunks[:half]), self._batch(chunks[half:])]
@@ -119,6 +134,31 @@ class Encoder:
         each = [x.ids for x in self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False)]
         return np.array([i for own in each for i in own], dtype="<u4"), np.array([len(own) for own in each], dtype=np.int64)
 
+    def _places(self, pieces: list[str]) -> np.ndarray | None:
+        """Where the ids of pieces lie in ``piece_pool``; None if the marks don't tell them apart."""
+        if len(self.pieces) > MEMORY:
+            self._keep_pieces(MEMORY // 2)
+        known = self.pieces
+        new = [p for p in dict.fromkeys(pieces) if p not in known]
+        if new:
+            (got,) = self.tokenizer.encode_batch_fast([" ".join(new)], add_special_tokens=False)
+            ids = np.array(got.ids, dtype="<u4")
+            stops = np.flatnonzero(self.ends[ids]) + 1
+            if len(stops) != len(new):
+                return None
+            known.update(zip(new, range(len(known), len(known) + len(new))))
+            self.piece_bounds = np.append(self.piece_bounds, self.piece_bounds[-1] + stops)
+            self.piece_pool = np.concatenate([self.piece_pool, ids])
+        return np.array([known[p] for p in pieces], dtype=np.int64)
+
+    def _keep_pieces(self, kept: int) -> None:
+        """Keep the pieces met first."""
+        if not kept:
+            self.pieces, self.piece_bounds, self.piece_pool = {}, np.zeros(1, np.int64), np.empty(0, "<u4")
+        else:
+            self.pieces, self.piece_bounds = dict(islice(self.pieces.items(), kept)), self.piece_bounds[: kept + 1]
+            self.piece_pool = self.piece_pool[: self.piece_bounds[-1]]
+
     def ids(self, text: str | None, end: int) -> np.ndarray:
         """The ids of one text."""
         ((_, _, out, _),) = self.encode(pa.array([text], pa.string()), end)
