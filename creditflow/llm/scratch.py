@@ -29,6 +29,10 @@ _WORKER_MEMORY = {
 }
 
 
+#: Rows go to workers in batches of about this size; both sides hold a few copies of one.
+_BATCH, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", "4m"
+
+
 class Scratch:
     """One fresh folder for one run of one operator."""
 
@@ -66,6 +70,8 @@ def importable(spark: SparkSession) -> None:
         env["PYTHONPATH"] = os.pathsep.join([*paths, home])
     for name, value in _WORKER_MEMORY.items():
         env.setdefault(name, value)
+    if spark.conf.get(_BATCH, None) is None:  # not set by the user
+        spark.conf.set(_BATCH, BATCH_BYTES)
 
 
 def other_columns(df: DataFrame, *but: str) -> Column:
