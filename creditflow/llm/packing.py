@@ -37,6 +37,7 @@ def pieces(tokenizer: str, end: int, capacity: int, batches: Iterator[pa.RecordB
                     part = ids[start : min(start + capacity, bounds[i + 1])]
                     out.append((doc_id, k, start - bounds[i], len(part), zlib.crc32(part)))
             yield pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(zip(*out), _PIECE)], schema=_PIECE)
+    encode.close()
 
 
 def _best_pair(sizes: list[int], count: dict[int, int], room: int, over: int) -> tuple[int, int] | None:

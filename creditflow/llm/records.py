@@ -89,6 +89,7 @@ def write_records(folder: str, tokenizer: str, end: int, batches: Iterator[pa.Re
     if data is not None:
         data.close(), index.close()
         done.append((task.partitionId(), len(done), path, records, ids_written, at))
+    encode.close()
     if done:
         yield pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(zip(*done), _MANIFEST)], schema=_MANIFEST)
 

@@ -6,6 +6,8 @@ session may fall back to a folder of its own. Each call takes a fresh folder, so
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import gc
 import os
 import uuid
@@ -119,6 +121,13 @@ def _bounds(table: pa.Table, keys: list[str]) -> np.ndarray:
     return np.flatnonzero(new)
 
 
+def return_memory() -> None:
+    """Give this worker's freed memory back to the system, where the C library can."""
+    gc.collect()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def narrow(function, *args):
     """``function`` with leading arguments bound, for ``mapInArrow``."""
     return partial(function, *args)

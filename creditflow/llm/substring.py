@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from creditflow.llm import text as T
-from creditflow.llm.scratch import Scratch, narrow, other_columns
+from creditflow.llm.scratch import Scratch, narrow, other_columns, return_memory
 
 RULE = "blank"
 WINDOW, GRAM = 20, 5
@@ -144,7 +144,7 @@ def _blobs(held: list[tuple[np.ndarray, pa.RecordBatch]]) -> pa.RecordBatch:
 
 def later_windows(window: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Words covered by windows that also start earlier, from the super-k-mers of whole buckets."""
-    received = []
+    received: list[pa.Table] = []
     for batch in batches:
         for blob in batch.column("blob"):
             received.append(pa.ipc.open_stream(blob.as_buffer()).read_all())
@@ -165,6 +165,8 @@ def later_windows(window: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa
     for a, b in zip(cuts[:-1], cuts[1:]):
         if b > a:
             yield _later(window, table.take(pa.array(order[a:b])).combine_chunks())
+    table = None
+    return_memory()
 
 
 def _later(window: int, table: pa.Table) -> pa.RecordBatch:

@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes of text that are turned into arrays at once; a longer text is a block of its own.
-BLOCK_BYTES = 1 << 20
+BLOCK_BYTES = 1 << 19
 _WORD_BASE, _RUN_BASE = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93
 _U = np.uint64
 

@@ -11,11 +11,12 @@ import pyarrow as pa
 import regex
 
 from creditflow.llm import text as T
+from creditflow.llm.scratch import return_memory
 
 #: Chunks, and pieces, whose ids a worker remembers.
 MEMORY = 300_000
 #: Bytes of text encoded at once, and characters given to the library at once.
-BLOCK_BYTES, BATCH_CHARS = 2 << 20, 1 << 17
+BLOCK_BYTES, BATCH_CHARS = 1 << 20, 1 << 17
 # Fixed value: how word_bpe_49k.json cuts text into pieces (from the file).
 _PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
 _SUFFIX, _SPECIAL = "</w>", b"<|"
@@ -134,6 +135,12 @@ class Encoder:
         each = [x.ids for x in self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False)]
         return np.array([i for own in each for i in own], dtype="<u4"), np.array([len(own) for own in each], dtype=np.int64)
 
+    def close(self) -> None:
+        """Forget everything: workers stay for later stages, which need the memory."""
+        self._forget(0)
+        self._keep_pieces(0)
+        return_memory()
+
     def _places(self, pieces: list[str]) -> np.ndarray | None:
         """Where the ids of pieces lie in ``piece_pool``; None if the marks don't tell them apart."""
         if len(self.pieces) > MEMORY:
