@@ -10,6 +10,7 @@ import contextlib
 import ctypes
 import gc
 import os
+import time
 import uuid
 from collections.abc import Iterator
 from functools import partial
@@ -54,10 +55,12 @@ class Scratch:
         """Let Spark drop shuffle files whose results have been written: no plan needs them.
 
         Spark drops them when the driver's garbage collector finds that nothing refers to them,
-        which may otherwise happen only long after.
+        which may otherwise happen only long after. What one round frees may hold the next.
         """
-        gc.collect()
-        self.spark.sparkContext._jvm.System.gc()
+        for _ in range(2):
+            gc.collect()
+            self.spark.sparkContext._jvm.System.gc()
+            time.sleep(0.5)
 
 
 def importable(spark: SparkSession) -> None:
