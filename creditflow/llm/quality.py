@@ -1,13 +1,15 @@
 """Quality scores from random-indexing word vectors and a small network.
 
-Each word slot has a fixed sparse random index vector; a word's vector is the sum of the index
-vectors of its neighbours, gathered over the training sample. A document is the mean of its words'
-vectors, which a two-layer network turns into a probability, calibrated by a temperature that is
-fitted on a part of the sample that the network hasn't seen.
-
-Words are runs of letters and digits, and runs of other signs. They share ``SLOTS`` slots by their
-hash, so the model has one size whatever the corpus. The sample holds about ``SAMPLE`` labelled
-documents at most, picked by the hash of their ids.
+Each word has a fixed sparse random index vector, drawn from its hash; a word's vector is the sum
+of the index vectors of its neighbours in all documents, labelled or not. A document is the mean
+of its words' vectors, which a two-layer network turns into a probability, calibrated by a
+temperature that is fitted on a part of the sample that the network hasn't seen.
+
+Words are runs of letters and digits, and runs of other signs. All have a vector of their own,
+whole numbers in a table: the ``HEAD`` most frequent at most are broadcast, the others are joined
+with the texts that hold them. Copies of a text are pooled once. Only the network and the
+temperature learn from a sample, of about ``SAMPLE`` labelled documents at most, picked by the
+hash of their ids.
 """
 
 from __future__ import annotations
@@ -21,79 +23,288 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from creditflow.llm import text as T
-from creditflow.llm.scratch import Scratch, narrow
+from creditflow.llm.scratch import Scratch, narrow, return_memory, whole_groups
 
 SAMPLE = 4000
-SLOTS, DIMENSIONS, NONZERO, REACH = 1 << 15, 64, 6, 2
+DIMENSIONS, NONZERO, REACH = 64, 6, 2
+#: Words whose vectors are broadcast, 264 bytes each.
+HEAD = 1 << 17
 HIDDEN = 32
 #: Bytes of text pooled at once; a block holds a vector per word.
 POOL_BYTES = 1 << 19
+#: Words and occurrences that a task sums before it sends them on; sums stay below 2**31.
+HELD_WORDS, HELD_TOKENS = 1 << 16, 1 << 26
 _U = np.uint64
+_TEXT = "h1 long, h2 long"
 
 
 def _both(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Slots of all words and sign runs in their order, and where each text's begin."""
+    """Hashes of all words and sign runs in their order, and where each text's begin."""
     letters = T.words(data, offsets, "letters")
     signs = T.words(data, offsets, "signs")
     starts = np.concatenate([letters.starts, signs.starts])
     order = np.argsort(starts, kind="stable")
-    slots = (np.concatenate([letters.hashes, signs.hashes])[order] % _U(SLOTS)).astype(np.int64)
-    return slots, np.searchsorted(starts[order], offsets)
+    return np.concatenate([letters.hashes, signs.hashes])[order], np.searchsorted(starts[order], offsets)
 
 
-def index_vectors() -> np.ndarray:
-    """A few random signs per slot."""
-    rng = np.random.RandomState(97)
-    out = np.zeros((SLOTS, DIMENSIONS), dtype=np.float32)
-    for _ in range(NONZERO):
-        out[np.arange(SLOTS), rng.randint(0, DIMENSIONS, SLOTS)] += rng.choice([-1.0, 1.0], SLOTS)
+def index_vectors(words: np.ndarray) -> np.ndarray:
+    """A few random signs per word."""
+    out = np.zeros((len(words), DIMENSIONS), dtype=np.int8)
+    n = np.arange(len(words))
+    for k in range(1, NONZERO + 1):
+        drawn = T.mix(words + _U(k * 0x9E3779B97F4A7C15 % (1 << 64)))
+        out[n, (drawn % _U(DIMENSIONS)).astype(np.int64)] += np.where(drawn >> _U(63), 1, -1).astype(np.int8)
     return out
 
 
+def _packed(rows: np.ndarray) -> pa.Array:
+    """The rows of a matrix as binary values."""
+    rows = np.ascontiguousarray(rows)
+    offsets = np.arange(len(rows) + 1, dtype=np.int32) * np.int32(rows.shape[1] * rows.itemsize)
+    return pa.Array.from_buffers(pa.binary(), len(rows), [None, pa.py_buffer(offsets), pa.py_buffer(rows)])
+
+
+def _bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Bytes and offsets of a binary column; null is empty."""
+    if isinstance(column, pa.ChunkedArray):
+        column = column.combine_chunks()
+    column = column.cast(pa.large_binary()).fill_null(b"")
+    if not len(column):
+        return np.empty(0, np.uint8), np.zeros(1, np.int64)
+    _, offsets, data = column.buffers()
+    offsets = np.frombuffer(offsets, np.int64)[column.offset : column.offset + len(column) + 1]
+    return np.frombuffer(data, np.uint8) if data is not None and data.size else np.empty(0, np.uint8), offsets
+
+
+def _floats(column: pa.Array) -> np.ndarray:
+    data, offsets = _bytes(column)
+    return data[offsets[0] : offsets[-1]].view(np.float64).reshape(-1, DIMENSIONS)
+
+
+#: Widths in bits that whole numbers are stored with; a row takes as many planes of DIMENSIONS bits.
+_BITS = np.array([2, 3, 4, 5, 6, 8, 12, 16, 24, 32, 64])
+
+
+def _planes(rows: np.ndarray) -> pa.Array:
+    """Rows of whole numbers, each as the bit planes of its two's complements."""
+    room = np.maximum(rows.max(axis=1, initial=0), -1 - rows.min(axis=1, initial=0))
+    bits = _BITS[np.searchsorted(_BITS, np.frexp(room.astype(np.float64))[1] + 1)]
+    plane = DIMENSIONS // 8
+    offsets = np.append(0, np.cumsum(bits * plane)).astype(np.int32)
+    out = np.empty(offsets[-1], dtype=np.uint8)
+    for k in np.unique(bits).tolist():
+        at = np.flatnonzero(bits == k)
+        own, place = rows[at], offsets[at].astype(np.int64)[:, None] + np.arange(plane)
+        for j in range(k):
+            # Planes beyond the number's own kind repeat its sign.
+            out[place + j * plane] = np.packbits(((own >> min(j, own.itemsize * 8 - 1)) & 1).astype(np.uint8), axis=1)
+    return pa.Array.from_buffers(pa.binary(), len(rows), [None, pa.py_buffer(offsets), pa.py_buffer(out)])
+
+
+def _numbers(column: pa.Array) -> np.ndarray:
+    """The rows that ``_planes`` stored; zeros for null."""
+    data, offsets = _bytes(column)
+    plane = DIMENSIONS // 8
+    bits = np.diff(offsets) // plane
+    out = np.zeros((len(bits), DIMENSIONS), dtype=np.int32 if bits.max(initial=0) <= 32 else np.int64)
+    for k in np.unique(bits[bits > 0]).tolist():
+        at = np.flatnonzero(bits == k)
+        place, own = offsets[at][:, None] + np.arange(plane), np.zeros((len(at), DIMENSIONS), dtype=out.dtype)
+        for j in range(k):
+            part = np.unpackbits(data[place + j * plane], axis=1).astype(out.dtype) << j
+            own += part if j < k - 1 else -part
+        out[at] = own
+    return out
+
+
+def _group_sums(rows: np.ndarray, heads: np.ndarray, kind) -> np.ndarray:
+    """Sums of the runs of rows that begin at ``heads``: short runs rank by rank, long ones each."""
+    many = np.diff(np.append(heads, len(rows)))
+    out = rows[heads].astype(kind)
+    left = np.flatnonzero((many > 1) & (many < 16))
+    for rank in range(1, 15):
+        out[left] += rows[heads[left] + rank]
+        left = left[many[left] > rank + 1]
+    for k in np.flatnonzero(many >= 16).tolist():
+        out[k] = rows[heads[k] : heads[k] + many[k]].sum(axis=0, dtype=kind)
+    return out
+
+
+def _heads(names: np.ndarray) -> np.ndarray:
+    """Where the runs of equal names begin."""
+    return np.flatnonzero(np.append(True, names[1:] != names[:-1])[: len(names)])
+
+
+def _summed(words: np.ndarray, n: np.ndarray, sums: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Counts and vectors added up per word."""
+    order = np.argsort(words, kind="stable")
+    words = words[order]
+    heads = _heads(words)
+    if len(heads) == len(words):
+        return words, n[order], sums[order]
+    return words[heads], np.add.reduceat(n[order], heads), _group_sums(sums[order], heads, sums.dtype)
+
+
+def _rows(words: np.ndarray, n: np.ndarray, sums: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(words.view(np.int64)), pa.array(n), _planes(sums)], names=["word", "n", "sums"])
+
+
+def _neighbours(words: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Count and sum of the neighbours' index vectors for each word of a block."""
+    names, local, n = np.unique(words, return_inverse=True, return_counts=True)
+    # Between texts, and around all, lie REACH places of a last, zero, vector.
+    index = np.vstack([index_vectors(names), np.zeros((1, DIMENSIONS), np.int8)])
+    place = np.arange(len(words)) + REACH * (1 + np.repeat(np.arange(len(first) - 1), np.diff(first)))
+    padded = np.full(len(words) + REACH * len(first), len(names))
+    padded[place] = local
+    order = np.argsort(local, kind="stable")
+    local, place = local[order], place[order]
+    sums = np.zeros((len(names), DIMENSIONS), dtype=np.int32)
+    # A long text is a block of its own and is summed in parts, each with the words beside it.
+    for k in range(REACH, len(padded) - REACH, 1 << 17):
+        to = min(len(padded) - REACH, k + (1 << 17))
+        own = index[padded[k - REACH : to + REACH]]
+        around = np.zeros((to - k, DIMENSIONS), dtype=np.int8)
+        for step in range(1, REACH + 1):
+            around += own[REACH - step : REACH - step + to - k]
+            around += own[REACH + step : REACH + step + to - k]
+        at = np.flatnonzero((place >= k) & (place < to))
+        heads = _heads(local[at])
+        sums[local[at][heads]] += _group_sums(around[place[at] - k], heads, np.int32)
+    return names, n, sums
+
+
 def contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sums of the neighbours' index vectors for each slot in this task."""
-    index = index_vectors()
-    sums = np.zeros((SLOTS, DIMENSIONS), dtype=np.float32)
+    """Counts of, and sums of the neighbours' index vectors for, each word in parts of this task."""
+    held, rows, tokens = [], 0, 0
     for batch in batches:
         for _, _, data, offsets in T.blocks(batch.column("text"), POOL_BYTES):
-            slots, first = _both(data, offsets)
-            doc = np.repeat(np.arange(len(first) - 1), np.diff(first))
-            for step in range(1, REACH + 1):
-                same = np.flatnonzero(doc[step:] == doc[:-step])
-                a, b = slots[same], slots[same + step]
-                for own, other in ((a, b), (b, a)):
-                    order = np.argsort(own, kind="stable")
-                    heads = np.flatnonzero(np.append(True, own[order][1:] != own[order][:-1])) if len(own) else order
-                    if len(heads):
-                        sums[own[order][heads]] += np.add.reduceat(index[other[order]], heads, axis=0)
-    used = np.flatnonzero(np.abs(sums).any(axis=1))
-    yield pa.RecordBatch.from_arrays([pa.array(used), pa.array([sums[k].tobytes() for k in used], pa.binary())], names=["slot", "sums"])
-
-
-def word_vectors(parts: list[tuple[int, bytes]]) -> np.ndarray:
-    """Unit vectors of the slots; a slot without neighbours has its own index vector."""
-    sums = np.zeros((SLOTS, DIMENSIONS), dtype=np.float64)
-    for slot, packed in parts:
-        sums[slot] += np.frombuffer(packed, dtype=np.float32)
-    index = index_vectors().astype(np.float64)
-    sums = np.where(np.abs(sums).sum(axis=1, keepdims=True) > 0, sums, index)
-    return (sums / np.maximum(np.sqrt((sums * sums).sum(axis=1, keepdims=True)), 1e-9)).astype(np.float32)
-
-
-def pooled(column: pa.Array, vectors: np.ndarray) -> Iterator[tuple[int, int, np.ndarray]]:
-    """The mean word vector of each text; zero without words."""
-    for at, to, data, offsets in T.blocks(column, POOL_BYTES):
-        slots, first = _both(data, offsets)
-        out = np.zeros((to - at, vectors.shape[1]), dtype=np.float64)
-        n = np.diff(first)
-        # A long text is a block of its own and is summed in parts.
-        for i in np.flatnonzero(n) if to - at == 1 else ():
-            for k in range(0, len(slots), 1 << 16):
-                out[i] += vectors[slots[k : k + (1 << 16)]].sum(axis=0, dtype=np.float64)
-        if to - at > 1 and len(slots):
-            full = np.flatnonzero(n)
-            out[full] = np.add.reduceat(vectors[slots], first[:-1][full], axis=0)
-        yield at, to, out / np.maximum(n, 1)[:, None]
+            words, first = _both(data, offsets)
+            if not len(words):
+                continue
+            held.append(_neighbours(words, first))
+            rows, tokens = rows + len(held[-1][0]), tokens + len(words)
+            if rows >= 2 * HELD_WORDS or tokens >= HELD_TOKENS:
+                held = [_summed(*(np.concatenate(x) for x in zip(*held)))]
+                rows = len(held[0][0])
+                if rows >= HELD_WORDS or tokens >= HELD_TOKENS:
+                    yield _rows(*held[0])
+                    held, rows, tokens = [], 0, 0
+    if held:
+        yield _rows(*_summed(*(np.concatenate(x) for x in zip(*held))))
+    del held
+    return_memory()
+
+
+def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row per word from rows sorted by word."""
+    for table, _ in whole_groups(batches, ["word"], rows=1 << 14):
+        words, n = (table.column(c).to_numpy() for c in ("word", "n"))
+        words, n, sums = _summed(words, n, _numbers(table.column("sums")).astype(np.int64))
+        yield _rows(words, n, sums)
+
+
+def units(words: np.ndarray, sums: np.ndarray) -> np.ndarray:
+    """Unit vectors of words; a word without neighbours has its own index vector."""
+    sums = sums.astype(np.float64)
+    alone = np.flatnonzero(~np.abs(sums).any(axis=1))
+    sums[alone] = index_vectors(words[alone].view(np.uint64))
+    return sums / np.maximum(np.sqrt((sums * sums).sum(axis=1, keepdims=True)), 1e-9)
+
+
+def look_up(head, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each text's sum over the words of the head, and its other words with their counts."""
+    known, vectors = head.value
+    for batch in batches:
+        for at, to, data, offsets in T.blocks(batch.column("text"), POOL_BYTES):
+            words, first = _both(data, offsets)
+            names, local = np.unique(words, return_inverse=True)
+            place = np.minimum(np.searchsorted(known, names), max(0, len(known) - 1))
+            found = known[place] == names if len(known) else np.zeros(len(names), dtype=bool)
+            # Words outside the head take the last row, which is zero.
+            place = np.where(found, place, len(known))[local]
+            out, n = np.zeros((to - at, DIMENSIONS)), np.diff(first)
+            # Long texts are summed in parts.
+            for i in np.flatnonzero(n):
+                for k in range(first[i], first[i + 1], 1 << 16):
+                    out[i] += vectors[place[k : min(k + (1 << 16), first[i + 1])]].sum(axis=0, dtype=np.float64)
+            rest = np.flatnonzero(place == len(known))
+            doc = np.searchsorted(first, rest, side="right") - 1
+            pairs, many = np.unique(np.stack([doc, local[rest]]), axis=1, return_counts=True) if len(rest) else (np.zeros((2, 0), np.int64), rest)
+            cut = np.searchsorted(pairs[0], np.arange(to - at + 1))
+            tail = np.stack([names[pairs[1]].view(np.int64), many], axis=1)
+            part = batch.slice(at, to - at)
+            yield pa.RecordBatch.from_arrays(
+                [part.column("h1"), part.column("h2"), pa.array(n, pa.int64()), _packed(out), pa.array([tail[a:b].tobytes() for a, b in zip(cut, cut[1:])], pa.binary())],
+                names=["h1", "h2", "n", "x", "tail"],
+            )
+
+
+def tail_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row per text and word outside the head."""
+    for batch in batches:
+        tails = [np.frombuffer(x, np.int64).reshape(-1, 2) for x in batch.column("tail").to_pylist()]
+        many = np.array([len(x) for x in tails], dtype=np.int64)
+        both = np.concatenate([*tails, np.empty((0, 2), np.int64)])
+        keys = [pa.array(np.repeat(batch.column(c).to_numpy(), many)) for c in ("h1", "h2")]
+        for k in range(0, len(both), 1 << 16):
+            part = slice(k, k + (1 << 16))
+            yield pa.RecordBatch.from_arrays([*(x[part] for x in keys), pa.array(both[part, 0]), pa.array(both[part, 1])], names=["h1", "h2", "word", "n"])
+
+
+def pool(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The mean word vector of each text, zero without words, from rows sorted by text and word."""
+    for table, bounds in whole_groups(batches, ["h1", "h2"], rows=1 << 12):
+        n = table.column("n").to_numpy()
+        # The first row of a text is that of its whole, others those of its words outside the head.
+        whole = np.zeros(len(n), dtype=bool)
+        whole[bounds] = True
+        out = np.zeros((len(n), DIMENSIONS))
+        out[whole] = _floats(table.column("x").filter(pa.array(whole)))
+        words = table.column("word").filter(pa.array(~whole)).to_numpy()
+        out[~whole] = units(words, _numbers(table.column("sums").filter(pa.array(~whole)))) * n[~whole, None]
+        x = np.add.reduceat(out, bounds, axis=0) / np.maximum(n[bounds], 1)[:, None]
+        yield pa.RecordBatch.from_arrays([*(table.column(c).combine_chunks().take(pa.array(bounds)) for c in ("h1", "h2")), _packed(x)], names=["h1", "h2", "x"])
+
+
+class WordVectors:
+    """A table of all words with the sums of their neighbours' index vectors."""
+
+    def __init__(self, docs: DataFrame, scratch: Scratch):
+        parts = docs.select("text").mapInArrow(contexts, "word long, n long, sums binary")
+        summed = parts.repartition("word").sortWithinPartitions("word").mapInArrow(add_up, "word long, n long, sums binary")
+        self.words, self.scratch = scratch.table(summed, "words"), scratch
+        # The head's least count, on a fixed scale of counts, so that few rows decide it.
+        level = F.floor(F.log2("n") * 16)
+        self.level, room = 1 << 30, HEAD
+        for row in sorted(self.words.groupBy(level.alias("level")).count().collect(), reverse=True):
+            room -= row["count"]
+            if room < 0:
+                break
+            self.level = row["level"]
+        head = self.words.where(level >= self.level).select("word", "sums").toArrow()
+        names = head.column("word").to_numpy().view(np.uint64)
+        order = np.argsort(names)
+        vectors = units(names, _numbers(head.column("sums"))).astype(np.float32)[order]
+        self.head = docs.sparkSession.sparkContext.broadcast((names[order], np.vstack([vectors, np.zeros((1, DIMENSIONS), np.float32)])))
+        self.tail = self.words.where(level < self.level).select("word", "sums")
+
+    def pooled(self, docs: DataFrame) -> DataFrame:
+        """``(h1, h2, x)``: the mean word vector of each distinct text, by its hashes."""
+        seen = docs.select(*text_key("text"), "text").mapInArrow(narrow(look_up, self.head), f"{_TEXT}, n long, x binary, tail binary")
+        seen = seen.groupBy("h1", "h2").agg(*(F.first(c).alias(c) for c in ("n", "x", "tail")))
+        seen = self.scratch.table(seen, "seen")
+        rest = seen.select("h1", "h2", "tail").where(F.length("tail") > 0).mapInArrow(tail_rows, f"{_TEXT}, word long, n long")
+        rest = rest.join(self.tail, "word", "left").select("h1", "h2", F.lit(1).alias("part"), "word", "n", F.lit(None).cast("binary").alias("x"), "sums")
+        whole = seen.select("h1", "h2", F.lit(0).alias("part"), F.lit(0).cast("long").alias("word"), "n", "x", F.lit(None).cast("binary").alias("sums"))
+        met = whole.union(rest).repartition("h1", "h2").sortWithinPartitions("h1", "h2", "part", "word")
+        return met.mapInArrow(pool, f"{_TEXT}, x binary")
+
+
+def text_key(text: str) -> list[F.Column]:
+    """Two hashes that name a text; null is as empty."""
+    text = F.coalesce(F.col(text), F.lit(""))
+    return [F.xxhash64(text).alias("h1"), F.xxhash64(F.lit(1), text).alias("h2")]
 
 
 @dataclass
@@ -149,29 +360,15 @@ def train(x: np.ndarray, y: np.ndarray, rounds: int = 400, rate: float = 0.01, d
     return net
 
 
-def pool_rows(vectors, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for at, to, x in pooled(batch.column("text"), vectors.value):
-            part = batch.slice(at, to - at)
-            yield pa.RecordBatch.from_arrays(
-                [part.column("doc_id"), part.column("label"), pa.array([row.tobytes() for row in x], pa.binary())], names=["doc_id", "label", "x"]
-            )
-
-
-def score_rows(model, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Replace the scratch copy of the text by its score."""
-    vectors, net = model.value
+def score_rows(net, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The score of each text in place of its vector."""
     for batch in batches:
-        scores = np.zeros(batch.num_rows)
-        for at, to, x in pooled(batch.column("_text"), vectors):
-            scores[at:to] = net.probabilities(x)
-        names = [c for c in batch.schema.names if c != "_text"]
-        yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), pa.array(scores)], names=[*names, "_score"])
+        scores = net.value.probabilities(_floats(batch.column("x")))
+        yield pa.RecordBatch.from_arrays([batch.column("h1"), batch.column("h2"), pa.array(scores)], names=["h1", "h2", "_score"])
 
 
 def fit(docs: DataFrame, labels: DataFrame, scratch: Scratch, label: str = "quality"):
-    """Word vectors and network, learnt from documents with a label (0 or 1)."""
-    spark = docs.sparkSession
+    """Word vectors, learnt from all documents, and a network, learnt from those with a label (0 or 1)."""
     known = labels.where(F.col("doc_id").isNotNull() & F.col(label).isNotNull()).select(
         F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("double").alias("label")
     )
@@ -180,14 +377,11 @@ def fit(docs: DataFrame, labels: DataFrame, scratch: Scratch, label: str = "qual
     picked = picked.groupBy("doc_id").agg(F.max("label").alias("label"))
     # The sample's ids are few by their number's bound.
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(picked), "doc_id")
-    sample = scratch.table(texts, "sample").repartition(4)
-    parts = [(r["slot"], bytes(r["sums"])) for r in sample.select("text").mapInArrow(contexts, "slot long, sums binary").collect()]
-    vectors = word_vectors(parts)
-    shared = spark.sparkContext.broadcast(vectors)
-    rows = sample.mapInArrow(narrow(pool_rows, shared), "doc_id long, label double, x binary").toArrow()
-    rows = rows.sort_by([("doc_id", "ascending"), ("x", "ascending")])
-    x = np.frombuffer(b"".join(rows.column("x").to_pylist()), dtype=np.float64).reshape(rows.num_rows, DIMENSIONS)
-    return vectors, train(x, rows.column("label").to_numpy())
+    sample = scratch.table(texts, "sample")
+    vectors = WordVectors(docs, scratch)
+    rows = sample.select("doc_id", "label", *text_key("text")).join(vectors.pooled(sample), ["h1", "h2"])
+    rows = rows.select("doc_id", "h1", "h2", "label", "x").toArrow().sort_by([(c, "ascending") for c in ("doc_id", "h1", "h2")])
+    return vectors, train(_floats(rows.column("x")), rows.column("label").to_numpy())
 
 
 def scored(docs: DataFrame, model, keep: list[str]) -> DataFrame:
@@ -196,7 +390,10 @@ def scored(docs: DataFrame, model, keep: list[str]) -> DataFrame:
     A null, empty or wordless text has the score of the zero vector. Without any labelled
     document every score is near one half.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-    source = docs.select(*keep, F.col("text").alias("_text"))
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*keep).schema)
-    return source.mapInArrow(narrow(score_rows, shared), f"{fields}, _score double")
+    vectors, net = model
+    net = docs.sparkSession.sparkContext.broadcast(net)
+    scores = vectors.pooled(docs).mapInArrow(narrow(score_rows, net), f"{_TEXT}, _score double")
+    scores = vectors.scratch.table(scores, "scores").toDF("_h1", "_h2", "_score")
+    h1, h2 = text_key("text")
+    source = docs.select(*keep, h1.alias("_h1"), h2.alias("_h2"))
+    return source.join(scores, ["_h1", "_h2"]).select(*keep, "_score")

@@ -80,6 +80,54 @@ def test_quality_of_hard_rows(spark, documents):
     assert quality.scored(documents([]), model, ["doc_id"]).count() == 0
 
 
+def companions(documents):
+    """Labelled documents of a few words, unlabelled ones that set other words beside them, and documents of those alone."""
+    rng = np.random.RandomState(2)
+    words = lambda *kinds: " ".join(f"{rng.choice(kinds)}{rng.randint(12)}" for _ in range(30))
+    rows = [(k, words("gw" if k % 2 else "bw")) for k in range(60)]
+    rows += [(k, words(*(("gw", "xw") if k % 2 else ("bw", "yw")))) for k in range(100, 400)]
+    rows += [(k, words("xw" if k % 2 else "yw")) for k in range(500, 540)]
+    return documents(rows), [(k, k % 2) for k in range(60)]
+
+
+def test_word_vectors_come_from_all_documents(spark, documents):
+    docs, labels = companions(documents)
+    model = quality.fit(docs, spark.createDataFrame(labels, "doc_id long, quality int"), fresh(spark))
+    got = {r["doc_id"]: r["_score"] for r in quality.scored(docs, model, ["doc_id"]).collect()}
+    assert [k for k in range(500, 540) if (got[k] >= 0.5) != k % 2] == []
+
+
+def test_joined_words_count_like_broadcast_ones(spark, documents, monkeypatch):
+    docs = companions(documents)[0].unionByName(documents(hard_rows()))
+    found = []
+    for head in (quality.HEAD, 10, 0):
+        monkeypatch.setattr(quality, "HEAD", head)
+        vectors = quality.WordVectors(docs, fresh(spark))
+        assert len(vectors.head.value[0]) <= head and vectors.tail.count() == vectors.words.count() - len(vectors.head.value[0])
+        found.append({(r["h1"], r["h2"]): np.frombuffer(r["x"]) for r in vectors.pooled(docs).collect()})
+    for other in found[1:]:
+        assert other.keys() == found[0].keys()
+        assert all(np.allclose(other[k], found[0][k], atol=1e-5) for k in other)
+
+
+def test_word_sums_are_exact():
+    """Against a plain restatement, in one text and several, and through their stored form."""
+    rng = np.random.RandomState(4)
+    words, first = rng.randint(0, 50, 300).astype(np.uint64), np.array([0, 0, 1, 3, 200, 300])
+    want = {w: np.zeros(quality.DIMENSIONS, np.int64) for w in set(words.tolist())}
+    for a, b in zip(first, first[1:]):
+        for i in range(a, b):
+            for j in range(max(a, i - quality.REACH), min(b, i + quality.REACH + 1)):
+                if i != j:
+                    want[int(words[i])] += quality.index_vectors(words[j : j + 1])[0]
+    names, n, sums = quality._neighbours(words, first)
+    assert n.sum() == 300 and all((want[w] == own).all() for w, own in zip(names.tolist(), sums))
+    for scale in (0, 1, -1, 300, 10**6, 10**12):
+        assert (quality._numbers(quality._planes(sums.astype(np.int64) * scale)) == sums.astype(np.int64) * scale).all()
+    edge = np.array([[-2, 1], [-4, 3], [-(2**31), 2**31 - 1], [0, 0], [-129, 127]]).repeat(32, axis=1)
+    assert (quality._numbers(quality._planes(edge)) == edge).all()
+
+
 def test_temperature_calibrates():
     """Noisy labels: the mean probability follows the frequency."""
     rng = np.random.RandomState(1)
