@@ -5,7 +5,8 @@ vector's cell in the product grid. A query visits cells in the multi-sequence or
 distance, here the squared distance that its two halves would have to move to enter the cell, and
 stops where cells hold neighbours no more often than the target recall allows; the stop is fitted
 on neighbours at the threshold angle around sampled vectors. All members of visited cells are
-then checked in double precision.
+then checked in double precision. Vectors of each length have codebooks, cells and a stop of their
+own; cell numbers of all lengths lie in one sequence, so that one pass serves them all.
 
 Equal vectors are one class, found by aggregation. A busy cell is cut into blocks, and tasks
 compare blocks of queries with blocks of members; they return counts and, in place of pairs, the
@@ -19,6 +20,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -66,6 +68,15 @@ class MultiIndex:
 
     codes: tuple[np.ndarray, np.ndarray]
     reach: float = 0.0
+    base: int = 0  # the number of the first cell
+
+    @classmethod
+    def one_cell(cls, width: int) -> MultiIndex:
+        width = max(width, 2)
+        return cls((np.zeros((1, width // 2)), np.zeros((1, width - width // 2))))
+
+    def __len__(self) -> int:
+        return len(self.codes[0]) * len(self.codes[1])
 
     def moves(self, x: np.ndarray) -> tuple[list[np.ndarray], list[np.ndarray]]:
         """Nearest code of each half, and the squared move that each code would take at least."""
@@ -83,7 +94,7 @@ class MultiIndex:
 
     def cells(self, x: np.ndarray) -> np.ndarray:
         (i, j), _ = self.moves(x)
-        return i * len(self.codes[1]) + j
+        return self.base + i * len(self.codes[1]) + j
 
     def visits(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Row and cell of every visit.
@@ -100,12 +111,12 @@ class MultiIndex:
         rows = np.repeat(np.arange(len(row_a)), run)
         nth = np.arange(len(rows)) - np.repeat(np.cumsum(run) - run, run)
         at = row_a[rows]
-        return at, code_a[rows] * len(self.codes[1]) + order[at, nth]
+        return at, self.base + code_a[rows] * len(self.codes[1]) + order[at, nth]
 
     def visits_cell(self, x: np.ndarray, cells: np.ndarray) -> np.ndarray:
         """Whether each row of ``x`` visits the cell beside it."""
         _, (first, second) = self.moves(x)
-        n = np.arange(len(x))
+        n, cells = np.arange(len(x)), cells - self.base
         i, j = cells // len(self.codes[1]), cells % len(self.codes[1])
         # The same comparison as in visits(), so that both always agree.
         return (first[n, i] <= self.reach) & (second[n, j] <= self.reach - first[n, i])
@@ -133,36 +144,48 @@ def fit(sample: np.ndarray, total: int, threshold: float, recall: float = TARGET
     return index
 
 
-def place(index, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _by_length(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """Each length of the vectors of a list column, with the rows that have it and their unit vectors."""
+    lengths = pc.list_value_length(column).to_numpy(zero_copy_only=False)
+    for d in np.unique(lengths).tolist():
+        at = np.flatnonzero(lengths == d)
+        yield d, at, _units(column if len(at) == len(column) else column.take(pa.array(at)))
+
+
+def place(indexes, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The cell of each vector."""
     for batch in batches:
         if batch.num_rows:
-            cells = index.value.cells(_units(batch.column("embedding")))
+            cells = np.empty(batch.num_rows, dtype=np.int64)
+            for d, at, x in _by_length(batch.column("embedding")):
+                cells[at] = indexes.value[d].cells(x)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(cells, pa.int64())], names=[*batch.schema.names, "cell"])
 
 
-def spread(index, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def spread(indexes, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A row per visit of each vector: the vector with the cell it visits."""
     for batch in batches:
         for at in range(0, batch.num_rows, 512):
             part = batch.slice(at, 512)
-            rows, cells = index.value.visits(_units(part.column("embedding")))
-            part = part.take(pa.array(rows))
-            yield pa.RecordBatch.from_arrays([*part.columns, pa.array(cells, pa.int64())], names=[*part.schema.names, "to"])
+            for d, own, x in _by_length(part.column("embedding")):
+                rows, cells = indexes.value[d].visits(x)
+                out = part.take(pa.array(own[rows]))
+                yield pa.RecordBatch.from_arrays([*out.columns, pa.array(cells, pa.int64())], names=[*out.schema.names, "to"])
 
 
-def compare(index, threshold: float, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def compare(indexes, threshold: float, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Link counts of, and spanning links between, the vectors of each pair of blocks."""
-    index = index.value
     for table, bounds in whole_groups(batches, ["to", "qb", "xb"]):
         ids, query, cell = (table.column(c).to_numpy(zero_copy_only=False) for c in ("rep", "query", "cell"))
         weight = table.column("n").to_numpy()
-        units = _units(table.column("embedding"))
+        lengths = pc.list_value_length(table.column("embedding")).to_numpy()
         for s, e in zip(bounds, [*bounds[1:], len(ids)]):
+            # A cell belongs to one length.
+            index, units = indexes.value[lengths[s]], _units(table.column("embedding").slice(s, e - s))
             q, x = s + np.flatnonzero(query[s:e]), s + np.flatnonzero(~query[s:e])
             found = []
             for k in range(0, len(q), BLOCK):
-                i, j = np.nonzero(units[q[k : k + BLOCK]] @ units[x].T >= threshold)
+                i, j = np.nonzero(units[q[k : k + BLOCK] - s] @ units[x - s].T >= threshold)
                 found.append((q[k : k + BLOCK][i], x[j]))
             if not found:
                 continue
@@ -174,7 +197,7 @@ def compare(index, threshold: float, batches: Iterator[pa.RecordBatch]) -> Itera
             # Where the member doesn't visit the query's cell in turn, it learns of the link here.
             silent = np.empty(len(a), dtype=bool)
             for k in range(0, len(a), 4096):
-                silent[k : k + 4096] = ~index.visits_cell(units[b[k : k + 4096]], cell[a[k : k + 4096]])
+                silent[k : k + 4096] = ~index.visits_cell(units[b[k : k + 4096] - s], cell[a[k : k + 4096]])
             gained = np.bincount(a - s, weight[b], e - s) + np.bincount(b[silent] - s, weight[a[silent]], e - s)
             names, local = np.unique(ids[s:e], return_inverse=True)
             root = _roots(len(names), local[a - s], local[b - s])
@@ -197,38 +220,43 @@ def _roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         root = new
 
 
+def _fitted(classes: DataFrame, total: int, threshold: float) -> MultiIndex:
+    """The index of vectors of one length, fitted on a sample of them."""
+    share = min(1.0, SAMPLE / total)
+    sample = classes.where(F.pmod(F.xxhash64("rep"), F.lit(1 << 30)) < int(share * (1 << 30))).select("rep", "embedding").toArrow()
+    if not sample.num_rows:
+        sample = classes.select("rep", "embedding").limit(1).toArrow()
+    return fit(_units(sample.sort_by("rep").column("embedding")), total, threshold)
+
+
 def near_duplicates(vectors: DataFrame, scratch: Scratch, threshold: float = 0.95) -> DataFrame:
     """``(vec_id, n_links, component_id, kept)`` for each row of ``vectors``.
 
     Vectors link if their cosine is at least ``threshold``. ``n_links`` counts the other vectors
     linked directly, ``component_id`` is the smallest vec_id reachable. Null, empty and zero
     vectors and those with null or non-finite components link with nothing, as do rows without
-    vec_id, which are kept with a null component, and vectors whose length is not the most
-    frequent one. Rows that repeat id and vector are one vector. Other columns are ignored.
+    vec_id, which are kept with a null component. Vectors link with those of their own length only. Rows that repeat id and vector are one vector. Other columns are ignored.
     """
     rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding"))
     finite = F.forall("embedding", lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf")))
     sound = F.col("vec_id").isNotNull() & finite & F.exists("embedding", lambda v: v != 0)
     sound = rows.where(F.coalesce(sound, F.lit(False)))
-    lengths = sound.groupBy(F.size("embedding").alias("d")).count().orderBy(F.desc("count"), "d").first()
-    width = lengths["d"] if lengths else 0
-    usable = sound.where(F.size("embedding") == width)
     classes = scratch.table(
-        usable.distinct().groupBy("embedding").agg(F.min("vec_id").alias("rep"), F.count("*").alias("n")), "classes"
+        sound.distinct().groupBy("embedding").agg(F.min("vec_id").alias("rep"), F.count("*").alias("n")), "classes"
     )
-    total = classes.count()
+    totals = sorted(tuple(r) for r in classes.groupBy(F.size("embedding")).count().collect())
     reached = None
-    if total and width:
-        share = min(1.0, SAMPLE / total)
-        sample = classes.where(F.pmod(F.xxhash64("rep"), F.lit(1 << 30)) < int(share * (1 << 30))).select("rep", "embedding").toArrow()
-        if not sample.num_rows:
-            sample = classes.select("rep", "embedding").limit(1).toArrow()
-        index = fit(_units(sample.sort_by("rep").column("embedding")), total, threshold)
-        index = vectors.sparkSession.sparkContext.broadcast(index)
+    if totals:
+        indexes, base = {}, 0
+        for d, total in totals:
+            # So few vectors are one cell.
+            indexes[d] = _fitted(classes.where(F.size("embedding") == d), total, threshold) if total > PER_CELL else MultiIndex.one_cell(d)
+            indexes[d].base, base = base, base + len(indexes[d])
+        index = vectors.sparkSession.sparkContext.broadcast(indexes)
         kind = classes.schema["embedding"].dataType.simpleString()
         placed = scratch.table(classes.mapInArrow(narrow(place, index), f"embedding {kind}, rep long, n long, cell long"), "placed")
         visits = placed.mapInArrow(narrow(spread, index), f"embedding {kind}, rep long, n long, cell long, to long")
-        visits = scratch.table(visits.select("rep", "to"), "visits")
+        visits = scratch.table(visits.select("rep", "cell", "to"), "visits")
         # Blocks per cell, of members and of queries.
         members = placed.groupBy("cell").agg(F.count("*").alias("xs"))
         queries = visits.groupBy("to").agg(F.count("*").alias("qs"))
@@ -239,7 +267,7 @@ def near_duplicates(vectors: DataFrame, scratch: Scratch, threshold: float = 0.9
         numbers = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
         asking = (
             visits.join(blocks, "to")
-            .join(placed, "rep")
+            .join(placed, ["rep", "cell"])
             .select("embedding", "rep", "n", "cell", "to", F.lit(True).alias("query"), F.pmod(F.xxhash64("rep"), "qblocks").alias("qb"), numbers("xblocks").alias("xb"))
         )
         held = placed.join(blocks, F.col("cell") == F.col("to")).select(
@@ -259,7 +287,7 @@ def near_duplicates(vectors: DataFrame, scratch: Scratch, threshold: float = 0.9
         own.select("embedding", (F.col("n") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), F.coalesce("component", "id").alias("component_id")),
         "own",
     )
-    # Rows that can link are those that were usable; others go on without a partner.
+    # Rows that can link are those that were sound; others go on without a partner.
     marked = rows.withColumn("key", F.when(F.coalesce(F.col("vec_id").isNotNull(), F.lit(False)), F.col("embedding")))
     return (
         marked.join(own.withColumnRenamed("embedding", "key"), "key", "left")

@@ -208,6 +208,30 @@ def test_recall_of_the_index(spark, data):
     assert sum(n for n, _ in got.values()) >= 0.98 * total
 
 
+def test_vectors_of_several_lengths(spark):
+    """Each length has links of its own, in many cells and in one."""
+    rng = np.random.RandomState(6)
+    rows = []
+    for width, n in ((16, 900), (12, 600), (3, 40), (1, 3)):
+        base = rng.standard_normal((n, width))
+        near = base[: n // 2] + rng.standard_normal((n // 2, width)) * 0.05
+        rows += [(width, v) for v in np.vstack([base, near, base[:5]]).astype(np.float32).tolist()]
+    rows = [(i, v) for i, (_, v) in enumerate(rows)]
+    # An id in two lengths is a vector of each.
+    twice = (0, rows[-1][1])
+    want = {}
+    for width in (16, 12, 3, 1):
+        want |= brute.vector_links([r for r in rows if len(r[1]) == width], 0.95)
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in vectors.near_duplicates(df, fresh(spark)).collect()}
+    for width in (16, 12, 3, 1):
+        ids = [i for i, v in rows if len(v) == width]
+        total = sum(want[i][0] for i in ids)
+        assert total > 0 and 0.98 * total <= sum(got[i][0] for i in ids) <= total
+    again = vectors.near_duplicates(spark.createDataFrame([*rows, twice], df.schema), fresh(spark))
+    assert again.count() == len(rows) + 1
+
+
 def check_packing(got, rows, tokenizer, capacity):
     assert order((r["doc_id"], r["piece"], r["start"], r["length"], r["ids_crc32"]) for r in got) == order(brute.pieces(tokenizer, rows, capacity))
     bins = {}
