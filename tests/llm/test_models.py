@@ -183,6 +183,18 @@ def test_hosts_are_split_by_the_likeliest_words():
     assert split("zzfreeqq") == ["?", "free", "?"]
 
 
+def test_rare_words_split_names(spark, monkeypatch):
+    """Words far below one in 100,000 split names and speak for verdicts, broadcast or joined."""
+    rows = [(k, f"http://site{k}.{'com/de' if k % 2 else 'org'}/{'quokkastore' if k % 2 else 'wombatclub'}/", "<p>" + "the " * 20_000) for k in range(20)]
+    rows += [(100, "http://x.net/", "quokka wombat store club garden")]
+    rows += [(101, "http://quokkagarden.net/", ""), (102, "http://a.net/quokkagarden", ""), (103, "http://a.net/gardenwombat", "")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    for head in (urls.HEAD, 0):
+        monkeypatch.setattr(urls, "HEAD", head)
+        got = {r["page_id"]: r["verdict"] for r in urls.judged(pages, fresh(spark), URL_RULES).collect()}
+        assert len(got) == len(rows) and (got[102], got[103]) == ("block", "allow")
+
+
 def test_url_query(spark, data):
     truth = {r["page_id"]: r["url"] for r in table(spark, data, "pages").collect()}
     got = registered()["op4_url_filter"](spark, data).collect()
