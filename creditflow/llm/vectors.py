@@ -3,8 +3,9 @@
 Unit vectors are cut in two halves, each with its own codebook; the pair of nearest codes is a
 vector's cell in the product grid. A query visits cells in the multi-sequence order of their
 distance, here the squared distance that its two halves would have to move to enter the cell, and
-stops where cells hold neighbours no more often than the target recall allows; the stop is fitted
-on neighbours at the threshold angle around sampled vectors. All members of visited cells are
+stops where cells hold neighbours no more often than the target recall allows; the stop is the
+larger of two: one is fitted on made-up neighbours at the threshold angle around sampled vectors,
+the other on the real neighbours that some sampled vectors have among all rows. All members of visited cells are
 then checked in double precision. Vectors of each length have codebooks, cells and a stop of their
 own; cell numbers of all lengths lie in one sequence, so that one pass serves them all.
 
@@ -32,6 +33,8 @@ SAMPLE, MOST_CODES = 8192, 256
 #: Vectors per cell on average, until the codebooks have their full size.
 PER_CELL = 128
 TARGET_RECALL = 0.999
+#: Sampled vectors whose real neighbours are searched, and steps of their distances' scale in a doubling.
+SEARCHED, STEPS = 512, 64
 #: Members or queries of a cell in one block.
 BLOCK = 1024
 
@@ -220,13 +223,41 @@ def _roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         root = new
 
 
+def real_neighbours(searched, threshold: float, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """How many real neighbours of the searched vectors lie in cells at each distance, on a scale rounded up."""
+    index, ids, units = searched.value
+    _, (first, second) = index.moves(units)
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        x, reps = _units(batch.column("embedding")), batch.column("rep").to_numpy()
+        (i, j), _ = index.moves(x)
+        q, at = np.nonzero(units @ x.T >= threshold)
+        other = ids[q] != reps[at]
+        q, at = q[other], at[other]
+        far = first[q, i[at]] + second[q, j[at]]
+        levels, n = np.unique(np.ceil(np.log2(np.maximum(far, 1e-12)) * STEPS).astype(np.int64), return_counts=True)
+        yield pa.RecordBatch.from_arrays([pa.array(levels), pa.array(n)], names=["level", "n"])
+
+
 def _fitted(classes: DataFrame, total: int, threshold: float) -> MultiIndex:
     """The index of vectors of one length, fitted on a sample of them."""
     share = min(1.0, SAMPLE / total)
     sample = classes.where(F.pmod(F.xxhash64("rep"), F.lit(1 << 30)) < int(share * (1 << 30))).select("rep", "embedding").toArrow()
     if not sample.num_rows:
         sample = classes.select("rep", "embedding").limit(1).toArrow()
-    return fit(_units(sample.sort_by("rep").column("embedding")), total, threshold)
+    sample = sample.sort_by("rep")
+    units = _units(sample.column("embedding"))
+    index = fit(units, total, threshold)
+    some = np.random.RandomState(13).permutation(len(units))[:SEARCHED]
+    searched = classes.sparkSession.sparkContext.broadcast((index, sample.column("rep").to_numpy()[some], units[some]))
+    found = classes.select("rep", "embedding").mapInArrow(narrow(real_neighbours, searched, threshold), "level long, n long")
+    found = sorted(tuple(r) for r in found.groupBy("level").agg(F.sum("n")).collect())
+    if found:
+        levels, n = np.array(found).T
+        enough = np.searchsorted(np.cumsum(n), TARGET_RECALL * n.sum())
+        index.reach = max(index.reach, float(2.0 ** (levels[min(enough, len(levels) - 1)] / STEPS)) + 1e-12)
+    return index
 
 
 def near_duplicates(vectors: DataFrame, scratch: Scratch, threshold: float = 0.95) -> DataFrame:

@@ -232,6 +232,19 @@ def test_vectors_of_several_lengths(spark):
     assert again.count() == len(rows) + 1
 
 
+def test_recall_of_vectors_of_few_dimensions(spark, monkeypatch):
+    """Vectors in a space of three dimensions, with many codes, against all pairs."""
+    monkeypatch.setattr(vectors, "PER_CELL", 1)
+    rng = np.random.RandomState(8)
+    x = (rng.standard_normal((3000, 3)) @ rng.standard_normal((3, 64))).astype(np.float32)
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(x.tolist())], "vec_id long, embedding array<float>")
+    got = sum(r["n_links"] for r in vectors.near_duplicates(df, fresh(spark)).collect())
+    x = x / np.sqrt((x.astype(np.float64) ** 2).sum(axis=1, keepdims=True))
+    want = (x @ x.T >= 0.95).sum() - len(x)
+    print("recall", got / want)
+    assert 0.998 * want <= got <= want
+
+
 def check_packing(got, rows, tokenizer, capacity):
     assert order((r["doc_id"], r["piece"], r["start"], r["length"], r["ids_crc32"]) for r in got) == order(brute.pieces(tokenizer, rows, capacity))
     bins = {}
