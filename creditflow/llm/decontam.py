@@ -205,15 +205,18 @@ def _measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(c) for c in kept] + list(columns.values()), names=kept + list(columns))
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, scratch: Scratch, window: int = WINDOW, keep: bool = False) -> DataFrame:
+def contaminated(docs: DataFrame, benchmark: DataFrame, scratch: Scratch, window: int = WINDOW, keep: bool = False, unnamed: bool = False) -> DataFrame:
     """``(doc_id, n_words, n_hit, n_items, items_sha256, contaminated)`` for each row of ``docs``.
 
     A null or wordless text has no words and is clean, as is everything if the benchmark holds no
-    words. Item ids are text; items without an id are left out, and rows that repeat an item_id
-    are one item. Rows of ``docs`` are judged one by one, whatever their ids. With ``keep`` all
+    words. Item ids are text, and rows that repeat an item_id are one item. Items without an id
+    are left out; with ``unnamed`` their passages count for n_hit and contaminated, and only the
+    missing id stays out of n_items and items_sha256. Rows of ``docs`` are judged one by one, whatever their ids. With ``keep`` all
     columns of ``docs`` come along as the struct ``row``; otherwise others are ignored.
     """
-    items = benchmark.where("item_id is not null").select(F.col("item_id").cast("string").alias("item"), "text")
+    items = benchmark if unnamed else benchmark.where("item_id is not null")
+    # The set of a window's items leaves nulls out; a window of unnamed items alone has none.
+    items = items.select(F.col("item_id").cast("string").alias("item"), "text")
     windows = scratch.table(items.mapInArrow(narrow(item_windows, window), _WINDOW_DDL).groupBy("words").agg(F.collect_set("item").alias("items")), "windows")
     n_blocks = max(1, -(-windows.count() // BLOCK_WINDOWS))
     columns = ["doc_id", "text", other_columns(docs, "text")] if keep else ["doc_id", "text"]

@@ -58,7 +58,7 @@ def op5_token_records(spark: SparkSession, folder: str) -> DataFrame:
 
 def op6_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     docs, items = table(spark, folder, "documents"), table(spark, folder, "benchmark")
-    return decontam.contaminated(docs, items, Scratch(spark, "op6"))
+    return decontam.contaminated(docs, items, Scratch(spark, "op6"), unnamed=True)
 
 
 def op7_multi_index(spark: SparkSession, folder: str) -> DataFrame:

@@ -52,7 +52,7 @@ def without_repeats(spark: SparkSession, docs: DataFrame, folder: str) -> DataFr
 def decontaminated(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Documents that hold no passage of a benchmark item."""
     scratch = Scratch(spark, "decontam")
-    out = decontam.contaminated(docs, table(spark, folder, "benchmark"), scratch, keep=True).where("not contaminated")
+    out = decontam.contaminated(docs, table(spark, folder, "benchmark"), scratch, keep=True, unnamed=True).where("not contaminated")
     return out.select(*((F.col("text") if c == "text" else F.col(f"row.`{c}`")).alias(c) for c in docs.columns))
 
 

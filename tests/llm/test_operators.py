@@ -9,7 +9,7 @@ import pytest
 
 import brute
 from conftest_llm import BENCHMARK, fresh, hard_rows
-from creditflow.llm import decontam, neardup, packing, records, substring, vectors, warc
+from creditflow.llm import decontam, neardup, packing, records, stages, substring, vectors, warc
 from creditflow.llm.queries import registered, tokenizer_path
 from creditflow.sources.tables import table
 
@@ -108,6 +108,17 @@ def test_decontamination_of_hard_rows(spark, documents):
     assert order(tuple(r) for r in got) == order(brute.contaminated(docs, items))
 
 
+def test_passages_of_unnamed_items(spark, documents, tmp_path):
+    passage = " ".join(f"w{k}" for k in range(12))
+    docs = documents([(1, "x " + passage), (2, "a b named item"), (3, "clean")], clash=False)
+    bench = spark.createDataFrame([(None, passage), (None, "named item"), (7, "named item")], BENCHMARK)
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    bench.write.parquet(f"{tmp_path}/benchmark.parquet")
+    got = {r["doc_id"]: (r["n_hit"], r["n_items"], r["contaminated"]) for r in registered()["op6_decontamination"](spark, str(tmp_path)).collect()}
+    assert got == {1: (12, 0, True), 2: (2, 1, True), 3: (0, 0, False)}
+    assert [r["doc_id"] for r in stages.decontaminated(spark, docs, str(tmp_path)).collect()] == [3]
+
+
 def test_decontamination_in_blocks(spark, documents, data, monkeypatch):
     monkeypatch.setattr(decontam, "BLOCK_WINDOWS", 200)
     docs, items = pairs(spark, data, "documents", "doc_id", "text"), pairs(spark, data, "benchmark", "item_id", "text")
