@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from creditflow.llm import decontam, langid, neardup, packing, quality, records, substring, urls, vectors, warc
+from creditflow.llm import (
+    collocations, decontam, langid, neardup, neighbours, packing, quality, records, spelling, substring, urls, vectors, warc,
+)
 from creditflow.llm.scratch import Scratch
 from creditflow.sources.tables import table
 
@@ -82,9 +84,26 @@ def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"), Scratch(spark, "op10"), tokenizer_path())
 
 
+def op11_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    """Of one run in 31, by a checksum of document and run, one letter is taken out first."""
+    return spelling.variants(spelling.words(table(spark, folder, "documents"), worn=31), Scratch(spark, "op11"))
+
+
+def op12_nearest_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    """Queries are the rows whose vec_id is divisible by 20."""
+    rows = table(spark, folder, "embeddings")
+    found = neighbours.nearest(rows, rows.where(F.col("vec_id") % 20 == 0), Scratch(spark, "op12"))
+    return found.select("query_id", "rank", "vec_id", "score")
+
+
+def op13_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations.collocations(table(spark, folder, "documents"), Scratch(spark, "op13"))
+
+
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     ops = [
         op1_language_id, op2_odd_sketch, op3_warc, op4_url_filter, op5_token_records,
         op6_decontamination, op7_multi_index, op8_quality, op9_substring_dedup, op10_packing,
+        op11_spelling_variants, op12_nearest_neighbours, op13_collocations,
     ]
     return {f.__name__: f for f in ops}

@@ -32,11 +32,14 @@ def _byte_table(separators: list[range], lower: bool) -> tuple[np.ndarray, np.nd
 
 _BLANKS = [range(0x20, 0x21), range(0x09, 0x0E)]
 _LETTERS = [range(0x30, 0x3A), range(0x41, 0x5B), range(0x61, 0x7B), range(0x80, 0x100)]
+#: Bytes that end a piece of text.
+ENDS = [range(0x0A, 0x0E), *(range(b, b + 1) for b in b".,;:!?")]
 _SIGNS = [range(0x00, 0x09), range(0x0E, 0x20), range(0x21, 0x30), range(0x3A, 0x41), range(0x5B, 0x61), range(0x7B, 0x80)]
 #: Word rules by name, each with the bytes that separate words.
 RULES = {
     "blank": _byte_table(_BLANKS, lower=False),
     "blank_lower": _byte_table(_BLANKS, lower=True),
+    "piece_lower": _byte_table(_BLANKS + ENDS, lower=True),
     "alnum_lower": _byte_table([range(0x00, 0x30), range(0x3A, 0x61), range(0x7B, 0x80)], lower=True),
     "letters": _byte_table(_BLANKS + _SIGNS, lower=False),
     "signs": _byte_table(_BLANKS + _LETTERS, lower=False),
