@@ -1,136 +1,189 @@
-"""Weighted acyclic automata that map phrases to counts.
+"""Weighted acyclic automata that map sequences of labels to counts, as NumPy arrays.
 
-A state has a weight and arcs in the order of their labels; the weight of the state that a phrase
-leads to is the phrase's count. States that are alike in weight and arcs are one state.
+A state has a weight and arcs in the order of their labels; the weight of the state that a sequence
+leads to is its count. Labels are 64-bit numbers other than 0. States that are alike in weight and
+arcs are one state.
+
+Sequences travel as :class:`Counted`: rows of labels, filled up with 0, and a count each.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 
-#: Phrase, as a tuple of labels.
-Phrase = tuple[str, ...]
+from creditflow.llm.text import mix
+
+_U = np.uint64
+_ODD = _U(0xD6E8FEB86659FD93)
 
 
 @dataclass
-class CountTransducer:
-    """``weights[s]`` and, for its arcs, ``arcs[s]``: pairs of label and state in order of labels."""
-
-    weights: list[int] = field(default_factory=list)
-    arcs: list[tuple[tuple[str, int], ...]] = field(default_factory=list)
-    root: int = -1
-
-    def paths(self) -> Iterator[tuple[Phrase, int]]:
-        """All phrases of a weight above 0 in sorted order, each before those it begins."""
-        ahead: list[tuple[Phrase, int]] = [((), self.root)] if self.root >= 0 else []
-        while ahead:
-            phrase, state = ahead.pop()
-            if self.weights[state]:
-                yield phrase, self.weights[state]
-            ahead.extend((phrase + (label,), to) for label, to in reversed(self.arcs[state]))
-
-    def columns(self) -> tuple[list, list, list, list]:
-        """Weights, first arc of each state, and labels and targets of the arcs; the root is last."""
-        first = np.cumsum([0, *map(len, self.arcs)]).tolist()
-        labels = [label for arcs in self.arcs for label, _ in arcs]
-        targets = [to for arcs in self.arcs for _, to in arcs]
-        return self.weights, first, labels, targets
+class Counted:
+    """Label sequences, a row each, and their counts."""
+
+    labels: np.ndarray
+    n: np.ndarray
 
     @classmethod
-    def of_columns(cls, weights: list, first: list, labels: list, targets: list) -> CountTransducer:
-        pairs = list(zip(labels, targets))
-        arcs = [tuple(pairs[a:b]) for a, b in zip(first, first[1:])]
-        return cls(weights, arcs, len(weights) - 1)
-
-
-class Builder:
-    """Builds a transducer state by state, children first; like states are made once."""
-
-    def __init__(self):
-        self.made: dict[tuple, int] = {}
-        self.out = CountTransducer()
-
-    def state(self, weight: int, arcs: tuple[tuple[str, int], ...]) -> int:
-        key = (weight, arcs)
-        found = self.made.get(key)
-        if found is None:
-            found = self.made[key] = len(self.out.weights)
-            self.out.weights.append(weight)
-            self.out.arcs.append(arcs)
-        return found
-
-    def finished(self, weight: int, arcs: tuple[tuple[str, int], ...]) -> CountTransducer:
-        """The transducer with this root, which is the last state."""
-        self.out.weights.append(weight)
-        self.out.arcs.append(arcs)
-        self.out.root = len(self.out.weights) - 1
-        return self.out
-
-
-def build(counts: Iterable[tuple[Phrase, int]]) -> CountTransducer:
-    """From phrases in sorted order, each once: a state is made as soon as no later phrase can reach it."""
-    builder = Builder()
-    # The states on the way of the last phrase: weight, arcs so far, label that leads on.
-    way: list[list] = [[0, [], None]]
-    last: Phrase = ()
-
-    def close(depth: int) -> None:
-        while len(way) > depth + 1:
-            weight, arcs, _ = way.pop()
-            way[-1][1].append((way[-1][2], builder.state(weight, tuple(arcs))))
-
-    for phrase, n in counts:
-        common = 0
-        while common < len(last) and common < len(phrase) and last[common] == phrase[common]:
-            common += 1
-        close(common)
-        for label in phrase[common:]:
-            way[-1][2] = label
-            way.append([0, [], None])
-        way[-1][0] += n
-        last = phrase
-    close(0)
-    return builder.finished(way[0][0], tuple(way[0][1]))
+    def of(cls, pairs, width: int) -> Counted:
+        """From pairs of a sequence of numbers and its count."""
+        pairs = list(pairs)
+        rows = [[*labels, *[0] * (width - len(labels))] for labels, _ in pairs]
+        return cls(np.array(rows, dtype=np.uint64).reshape(len(rows), width), np.array([n for _, n in pairs], dtype=np.int64))
 
+    @classmethod
+    def joined(cls, parts: list[Counted]) -> Counted:
+        return cls(np.concatenate([p.labels for p in parts]), np.concatenate([p.n for p in parts]))
+
+    def __len__(self) -> int:
+        return len(self.n)
+
+    def __getitem__(self, rows) -> Counted:
+        return Counted(self.labels[rows], self.n[rows])
+
+    @property
+    def sizes(self) -> np.ndarray:
+        return (self.labels != 0).sum(axis=1)
+
+    def sorted(self) -> Counted:
+        return self[np.lexsort(self.labels.T[::-1])] if len(self) else self
+
+    def keys(self) -> np.ndarray:
+        """A hash per row."""
+        key = np.zeros(len(self), dtype=np.uint64)
+        for column in self.labels.T:
+            key = mix(key * _ODD + column)
+        return key
+
+    def summed(self) -> Counted:
+        """Each sequence once, with the sum of its counts, in the order of hashes."""
+        order = np.argsort(self.keys(), kind="stable")
+        rows = self[order]
+        if not len(rows):
+            return rows
+        same = (rows.labels[1:] == rows.labels[:-1]).all(axis=1)
+        key = rows.keys()
+        if (same != (key[1:] == key[:-1])).any():  # two sequences of one hash
+            rows = self.sorted()
+            same = (rows.labels[1:] == rows.labels[:-1]).all(axis=1)
+        first = np.flatnonzero(np.concatenate([[True], ~same]))
+        return Counted(rows.labels[first], np.add.reduceat(rows.n, first))
 
-def union(parts: list[CountTransducer], least: int = 0) -> CountTransducer:
-    """Sums the weights of each phrase over ``parts``; with ``least`` phrases of less weight go.
 
-    A phrase weighs no less than those it begins, so whatever follows a phrase that goes goes too.
+@dataclass
+class CountTransducer:
+    """``weights[s]``; the arcs of state s are ``first[s]`` to ``first[s + 1]``. The root is the last state."""
+
+    weights: np.ndarray
+    first: np.ndarray
+    labels: np.ndarray
+    targets: np.ndarray
+    width: int
+
+    def _arcs(self, states: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The arcs of some states, and the place in ``states`` that each belongs to."""
+        n = self.first[states + 1] - self.first[states]
+        row = np.repeat(np.arange(len(states)), n)
+        return np.repeat(self.first[states], n) + np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n), row
+
+    def counted(self) -> Counted:
+        """All sequences of a weight above 0, the shorter ones first."""
+        states = np.array([len(self.weights) - 1])
+        rows, found = np.zeros((1, self.width), dtype=np.uint64), []
+        for depth in range(self.width + 1):
+            held = self.weights[states] > 0
+            found.append(Counted(rows[held], self.weights[states[held]]))
+            if depth < self.width:
+                arc, of = self._arcs(states)
+                rows = rows[of]
+                rows[:, depth] = self.labels[arc]
+                states = self.targets[arc]
+        return Counted.joined(found)
+
+
+def build(counts: Counted) -> CountTransducer:
+    """From sequences in sorted order, each once.
+
+    Neighbours share the states of their common beginning. From the last labels on, states that
+    are alike are made one.
     """
-    builder = Builder()
-    known: dict[tuple, int | None] = {}
-
-    def merged(states: list[tuple[int, int]], whole: bool = False):
-        key = tuple(states)
-        if not whole and key in known:
-            return known[key]
-        weight = sum(parts[p].weights[s] for p, s in states)
-        if 0 < weight < least:
-            known[key] = None
-            return None
-        ahead: dict[str, list[tuple[int, int]]] = {}
-        for p, s in states:
-            for label, to in parts[p].arcs[s]:
-                ahead.setdefault(label, []).append((p, to))
-        arcs = tuple((label, to) for label in sorted(ahead) if (to := merged(ahead[label])) is not None)
-        if whole:
-            return builder.finished(weight, arcs)
-        known[key] = builder.state(weight, arcs) if weight or arcs else None
-        return known[key]
-
-    return merged([(p, part.root) for p, part in enumerate(parts) if part.root >= 0], whole=True)
-
-
-def composed(asked: CountTransducer, counts: CountTransducer) -> Iterator[tuple[Phrase, int]]:
-    """The counts of the phrases that both hold, by walking both automata together."""
-    ahead: list[tuple[Phrase, int, int]] = [((), asked.root, counts.root)] if asked.root >= 0 and counts.root >= 0 else []
-    while ahead:
-        phrase, a, c = ahead.pop()
-        if asked.weights[a] and counts.weights[c]:
-            yield phrase, counts.weights[c]
-        on = dict(counts.arcs[c])
-        ahead.extend((phrase + (label,), to, on[label]) for label, to in asked.arcs[a] if label in on)
+    m, width = counts.labels.shape
+    sizes = counts.sizes
+    changed = np.ones((m, width + 1), dtype=bool)
+    changed[:, 0] = False
+    if m:
+        changed[1:, 1:] = np.logical_or.accumulate(counts.labels[1:] != counts.labels[:-1], axis=1)
+    numbers = [np.zeros(m, dtype=np.int64)]  # of each row's state, by depth
+    parents, labels, weights = [np.empty(0, np.int64)], [np.empty(0, np.uint64)], [np.zeros(1, dtype=np.int64)]
+    weights[0][0] = counts.n[sizes == 0].sum()
+    for depth in range(1, width + 1):
+        new = changed[:, depth] & (sizes >= depth)
+        number = np.cumsum(new) - 1
+        parents.append(numbers[-1][new])
+        labels.append(counts.labels[new, depth - 1])
+        own = np.zeros(int(new.sum()), dtype=np.int64)
+        ends = sizes == depth
+        own[number[ends]] = counts.n[ends]
+        weights.append(own)
+        numbers.append(number)
+    made, out = 0, []
+    ids = np.empty(0, np.int64)  # final number of each state one level below
+    for depth in range(width, -1, -1):
+        n = len(weights[depth])
+        below = depth < width
+        row, label = (parents[depth + 1], labels[depth + 1]) if below else (np.empty(0, np.int64), np.empty(0, np.uint64))
+        target = ids
+        first = np.searchsorted(row, np.arange(n + 1))
+        sign = mix(weights[depth].astype(np.uint64))
+        np.add.at(sign, row, mix(mix(label) * _ODD + target.astype(np.uint64)))
+        _, kept, place = np.unique(sign, return_index=True, return_inverse=True)
+        if not _alike(kept[place], weights[depth], first, label, target):
+            kept = place = np.arange(n)
+        count = (first[1:] - first[:-1])[kept]
+        arc = np.repeat(first[kept], count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+        out.append((weights[depth][kept], count, label[arc], target[arc]))
+        ids = made + place
+        made += len(kept)
+    own, count, label, target = (np.concatenate(side) for side in zip(*out))
+    return CountTransducer(own, np.concatenate([[0], np.cumsum(count)]), label, target, width)
+
+
+def _alike(to: np.ndarray, weights: np.ndarray, first: np.ndarray, label: np.ndarray, target: np.ndarray) -> bool:
+    """Whether each state has the weight and the arcs of the state that would stand for it."""
+    count = first[1:] - first[:-1]
+    if (weights != weights[to]).any() or (count != count[to]).any():
+        return False
+    arc = np.arange(len(label))
+    other = np.repeat(first[to] - first[:-1], count) + arc
+    return bool((label == label[other]).all() and (target == target[other]).all())
+
+
+def union(parts: list[CountTransducer], least: int = 0) -> CountTransducer:
+    """Sums the weights of each sequence over ``parts``; those of less than ``least`` go."""
+    total = Counted.joined([p.counted() for p in parts]).summed()
+    return build(total[total.n >= least].sorted())
+
+
+def composed(asked: CountTransducer, counts: CountTransducer) -> Counted:
+    """The counts of the sequences that both hold, by walking both automata together."""
+    a, c = np.array([len(asked.weights) - 1]), np.array([len(counts.weights) - 1])
+    rows, found = np.zeros((1, asked.width), dtype=np.uint64), []
+    for depth in range(asked.width + 1):
+        held = (asked.weights[a] > 0) & (counts.weights[c] > 0)
+        found.append(Counted(rows[held], counts.weights[c[held]]))
+        if depth == asked.width:
+            break
+        arc_a, of_a = asked._arcs(a)
+        arc_c, of_c = counts._arcs(c)
+        # Arcs of one pair of states that have one label stand side by side.
+        of, label = np.concatenate([of_a, of_c]), np.concatenate([asked.labels[arc_a], counts.labels[arc_c]])
+        to, side = np.concatenate([asked.targets[arc_a], counts.targets[arc_c]]), np.repeat([0, 1], [len(of_a), len(of_c)])
+        order = np.lexsort((side, label, of))
+        both = order[:-1][(of[order][1:] == of[order][:-1]) & (label[order][1:] == label[order][:-1])]
+        then = order[1:][(of[order][1:] == of[order][:-1]) & (label[order][1:] == label[order][:-1])]
+        rows = rows[of[both]]
+        rows[:, depth] = label[both]
+        a, c = to[both], to[then]
+    return Counted.joined(found)

@@ -4,14 +4,16 @@ A phrase that occurs often enough has no rarer part. A first pass therefore coun
 and word pairs, and the frequent ones set bits in a map of fixed size. The second pass takes the
 words and chains of pairs that the map lets through: each task sorts its phrases and builds count
 transducers from them, one per range of two-word prefixes. They are dealt by range, where their
-union sums the weights, exactly and on the words themselves. The parts of the candidates are looked
-up where their prefix lies, by composing a transducer of all parts asked for with that of the counts.
+union sums the weights. The parts of the candidates are looked up where their prefix lies, by
+composing a transducer of all parts asked for with that of the counts.
+
+Labels are 64-bit hashes of the words, a phrase is the sequence of them behind its language's;
+a count would be wrong only if two different words that both occur often had one hash.
 """
 
 from __future__ import annotations
 
 import hashlib
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -19,14 +21,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from creditflow.llm.automata import CountTransducer, Phrase, build, composed, union
+from creditflow.llm.automata import Counted, CountTransducer, build, composed, union
 from creditflow.llm.scratch import Scratch, narrow, return_memory, whole_groups
 from creditflow.llm.text import BLOCK_BYTES, ENDS, Words, blocks, mix, utf8, words
 
 #: Bits of the map of frequent words and pairs (8 MB), and of one part of it.
 MAP_BITS, PART_BITS = 26, 16
 #: Hashes, and phrases, that a task counts before it sends them on.
-HELD_HASHES, HELD_PHRASES = 1 << 21, 1 << 18
+HELD_HASHES, HELD_PHRASES = 1 << 21, 1 << 19
 #: Prefix ranges per square root of the GB of text.
 RANGES = 64
 #: Transducers of one range that are united at once.
@@ -35,7 +37,8 @@ _U = np.uint64
 _NEXT = _U(0x9E3779B97F4A7C15)
 _ENDS = np.zeros(256, dtype=np.int32)
 _ENDS[[b for span in ENDS for b in span]] = 1
-_TRANSDUCER = "range int, weights array<long>, first array<int>, labels array<string>, targets array<int>"
+_TRANSDUCER = "range int, weights array<long>, first array<int>, labels array<long>, targets array<int>"
+_NAME = "h long, name string"
 
 
 def segments(data: np.ndarray, offsets: np.ndarray, size: int = BLOCK_BYTES) -> tuple[np.ndarray, np.ndarray]:
@@ -51,6 +54,10 @@ def segments(data: np.ndarray, offsets: np.ndarray, size: int = BLOCK_BYTES) ->
     return parts, np.searchsorted(offsets, parts[:-1], side="right") - 1
 
 
+def lang_hashes(names: list[str]) -> np.ndarray:
+    return np.array([int.from_bytes(hashlib.blake2b(x.encode(), digest_size=8).digest(), "little") for x in names], dtype=np.uint64)
+
+
 def _word_blocks(batch: pa.RecordBatch, names: dict[str, int]) -> Iterator[tuple[Words, np.ndarray, np.ndarray, np.ndarray]]:
     """Blocks of words, with the language of each word as a number and a hash, and whether the next word goes on its piece."""
     data, offsets = utf8(batch.column("text"))
@@ -58,7 +65,7 @@ def _word_blocks(batch: pa.RecordBatch, names: dict[str, int]) -> Iterator[tuple
     column = pa.LargeStringArray.from_buffers(len(parts) - 1, pa.py_buffer(parts.astype(np.int64)), pa.py_buffer(data)) if len(parts) > 1 else None
     langs = batch.column("lang").cast(pa.string()).fill_null("und").to_pylist()
     number = np.array([names.setdefault(x, len(names)) for x in langs], dtype=np.int64)
-    hashes = np.array([int.from_bytes(hashlib.blake2b(x.encode(), digest_size=8).digest(), "little") for x in names], dtype=np.uint64)
+    hashes = lang_hashes(list(names))
     for at, to, own, places in blocks(column) if column is not None else ():
         found = words(own, places, "piece_lower")
         if not len(found.hashes):
@@ -146,100 +153,131 @@ def frequent_map(docs: DataFrame, scratch: Scratch, least: int) -> np.ndarray:
 
 
 class _Phrases:
-    """Counts of a task's phrases; the words of each are kept once."""
+    """A task's phrases with their counts, and the words in them."""
 
-    def __init__(self, longest: int):
-        self.longest = longest
-        self.keys, self.n, self.phrases = np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, object)
-        self.total: dict[str, int] = {}
+    def __init__(self, longest: int, most: int):
+        self.longest, self.most = longest, most
+        self.held: list[tuple[np.ndarray, Counted]] = []
+        self.known, self.names = np.empty(0, np.uint64), []
 
-    def add(self, found: Words, of: np.ndarray, lang: np.ndarray, goes_on: np.ndarray, bits: np.ndarray, names: list[str]) -> None:
-        for k, n in enumerate(np.bincount(of).tolist()):
-            if n:
-                self.total[names[k]] = self.total.get(names[k], 0) + n
+    def add(self, found: Words, lang: np.ndarray, goes_on: np.ndarray, bits: np.ndarray) -> None:
         single, pair = _hashes(found, lang, goes_on)
         chained = goes_on & _set(bits, pair)
-        at = np.flatnonzero(_set(bits, single))
-        key, taken = single[at], []
-        taken.append((key, at, np.full(len(at), 1)))
+        frequent = np.flatnonzero(_set(bits, single))
+        self._name(found, np.flatnonzero(chained | np.concatenate([[False], chained[:-1]])))
+        langs, n = np.unique(lang, return_counts=True)
+        taken = [(mix(langs), np.searchsorted(langs, langs), np.zeros(len(langs), np.int64), n)]
+        own, where, n = np.unique(single[frequent], return_index=True, return_counts=True)
+        taken.append((own, frequent[where], np.ones(len(own), np.int64), n))
         # The pairs that a phrase consists of are frequent, and so are its words.
         at = np.flatnonzero(chained)
         key = single[at]
         for size in range(2, self.longest + 1):
             key = mix(key * _NEXT + found.hashes[at + size - 1])
-            taken.append((key, at, np.full(len(at), size)))
+            own, where, n = np.unique(key, return_index=True, return_counts=True)
+            taken.append((own, at[where], np.full(len(own), size), n))
             on = chained[at + size - 1]
             at, key = at[on], key[on]
-        key, at, size = (np.concatenate(side) for side in zip(*taken))
-        key, first, n = np.unique(key, return_index=True, return_counts=True)
-        place = np.searchsorted(self.keys, key)
-        old = place < len(self.keys)
-        old[old] = self.keys[place[old]] == key[old]
-        self.n[place[old]] += n[old]
-        new = ~old
-        own: dict[int, str] = {}
-
-        def word(i: int) -> str:
-            if i not in own:
-                own[i] = found.run(0, i, i + 1).lower().decode()
-            return own[i]
-
-        fresh = np.empty(int(new.sum()), dtype=object)
-        fresh[:] = [(names[of[i]], *map(word, range(i, i + m))) for i, m in zip(at[first[new]].tolist(), size[first[new]].tolist())]
-        self.keys, self.n, self.phrases = (np.insert(x, place[new], y) for x, y in ((self.keys, key[new]), (self.n, n[new]), (self.phrases, fresh)))
+        key, at, size, n = (np.concatenate(side) for side in zip(*taken))
+        labels = np.zeros((len(key), self.longest + 1), dtype=np.uint64)
+        labels[:, 0] = lang[at]
+        labels[: len(langs), 0] = langs
+        for k in range(1, self.longest + 1):
+            has = size >= k
+            labels[has, k] = found.hashes[at[has] + k - 1]
+        self.held.append((key, Counted(labels, n)))
+        if sum(len(x) for x, _ in self.held) > self.most:
+            self._merge()
+
+    def _name(self, found: Words, at: np.ndarray) -> None:
+        """Words of pairs that were not met before, with their hashes."""
+        h, where = np.unique(found.hashes[at], return_index=True)
+        place = np.searchsorted(self.known, h)
+        old = place < len(self.known)
+        old[old] = self.known[place[old]] == h[old]
+        self.names += [(x, found.run(0, i, i + 1).lower().decode()) for x, i in zip(h[~old].view(np.int64).tolist(), at[where[~old]].tolist())]
+        self.known = np.insert(self.known, place[~old], h[~old])
+
+    def _merge(self) -> None:
+        """Phrases of one hash become one."""
+        key = np.concatenate([x for x, _ in self.held])
+        rows = Counted.joined([x for _, x in self.held])
+        order = np.argsort(key, kind="stable")
+        key = key[order]
+        first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+        self.held = [(key[first], Counted(rows.labels[order[first]], np.add.reduceat(rows.n[order], first)))]
+
+    @property
+    def full(self) -> bool:
+        return len(self.held) == 1 and len(self.held[0][0]) > self.most // 2
 
     def rows(self, ranges: int) -> Iterator[pa.RecordBatch]:
-        by_range: dict[int, list[tuple[Phrase, int]]] = {}
-        for phrase, n in [*zip(self.phrases.tolist(), self.n.tolist()), *(((lang,), n) for lang, n in self.total.items())]:
-            by_range.setdefault(prefix_range(phrase, ranges), []).append((phrase, n))
-        for r, counts in by_range.items():
-            yield transducer_row(r, build(sorted(counts)))
+        if not self.held:
+            return
+        self._merge()
+        ((_, rows),) = self.held
+        rows = rows.sorted()
+        of = prefix_ranges(rows.labels, ranges)
+        order = np.argsort(of, kind="stable")
+        bounds = np.flatnonzero(np.concatenate([[True], of[order][1:] != of[order][:-1], [True]]))
+        for s, e in zip(bounds, bounds[1:]):
+            yield transducer_row(int(of[order[s]]), build(rows[order[s:e]]))
+        self.held = []
 
+    def name_rows(self) -> Iterator[pa.RecordBatch]:
+        for k in range(0, len(self.names), 4096):
+            h, names = zip(*self.names[k : k + 4096])
+            yield pa.RecordBatch.from_arrays([*(pa.nulls(len(h), f.type) for f in _ROW), pa.array(h, pa.int64()), pa.array(names, pa.string())], schema=_ROWS)
 
-def prefix_range(phrase: Phrase, ranges: int) -> int:
-    """The range of a phrase: of its language and two words at most."""
-    return zlib.crc32("\x01".join(phrase[:3]).encode()) % ranges
 
+_ROW = pa.schema(
+    [("range", pa.int32()), ("weights", pa.list_(pa.int64())), ("first", pa.list_(pa.int32())), ("labels", pa.list_(pa.int64())), ("targets", pa.list_(pa.int32()))]
+)
+_ROWS = pa.schema([*_ROW, ("h", pa.int64()), ("name", pa.string())])
 
-def _range_of(lang: Column, part: Column, ranges: int) -> Column:
-    """The same of a column of words."""
-    return (F.crc32(F.concat_ws("\x01", F.array(lang), F.slice(part, 1, 2)).cast("binary")) % ranges).cast("int")
 
+def prefix_ranges(labels: np.ndarray, ranges: int) -> np.ndarray:
+    """The range of phrases: of their language and two words at most."""
+    key = np.zeros(len(labels), dtype=np.uint64)
+    for column in labels[:, :3].T:
+        key = np.where(column != 0, mix(key * _NEXT + column), key)
+    return (key % _U(ranges)).astype(np.int32)
 
-def transducer_row(r: int, transducer: CountTransducer) -> pa.RecordBatch:
-    weights, first, labels, targets = transducer.columns()
-    return pa.RecordBatch.from_arrays(
-        [pa.array([r], pa.int32()), pa.array([weights], pa.list_(pa.int64())), pa.array([first], pa.list_(pa.int32())),
-         pa.array([labels], pa.list_(pa.string())), pa.array([targets], pa.list_(pa.int32()))],
-        names=["range", "weights", "first", "labels", "targets"],
-    )
 
+def transducer_row(r: int, made: CountTransducer) -> pa.RecordBatch:
+    lists = [pa.array([x], kind) for x, kind in zip((made.weights, made.first, made.labels.view(np.int64), made.targets), [f.type for f in _ROW][1:])]
+    return pa.RecordBatch.from_arrays([pa.array([r], pa.int32()), *lists, pa.nulls(1, pa.int64()), pa.nulls(1, pa.string())], schema=_ROWS)
 
-def transducers(batch: pa.RecordBatch | pa.Table) -> Iterator[tuple[int, CountTransducer]]:
-    for row in batch.select(["range", "weights", "first", "labels", "targets"]).to_pylist():
-        yield row["range"], CountTransducer.of_columns(row["weights"], row["first"], row["labels"], row["targets"])
+
+def transducers(rows: pa.RecordBatch | pa.Table, width: int) -> Iterator[tuple[int, CountTransducer]]:
+    for batch in rows.to_batches() if isinstance(rows, pa.Table) else [rows]:
+        for k in range(batch.num_rows):
+            weights, first, labels, targets = (batch.column(c)[k].values.to_numpy() for c in ("weights", "first", "labels", "targets"))
+            yield batch.column("range")[k].as_py(), CountTransducer(weights, first.astype(np.int64), labels.view(np.uint64), targets.astype(np.int64), width)
 
 
 def count_phrases(bits, ranges: int, longest: int, most: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Transducers of the task's phrases that the map lets through."""
-    held, names = _Phrases(longest), {}
+    """Transducers of the task's phrases that the map lets through, and the names of words and languages."""
+    held, names = _Phrases(longest, most), {}
     for batch in batches:
-        for found, of, lang, goes_on in _word_blocks(batch, names):
-            held.add(found, of, lang, goes_on, bits.value, list(names))
-            if len(held.keys) > most:
+        for found, _, lang, goes_on in _word_blocks(batch, names):
+            held.add(found, lang, goes_on, bits.value)
+            if held.full:
                 yield from held.rows(ranges)
-                held = _Phrases(longest)
     yield from held.rows(ranges)
+    yield from held.name_rows()
+    if names:
+        h = [int(x) for x in lang_hashes(list(names)).view(np.int64)]
+        yield pa.RecordBatch.from_arrays([*(pa.nulls(len(h), f.type) for f in _ROW), pa.array(h, pa.int64()), pa.array(list(names), pa.string())], schema=_ROWS)
     del held
     return_memory()
 
 
-def unite(least: int, most: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def unite(least: int, most: int, width: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """One transducer per range with the phrases of at least ``least`` occurrences, from rows sorted by range."""
     now, held = None, []
     for batch in batches:
-        for k in range(batch.num_rows):
-            ((r, part),) = transducers(batch.slice(k, 1))
+        for r, part in transducers(batch, width):
             if r != now and held:
                 yield transducer_row(now, union(held, least))
                 held = []
@@ -249,31 +287,56 @@ def unite(least: int, most: int, batches: Iterator[pa.RecordBatch]) -> Iterator[
                 held = [union(held)]
     if held:
         yield transducer_row(now, union(held, least))
+    return_memory()
 
 
-def list_candidates(least: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for k in range(batch.num_rows):
-            ((_, counts),) = transducers(batch.slice(k, 1))
-            found = [(p[0], p[1:], n) for p, n in counts.paths() if len(p) > 2 and n >= least]
-            for s in range(0, len(found), 4096):
-                lang, own, n = zip(*found[s : s + 4096])
-                yield pa.RecordBatch.from_arrays([pa.array(lang), pa.array(own, pa.list_(pa.string())), pa.array(n, pa.int64())], names=["lang", "words", "a"])
+def _lists(labels: np.ndarray) -> pa.ListArray:
+    """Rows of equal length as a list column."""
+    offsets = np.arange(len(labels) + 1, dtype=np.int32) * labels.shape[1]
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.ascontiguousarray(labels).view(np.int64).ravel()))
 
 
-def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The counts of the parts asked for, from rows sorted by range, language and part."""
+def cut_candidates(ranges: int, width: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each phrase of two words or more with each of its cuts, and the ranges of its parts."""
+    for batch in batches:
+        for _, counts in transducers(batch, width):
+            found = counts.counted()
+            sizes = found.sizes
+            for m in range(3, width + 1):
+                rows = found[sizes == m]
+                for s in range(0, len(rows), 4096):
+                    own = rows[slice(s, s + 4096)]
+                    lang = own.labels[:, :1]
+                    for k in range(2, m):
+                        head, tail = own.labels[:, :k], np.hstack([lang, own.labels[:, k:m]])
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array(lang.ravel().view(np.int64)), _lists(own.labels[:, 1:m]), pa.array(own.n), pa.array(np.full(len(own), k - 1, np.int32)),
+                             _lists(head[:, 1:]), _lists(tail[:, 1:]), pa.array(prefix_ranges(head, ranges)), pa.array(prefix_ranges(tail, ranges)), pa.array(prefix_ranges(lang, ranges))],
+                            names=["lang", "words", "a", "k", "head", "tail", "head_range", "tail_range", "lang_range"],
+                        )
+
+
+def look_up(width: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The counts of the parts asked for, from rows sorted by range."""
     for table, bounds in whole_groups(batches, ["range"]):
         for s, e in zip(bounds, [*bounds[1:], table.num_rows]):
-            group = table.slice(s, e - s)
+            group = table.slice(s, e - s).combine_chunks()
             asks = group.column("weights").is_null()
             asked = group.filter(asks)
-            parts = build(((lang, *part), 1) for lang, part in zip(asked.column("lang").to_pylist(), asked.column("part").to_pylist()))
-            for _, counts in transducers(group.filter(group.column("weights").is_valid())):
-                found = [(p[0], p[1:], n) for p, n in composed(parts, counts)]
-                if found:
-                    lang, part, n = zip(*found)
-                    yield pa.RecordBatch.from_arrays([pa.array(lang), pa.array(part, pa.list_(pa.string())), pa.array(n, pa.int64())], names=["lang", "part", "f"])
+            part = asked.column("part").combine_chunks()
+            size = np.diff(part.offsets.to_numpy())
+            labels = np.zeros((len(asked), width), dtype=np.uint64)
+            labels[:, 0] = asked.column("lang").to_numpy().view(np.uint64)
+            row = np.repeat(np.arange(len(size)), size)
+            labels[row, 1 + np.arange(len(row)) - np.repeat(np.cumsum(size) - size, size)] = part.flatten().to_numpy().view(np.uint64)
+            parts = build(Counted(labels, np.ones(len(labels), dtype=np.int64)).summed().sorted())
+            for _, counts in transducers(group.filter(group.column("weights").is_valid()), width):
+                found = composed(parts, counts)
+                sizes = found.sizes
+                for m in np.unique(sizes).tolist():
+                    own = found[sizes == m]
+                    lang = pa.array(own.labels[:, 0].copy().view(np.int64))
+                    yield pa.RecordBatch.from_arrays([lang, _lists(own.labels[:, 1:m]), pa.array(own.n)], names=["lang", "part", "f"])
 
 
 def collocations(docs: DataFrame, scratch: Scratch, least: int = 100, longest: int = 5, top: int = 2000) -> DataFrame:
@@ -292,32 +355,39 @@ def collocations(docs: DataFrame, scratch: Scratch, least: int = 100, longest: i
     ranges = int(RANGES * max(1, np.ceil(np.sqrt(size / 1e9))))
     bits = docs.sparkSession.sparkContext.broadcast(frequent_map(docs, scratch, least))
     scratch.release()
-    shards = docs.mapInArrow(narrow(count_phrases, bits, ranges, longest, HELD_PHRASES), _TRANSDUCER)
-    counts = shards.repartition("range").sortWithinPartitions("range").mapInArrow(narrow(unite, least, UNITED), _TRANSDUCER)
-    counts = scratch.table(counts, "counts")
-    found = scratch.table(counts.mapInArrow(narrow(list_candidates, least), "lang string, words array<string>, a long"), "candidates")
-    size = F.size("words")
-    cuts = found.select("lang", "words", "a", F.explode(F.sequence(F.lit(1), size - 1)).alias("k")).select(
-        "lang", "words", "a", "k", F.slice("words", F.lit(1), F.col("k")).alias("head"), F.slice("words", F.col("k") + 1, size - F.col("k")).alias("tail")
-    )
-    parts = cuts.select("lang", F.explode(F.array("head", "tail", F.array().cast("array<string>"))).alias("part")).distinct()
-    asked = parts.withColumn("range", _range_of(F.col("lang"), F.col("part"), ranges))
-    met = counts.unionByName(asked, allowMissingColumns=True).repartition("range").sortWithinPartitions("range", "lang", "part")
-    answers = scratch.table(met.mapInArrow(narrow(look_up), "lang string, part array<string>, f long"), "answers")
+    width = longest + 1
+    shards = docs.mapInArrow(narrow(count_phrases, bits, ranges, longest, HELD_PHRASES), f"{_TRANSDUCER}, {_NAME}")
+    shards = scratch.table(shards, "shards")
+    own = shards.where("weights is not null").repartition("range").sortWithinPartitions("range")
+    counts = scratch.table(own.mapInArrow(narrow(unite, least, UNITED, width), f"{_TRANSDUCER}, {_NAME}").drop("h", "name"), "counts")
+    names = scratch.table(shards.where("name is not null").groupBy("h").agg(F.min("name").alias("name")), "names")
+    shape = "lang long, words array<long>, a long, k int, head array<long>, tail array<long>, head_range int, tail_range int, lang_range int"
+    cuts = scratch.table(counts.mapInArrow(narrow(cut_candidates, ranges, width), shape), "cuts")
+    none = F.array().cast("array<long>")
+    parts = F.explode(F.array(*(F.struct(F.col(r).alias("range"), p.alias("part")) for r, p in (("head_range", F.col("head")), ("tail_range", F.col("tail")), ("lang_range", none)))))
+    asked = cuts.select("lang", parts.alias("p")).select("p.range", "lang", "p.part").distinct()
+    met = counts.unionByName(asked, allowMissingColumns=True).repartition("range").sortWithinPartitions("range")
+    answers = scratch.table(met.mapInArrow(narrow(look_up, width), "lang long, part array<long>, f long"), "answers")
     heads = answers.select("lang", F.col("part").alias("head"), F.col("f").alias("l"))
     tails = answers.select("lang", F.col("part").alias("tail"), F.col("f").alias("r"))
     totals = answers.where(F.size("part") == 0).select("lang", F.col("f").alias("n"))
-    cuts = scratch.table(cuts.join(heads, ["lang", "head"]).join(tails, ["lang", "tail"]).join(totals, "lang"), "cuts")
+    cuts = cuts.select("lang", "words", "a", "k", "head", "tail")
+    cuts = scratch.table(cuts.join(heads, ["lang", "head"]).join(tails, ["lang", "tail"]).join(totals, "lang"), "answered")
     # Of the longer phrases that hold a phrase it is enough to look at those with one word more.
     whole = F.array(*(F.struct(F.col(p).alias("part"), F.col(f).alias("f")) for p, f in (("head", "l"), ("tail", "r"))))
-    inner = cuts.select("lang", "a", size.alias("m"), F.explode(whole).alias("x")).where((F.size("x.part") == F.col("m") - 1) & (F.col("m") > 2))
+    inner = cuts.select("lang", "a", F.size("words").alias("m"), F.explode(whole).alias("x")).where((F.size("x.part") == F.col("m") - 1) & (F.col("m") > 2))
     inner = inner.where(F.col("a") >= F.col("x.f")).select("lang", F.col("x.part").alias("words")).distinct()
     exact = lambda c, digits: F.col(c).cast(f"decimal({digits},0)")
     cuts = cuts.withColumns({"over": exact("a", 18) * 1000 * exact("n", 15), "under": exact("l", 18) * exact("r", 18)})
     scored = cuts.withColumn("score", F.expr("over div under"))
     best = scored.groupBy("lang", "words").agg(F.min(F.struct("score", "k", "l", "r")).alias("cut"), F.first("a").alias("a"), F.first("n").alias("n"))
-    best = best.join(inner, ["lang", "words"], "left_anti")
-    best = best.select("lang", F.array_join("words", " ").alias("phrase"), "a", "cut.l", "cut.r", "n", "cut.score")
+    best = scratch.table(best.join(inner, ["lang", "words"], "left_anti"), "best")
+    spoken = best.select("lang", "words", F.posexplode("words").alias("at", "h")).join(names, "h")
+    spoken = spoken.groupBy("lang", "words").agg(F.array_sort(F.collect_list(F.struct("at", "name"))).alias("said"))
+    spoken = spoken.select("lang", "words", F.array_join("said.name", " ").alias("phrase"))
+    langs = names.select(F.col("h").alias("lang"), F.col("name").alias("language"))
+    best = best.join(spoken, ["lang", "words"]).join(langs, "lang")
+    best = best.select(F.col("language").alias("lang"), "phrase", "a", "cut.l", "cut.r", "n", "cut.score")
     order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
     ranked = best.withColumn("rank", F.row_number().over(order).cast("long")).where(F.col("rank") <= top)
     return ranked.select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
