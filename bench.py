@@ -40,6 +40,8 @@ HEADLINE = [
     "payload_profile",
     "loan_report",
     "newest_100",
+    "latest_by_source",
+    "npl_report",
 ]
 
 

@@ -3,6 +3,9 @@
 Model scores are draws from fixed distributions. Taking the draw from a hash of the key
 makes a replayed message, a retried task and a recomputed partition score alike. Where
 fresh randomness is wanted, pass ``F.rand()`` in place of a keyed draw.
+
+A digest holds six draws of 20 bits, three in each of two numbers of 15 hexadecimal digits: salts
+that are used together share them, and Spark computes digest and numbers once.
 """
 
 from __future__ import annotations
@@ -14,11 +17,23 @@ from pyspark.sql import functions as F
 
 Draw = Callable[[str], Column]
 
+#: Salts by the digest that they share, in the order of their places; any other salt has its own.
+SHARED = {
+    "risk": ("npl", "credit_band", "credit_val", "is_customer", "lat_e2_consume", "lat_e3_consume"),
+    "decision": ("industry", "dti", "stability", "decision", "amount", "lat_e4_consume"),
+    "clock": ("lat_e1_consume", "lat_e2_produce", "lat_e4_produce", "lat_e6_produce", "lat_analytics", "lat_notify"),
+}
+_PLACE = {salt: (name, k) for name, salts in SHARED.items() for k, salt in enumerate(salts)}
+BITS = 20
+
 
 def uniform(key: str, salt: str) -> Column:
-    """The first 32 bits of ``md5(key:salt)`` as a fraction; ``key`` is a SQL expression."""
-    digest = f"md5(cast(concat(cast({key} AS string), ':{salt}') AS binary))"
-    return F.expr(f"cast(conv(substring({digest}, 1, 8), 16, 10) AS bigint) / 4294967296D")
+    """20 bits of ``md5(key:digest)`` as a fraction; ``key`` is a SQL expression."""
+    name, place = _PLACE.get(salt, (salt, 0))
+    digest = f"md5(cast(concat(cast({key} AS string), ':{name}') AS binary))"
+    number = f"cast(conv(substring({digest}, {1 + 15 * (place // 3)}, 15), 16, 10) AS bigint)"
+    part = f"shiftright({number}, {BITS * (place % 3)}) & {(1 << BITS) - 1}L"
+    return F.expr(f"({part}) / {1 << BITS}D")
 
 
 def keyed_draws(key: str) -> Draw:

@@ -87,6 +87,26 @@ def _literal(spec: MergeSpec, name: str) -> str:
     return f"CAST('{spec.reset[name]}' AS {spec.table[name].dataType.simpleString()})"
 
 
+def ends(raw: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
+    """The first and the newest row of each key, by ``order``; a key of one row has that one.
+
+    Row-by-row upserts of a batch leave what those of its ends leave: the first row inserts, the
+    newest refreshes, and that there was a second one resets. So a batch is cut to its ends while
+    its rows are raw and narrow, and only those are scored. Both ends are partial aggregates, and
+    the rows come out dealt by the key: a merge on it needs no other shuffle. Where
+    ``order`` is one number, the rest of the row is unpacked from it and nothing is sorted.
+    """
+    rest = [c for c in raw.columns if c != key]
+    if rest == list(order) and len(rest) == 1:
+        low, high, value = F.min(rest[0]), F.max(rest[0]), F.col("_end").alias(rest[0])
+    else:
+        row = F.struct(*order, *[c for c in rest if c not in order])
+        low, high, value = F.min(row), F.max(row), F.col("_end.*")
+    both = raw.groupBy(key).agg(low.alias("_low"), high.alias("_high"), F.count(F.lit(1)).alias("_n"))
+    picked = F.when(F.col("_n") > 1, F.array("_low", "_high")).otherwise(F.array("_low"))
+    return both.select(key, F.explode(picked).alias("_end")).select(key, value)
+
+
 def fold(batch: DataFrame, spec: MergeSpec, order: Sequence[str]) -> DataFrame:
     """One row per key: what row-by-row upserts of the batch into an empty table would leave.
 

@@ -42,12 +42,16 @@ def event_time(df: DataFrame, ts_ms: str) -> DataFrame:
     return df.withColumn("event_ts", F.timestamp_millis(F.col(ts_ms)))
 
 
-def _exact_sum(x: Column) -> Column:
+def _micros(x: Column) -> Column:
     """The sum in whole millionths; a score with more decimals fails instead of being rounded."""
     whole = F.floor(x * _MICROS + 0.5)
     finer = F.raise_error(F.concat(F.lit("risk score with more than six decimals: "), x.cast("string")))
     exact = F.when(F.abs(x * _MICROS - whole) < 1e-3, whole).when(x.isNotNull(), finer.cast("bigint"))
-    return F.sum(exact) / _MICROS
+    return F.sum(exact)
+
+
+def _exact_sum(x: Column) -> Column:
+    return _micros(x) / _MICROS
 
 
 def _ratio(numerator: Column, denominator: Column) -> Column:
@@ -61,27 +65,41 @@ def _edges() -> list[Column]:
     ]
 
 
-def window_metrics(df: DataFrame, size: str = "1 second") -> DataFrame:
-    """Approval, amount, risk and latency per tumbling window of ``event_ts``.
+#: How two partials of one window become one, by column.
+PARTIALS = {
+    "n": F.sum, "approved_count": F.sum, "rejected_count": F.sum, "total_amount": F.sum,
+    "risk_micros": F.sum, "high_risk_count": F.sum, "proc_sum": F.sum,
+    "window_start": F.min, "window_end": F.max,
+}
+EDGES = ["bucket_start", "bucket_end"]
 
-    ``window_start`` and ``window_end`` are the first and last event seen in the window,
-    ``bucket_start`` and ``bucket_end`` its edges. The average amount is over approved loans;
-    the average latency is a whole number, truncated.
-    """
+
+def window_partials(df: DataFrame, size: str = "1 second") -> DataFrame:
+    """Sums, counts and ends per tumbling window of ``event_ts``, which :func:`merged` adds up."""
     grouped = df.groupBy(F.window("event_ts", size)).agg(
         F.count(F.lit(1)).alias("n"),
         F.count_if(F.col("is_approved")).alias("approved_count"),
         F.count_if(~F.col("is_approved")).alias("rejected_count"),
         F.sum("loan_amount").alias("total_amount"),
-        _exact_sum(F.col("risk_score")).alias("risk_sum"),
+        _micros(F.col("risk_score")).alias("risk_micros"),
         F.count_if(F.col("risk_score") > HIGH_RISK).alias("high_risk_count"),
         F.sum("processing_time").alias("proc_sum"),
         F.min("timestamp").alias("window_start"),
         F.max("timestamp").alias("window_end"),
     )
+    return grouped.select(*_edges(), *PARTIALS)
+
+
+def merged(partials: DataFrame) -> DataFrame:
+    """One partial per window. Partials of the same records in any split merge to the same one."""
+    return partials.groupBy(*EDGES).agg(*[merge(c).alias(c) for c, merge in PARTIALS.items()])
+
+
+def finished(partials: DataFrame) -> DataFrame:
+    """The metrics of windows, from one partial each."""
     n, approved = F.col("n"), F.col("approved_count")
-    return grouped.select(
-        *_edges(),
+    return partials.select(
+        *EDGES,
         "window_start",
         "window_end",
         "approved_count",
@@ -89,12 +107,22 @@ def window_metrics(df: DataFrame, size: str = "1 second") -> DataFrame:
         _ratio(approved, n).alias("approval_rate"),
         "total_amount",
         _ratio(F.col("total_amount"), approved).alias("avg_amount"),
-        _ratio(F.col("risk_sum"), n).alias("avg_risk_score"),
+        _ratio(F.col("risk_micros") / _MICROS, n).alias("avg_risk_score"),
         "high_risk_count",
         F.expr("proc_sum div n").cast("double").alias("avg_proc_time"),
     )
 
 
+def window_metrics(df: DataFrame, size: str = "1 second") -> DataFrame:
+    """Approval, amount, risk and latency per tumbling window of ``event_ts``.
+
+    ``window_start`` and ``window_end`` are the first and last event seen in the window,
+    ``bucket_start`` and ``bucket_end`` its edges. The average amount is over approved loans;
+    the average latency is a whole number, truncated.
+    """
+    return finished(window_partials(df, size))
+
+
 def notification_metrics(df: DataFrame, size: str = "2 seconds") -> DataFrame:
     """The notification stage's variant: all amounts count, and latency is not truncated."""
     grouped = df.groupBy(F.window("event_ts", size)).agg(

@@ -46,6 +46,15 @@ def latest_rows(df: DataFrame, column: str, among: Column | None = None) -> Data
     return df.filter(F.col(column) == greatest)
 
 
+def latest_rows_by(df: DataFrame, column: str, by: str) -> DataFrame:
+    """The rows that hold the greatest ``column`` of their ``by``. Ties are kept; a null ``by`` has none.
+
+    The greatest values are partial aggregates, a row per value of ``by``.
+    """
+    greatest = df.groupBy(by).agg(F.max(column).alias(column))
+    return df.join(greatest, [by, column], "left_semi").select(*df.columns)
+
+
 def newest(df: DataFrame, order: Sequence[str], k: int = 100) -> DataFrame:
     """Top-k by ``order`` descending: each task keeps its own k, the driver merges those."""
     return df.orderBy(*[F.col(c).desc_nulls_last() for c in order]).limit(k)

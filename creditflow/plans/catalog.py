@@ -7,6 +7,7 @@ thirty seconds and one hour.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -32,9 +33,12 @@ from creditflow.plans.inputs import (
     order_flow,
     order_requests,
     processed_flow,
-    reissue_flow,
+    processed_flow_by_key,
+    reissue_ends,
     wall_clock,
 )
+from creditflow.session import checkpoint_root
+from creditflow.sources.rollup import RollupTable
 from creditflow.sources.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -486,32 +490,32 @@ def outbox_anti(spark, folder):
 
 @query
 def npl_inputs_union(spark, folder):
-    return order_flow(spark, folder).npl
+    return order_flow(spark, folder).npl_union
 
 
 @query
 def upsert_income(spark, folder):
-    held, batch = processed_flow(spark, folder), reissue_flow(spark, folder)
+    held, batch = processed_flow_by_key(spark, folder), reissue_ends(spark, folder)
     return merge.upsert(held.income_sent, batch.income, merge.INCOME, REISSUE_ORDER)
 
 
 @query
 def upsert_npl_income(spark, folder):
-    held, batch = processed_flow(spark, folder), reissue_flow(spark, folder)
+    held, batch = processed_flow_by_key(spark, folder), reissue_ends(spark, folder)
     table_rows = outbox.hand_over(held.npl_income, outbox.NPL, held.clock("e4_produce"))
     return merge.upsert(table_rows, batch.npl_income, merge.NPL_FROM_INCOME, REISSUE_ORDER)
 
 
 @query
 def upsert_npl_request(spark, folder):
-    held, batch = processed_flow(spark, folder), reissue_flow(spark, folder)
+    held, batch = processed_flow_by_key(spark, folder), reissue_ends(spark, folder)
     table_rows = outbox.hand_over(held.npl_request, outbox.NPL, held.clock("e4_produce"))
     return merge.upsert(table_rows, batch.npl_request, merge.NPL_FROM_REQUEST, REISSUE_ORDER)
 
 
 @query
 def upsert_loan(spark, folder):
-    held, batch = processed_flow(spark, folder), reissue_flow(spark, folder)
+    held, batch = processed_flow_by_key(spark, folder), reissue_ends(spark, folder)
     return merge.upsert(held.loan_sent, batch.loan, merge.LOAN, REISSUE_ORDER)
 
 
@@ -589,6 +593,33 @@ def dash_daily(spark, folder):
     )
 
 
+def _rolled_up(spark, folder) -> DataFrame:
+    """The trailing range of a roll-up that two micro-batches have written."""
+    flow = order_flow(spark, folder)
+    rollup = RollupTable(spark, f"{checkpoint_root(spark)}/rollup-{uuid.uuid4().hex}", dashboard.DAY_MS, RANGE_MS)
+    records = metrics.event_time(flow.analytics, "timestamp")
+    late = F.col("timestamp") % 3 == 0
+    for batch_id, which in enumerate((~late, late)):
+        rollup.append(records.filter(which), "orders", batch_id)
+    return rollup.recent(RANGE_MS)
+
+
+@query
+def rollup_latest(spark, folder):
+    return dashboard.last_values(_rolled_up(spark, folder))
+
+
+@query
+def rollup_trend_30s(spark, folder):
+    means = dashboard.trend(_rolled_up(spark, folder), TREND_MS)
+    return means.select("time", *[F.round(c, 6).alias(c) for c in dashboard.TREND_FIELDS])
+
+
+@query
+def rollup_daily(spark, folder):
+    return dashboard.daily(_rolled_up(spark, folder)).withColumn("avg_amount", F.round("avg_amount", 6))
+
+
 # --- reports ----------------------------------------------------------------------------
 
 
@@ -634,11 +665,8 @@ def latest_prospect_npl(spark, folder):
 def latest_by_source(spark, folder):
     """The newest risk rows of each income source."""
     rows = order_flow(spark, folder).npl_sent
-    live, batch = (
-        reports.latest_rows(rows.filter(F.col("income_source") == source), "e4_produced_at")
-        for source in (stages.PROSPECT_SOURCE, stages.CUSTOMER_SOURCE)
-    )
-    return live.unionByName(batch)
+    known = F.col("income_source").isin(stages.PROSPECT_SOURCE, stages.CUSTOMER_SOURCE)
+    return reports.latest_rows_by(rows.filter(known), "e4_produced_at", "income_source")
 
 
 @query
@@ -706,7 +734,11 @@ def request_lookup(spark, folder):
 
 @query
 def loan_report(spark, folder):
-    return reports.loan_report(order_flow(spark, folder).loan_sent)
+    """Dealt into ranges of the sort column while the requests are raw: a sort looks at its input
+    twice, and only the first look, which finds the ranges, is before the scoring."""
+    newest_first = F.col("system_time").desc_nulls_first()
+    requests = order_requests(spark, folder).repartitionByRange(newest_first)
+    return reports.with_time_text(Flow(requests, order_draws()).loan_sent).sortWithinPartitions(newest_first)
 
 
 @query

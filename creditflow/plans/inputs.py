@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from creditflow import schemas
 from creditflow.functions.clock import DAY_MS, epoch_ms
 from creditflow.functions.draws import Draw, keyed_draws, uniform
-from creditflow.operators import outbox
+from creditflow.operators import merge, outbox
 from creditflow.operators.metrics import event_time, window_metrics
 from creditflow.operators.records import to_message
 from creditflow.plans import stages
@@ -26,14 +26,15 @@ CUSTOMER_SHARE = 0.8
 MAX_LATENCY_MS = 5000.0
 
 
+def _request_id(order_key: str) -> Column:
+    return F.concat(F.lit("req-"), F.col(order_key).cast("string"))
+
+
 def _requests(df: DataFrame, order_key: str, entity: str, date: str) -> DataFrame:
     base_ms = epoch_ms(F.col(date)) + (F.col(order_key) * 1000) % DAY_MS
-    ids = df.withColumns(
-        {
-            "request_id": F.concat(F.lit("req-"), F.col(order_key).cast("string")),
-            "application_id": F.concat(F.lit("app-"), F.col(order_key).cast("string")),
-        }
-    )
+    ids = df.withColumn("application_id", F.concat(F.lit("app-"), F.col(order_key).cast("string")))
+    if "request_id" not in df.columns:
+        ids = ids.withColumn("request_id", _request_id(order_key))
     return stages.route_requests(
         ids,
         is_customer=uniform(order_key, "is_customer") < CUSTOMER_SHARE,
@@ -118,6 +119,11 @@ class Flow:
 
     @cached_property
     def npl(self) -> DataFrame:
+        return stages.risk_rows(self.requests, self.clock, self.draw)
+
+    @cached_property
+    def npl_union(self) -> DataFrame:
+        """The same by way of the income table and of its two writers."""
         return stages.npl_inputs(self.npl_income, self.npl_request)
 
     @cached_property
@@ -171,6 +177,17 @@ def processed_flow(spark: SparkSession, folder: str) -> Flow:
     return order_flow(spark, folder).where(F.col("o_orderstatus") != "P")
 
 
+def processed_flow_by_key(spark: SparkSession, folder: str) -> Flow:
+    """The same, dealt by the request's id before anything is scored.
+
+    A merge needs its rows by key in any case. Dealt while they are raw the rows are narrow, and
+    all that is derived from them is derived behind the shuffle.
+    """
+    orders = table(spark, folder, "orders").filter(F.col("o_orderstatus") != "P")
+    raw = orders.select(_request_id("o_orderkey").alias("request_id"), "o_orderkey", "o_custkey", "o_orderdate")
+    return Flow(_requests(raw.repartition("request_id"), "o_orderkey", "o_custkey", "o_orderdate"), order_draws())
+
+
 def reissue_flow(spark: SparkSession, folder: str) -> Flow:
     """The flow of re-issued requests, one per line item: keys repeat within the batch."""
     lineitem = table(spark, folder, "lineitem")
@@ -179,5 +196,27 @@ def reissue_flow(spark: SparkSession, folder: str) -> Flow:
     )
 
 
+def reissue_ends(spark: SparkSession, folder: str) -> Flow:
+    """The flow of the first and the newest re-issue of each request.
+
+    Of a re-issue only ship date and supplier differ within its request; both go into one number
+    that ranks them as :data:`REISSUE_ORDER` does.
+    """
+    lineitem = table(spark, folder, "lineitem")
+    packed = F.shiftleft(epoch_ms(F.col("l_shipdate")), _ENTITY_BITS) + F.col("l_suppkey") % stages.ID_RANGE
+    cut = merge.ends(lineitem.select(_request_id("l_orderkey").alias("request_id"), packed.alias("packed")), "request_id", ["packed"])
+    raw = cut.select(
+        "request_id",
+        F.expr(f"cast({ORDER_KEY} as bigint)").alias("l_orderkey"),
+        F.col("packed").bitwiseAND(F.lit((1 << _ENTITY_BITS) - 1)).alias("l_suppkey"),
+        F.timestamp_millis(F.shiftright("packed", _ENTITY_BITS)).alias("l_shipdate"),
+    )
+    return Flow(_requests(raw, "l_orderkey", "l_suppkey", "l_shipdate"), reissue_draws())
+
+
+# Bits that hold any id of an entity (below ``stages.ID_RANGE``).
+_ENTITY_BITS = 20
+
+
 # Rank of a re-issued row among those of its request. Rows that tie are equal in every column.
 REISSUE_ORDER = ["system_time", "customer_id", "prospect_id"]

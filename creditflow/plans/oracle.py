@@ -12,10 +12,22 @@ YEAR = 365 * DAY
 WEEK = 7 * DAY
 
 
+#: Which 20 bits of which digest a draw is: the lowest of the first 15 digits, and so on.
+DRAWS = {
+    "npl": ("risk", 1, 0), "credit_band": ("risk", 1, 20), "credit_val": ("risk", 1, 40),
+    "is_customer": ("risk", 16, 0), "lat_e2_consume": ("risk", 16, 20), "lat_e3_consume": ("risk", 16, 40),
+    "industry": ("decision", 1, 0), "dti": ("decision", 1, 20), "stability": ("decision", 1, 40),
+    "decision": ("decision", 16, 0), "amount": ("decision", 16, 20), "lat_e4_consume": ("decision", 16, 40),
+    "lat_e1_consume": ("clock", 1, 0), "lat_e2_produce": ("clock", 1, 20), "lat_e4_produce": ("clock", 1, 40),
+    "lat_e6_produce": ("clock", 16, 0), "lat_analytics": ("clock", 16, 20), "lat_notify": ("clock", 16, 40),
+}
+
+
 def u(salt: str, key: str = "dk") -> str:
+    digest, digits, low = DRAWS.get(salt, (salt, 1, 0))
     return (
-        f"(CAST('0x' || substr(md5({key} || ':{salt}'), 1, 8) AS BIGINT)"
-        " / CAST(4294967296 AS DOUBLE))"
+        f"(((CAST('0x' || substr(md5({key} || ':{digest}'), {digits}, 15) AS BIGINT) >> {low}) & 1048575)"
+        " / CAST(1048576 AS DOUBLE))"
     )
 
 
@@ -640,6 +652,10 @@ SELECT CAST(sum(approved_count) AS BIGINT) AS approved,
          AS daily_approval_rate
 FROM recent""")
 
+    # Read from a roll-up, the figures are the same.
+    for name in ("latest", "trend_30s", "daily"):
+        sql[f"rollup_{name}"] = sql[f"dash_{name}"]
+
     def count_line(stage: str, rel: str, sent: str) -> str:
         return f"""SELECT '{stage}' AS stage, count(*) AS n_rows,
   count(*) FILTER (WHERE income_source = 'real-time') AS n_real_time,

@@ -9,6 +9,8 @@ handles it. Both are inputs, so that a run can be repeated and checked.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -132,6 +134,45 @@ def npl_inputs(from_income: DataFrame, from_request: DataFrame) -> DataFrame:
     return from_income.unionByName(from_request, allowMissingColumns=True)
 
 
+def risk_rows(requests: DataFrame, clock_of: Callable[[str], Column], draw: Draw) -> DataFrame:
+    """Rows of the risk table straight from routed requests, customers and prospects in one pass.
+
+    What :func:`npl_inputs` holds once all requests have gone their two ways: every step is a
+    function of its row, so the ways need not be taken apart. ``clock_of`` gives the wall clock of
+    a stage.
+    """
+    customer, income_at, made = F.col("is_customer"), F.col("income_requested_at"), F.col("system_time")
+    # All draws in one step: those of a digest are cut from it together.
+    salts = ("credit_band", "credit_val", "npl")
+    drawn = requests.withColumns(
+        {f"u_{salt}": draw(salt) for salt in salts}
+        | {f"_{stage}": clock.shifted(income_at, clock_of(stage), made) for stage in ("e1_consume", "e2_produce", "e2_consume")}
+        | {"_e3_consume": clock.shifted(F.col("npl_requested_at"), clock_of("e3_consume"), made)}
+    )
+    prospect_only = lambda c: F.when(~customer, F.col(c))
+    customer_only = lambda c: F.when(customer, F.col(c))
+    return conform(
+        drawn.withColumns(
+            {
+                "credit_score": scoring.credit_score(F.col("u_credit_band"), F.col("u_credit_val")),
+                "predicted_npl": scoring.npl_score(F.col("u_npl")),
+                "kafka_source": F.when(customer, schemas.TOPICS["e3"][0]).otherwise(schemas.TOPICS["e1"][0]),
+                "predicted_income": customer_only("predicted_income").otherwise(scoring.predicted_income(F.col("prospect_id"))),
+                "e1_produced_at": prospect_only("e1_produced_at"),
+                "e1_consumed_at": prospect_only("_e1_consume"),
+                "sent_to_npl": F.lit(True),
+                "e2_produced_at": prospect_only("_e2_produce"),
+                "e2_consumed_at": prospect_only("_e2_consume"),
+                "npl_requested_at": customer_only("npl_requested_at").otherwise(F.col("_e2_consume")),
+                "e3_produced_at": customer_only("e3_produced_at"),
+                "e3_consumed_at": customer_only("_e3_consume"),
+                "sent_to_ldes": F.lit(False),
+            }
+        ),
+        schemas.NPL_TABLE,
+    )
+
+
 def with_profile_draws(df: DataFrame, draw: Draw) -> DataFrame:
     """Draw the applicant's industry and, from its profile, debt ratio and job stability."""
     named = df.withColumn("employment_industry", scoring.industry(draw("industry")))

@@ -39,12 +39,14 @@ DAY_COLUMNS = ("bucket_start", "system_time")
 @dataclass
 class Snapshot:
     """``dirs`` maps a partition such as ``bucket=3`` to its directory; ``writers`` holds the
-    last batch id that each stream has merged; ``layout`` tells how rows are spread."""
+    last batch id that each stream has merged; ``layout`` tells how rows are spread; ``kind`` is
+    ``merge``, or ``mark`` where rows were only marked as sent."""
 
     version: int = 0
     dirs: dict[str, str] = field(default_factory=dict)
     writers: dict[str, int] = field(default_factory=dict)
     layout: dict[str, object] = field(default_factory=dict)
+    kind: str = "merge"
 
 
 class StageTable:
@@ -131,6 +133,7 @@ class StageTable:
         return self._rewrite(
             outbox.marks(sent, spec),
             lambda old, new: outbox.apply_marks(old, new, spec),
+            kind="mark",
         )
 
     def _bucket(self, key: Column) -> Column:
@@ -162,6 +165,7 @@ class StageTable:
         apply: Callable[[DataFrame, DataFrame], DataFrame],
         writer: str | None = None,
         batch_id: int | None = None,
+        kind: str = "merge",
     ) -> Snapshot:
         """Apply ``changes`` to the parts that hold their keys, and commit what was written.
 
@@ -194,7 +198,7 @@ class StageTable:
         dirs = {p: d for p, d in base.dirs.items() if p not in old_parts}
         dirs |= {p: f"{directory}/{p}" for p in written}
         writers = base.writers if writer is None else {**base.writers, writer: batch_id}
-        return self._commit(Snapshot(base.version + 1, dirs, writers, self.layout))
+        return self._commit(Snapshot(base.version + 1, dirs, writers, self.layout, kind))
 
     def _written(self, path: str, depth: int) -> list[str]:
         """The parts that a merge has written."""

@@ -6,16 +6,20 @@ a replayed micro-batch is recognised by its id, or writes the same keys again.
 
 from __future__ import annotations
 
+import json
 import time
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StructType
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from creditflow.operators import alerts, merge, metrics, outbox
-from creditflow.sources.stage_table import StageTable
+from creditflow.operators.counter import running_count
+from creditflow.sources import files
+from creditflow.sources.rollup import RollupTable
+from creditflow.sources.stage_table import Snapshot, StageTable
 from creditflow.sources.topics import append_topic, decode, encode, split_bad
 from creditflow.streaming.state import count_events
 
@@ -60,6 +64,22 @@ def _not_fewer(batch: DataFrame, held: DataFrame, key: str, counts: Sequence[str
     return joined.filter(F.col("_held").isNull() | (total(batch) >= F.col("_held"))).drop("_held")
 
 
+def _read_messages(
+    batch: DataFrame, batch_id: int, message: StructType | None, fmt: str, rejects: str | None
+) -> DataFrame:
+    """The records of a micro-batch of (key, value) pairs, or the batch itself without ``message``.
+
+    A bad message fails the job, or goes to the folder ``rejects`` with its reason (JSON only).
+    """
+    if message is None:
+        return batch
+    if rejects is None:
+        return decode(batch, message, fmt)
+    rows, bad = split_bad(batch, message)
+    bad.write.mode("overwrite").parquet(_own_folder(rejects, batch, batch_id))
+    return rows
+
+
 def run_publish(
     source: DataFrame,
     topic_path: str,
@@ -127,12 +147,7 @@ def run_upsert(
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        rows = batch
-        if message is not None and rejects is not None:
-            rows, bad = split_bad(batch, message)
-            bad.write.mode("overwrite").parquet(_own_folder(rejects, batch, batch_id))
-        elif message is not None:
-            rows = decode(batch, message, fmt)
+        rows = _read_messages(batch, batch_id, message, fmt, rejects)
         target.merge(rows.transform(transform), spec, order, _writer(batch, name), batch_id)
 
     return (
@@ -161,7 +176,16 @@ def run_outbox(
     between the next pass sends the same keys again, which the keyed stage behind absorbs. A row
     that was upserted meanwhile is not marked, so its new state goes out with the next pass.
     """
-    todo = outbox.pending(table.read() if since_ms is None else table.since(since_ms), spec)
+    rows = table.read() if since_ms is None else table.since(since_ms)
+    return _send(table, rows, spec, topic_path, proc_ms, fmt, broker)
+
+
+def _send(
+    table: StageTable, rows: DataFrame, spec: outbox.OutboxSpec, topic_path: str,
+    proc_ms: Column | None = None, fmt: str | None = None, broker: dict[str, str] | None = None,
+) -> bool:
+    """Send and mark the pending ones of some rows of a table."""
+    todo = outbox.pending(rows, spec)
     if todo.isEmpty():
         return False
     if proc_ms is None:  # one reading of the clock, so that message and mark agree
@@ -190,6 +214,103 @@ def poll_outbox(
     )
 
 
+def run_outbox_log(
+    table: StageTable, spec: outbox.OutboxSpec, topic_path: str, name: str,
+    checkpoint: str | None = None, trigger: dict = DRAIN, **options,
+) -> StreamingQuery:
+    """Outbox passes driven by the table's log of versions, read as a stream.
+
+    Each merge leaves a version file that names the parts it wrote; only there can rows have become
+    pending. The query's checkpoint holds the position in the log: a pass reads the parts of the
+    versions behind it, and where there is no new version no table file is read at all. Versions
+    that a pass itself left, by marking, are no news. Versions that are gone (``expire``) before
+    they were read leave a gap in their numbers; then the whole table is looked through. A pass
+    that fails is repeated with the same versions. ``options`` as for :func:`run_outbox`.
+    """
+    files.make(table.spark, f"{table.path}/commits")
+    log = table.spark.readStream.option("wholetext", True).text(f"{table.path}/commits")
+    position: list[int] = []
+
+    def write(batch: DataFrame, _batch_id: int) -> None:
+        # One small row per version since the last pass.
+        news = sorted((Snapshot(**json.loads(r.value)) for r in batch.collect()), key=lambda s: s.version)
+        if not news:
+            return
+        numbers = [s.version for s in news]
+        # A query that goes on after a restart can't tell whether versions have gone meanwhile.
+        known = position[0] if position else (0 if _batch_id == 0 else None)
+        whole = known is None or numbers != list(range(known + 1, numbers[-1] + 1))
+        position[:] = [numbers[-1]]
+        changed = {p for s in news if s.kind == "merge" for p, d in s.dirs.items() if d.startswith(f"{s.version:020d}-")}
+        now = table.snapshot()
+        parts = None if whole else sorted(changed & now.dirs.keys())
+        if whole or parts:
+            _send(table, table.read(now, parts), spec, topic_path, **options)
+
+    return (
+        log.writeStream.foreachBatch(write)
+        .queryName(name)
+        .option("checkpointLocation", _checkpoint(log, checkpoint, name))
+        .trigger(**trigger)
+        .start()
+    )
+
+
+def run_counted_publish(
+    source: DataFrame,
+    key: str,
+    ts: str,
+    tie: str,
+    totals: StageTable,
+    topic_path: str,
+    name: str,
+    checkpoint: str | None = None,
+    slice_ms: int = 60_000,
+    trigger: dict = DRAIN,
+) -> StreamingQuery:
+    """Records to a directory topic with ``event_count``, the running count of their key.
+
+    Inside a micro-batch rows count in the order of ``ts`` and ``tie``, slice by slice
+    (:func:`creditflow.operators.counter.running_count`), so a key that holds most of the rows is
+    spread over tasks; between micro-batches only one number per key is kept, in ``totals`` (see
+    :func:`totals_schema`). Rows without a key count together. A micro-batch writes its own folder
+    before its totals are merged, and is left alone once they are: a replay changes nothing.
+    """
+    spec = merge.MergeSpec(name="totals", table=totals.schema, key="key", refresh=("event_count",))
+    own = lambda df: df.withColumn("_total_key", F.coalesce(F.concat(F.lit("="), F.col(key).cast("string")), F.lit("")))
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        writer = _writer(batch, name)
+        before = totals.snapshot()
+        if before.writers.get(writer, -1) >= batch_id:
+            return
+        held = totals.read(before).select(F.col("key").alias("_total_key"), F.col("event_count").alias("_held"))
+        fresh = own(batch).groupBy("_total_key").agg(F.count(F.lit(1)).alias("_new")).join(held, "_total_key", "left")
+        fresh = fresh.withColumn("_held", F.coalesce("_held", F.lit(0))).persist()
+        try:
+            counted = running_count(batch, key, ts, tie, slice_ms)
+            out = own(counted).join(fresh.select("_total_key", "_held"), "_total_key")
+            out = out.withColumn("event_count", F.col("event_count") + F.col("_held")).select(*counted.columns)
+            out.write.mode("overwrite").parquet(_own_folder(topic_path, batch, batch_id))
+            new = fresh.select(F.col("_total_key").alias("key"), (F.col("_held") + F.col("_new")).alias("event_count"))
+            totals.merge(new, spec, ["event_count"], writer, batch_id)
+        finally:
+            fresh.unpersist()
+
+    return (
+        source.writeStream.foreachBatch(write)
+        .queryName(name)
+        .option("checkpointLocation", _checkpoint(source, checkpoint, name))
+        .trigger(**trigger)
+        .start()
+    )
+
+
+def totals_schema() -> StructType:
+    """Columns of a table of totals, keyed by ``key``: the key's text behind ``=``, empty for none."""
+    return StructType([StructField("key", StringType()), StructField("event_count", LongType())])
+
+
 def run_metrics(
     source: DataFrame,
     transform: Transform,
@@ -205,6 +326,9 @@ def run_metrics(
     as_lines: Transform = metrics.line_protocol,
     more_of: Sequence[str] | None = ("approved_count", "rejected_count"),
     trigger: dict = DRAIN,
+    message: StructType | None = None,
+    fmt: str = "json",
+    skip_bad: bool = False,
 ) -> StreamingQuery:
     """Records to window metrics.
 
@@ -216,8 +340,14 @@ def run_metrics(
     not replaced by one that counts fewer records (the sum of ``more_of``), so a query that
     starts over on a topic that has lost its oldest records leaves complete windows as they are.
     ``lines`` also appends the windows as text, for a store that overwrites a point in the same
-    way. Without either, metrics go nowhere.
+    way. Without either, metrics go nowhere. With ``message`` the source holds (key, value) pairs;
+    a bad one fails the job, or is left to :func:`run_rejects` with ``skip_bad`` (JSON only).
+
+    Without ``delay`` the state grows by a row per window for good; :func:`run_rollup` keeps none,
+    and :func:`creditflow.streaming.windows.run_windows` emits each window once and drops its state.
     """
+    if message is not None:
+        source = split_bad(source, message)[0] if skip_bad else decode(source, message, fmt)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         writer = _writer(batch, name)
@@ -247,6 +377,58 @@ def run_metrics(
     )
 
 
+def run_rejects(
+    source: DataFrame, message: StructType, folder: str, name: str = "rejects",
+    checkpoint: str | None = None, trigger: dict = DRAIN,
+) -> StreamingQuery:
+    """The bad ones of a source's (key, value) pairs, with their reason, exactly once."""
+    return (
+        split_bad(source, message)[1]
+        .writeStream.format("parquet")
+        .queryName(name)
+        .option("checkpointLocation", _checkpoint(source, checkpoint, name))
+        .trigger(**trigger)
+        .start(folder)
+    )
+
+
+def run_rollup(
+    source: DataFrame,
+    transform: Transform,
+    table: RollupTable,
+    name: str,
+    checkpoint: str | None = None,
+    ts: str = "timestamp",
+    fold_every: int | None = 100,
+    trigger: dict = DRAIN,
+    message: StructType | None = None,
+    fmt: str = "json",
+    rejects: str | None = None,
+) -> StreamingQuery:
+    """Records to the partials of their windows, which dashboards read.
+
+    ``ts`` is the event time of a record in milliseconds. Nothing is kept in a state and no record
+    is too late: each micro-batch appends its own partials. Every ``fold_every`` micro-batches
+    those before are added up in one folder.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        rows = _read_messages(batch, batch_id, message, fmt, rejects)
+        writer = _writer(batch, "").removeprefix("@")
+        table.append(metrics.event_time(rows.transform(transform), ts), writer, batch_id)
+        if fold_every and batch_id and batch_id % fold_every == 0:
+            # The batch itself may yet be replayed; those before it can't.
+            table.fold(writer, batch_id - 1)
+
+    return (
+        source.writeStream.foreachBatch(write)
+        .queryName(name)
+        .option("checkpointLocation", _checkpoint(source, checkpoint, name))
+        .trigger(**trigger)
+        .start()
+    )
+
+
 def run_notifications(
     source: DataFrame,
     transform: Transform,
@@ -256,6 +438,9 @@ def run_notifications(
     threshold: float = alerts.ALERT_RISK,
     environment: str = "development",
     trigger: dict = DRAIN,
+    message: StructType | None = None,
+    fmt: str = "json",
+    rejects: str | None = None,
 ) -> StreamingQuery:
     """One stream, two sinks: tagged points, and alerts as JSON lines.
 
@@ -264,7 +449,8 @@ def run_notifications(
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        records = batch.transform(transform).persist()
+        rows = _read_messages(batch, batch_id, message, fmt, rejects)
+        records = rows.transform(transform).persist()
         try:
             alerts.tagged_notifications(records, environment).write.mode("overwrite").parquet(
                 _own_folder(f"{out}/points", batch, batch_id)
