@@ -30,7 +30,10 @@ LEAST = 2
 #: Unseen words that a worker remembers.
 MEMORY = 200_000
 UNKNOWN = "und"
-_WORD = re.compile(r"[^\W\d_]+")
+#: Numerals such as fractions and Roman numbers count as word characters but are no letters; beyond
+#: these code points there are none.
+_NUMERALS = "".join(c for c in map(chr, range(0x20000)) if c.isnumeric() and not c.isdecimal() and not c.isalpha())
+_WORD = re.compile(rf"[^\W\d_{_NUMERALS}]+")
 
 
 def grams(word: str, n: int) -> list[str]:

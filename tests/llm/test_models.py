@@ -48,6 +48,15 @@ def test_language_of_hard_rows(spark, documents):
     assert {r["lang_pred"] for r in langid.identified(documents(rows), nothing, ["doc_id"]).collect()} == {"und"}
 
 
+def test_numerals_are_no_letters(spark, documents):
+    model = langid.fit(documents([(k, "alpha beta gamma") for k in range(5)], clash=False), fresh(spark))
+    texts = ["\u00bd \u00b2", "\u2460", "\u2167", "\U00010107", "12 _ .", "alpha\u00b2", "\u00bdbeta"]
+    got = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in langid.identified(documents(list(enumerate(texts)), clash=False), model, ["doc_id"]).collect()}
+    assert [got[k] for k in range(5)] == [("und", 0.0)] * 5 and got[5][0] == got[6][0] == "en"
+    every = "".join(map(chr, [*range(0xD800), *range(0xE000, 0x110000)]))
+    assert set("".join(langid._WORD.findall(every))) == {c for c in every if c.isalpha()}
+
+
 def test_unseen_words_back_off_to_the_longest_known_grams():
     model = langid.Model.of(["a", "b"], [("a", "xx", 2)], [("a", "abc", 2), ("b", "ab", 4), ("b", "z", 2)])
     assert np.array_equal(model.backoff("abcd"), model.gram_logs[model.grams["abc"]])
