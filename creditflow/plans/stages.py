@@ -142,7 +142,7 @@ def risk_rows(requests: DataFrame, clock_of: Callable[[str], Column], draw: Draw
     a stage.
     """
     customer, income_at, made = F.col("is_customer"), F.col("income_requested_at"), F.col("system_time")
-    # All draws in one step: those of a digest are cut from it together.
+    # Draws and clocks first, as columns: each is computed once however often it is used.
     salts = ("credit_band", "credit_val", "npl")
     drawn = requests.withColumns(
         {f"u_{salt}": draw(salt) for salt in salts}
