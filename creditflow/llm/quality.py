@@ -7,9 +7,10 @@ temperature that is fitted on a part of the sample that the network hasn't seen.
 
 Words are runs of letters and digits, and runs of other signs. All have a vector of their own,
 whole numbers in a table: the ``HEAD`` most frequent at most are broadcast, the others are joined
-with the texts that hold them. Copies of a text are pooled once. Only the network and the
-temperature learn from a sample, of about ``SAMPLE`` labelled documents at most, picked by the
-hash of their ids.
+with the texts that hold them, in ``ROUNDS`` rounds of which each takes its share of the words and
+frees its shuffle files. Unit vectors are fixed-point numbers, so sums don't depend on their
+order. Only the network and the temperature learn from a sample, of about ``SAMPLE`` labelled
+documents at most, picked by the hash of their ids.
 """
 
 from __future__ import annotations
@@ -34,8 +35,15 @@ HIDDEN = 32
 POOL_BYTES = 1 << 19
 #: Words and occurrences that a task sums before it sends them on; sums stay below 2**31.
 HELD_WORDS, HELD_TOKENS = 1 << 16, 1 << 26
+#: Rounds in which the words outside the head are joined.
+ROUNDS = 4
+#: One in the fixed-point numbers of unit vectors.
+ONE = 1 << 20
+_ENTRY = np.dtype([("word", "<i8"), ("n", "<i4")])
 _U = np.uint64
 _TEXT = "h1 long, h2 long"
+_OWN = ("h1", "h2", "size", "sums")
+_TAILS = [f"tail{k}" for k in range(ROUNDS)]
 
 
 def _both(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -76,6 +84,12 @@ def _bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, np.uint8) if data is not None and data.size else np.empty(0, np.uint8), offsets
 
 
+def _binary(data: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """Binary values that follow each other in ``data`` and end where ``ends`` says."""
+    offsets = np.append(0, ends).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(ends), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(data))])
+
+
 def _floats(column: pa.Array) -> np.ndarray:
     data, offsets = _bytes(column)
     return data[offsets[0] : offsets[-1]].view(np.float64).reshape(-1, DIMENSIONS)
@@ -185,11 +199,18 @@ def contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             held.append(_neighbours(words, first))
             rows, tokens = rows + len(held[-1][0]), tokens + len(words)
             if rows >= 2 * HELD_WORDS or tokens >= HELD_TOKENS:
-                held = [_summed(*(np.concatenate(x) for x in zip(*held)))]
-                rows = len(held[0][0])
-                if rows >= HELD_WORDS or tokens >= HELD_TOKENS:
-                    yield _rows(*held[0])
-                    held, rows, tokens = [], 0, 0
+                words, n, sums = _summed(*(np.concatenate(x) for x in zip(*held)))
+                held = [(words, n, sums)]
+                if tokens >= HELD_TOKENS:
+                    yield _rows(words, n, sums)
+                    held, tokens = [], 0
+                elif len(words) >= HELD_WORDS:
+                    # The frequent words stay, so that a task sends each of them once.
+                    order = np.argsort(n, kind="stable")
+                    rare, frequent = (np.sort(x) for x in (order[: -HELD_WORDS // 2], order[-HELD_WORDS // 2 :]))
+                    yield _rows(words[rare], n[rare], sums[rare])
+                    held = [(words[frequent], n[frequent], sums[frequent])]
+                rows = sum(len(x[0]) for x in held)
     if held:
         yield _rows(*_summed(*(np.concatenate(x) for x in zip(*held))))
     del held
@@ -197,23 +218,23 @@ def contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One row per word from rows sorted by word."""
+    """One row per word from rows sorted by word; a word without neighbours has its own index vector."""
     for table, _ in whole_groups(batches, ["word"], rows=1 << 14):
         words, n = (table.column(c).to_numpy() for c in ("word", "n"))
         words, n, sums = _summed(words, n, _numbers(table.column("sums")).astype(np.int64))
+        alone = np.flatnonzero(~sums.any(axis=1))
+        sums[alone] = index_vectors(words[alone].view(np.uint64))
         yield _rows(words, n, sums)
 
 
-def units(words: np.ndarray, sums: np.ndarray) -> np.ndarray:
-    """Unit vectors of words; a word without neighbours has its own index vector."""
+def units(sums: np.ndarray) -> np.ndarray:
+    """Unit vectors of words, as fixed-point numbers."""
     sums = sums.astype(np.float64)
-    alone = np.flatnonzero(~np.abs(sums).any(axis=1))
-    sums[alone] = index_vectors(words[alone].view(np.uint64))
-    return sums / np.maximum(np.sqrt((sums * sums).sum(axis=1, keepdims=True)), 1e-9)
+    return np.rint(sums * (ONE / np.maximum(np.sqrt((sums * sums).sum(axis=1, keepdims=True)), 1e-9))).astype(np.int64)
 
 
 def look_up(head, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Each text's sum over the words of the head, and its other words with their counts."""
+    """Each text's sum over the words of the head, and its other words with their counts, by round."""
     known, vectors = head.value
     for batch in batches:
         for at, to, data, offsets in T.blocks(batch.column("text"), POOL_BYTES):
@@ -223,48 +244,73 @@ def look_up(head, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             found = known[place] == names if len(known) else np.zeros(len(names), dtype=bool)
             # Words outside the head take the last row, which is zero.
             place = np.where(found, place, len(known))[local]
-            out, n = np.zeros((to - at, DIMENSIONS)), np.diff(first)
+            out, n = np.zeros((to - at, DIMENSIONS), dtype=np.int64), np.diff(first)
             # Long texts are summed in parts.
             for i in np.flatnonzero(n):
                 for k in range(first[i], first[i + 1], 1 << 16):
-                    out[i] += vectors[place[k : min(k + (1 << 16), first[i + 1])]].sum(axis=0, dtype=np.float64)
+                    out[i] += vectors[place[k : min(k + (1 << 16), first[i + 1])]].sum(axis=0, dtype=np.int64)
             rest = np.flatnonzero(place == len(known))
             doc = np.searchsorted(first, rest, side="right") - 1
-            pairs, many = np.unique(np.stack([doc, local[rest]]), axis=1, return_counts=True) if len(rest) else (np.zeros((2, 0), np.int64), rest)
-            cut = np.searchsorted(pairs[0], np.arange(to - at + 1))
-            tail = np.stack([names[pairs[1]].view(np.int64), many], axis=1)
+            pairs, many = np.unique(doc * len(names) + local[rest], return_counts=True)
+            doc, word = np.divmod(pairs, max(1, len(names)))
+            entries = np.empty(len(pairs), dtype=_ENTRY)
+            entries["word"], entries["n"] = names[word].view(np.int64), many
+            turn, tails = names[word] % _U(ROUNDS), []
+            for k in range(ROUNDS):
+                mine = np.flatnonzero(turn == _U(k))
+                tails.append(_binary(entries[mine], np.searchsorted(doc[mine], np.arange(1, to - at + 1)) * _ENTRY.itemsize))
             part = batch.slice(at, to - at)
             yield pa.RecordBatch.from_arrays(
-                [part.column("h1"), part.column("h2"), pa.array(n, pa.int64()), _packed(out), pa.array([tail[a:b].tobytes() for a, b in zip(cut, cut[1:])], pa.binary())],
-                names=["h1", "h2", "n", "x", "tail"],
+                [part.column("h1"), part.column("h2"), pa.array(n, pa.int64()), _planes(out), *tails],
+                names=["h1", "h2", "size", "sums", *_TAILS],
             )
 
 
 def tail_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A row per text and word outside the head."""
     for batch in batches:
-        tails = [np.frombuffer(x, np.int64).reshape(-1, 2) for x in batch.column("tail").to_pylist()]
-        many = np.array([len(x) for x in tails], dtype=np.int64)
-        both = np.concatenate([*tails, np.empty((0, 2), np.int64)])
-        keys = [pa.array(np.repeat(batch.column(c).to_numpy(), many)) for c in ("h1", "h2")]
+        data, offsets = _bytes(batch.column(1))
+        both = data[offsets[0] : offsets[-1]].view(_ENTRY)
+        texts = np.repeat(batch.column("text").to_numpy(), np.diff(offsets) // _ENTRY.itemsize)
         for k in range(0, len(both), 1 << 16):
             part = slice(k, k + (1 << 16))
-            yield pa.RecordBatch.from_arrays([*(x[part] for x in keys), pa.array(both[part, 0]), pa.array(both[part, 1])], names=["h1", "h2", "word", "n"])
+            columns = (texts[part], np.ascontiguousarray(both["word"][part]), np.ascontiguousarray(both["n"][part]))
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names=["text", "word", "n"])
 
 
 def pool(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The mean word vector of each text, zero without words, from rows sorted by text and word."""
-    for table, bounds in whole_groups(batches, ["h1", "h2"], rows=1 << 12):
-        n = table.column("n").to_numpy()
-        # The first row of a text is that of its whole, others those of its words outside the head.
-        whole = np.zeros(len(n), dtype=bool)
-        whole[bounds] = True
-        out = np.zeros((len(n), DIMENSIONS))
-        out[whole] = _floats(table.column("x").filter(pa.array(whole)))
-        words = table.column("word").filter(pa.array(~whole)).to_numpy()
-        out[~whole] = units(words, _numbers(table.column("sums").filter(pa.array(~whole)))) * n[~whole, None]
-        x = np.add.reduceat(out, bounds, axis=0) / np.maximum(n[bounds], 1)[:, None]
-        yield pa.RecordBatch.from_arrays([*(table.column(c).combine_chunks().take(pa.array(bounds)) for c in ("h1", "h2")), _packed(x)], names=["h1", "h2", "x"])
+    """Sums of each text so far (rows without ``n``) and of words it holds ``n`` times, from rows sorted by text."""
+    held = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        n = batch.column("n").fill_null(0).to_numpy(zero_copy_only=False)
+        rows, of_word = _numbers(batch.column("sums")).astype(np.int64), n > 0
+        rows[of_word] = units(rows[of_word]) * n[of_word, None]
+        texts = batch.column("text").to_numpy()
+        # Only the row of the sums so far has these; they add up to themselves.
+        own = np.stack([batch.column(c).fill_null(0).to_numpy(zero_copy_only=False) for c in ("h1", "h2", "size")], axis=1)
+        if held is not None:
+            texts, own, rows = (np.concatenate(x) for x in zip(held, (texts, own, rows)))
+        heads = _heads(texts)
+        texts, own, rows = texts[heads], np.add.reduceat(own, heads, axis=0), np.add.reduceat(rows, heads, axis=0)
+        held = texts[-1:], own[-1:], rows[-1:]
+        if len(texts) > 1:
+            yield _sums(texts[:-1], own[:-1], rows[:-1])
+    if held is not None:
+        yield _sums(*held)
+
+
+def _sums(texts: np.ndarray, own: np.ndarray, rows: np.ndarray) -> pa.RecordBatch:
+    columns = [pa.array(texts), *(pa.array(np.ascontiguousarray(x)) for x in own.T), _planes(rows)]
+    return pa.RecordBatch.from_arrays(columns, names=["text", "h1", "h2", "size", "sums"])
+
+
+def means(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The mean word vector of each text, zero without words."""
+    for batch in batches:
+        x = _numbers(batch.column("sums")) / (np.maximum(batch.column("size").to_numpy(), 1)[:, None] * float(ONE))
+        yield pa.RecordBatch.from_arrays([batch.column("h1"), batch.column("h2"), _packed(x)], names=["h1", "h2", "x"])
 
 
 class WordVectors:
@@ -274,6 +320,8 @@ class WordVectors:
         parts = docs.select("text").mapInArrow(contexts, "word long, n long, sums binary")
         summed = parts.repartition("word").sortWithinPartitions("word").mapInArrow(add_up, "word long, n long, sums binary")
         self.words, self.scratch = scratch.table(summed, "words"), scratch
+        del parts, summed
+        scratch.release()
         # The head's least count, on a fixed scale of counts, so that few rows decide it.
         level = F.floor(F.log2("n") * 16)
         self.level, room = 1 << 30, HEAD
@@ -285,20 +333,32 @@ class WordVectors:
         head = self.words.where(level >= self.level).select("word", "sums").toArrow()
         names = head.column("word").to_numpy().view(np.uint64)
         order = np.argsort(names)
-        vectors = units(names, _numbers(head.column("sums"))).astype(np.float32)[order]
-        self.head = docs.sparkSession.sparkContext.broadcast((names[order], np.vstack([vectors, np.zeros((1, DIMENSIONS), np.float32)])))
+        vectors = units(_numbers(head.column("sums"))).astype(np.int32)[order]
+        self.head = docs.sparkSession.sparkContext.broadcast((names[order], np.vstack([vectors, np.zeros((1, DIMENSIONS), np.int32)])))
         self.tail = self.words.where(level < self.level).select("word", "sums")
 
     def pooled(self, docs: DataFrame) -> DataFrame:
-        """``(h1, h2, x)``: the mean word vector of each distinct text, by its hashes."""
-        seen = docs.select(*text_key("text"), "text").mapInArrow(narrow(look_up, self.head), f"{_TEXT}, n long, x binary, tail binary")
-        seen = seen.groupBy("h1", "h2").agg(*(F.first(c).alias(c) for c in ("n", "x", "tail")))
-        seen = self.scratch.table(seen, "seen")
-        rest = seen.select("h1", "h2", "tail").where(F.length("tail") > 0).mapInArrow(tail_rows, f"{_TEXT}, word long, n long")
-        rest = rest.join(self.tail, "word", "left").select("h1", "h2", F.lit(1).alias("part"), "word", "n", F.lit(None).cast("binary").alias("x"), "sums")
-        whole = seen.select("h1", "h2", F.lit(0).alias("part"), F.lit(0).cast("long").alias("word"), "n", "x", F.lit(None).cast("binary").alias("sums"))
-        met = whole.union(rest).repartition("h1", "h2").sortWithinPartitions("h1", "h2", "part", "word")
-        return met.mapInArrow(pool, f"{_TEXT}, x binary")
+        """``(h1, h2, x)``: the mean word vector of each row's text, by the text's hashes."""
+        tails = "".join(f", {c} binary" for c in _TAILS)
+        seen = docs.select(*text_key("text"), "text").mapInArrow(narrow(look_up, self.head), f"{_TEXT}, size long, sums binary{tails}")
+        # Numbers of rows are short in a shuffle; they are fixed by being written.
+        seen = self.scratch.table(seen.withColumn("text", F.monotonically_increasing_id()), "seen")
+        found = seen.select("text", *_OWN)
+        for k, tail in enumerate(_TAILS):
+            if k:
+                found = self.scratch.table(found, "sums")
+                self.scratch.release()
+            rest = seen.select("text", tail).where(F.length(tail) > 0).mapInArrow(tail_rows, "text long, word long, n int")
+            rest = rest.join(self.tail.where(_round("word") == k), "word").select("text", "n", "sums", *(F.lit(None).cast("long").alias(c) for c in ("h1", "h2", "size")))
+            whole = found.select("text", F.lit(None).cast("int").alias("n"), "sums", "h1", "h2", "size")
+            met = whole.union(rest).repartition("text").sortWithinPartitions("text")
+            found = met.mapInArrow(pool, f"text long, {_TEXT}, size long, sums binary")
+        return found.mapInArrow(means, f"{_TEXT}, x binary")
+
+
+def _round(word: str) -> F.Column:
+    """The round of a word: its hash, taken as unsigned, modulo the number of rounds, a power of two."""
+    return F.col(word).bitwiseAND(F.lit(ROUNDS - 1))
 
 
 def text_key(text: str) -> list[F.Column]:
@@ -361,7 +421,7 @@ def train(x: np.ndarray, y: np.ndarray, rounds: int = 400, rate: float = 0.01, d
 
 
 def score_rows(net, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The score of each text in place of its vector."""
+    """The score of each row's text in place of its vector."""
     for batch in batches:
         scores = net.value.probabilities(_floats(batch.column("x")))
         yield pa.RecordBatch.from_arrays([batch.column("h1"), batch.column("h2"), pa.array(scores)], names=["h1", "h2", "_score"])
@@ -379,7 +439,8 @@ def fit(docs: DataFrame, labels: DataFrame, scratch: Scratch, label: str = "qual
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(picked), "doc_id")
     sample = scratch.table(texts, "sample")
     vectors = WordVectors(docs, scratch)
-    rows = sample.select("doc_id", "label", *text_key("text")).join(vectors.pooled(sample), ["h1", "h2"])
+    found = vectors.pooled(sample).dropDuplicates(["h1", "h2"])
+    rows = sample.select("doc_id", "label", *text_key("text")).join(found, ["h1", "h2"])
     rows = rows.select("doc_id", "h1", "h2", "label", "x").toArrow().sort_by([(c, "ascending") for c in ("doc_id", "h1", "h2")])
     return vectors, train(_floats(rows.column("x")), rows.column("label").to_numpy())
 
@@ -393,7 +454,10 @@ def scored(docs: DataFrame, model, keep: list[str]) -> DataFrame:
     vectors, net = model
     net = docs.sparkSession.sparkContext.broadcast(net)
     scores = vectors.pooled(docs).mapInArrow(narrow(score_rows, net), f"{_TEXT}, _score double")
-    scores = vectors.scratch.table(scores, "scores").toDF("_h1", "_h2", "_score")
+    scores = vectors.scratch.table(scores.groupBy("h1", "h2").agg(F.max("_score").alias("_score")), "scores").toDF("_h1", "_h2", "_score")
+    vectors.scratch.release()
     h1, h2 = text_key("text")
-    source = docs.select(*keep, h1.alias("_h1"), h2.alias("_h2"))
-    return source.join(scores, ["_h1", "_h2"]).select(*keep, "_score")
+    # Kept columns lie in a struct, where their names meet no others.
+    row = F.struct(*(F.col(f"`{c}`") for c in keep)).alias("row")
+    source = docs.select(row, h1.alias("_h1"), h2.alias("_h2"))
+    return source.join(scores, ["_h1", "_h2"]).select(*(F.col(f"row.`{c}`").alias(c) for c in keep), "_score")

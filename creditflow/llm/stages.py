@@ -18,7 +18,8 @@ def good_documents(spark: SparkSession, docs: DataFrame, folder: str) -> DataFra
     """Documents that the quality classifier doesn't reject; learnt from the labels table."""
     scratch = Scratch(spark, "quality")
     model = quality.fit(docs, table(spark, folder, "labels"), scratch)
-    return quality.scored(docs, model, docs.columns).where(F.col("_score") >= GOOD).drop("_score")
+    rows = docs.select("text", F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
+    return quality.scored(rows, model, ["row"]).where(F.col("_score") >= GOOD).select("row.*")
 
 
 def deduplicated(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
