@@ -33,8 +33,8 @@ HEAD = 1 << 17
 HIDDEN = 32
 #: Bytes of text pooled at once; a block holds a vector per word.
 POOL_BYTES = 1 << 19
-#: Words and occurrences that a task sums before it sends them on; sums stay below 2**31.
-HELD_WORDS, HELD_TOKENS = 1 << 16, 1 << 26
+#: Words (264 bytes each) and occurrences that a task sums before it sends them on; sums stay below 2**31.
+HELD_WORDS, HELD_TOKENS = 1 << 18, 1 << 26
 #: Rounds in which the words outside the head are joined.
 ROUNDS = 4
 #: One in the fixed-point numbers of unit vectors.
@@ -188,31 +188,56 @@ def _neighbours(words: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.nd
     return names, n, sums
 
 
+class Held:
+    """Counts and sums of a task's words; full, it gives away the rarer half, so frequent words are sent once."""
+
+    def __init__(self, room: int):
+        self.words, self.slots = np.empty(0, np.uint64), np.empty(0, np.int64)
+        self.n, self.sums, self.tokens = np.zeros(room, np.int64), np.zeros((room, DIMENSIONS), np.int32), 0
+
+    def add(self, words: np.ndarray, n: np.ndarray, sums: np.ndarray) -> None:
+        """Add sorted distinct words for which there is room."""
+        place = np.searchsorted(self.words, words)
+        met = self.words[np.minimum(place, max(0, len(self.words) - 1))] == words if len(self.words) else np.zeros(len(words), dtype=bool)
+        slots = np.empty(len(words), dtype=np.int64)
+        slots[met] = self.slots[place[met]]
+        slots[~met] = len(self.words) + np.arange((~met).sum())
+        self.words, self.slots = np.insert(self.words, place[~met], words[~met]), np.insert(self.slots, place[~met], slots[~met])
+        self.n[slots] += n
+        self.sums[slots] += sums
+        self.tokens += int(n.sum())
+
+    def give(self, keep: int) -> Iterator[pa.RecordBatch]:
+        """All words but the ``keep`` most frequent, which stay."""
+        order = np.argsort(-self.n[self.slots], kind="stable")
+        kept, given = np.sort(order[:keep]), np.sort(order[keep:])
+        for k in range(0, len(given), 1 << 14):
+            part = given[k : k + (1 << 14)]
+            yield _rows(self.words[part], self.n[self.slots[part]], self.sums[self.slots[part]])
+        stay = self.slots[kept]
+        n, sums = self.n[stay], self.sums[stay]
+        self.n[:], self.sums[:] = 0, 0
+        self.n[: len(kept)], self.sums[: len(kept)] = n, sums
+        self.words, self.slots, self.tokens = self.words[kept], np.arange(len(kept)), int(n.sum())
+
+
 def contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Counts of, and sums of the neighbours' index vectors for, each word in parts of this task."""
-    held, rows, tokens = [], 0, 0
+    held = Held(HELD_WORDS)
     for batch in batches:
         for _, _, data, offsets in T.blocks(batch.column("text"), POOL_BYTES):
             words, first = _both(data, offsets)
             if not len(words):
                 continue
-            held.append(_neighbours(words, first))
-            rows, tokens = rows + len(held[-1][0]), tokens + len(words)
-            if rows >= 2 * HELD_WORDS or tokens >= HELD_TOKENS:
-                words, n, sums = _summed(*(np.concatenate(x) for x in zip(*held)))
-                held = [(words, n, sums)]
-                if tokens >= HELD_TOKENS:
-                    yield _rows(words, n, sums)
-                    held, tokens = [], 0
-                elif len(words) >= HELD_WORDS:
-                    # The frequent words stay, so that a task sends each of them once.
-                    order = np.argsort(n, kind="stable")
-                    rare, frequent = (np.sort(x) for x in (order[: -HELD_WORDS // 2], order[-HELD_WORDS // 2 :]))
-                    yield _rows(words[rare], n[rare], sums[rare])
-                    held = [(words[frequent], n[frequent], sums[frequent])]
-                rows = sum(len(x[0]) for x in held)
-    if held:
-        yield _rows(*_summed(*(np.concatenate(x) for x in zip(*held))))
+            names, n, sums = _neighbours(words, first)
+            if len(held.words) + len(names) > HELD_WORDS or held.tokens + len(words) > HELD_TOKENS:
+                yield from held.give(HELD_WORDS // 2 if held.tokens + len(words) <= HELD_TOKENS else 0)
+            if len(held.words) + len(names) > HELD_WORDS or len(words) > HELD_TOKENS:
+                # A long text's own words.
+                yield _rows(names, n, sums)
+            else:
+                held.add(names, n, sums)
+    yield from held.give(0)
     del held
     return_memory()
 
@@ -245,10 +270,10 @@ def look_up(head, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             # Words outside the head take the last row, which is zero.
             place = np.where(found, place, len(known))[local]
             out, n = np.zeros((to - at, DIMENSIONS), dtype=np.int64), np.diff(first)
-            # Long texts are summed in parts.
+            # Parts of 1,024 words stay below 2**31.
             for i in np.flatnonzero(n):
-                for k in range(first[i], first[i + 1], 1 << 16):
-                    out[i] += vectors[place[k : min(k + (1 << 16), first[i + 1])]].sum(axis=0, dtype=np.int64)
+                for k in range(first[i], first[i + 1], 1 << 10):
+                    out[i] += vectors[place[k : min(k + (1 << 10), first[i + 1])]].sum(axis=0, dtype=np.int32)
             rest = np.flatnonzero(place == len(known))
             doc = np.searchsorted(first, rest, side="right") - 1
             pairs, many = np.unique(doc * len(names) + local[rest], return_counts=True)

@@ -5,6 +5,7 @@ from __future__ import annotations
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -137,6 +138,24 @@ def test_word_sums_are_exact():
     assert (quality._numbers(quality._planes(edge)) == edge).all()
 
 
+@pytest.mark.parametrize("room", [1 << 10, 64, 3])
+def test_held_sums_add_up(monkeypatch, room):
+    """Whatever a task holds at once, and gives away early, its parts add up to the same sums."""
+    monkeypatch.setattr(quality, "HELD_WORDS", room)
+    monkeypatch.setattr(quality, "POOL_BYTES", 200)
+    rng = np.random.RandomState(6)
+    texts = [" ".join(f"w{int(k)}" for k in rng.zipf(1.3, 25) % 300) for _ in range(60)] + [None, ""]
+    found = {}
+    for part in quality.contexts(iter([pa.RecordBatch.from_arrays([pa.array(texts)], names=["text"])])):
+        for word, n, sums in zip(part.column("word").to_pylist(), part.column("n").to_pylist(), quality._numbers(part.column("sums"))):
+            old = found.get(word, (0, 0))
+            found[word] = (old[0] + n, old[1] + sums)
+    data, offsets = quality.T.utf8(pa.array(texts))
+    names, n, sums = quality._neighbours(*quality._both(data, offsets))
+    assert set(found) == set(names.view(np.int64).tolist())
+    assert all(found[w][0] == k and (found[w][1] == own).all() for w, k, own in zip(names.view(np.int64).tolist(), n, sums))
+
+
 def test_temperature_calibrates():
     """Noisy labels: the mean probability follows the frequency."""
     rng = np.random.RandomState(1)
