@@ -90,6 +90,17 @@ def test_quality_of_hard_rows(spark, documents):
     assert quality.scored(documents([]), model, ["doc_id"]).count() == 0
 
 
+def test_quality_keeps_clashing_columns(spark, documents):
+    docs = documents([(1, "a b c"), (2, None), (3, "a b c")])
+    for name in ("_h1", "_h2", "_score", "h1", "x", "tail0"):
+        docs = docs.withColumn(name, F.lit(f"own {name}"))
+    model = quality.fit(docs, spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, quality int"), fresh(spark))
+    rows = docs.select("text", F.struct(*docs.columns).alias("row"))
+    got = quality.scored(rows, model, ["row"])
+    assert got.select("row.*").columns == docs.columns and got.count() == 3
+    assert all(r["row"]["_score"] == "own _score" and r["row"]["_h1"] == "own _h1" for r in got.collect())
+
+
 def companions(documents):
     """Labelled documents of a few words, unlabelled ones that set other words beside them, and documents of those alone."""
     rng = np.random.RandomState(2)
