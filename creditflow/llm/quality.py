@@ -371,7 +371,7 @@ class WordVectors:
         found = seen.select("text", *_OWN)
         for k, tail in enumerate(_TAILS):
             if k:
-                found = self.scratch.table(found, "sums")
+                found = self.scratch.table(found, f"sums{k}", instead=f"sums{k - 1}")
                 self.scratch.release()
             rest = seen.select("text", tail).where(F.length(tail) > 0).mapInArrow(tail_rows, "text long, word long, n int")
             rest = rest.join(self.tail.where(_round("word") == k), "word").select("text", "n", "sums", *(F.lit(None).cast("long").alias(c) for c in ("h1", "h2", "size")))

@@ -41,14 +41,21 @@ class Scratch:
 
     def __init__(self, spark: SparkSession, name: str):
         self.spark, self.root = spark, f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex}"
-        self._tables = 0
+        self._tables, self._paths = 0, {}
         importable(spark)
 
-    def table(self, df: DataFrame, name: str) -> DataFrame:
-        """Write ``df`` and read it back: lost executors cost nothing that lies before it."""
+    def table(self, df: DataFrame, name: str, instead: str | None = None) -> DataFrame:
+        """Write ``df`` and read it back: lost executors cost nothing that lies before it.
+
+        The table named by ``instead``, which nothing reads any more, is deleted once ``df`` is written.
+        """
         self._tables += 1
         path = f"{self.root}/{self._tables:03d}-{name}"
         df.write.parquet(path)
+        if instead in self._paths:
+            old = self.spark._jvm.org.apache.hadoop.fs.Path(self._paths.pop(instead))
+            old.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(old, True)
+        self._paths[name] = path
         return self.spark.read.schema(df.schema).parquet(path)
 
     def release(self) -> None:
