@@ -165,14 +165,18 @@ def _rows(words: np.ndarray, n: np.ndarray, sums: np.ndarray) -> pa.RecordBatch:
 
 def _neighbours(words: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Count and sum of the neighbours' index vectors for each word of a block."""
-    names, local, n = np.unique(words, return_inverse=True, return_counts=True)
+    order = np.argsort(words, kind="stable")
+    heads = _heads(words[order])
+    names, n = words[order[heads]], np.diff(np.append(heads, len(words)))
+    ordered = np.repeat(np.arange(len(names)), n)
+    local = np.empty(len(words), dtype=np.int64)
+    local[order] = ordered
     # Between texts, and around all, lie REACH places of a last, zero, vector.
     index = np.vstack([index_vectors(names), np.zeros((1, DIMENSIONS), np.int8)])
     place = np.arange(len(words)) + REACH * (1 + np.repeat(np.arange(len(first) - 1), np.diff(first)))
     padded = np.full(len(words) + REACH * len(first), len(names))
     padded[place] = local
-    order = np.argsort(local, kind="stable")
-    local, place = local[order], place[order]
+    local, place = ordered, place[order]
     sums = np.zeros((len(names), DIMENSIONS), dtype=np.int32)
     # A long text is a block of its own and is summed in parts, each with the words beside it.
     for k in range(REACH, len(padded) - REACH, 1 << 17):
