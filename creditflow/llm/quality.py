@@ -36,7 +36,7 @@ POOL_BYTES = 1 << 19
 #: Words (264 bytes each) and occurrences that a task sums before it sends them on; sums stay below 2**31.
 HELD_WORDS, HELD_TOKENS = 1 << 18, 1 << 26
 #: Rounds in which the words outside the head are joined.
-ROUNDS = 4
+ROUNDS = 8
 #: One in the fixed-point numbers of unit vectors.
 ONE = 1 << 20
 _ENTRY = np.dtype([("word", "<i8"), ("n", "<i4")])
