@@ -25,18 +25,32 @@ def good_documents(spark: SparkSession, docs: DataFrame, folder: str) -> DataFra
 def deduplicated(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """The document of smallest doc_id of each group of near-duplicates.
 
-    A document without doc_id stays; of rows that repeat a doc_id one stays.
+    A document without doc_id stays. Texts that share a doc_id are documents of their own: the one
+    of smallest hash goes by the id, the others by a hash of id and text. Of rows that repeat both
+    doc_id and text one stays.
     """
     scratch = Scratch(spark, "neardup")
-    found = neardup.near_duplicates(docs, scratch, percent=80).where("not kept").select("doc_id").distinct()
-    dropped = scratch.table(found, "dropped")
-    kept = docs.join(dropped.withColumnRenamed("doc_id", "_dropped"), F.col("doc_id").cast("long") == F.col("_dropped"), "left_anti")
-    repeated = scratch.table(docs.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id"), "repeated")
-    if repeated.isEmpty():
-        return kept
-    first = F.struct(*(F.col(c) for c in docs.columns if c != "doc_id"))
-    again = kept.join(repeated, "doc_id", "left_semi").groupBy("doc_id").agg(F.min(first).alias("row")).select("doc_id", "row.*")
-    return kept.join(repeated, "doc_id", "left_anti").unionByName(again)
+    row = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", row)
+    repeated = scratch.table(_repeated(rows), "repeated")
+    again = not repeated.isEmpty()
+    if again:
+        hashed = rows.withColumn("hash", F.xxhash64("text"))
+        first = scratch.table(hashed.join(repeated, "doc_id", "left_semi").groupBy("doc_id").agg(F.min("hash").alias("first")), "first-texts")
+        other = F.col("hash") > F.col("first")
+        name = F.when(other, F.xxhash64("doc_id", "text")).otherwise(F.col("doc_id"))
+        rows = hashed.join(first, "doc_id", "left").select(name.alias("doc_id"), "text", "row")
+    found = neardup.near_duplicates(rows, scratch, percent=80).where("not kept").select("doc_id").distinct()
+    kept = rows.join(scratch.table(found, "dropped"), "doc_id", "left_anti")
+    if not again:
+        return kept.select("row.*")
+    repeated = scratch.table(_repeated(rows), "repeated-rows")
+    once = kept.join(repeated, "doc_id", "left_semi").groupBy("doc_id").agg(F.min("row").alias("row"))
+    return kept.join(repeated, "doc_id", "left_anti").select("row.*").unionByName(once.select("row.*"))
+
+
+def _repeated(rows: DataFrame) -> DataFrame:
+    return rows.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id")
 
 
 def without_repeats(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:

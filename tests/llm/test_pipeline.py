@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import brute
 import corpus_pipeline
-from conftest_llm import fresh, hard_rows
+from conftest_llm import DOCUMENT, fresh, hard_rows
 from creditflow.llm import stages
 from creditflow.llm.queries import tokenizer_path
 from creditflow.llm.reference import statements
@@ -100,6 +100,22 @@ def test_stages_take_hard_rows(spark, documents, data):
     assert packed.select("doc_id").distinct().count() == repeated.select("doc_id").distinct().count()
 
 
+def test_texts_that_share_an_id_are_documents_of_their_own(spark, data):
+    one, two = (" ".join(f"{c}{k}" for k in range(40)) for c in ("left", "right"))
+    other = " ".join(f"other{k}" for k in range(40))
+    given = [(1, one), (1, two), (1, two), (2, one), (3, two + " more"), (4, other), (None, other), (5, None), (5, "")]
+    docs = spark.createDataFrame([(i, text, "en", "a", k) for k, (i, text) in enumerate(given)], DOCUMENT)
+    kept = stages.deduplicated(spark, docs, data)
+    assert kept.columns == docs.columns
+    left = rows(kept)
+    # One document of each group, whichever goes by the id; the repeated row once; nothing unlike is lost.
+    assert sum(text == one for _, text in left) == 1
+    assert sum(text is not None and text.startswith(two) for _, text in left) == 1
+    assert sorted((i or 0) for i, text in left if text == other) == [0, 4]
+    assert sorted(text is None for i, text in left if i == 5) == [False, True]
+    assert len(left) == 6
+
+
 @pytest.mark.parametrize("name", sorted(statements()))
 def test_query_matches_sql(spark, data, name):
     from creditflow.llm.queries import registered
