@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+import time
 import zlib
 
 import numpy as np
@@ -58,6 +60,25 @@ def test_numerals_are_no_letters(spark, documents):
     assert set("".join(langid._WORD.findall(every))) == {c for c in every if c.isalpha()}
 
 
+def test_words_cost_no_more_than_plain_runs():
+    """Numerals are told from letters run by run, not in the pattern that goes over every character."""
+    every = "".join(map(chr, [*range(0xD800), *range(0xE000, 0x110000)]))
+    for text in (every, "a\u00b2b \u00bd \u2167x y", "\u00bd", "", "12", "Plain \u4e00 Words"):
+        assert langid.words(text) == langid._WORD.findall(text.lower())
+    assert langid.words(None) == []
+    text = "der schnelle Fuchs l\u00e4uft \u00fcber den H\u00fcgel, 42 mal. " * 4000
+
+    def best(fn):
+        times = []
+        for _ in range(5):
+            start = time.process_time()
+            fn(text)
+            times.append(time.process_time() - start)
+        return min(times)
+
+    assert best(langid.words) < 5 * best(lambda t: re.findall(r"[^\W\d_]+", t.lower()))
+
+
 def test_unseen_words_back_off_to_the_longest_known_grams():
     model = langid.Model.of(["a", "b"], [("a", "xx", 2)], [("a", "abc", 2), ("b", "ab", 4), ("b", "z", 2)])
     assert np.array_equal(model.backoff("abcd"), model.gram_logs[model.grams["abc"]])
