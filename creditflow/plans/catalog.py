@@ -37,7 +37,7 @@ from creditflow.plans.inputs import (
     reissue_ends,
     wall_clock,
 )
-from creditflow.session import checkpoint_root
+from creditflow.session import checkpoint_root, flow_defaults
 from creditflow.sources.rollup import RollupTable
 from creditflow.sources.tables import table
 
@@ -59,14 +59,15 @@ def query(fn: Query) -> Query:
 
 
 def registered() -> dict[str, Query]:
-    return {name: _in_utc(fn) for name, fn in _registry.items()}
+    return {name: _in_flow_session(fn) for name, fn in _registry.items()}
 
 
-def _in_utc(fn: Query) -> Query:
+def _in_flow_session(fn: Query) -> Query:
     """The given tables hold zone-free times, which the flow reads as UTC."""
 
     def run(spark: SparkSession, folder: str) -> DataFrame:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+        flow_defaults(spark)
         return fn(spark, folder)
 
     return run

@@ -7,6 +7,23 @@ import tempfile
 from pyspark.sql import SparkSession
 
 
+#: What the flow needs of any session. The JVM never compiles a method of more bytecode than the
+#: first: generated code beyond that runs several times faster operator by operator than as one
+#: interpreted method. The second sizes tasks behind a shuffle: merges deal raw rows, which grow
+#: some twenty-fold once they are scored and are sorted then.
+FLOW_DEFAULTS = {
+    "spark.sql.codegen.hugeMethodLimit": "8000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16m",
+}
+
+
+def flow_defaults(spark: SparkSession) -> None:
+    """Set what the flow needs and the submitter left open."""
+    for key, value in FLOW_DEFAULTS.items():
+        if spark.conf.get(key, None) is None:
+            spark.conf.set(key, value)
+
+
 def local_session(app: str = "creditflow", cores: str | int = 8, **conf: str) -> SparkSession:
     """A local session with the settings the checks rely on."""
     builder = (
@@ -21,10 +38,9 @@ def local_session(app: str = "creditflow", cores: str | int = 8, **conf: str) ->
         # Plans here are built from many small columns; do not record a call site for each.
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
-        # The JVM never compiles a method of more bytecode; generated code beyond that runs
-        # several times faster operator by operator than as one interpreted method.
-        .config("spark.sql.codegen.hugeMethodLimit", "8000")
     )
+    for key, value in FLOW_DEFAULTS.items():
+        builder = builder.config(key, value)
     for key, value in conf.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()

@@ -7,6 +7,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+from creditflow import session
 from creditflow.operators import outbox
 from creditflow.plans import catalog, inputs
 
@@ -144,6 +145,20 @@ def test_sent_row_groups_are_skipped(spark, data, tmp_path):
     assert scan.metrics().apply("numOutputRows").value() == todo.count()
 
 
+def test_the_flow_brings_what_it_needs_to_any_session(spark, data):
+    """No query leaves its scoring to interpreted methods; what the submitter set stays."""
+    other = spark.newSession()
+    for key in session.FLOW_DEFAULTS:
+        other.conf.unset(key)
+    QUERIES["upsert_loan"](other, data)
+    assert {key: other.conf.get(key) for key in session.FLOW_DEFAULTS} == session.FLOW_DEFAULTS
+    given = dict.fromkeys(session.FLOW_DEFAULTS, "12345")
+    for key, value in given.items():
+        other.conf.set(key, value)
+    QUERIES["upsert_loan"](other, data)
+    assert {key: other.conf.get(key) for key in given} == given
+
+
 def test_upsert_shuffles_each_side_once(spark, data):
     """Raw rows are dealt by the key; scoring, fold and join need no other exchange."""
     for name in ("upsert_income", "upsert_loan"):
