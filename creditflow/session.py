@@ -9,8 +9,8 @@ from pyspark.sql import SparkSession
 
 #: What the flow needs of any session. The JVM never compiles a method of more bytecode than the
 #: first: generated code beyond that runs several times faster operator by operator than as one
-#: interpreted method. The second sizes tasks behind a shuffle: merges deal raw rows, which grow
-#: some twenty-fold once they are scored and are sorted then.
+#: interpreted method. The second sizes tasks behind a shuffle: merges deal raw rows, which
+#: become whole stage rows once they are scored and are sorted then.
 FLOW_DEFAULTS = {
     "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16m",
