@@ -131,7 +131,7 @@ def blocks(column: pa.Array, size: int = BLOCK_BYTES) -> Iterator[tuple[int, int
 
 def words(data: np.ndarray, offsets: np.ndarray, rule: str) -> Words:
     """The words of texts given as bytes and offsets."""
-    is_word, fold = RULES[rule]
+    is_word, _ = RULES[rule]
     n = len(data)
     inside = np.zeros(n + 2, dtype=bool)
     inside[1:-1] = is_word[data]
@@ -142,11 +142,17 @@ def words(data: np.ndarray, offsets: np.ndarray, rule: str) -> Words:
     begins[edges] = inside[edges + 1]
     stops[edges - 1] = inside[edges]
     starts, ends = np.flatnonzero(begins), np.flatnonzero(stops) + 1
+    return Words(data, offsets, starts, ends, span_hashes(data, starts, ends, rule), np.searchsorted(starts, offsets))
+
+
+def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, rule: str) -> np.ndarray:
+    """Hashes of spans of bytes, as ``words`` gives them to its words."""
+    _, fold = RULES[rule]
+    n = len(data)
     up, down = _word_powers.get(n + 1)
     sums = np.zeros(n + 1, dtype=np.uint64)
     np.cumsum((fold[data].astype(np.uint64) + _U(1)) * up[:n], out=sums[1:])
-    hashes = mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
-    return Words(data, offsets, starts, ends, hashes, np.searchsorted(starts, offsets))
+    return mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
 
 
 def word_blocks(column: pa.Array, rule: str, size: int = BLOCK_BYTES) -> Iterator[tuple[int, int, Words]]:

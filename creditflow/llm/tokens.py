@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import os
 from collections.abc import Iterator
-from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -13,34 +12,113 @@ import regex
 from creditflow.llm import text as T
 from creditflow.llm.scratch import return_memory
 
-#: Chunks, and pieces, whose ids a worker remembers.
-MEMORY = 300_000
-#: Bytes of text encoded at once, and characters given to the library at once.
-BLOCK_BYTES, BATCH_CHARS = 1 << 20, 1 << 17
-# Fixed value: how word_bpe_49k.json cuts text into pieces (from the file).
-_PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
+#: Units whose ids a worker remembers.
+MEMORY = 600_000
+#: Bytes of text encoded at once, and new units in one text for the library.
+BLOCK_BYTES, JOINED = 1 << 20, 256
+# Fixed value: how word_bpe_49k.json cuts text into pieces (from the file): runs of letters, single
+# numerals, runs of signs, and before them these endings behind an apostrophe.
+_ENDINGS = ("s", "t", "re", "ve", "m", "ll", "d")
 _SUFFIX, _SPECIAL = "</w>", b"<|"
 # Characters for which lower case and normal form need no context and no newer Unicode version:
 # Latin and Cyrillic letters that are composed, and usual signs. Special tokens begin with "<|".
-_UNUSUAL = regex.compile("<\\||[^!-~\u00a1-\u012f\u0131-\u02ff\u0400-\u0482\u048a-\u052f\u2010-\u2027\u2030-\u203a\u20ac]")
+_USUAL = "[!-~\u00a1-\u012f\u0131-\u02ff\u0400-\u0482\u048a-\u052f\u2010-\u2027\u2030-\u203a\u20ac]"
+_BLANK, _LETTER, _NUMERAL, _SIGN, _UNUSUAL = range(5)
 
 
-def _cut(chunk: str) -> list[str]:
-    """The pieces of a chunk; a word, and a word with one sign behind it, need no pattern."""
-    if chunk.isalpha():
-        return [chunk]
-    if chunk[:-1].isalpha() and not chunk[-1].isalnum():
-        return [chunk[:-1], chunk[-1]]
-    return _PIECES.findall(chunk)
+def _kinds() -> np.ndarray:
+    """The kind of each character up to U+FFFF."""
+    kinds = np.full(1 << 16, _UNUSUAL, dtype=np.uint8)
+    usual = regex.findall(_USUAL, "".join(map(chr, range(0xD800))))
+    for kind, pattern in ((_SIGN, "."), (_NUMERAL, r"\p{N}"), (_LETTER, r"\p{L}")):
+        kinds[[ord(c) for c in usual if regex.match(pattern, c)]] = kind
+    kinds[[0x20, *range(0x09, 0x0E)]] = _BLANK
+    return kinds
+
+
+_KINDS = _kinds()
+
+
+def _byte_kinds(data: np.ndarray) -> np.ndarray:
+    """For each byte of UTF-8 text the kind of its character."""
+    kinds = _KINDS[:256][data]
+    lead = np.flatnonzero(data >= 0xC0)
+    if len(lead):
+        kinds[data >= 0x80] = _UNUSUAL
+        b, n = data[lead].astype(np.uint16), len(data) - 1
+        second, third = (data[np.minimum(lead + k, n)].astype(np.uint16) & 0x3F for k in (1, 2))
+        two, three = b < 0xE0, (b >= 0xE0) & (b < 0xF0)
+        kind = np.full(len(lead), _UNUSUAL, dtype=np.uint8)
+        kind[two] = _KINDS[((b & 0x1F) << 6 | second)[two]]
+        kind[three] = _KINDS[((b & 0x0F) << 12 | second << 6 | third)[three]]
+        kinds[lead], kinds[lead + 1], kinds[lead[three] + 2] = kind, kind, kind[three]
+    return kinds
+
+
+def units(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First and last byte of each unit of texts, and whether it holds unusual characters.
+
+    A unit is one of the tokenizer's pieces, or a whole run without white space if that holds
+    unusual characters or may hold a special token.
+    """
+    n = len(data)
+    if not n:
+        return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, bool)
+    kinds = _byte_kinds(data)
+    begins = offsets[:-1][offsets[:-1] < n]
+    edge = np.ones(n + 1, dtype=bool)
+    np.not_equal(kinds[1:], kinds[:-1], out=edge[1:n])
+    edge[:n] |= (kinds == _NUMERAL) & ((data & 0xC0) != 0x80)
+    edge[begins] = True
+    _endings(data, kinds, edge, begins)
+    strange = kinds == _UNUSUAL
+    strange[:-1] |= (data[:-1] == _SPECIAL[0]) & (data[1:] == _SPECIAL[1])
+    at = np.flatnonzero(strange)
+    if len(at):
+        # Runs without white space, in which nothing is cut if they hold such a byte.
+        blank = kinds == _BLANK
+        cut = np.ones(n + 1, dtype=bool)
+        np.not_equal(blank[1:], blank[:-1], out=cut[1:n])
+        cut[begins] = True
+        cuts = np.flatnonzero(cut)
+        run = np.unique(np.searchsorted(cuts, at, side="right") - 1)
+        within = np.zeros(n + 1, dtype=np.int8)
+        within[cuts[run]] += 1
+        within[cuts[run + 1]] -= 1
+        strange = np.cumsum(within, dtype=np.int8).astype(bool)
+        edge = (edge & ~strange) | cut
+    edges = np.flatnonzero(edge)
+    starts, ends = edges[:-1], edges[1:]
+    kept = kinds[starts] != _BLANK
+    starts, ends = starts[kept], ends[kept]
+    return starts, ends, strange[starts]
+
+
+def _endings(data: np.ndarray, kinds: np.ndarray, edge: np.ndarray, begins: np.ndarray) -> None:
+    """Put endings with their apostrophe: where a run of signs is one apostrophe before letters."""
+    n = len(data)
+    at = np.flatnonzero(data[:-1] == 0x27)
+    at = at[edge[at] & edge[at + 1] & (kinds[at + 1] == _LETTER)]
+    at = at[~np.isin(at + 1, begins)]
+    if not len(at):
+        return
+    after = np.flatnonzero(edge)
+    to = after[np.searchsorted(after, at + 1, side="right")]  # the letters end here
+    one, two = (data[np.minimum(at + k, n - 1)] | 0x20 for k in (1, 2))
+    for ending in _ENDINGS:
+        fits = (one == ord(ending[0])) & (to >= at + 1 + len(ending))
+        if len(ending) > 1:
+            fits &= two == ord(ending[1])
+        edge[at[fits] + 1] = False
+        edge[at[fits] + 1 + len(ending)] = True
 
 
 class Encoder:
-    """Encodes texts by their chunks, for tokenizers that drop white space and mark word ends.
+    """Encodes texts by their units, for tokenizers that drop white space and mark word ends.
 
-    A chunk is a run without white space, and no token reaches across it. A block's chunks are
-    found and told apart by their 64-bit hashes, without regard to the case of A-Z, and only
-    those that are not remembered are encoded: usual ones are cut into the tokenizer's own pieces,
-    of which new ones go to the library many at a time, where the mark at a piece's end tells
+    No token reaches across a unit. A block's units are found and told apart by their 64-bit
+    hashes, without regard to the case of A-Z, and only those that are not remembered go to the
+    library: usual ones many at a time with blanks between, where the mark at a piece's end tells
     their ids apart; unusual ones go one by one. Tests compare with whole texts.
     """
 
@@ -53,10 +131,9 @@ class Encoder:
         self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
         self.ends[[i for token, i in vocabulary.items() if token.endswith(_SUFFIX)]] = True
         self._forget(0)
-        self._keep_pieces(0)
 
     def _forget(self, kept: int) -> None:
-        """Keep the chunks met first, among which are the frequent ones."""
+        """Keep the units met first, among which are the frequent ones."""
         if not kept:
             self.hashes, self.bounds, self.pool = np.empty(0, np.uint64), np.zeros(1, np.int64), np.empty(0, "<u4")
         else:
@@ -69,109 +146,96 @@ class Encoder:
         """For each block of texts: first and last row, all ids (each text's and ``end``; null is
         empty) as unsigned 32-bit integers, and where each text's begin."""
         for at, to, data, offsets in T.blocks(column, BLOCK_BYTES):
-            raw = data.tobytes()
-            w = T.words(data, offsets, "blank" if _SPECIAL in raw else "blank_lower")
-            unique, first, inverse = np.unique(w.hashes, return_index=True, return_inverse=True)
+            starts, ends, strange = units(data, offsets)
+            # Special tokens are told apart by case, so their units' hashes are as well.
+            lower = _SPECIAL not in data.tobytes()
+            hashes = T.span_hashes(data, starts, ends, "blank_lower" if lower else "blank")
+            order = np.argsort(hashes)
+            ranked = hashes[order]
+            fresh = np.append(True, ranked[1:] != ranked[:-1])[: len(ranked)]
+            unique, first = ranked[fresh], order[fresh]
+            inverse = np.empty(len(hashes), np.int64)
+            inverse[order] = np.cumsum(fresh) - 1
             place = np.minimum(np.searchsorted(self.sorted, unique), max(len(self.sorted) - 1, 0))
             known = self.sorted[place] == unique if len(self.sorted) else np.zeros(len(unique), dtype=bool)
             new = np.flatnonzero(~known)
-            spans = zip(w.starts[first[new]].tolist(), w.ends[first[new]].tolist())
-            ids, sizes = self._new([raw[a:b].decode("utf-8") for a, b in spans])
+            new = new[np.argsort(strange[first[new]], kind="stable")]
+            n_usual = len(new) - int(strange[first[new]].sum())
+            ids, sizes = self._new(data, starts[first[new]], ends[first[new]], n_usual)
             pool = np.concatenate([self.pool, ids, np.array([end], "<u4")])
             begin, size = np.zeros(len(unique), np.int64), np.zeros(len(unique), np.int64)
             if known.any():
                 own = self.order[place[known]]
-                begin[known], size[known] = self.bounds[own], np.diff(self.bounds)[own]
+                begin[known], size[known] = self.bounds[own], self.bounds[own + 1] - self.bounds[own]
             size[new] = sizes
             begin[new] = len(self.pool) + np.cumsum(sizes) - sizes
-            begins = np.insert(begin[inverse], w.first[1:], len(pool) - 1)
-            counts = np.insert(size[inverse], w.first[1:], 1)
+            text = np.searchsorted(starts, offsets)
+            begins = np.insert(begin[inverse], text[1:], len(pool) - 1)
+            counts = np.insert(size[inverse], text[1:], 1)
             reach = np.append(0, np.cumsum(counts))
             out = pool[np.repeat(begins - reach[:-1], counts) + np.arange(reach[-1])]
             self._remember(unique[new], ids, sizes)
-            yield at, to, out, reach[w.first + np.arange(len(w.first))]
+            yield at, to, out, reach[text + np.arange(len(text))]
 
     def _remember(self, hashes: np.ndarray, ids: np.ndarray, sizes: np.ndarray) -> None:
         if not len(hashes):
             return
         if len(self.hashes) + len(hashes) > MEMORY:
             self._forget(min(len(self.hashes), MEMORY // 2))
-        place = np.searchsorted(self.sorted, hashes)
-        self.sorted = np.insert(self.sorted, place, hashes)
-        self.order = np.insert(self.order, place, len(self.hashes) + np.arange(len(hashes)))
+        order = np.argsort(hashes)
+        place = np.searchsorted(self.sorted, hashes[order])
+        self.sorted = np.insert(self.sorted, place, hashes[order])
+        self.order = np.insert(self.order, place, len(self.hashes) + order)
         self.bounds = np.append(self.bounds, self.bounds[-1] + np.cumsum(sizes))
         self.pool, self.hashes = np.concatenate([self.pool, ids]), np.concatenate([self.hashes, hashes])
 
-    def _new(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of chunks end to end, and how many each has."""
+    def _new(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray, n_usual: int) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of units end to end, and how many each has; the first ``n_usual`` are usual ones."""
         parts, sizes = [], []
-        at = 0
-        while at < len(chunks):
-            to, size = at, 0
-            while to < len(chunks) and (to == at or size + len(chunks[to]) <= BATCH_CHARS):
-                size += len(chunks[to])
-                to += 1
-            ids, counts = self._batch(chunks[at:to])
-            parts.append(ids)
-            sizes.append(counts)
-            at = to
+        spans = list(zip(starts.tolist(), ends.tolist()))
+        joined = _joined(data, starts[:n_usual], ends[:n_usual])
+        got = self.tokenizer.encode_batch_fast(joined, add_special_tokens=False)
+        for k, one in enumerate(got):
+            ids, n = np.array(one.ids, dtype="<u4"), min(JOINED, n_usual - k * JOINED)
+            stops = np.flatnonzero(self.ends[ids]) + 1
+            if len(stops) == n:
+                parts.append(ids)
+                sizes.append(np.diff(stops, prepend=0))
+            else:  # the marks don't tell
+                self._single(data, spans[k * JOINED : k * JOINED + n], parts, sizes)
+        if n_usual < len(spans):
+            self._single(data, spans[n_usual:], parts, sizes)
         return np.concatenate([np.empty(0, "<u4"), *parts]), np.concatenate([np.empty(0, np.int64), *sizes])
 
-    def _batch(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        text = " ".join(chunks)
-        if not _UNUSUAL.search(text.replace(" ", "")):
-            pieces = [_cut(c) for c in text.lower().split(" ")]
-            if len(pieces) == len(chunks):
-                at = self._places([p for own in pieces for p in own])
-                if at is not None:
-                    sizes = np.diff(self.piece_bounds)[at]
-                    reach = np.append(0, np.cumsum(sizes))
-                    ids = self.piece_pool[np.repeat(self.piece_bounds[at] - reach[:-1], sizes) + np.arange(reach[-1])]
-                    return ids, np.diff(reach[np.cumsum([len(own) for own in pieces])], prepend=0)
-        elif len(chunks) > 1:
-            half = len(chunks) // 2
-            both = [self._batch(chunks[:half]), self._batch(chunks[half:])]
-            return tuple(np.concatenate(x) for x in zip(*both))
-        each = [x.ids for x in self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False)]
-        return np.array([i for own in each for i in own], dtype="<u4"), np.array([len(own) for own in each], dtype=np.int64)
+    def _single(self, data: np.ndarray, spans: list[tuple[int, int]], parts: list, sizes: list) -> None:
+        texts = [data[a:b].tobytes().decode("utf-8") for a, b in spans]
+        each = [x.ids for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        parts.append(np.array([i for own in each for i in own], dtype="<u4"))
+        sizes.append(np.array([len(own) for own in each], dtype=np.int64))
 
     def close(self) -> None:
         """Forget everything: workers stay for later stages, which need the memory."""
         self._forget(0)
-        self._keep_pieces(0)
         return_memory()
 
-    def _places(self, pieces: list[str]) -> np.ndarray | None:
-        """Where the ids of pieces lie in ``piece_pool``; None if the marks don't tell them apart."""
-        if len(self.pieces) > MEMORY:
-            self._keep_pieces(MEMORY // 2)
-        known = self.pieces
-        new = [p for p in dict.fromkeys(pieces) if p not in known]
-        if new:
-            (got,) = self.tokenizer.encode_batch_fast([" ".join(new)], add_special_tokens=False)
-            ids = np.array(got.ids, dtype="<u4")
-            stops = np.flatnonzero(self.ends[ids]) + 1
-            if len(stops) != len(new):
-                return None
-            known.update(zip(new, range(len(known), len(known) + len(new))))
-            self.piece_bounds = np.append(self.piece_bounds, self.piece_bounds[-1] + stops)
-            self.piece_pool = np.concatenate([self.piece_pool, ids])
-        return np.array([known[p] for p in pieces], dtype=np.int64)
-
-    def _keep_pieces(self, kept: int) -> None:
-        """Keep the pieces met first."""
-        if not kept:
-            self.pieces, self.piece_bounds, self.piece_pool = {}, np.zeros(1, np.int64), np.empty(0, "<u4")
-        else:
-            self.pieces, self.piece_bounds = dict(islice(self.pieces.items(), kept)), self.piece_bounds[: kept + 1]
-            self.piece_pool = self.piece_pool[: self.piece_bounds[-1]]
-
     def ids(self, text: str | None, end: int) -> np.ndarray:
         """The ids of one text."""
         ((_, _, out, _),) = self.encode(pa.array([text], pa.string()), end)
         return out
 
 
+def _joined(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> list[str]:
+    """Texts of ``JOINED`` units each, with blanks between."""
+    if not len(starts):
+        return []
+    sizes = ends - starts + 1
+    reach = np.append(0, np.cumsum(sizes))
+    raw = np.append(data, np.uint8(0x20))[np.minimum(np.repeat(starts - reach[:-1], sizes) + np.arange(reach[-1]), len(data))]
+    raw[reach[1:] - 1] = 0x20
+    whole, cuts = raw.tobytes(), reach[::JOINED].tolist()
+    return [whole[a:b].decode("utf-8") for a, b in zip(cuts, [*cuts[1:], len(whole)]) if a < b]
+
+
 _encoders: dict[str, Encoder] = {}
 
 
