@@ -8,7 +8,7 @@ import sys
 import pyarrow as pa
 import pytest
 
-from creditflow.llm import packing, tokens
+from creditflow.llm import packing, records, tokens
 from creditflow.llm.queries import tokenizer_path
 
 #: Letters, endings, signs, numerals and blanks of all kinds, and special tokens.
@@ -66,3 +66,15 @@ def test_pieces_of_new_words_run_on_arrays():
     batch = pa.RecordBatch.from_pydict({"doc_id": [1], "text": [" ".join(words)]})
     tokens.encoder(tokenizer_path()).close()
     assert calls_of(lambda: list(packing.pieces(tokenizer_path(), 1, 4096, iter([batch])))) < len(words) / 4
+
+
+def test_records_of_new_words_run_on_arrays(encoder):
+    """Also where many texts are encoded one behind the other: a few calls for each text."""
+    words, n = new_words(20_000), 100
+    texts = [" ".join(words[i::n]) for i in range(n)]
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(n)), "text": texts})
+    encoder.close()
+    got = []
+    assert calls_of(lambda: got.extend(records._sequences(batch, encoder, 1))) < len(words) / 4
+    whole = [encoder.tokenizer.encode(t, add_special_tokens=False).ids + [1] for t in texts]
+    assert [(d, ids.tolist()) for d, ids in got] == list(enumerate(whole))
