@@ -8,9 +8,9 @@ temperature that is fitted on a part of the sample that the network hasn't seen.
 Words are runs of letters and digits, and runs of other signs. All have a vector of their own,
 whole numbers in a table: the ``HEAD`` most frequent at most are broadcast, the others are joined
 with the texts that hold them, in ``ROUNDS`` rounds of which each takes its share of the words and
-frees its shuffle files. Unit vectors are fixed-point numbers, so sums don't depend on their
-order. Only the network and the temperature learn from a sample, of about ``SAMPLE`` labelled
-documents at most, picked by the hash of their ids.
+frees its shuffle files; for the few texts of the sample, in one. Unit vectors are fixed-point
+numbers, so sums don't depend on their order. Only the network and the temperature learn from a
+sample, of about ``SAMPLE`` labelled documents at most, picked by the hash of their ids.
 """
 
 from __future__ import annotations
@@ -27,6 +27,7 @@ from creditflow.llm import text as T
 from creditflow.llm.scratch import Scratch, narrow, return_memory, whole_groups
 
 SAMPLE = 4000
+#: The dimensions are a power of two.
 DIMENSIONS, NONZERO, REACH = 64, 6, 2
 #: Words whose vectors are broadcast, 264 bytes each.
 HEAD = 1 << 17
@@ -43,16 +44,23 @@ _ENTRY = np.dtype([("word", "<i8"), ("n", "<i4")])
 _U = np.uint64
 _TEXT = "h1 long, h2 long"
 _OWN = ("h1", "h2", "size", "sums")
-_TAILS = [f"tail{k}" for k in range(ROUNDS)]
+#: Rows of vectors worked on at once, so that they stay in the processor's cache.
+_PART = 1 << 10
+#: Kinds of bytes: 1 in words, 2 in sign runs, 0 between them.
+_KINDS = T.RULES["letters"][0] + 2 * T.RULES["signs"][0].astype(np.uint8)
 
 
 def _both(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all words and sign runs in their order, and where each text's begin."""
-    letters = T.words(data, offsets, "letters")
-    signs = T.words(data, offsets, "signs")
-    starts = np.concatenate([letters.starts, signs.starts])
-    order = np.argsort(starts, kind="stable")
-    return np.concatenate([letters.hashes, signs.hashes])[order], np.searchsorted(starts[order], offsets)
+    kinds = np.zeros(len(data) + 2, dtype=np.uint8)
+    kinds[1:-1] = _KINDS[data]
+    border = kinds[1:] != kinds[:-1]
+    border[offsets] = True
+    border = np.flatnonzero(border)
+    runs = np.flatnonzero(kinds[1:][border[:-1]])
+    starts, ends = border[runs], border[runs + 1]
+    # Both rules hash the bytes as they are.
+    return T.span_hashes(data, starts, ends, "letters"), np.searchsorted(starts, offsets)
 
 
 def index_vectors(words: np.ndarray) -> np.ndarray:
@@ -61,7 +69,7 @@ def index_vectors(words: np.ndarray) -> np.ndarray:
     n = np.arange(len(words))
     for k in range(1, NONZERO + 1):
         drawn = T.mix(words + _U(k * 0x9E3779B97F4A7C15 % (1 << 64)))
-        out[n, (drawn % _U(DIMENSIONS)).astype(np.int64)] += np.where(drawn >> _U(63), 1, -1).astype(np.int8)
+        out[n, (drawn & _U(DIMENSIONS - 1)).view(np.int64)] += (drawn >> _U(63)).astype(np.int8) * np.int8(2) - np.int8(1)
     return out
 
 
@@ -99,6 +107,23 @@ def _floats(column: pa.Array) -> np.ndarray:
 _BITS = np.array([2, 3, 4, 5, 6, 8, 12, 16, 24, 32, 64])
 
 
+def _kind(bits: int) -> np.dtype:
+    """The narrowest kind of whole numbers that holds ``bits`` bits."""
+    return np.dtype(next(f"<i{size}" for size in (1, 2, 4, 8) if bits <= 8 * size))
+
+
+def _turned(x: np.ndarray) -> np.ndarray:
+    """Swaps bit j of byte i with bit i of byte j in each number, in place."""
+    for shift, mask in ((7, 0x00AA00AA00AA00AA), (14, 0x0000CCCC0000CCCC), (28, 0x00000000F0F0F0F0)):
+        change = x >> _U(shift)
+        change ^= x
+        change &= _U(mask)
+        x ^= change
+        change <<= _U(shift)
+        x ^= change
+    return x
+
+
 def _planes(rows: np.ndarray) -> pa.Array:
     """Rows of whole numbers, each as the bit planes of its two's complements."""
     room = np.maximum(rows.max(axis=1, initial=0), -1 - rows.min(axis=1, initial=0))
@@ -107,11 +132,13 @@ def _planes(rows: np.ndarray) -> pa.Array:
     offsets = np.append(0, np.cumsum(bits * plane)).astype(np.int32)
     out = np.empty(offsets[-1], dtype=np.uint8)
     for k in np.unique(bits).tolist():
-        at = np.flatnonzero(bits == k)
-        own, place = rows[at], offsets[at].astype(np.int64)[:, None] + np.arange(plane)
-        for j in range(k):
-            # Planes beyond the number's own kind repeat its sign.
-            out[place + j * plane] = np.packbits(((own >> min(j, own.itemsize * 8 - 1)) & 1).astype(np.uint8), axis=1)
+        every, size = np.flatnonzero(bits == k), _kind(k).itemsize
+        for i in range(0, len(every), _PART):
+            at = every[i : i + _PART]
+            own = rows.take(at, axis=0).astype(_kind(k)).view(np.uint8).reshape(len(at), DIMENSIONS, size)
+            own = _turned(np.ascontiguousarray(own.transpose(0, 2, 1)).view(np.uint64)).view(np.uint8)
+            own = own.reshape(len(at), size, plane, 8).transpose(0, 1, 3, 2).reshape(len(at), -1)
+            out[offsets[at].astype(np.int64)[:, None] + np.arange(k * plane)] = own[:, : k * plane]
     return pa.Array.from_buffers(pa.binary(), len(rows), [None, pa.py_buffer(offsets), pa.py_buffer(out)])
 
 
@@ -122,12 +149,16 @@ def _numbers(column: pa.Array) -> np.ndarray:
     bits = np.diff(offsets) // plane
     out = np.zeros((len(bits), DIMENSIONS), dtype=np.int32 if bits.max(initial=0) <= 32 else np.int64)
     for k in np.unique(bits[bits > 0]).tolist():
-        at = np.flatnonzero(bits == k)
-        place, own = offsets[at][:, None] + np.arange(plane), np.zeros((len(at), DIMENSIONS), dtype=out.dtype)
-        for j in range(k):
-            part = np.unpackbits(data[place + j * plane], axis=1).astype(out.dtype) << j
-            own += part if j < k - 1 else -part
-        out[at] = own
+        every, size = np.flatnonzero(bits == k), _kind(k).itemsize
+        for i in range(0, len(every), _PART):
+            at = every[i : i + _PART]
+            own = np.empty((len(at), size * 8, plane), dtype=np.uint8)
+            own[:, :k] = data.take(offsets[at][:, None] + np.arange(k * plane)).reshape(len(at), k, plane)
+            # The planes left out repeat the sign.
+            own[:, k:] = own[:, k - 1 : k]
+            own = np.ascontiguousarray(own.reshape(len(at), size, 8, plane).transpose(0, 1, 3, 2)).reshape(len(at), size, DIMENSIONS)
+            own = _turned(own.view(np.uint64)).view(np.uint8).transpose(0, 2, 1)
+            out[at] = np.ascontiguousarray(own).view(_kind(k)).reshape(len(at), DIMENSIONS)
     return out
 
 
@@ -149,46 +180,42 @@ def _heads(names: np.ndarray) -> np.ndarray:
     return np.flatnonzero(np.append(True, names[1:] != names[:-1])[: len(names)])
 
 
-def _summed(words: np.ndarray, n: np.ndarray, sums: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Counts and vectors added up per word."""
-    order = np.argsort(words, kind="stable")
-    words = words[order]
-    heads = _heads(words)
-    if len(heads) == len(words):
-        return words, n[order], sums[order]
-    return words[heads], np.add.reduceat(n[order], heads), _group_sums(sums[order], heads, sums.dtype)
-
-
 def _rows(words: np.ndarray, n: np.ndarray, sums: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(words.view(np.int64)), pa.array(n), _planes(sums)], names=["word", "n", "sums"])
 
 
 def _neighbours(words: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Count and sum of the neighbours' index vectors for each word of a block."""
-    order = np.argsort(words, kind="stable")
+    order = np.argsort(words)
     heads = _heads(words[order])
     names, n = words[order[heads]], np.diff(np.append(heads, len(words)))
-    ordered = np.repeat(np.arange(len(names)), n)
-    local = np.empty(len(words), dtype=np.int64)
-    local[order] = ordered
+    local = np.repeat(np.arange(len(names)), n)
     # Between texts, and around all, lie REACH places of a last, zero, vector.
-    index = np.vstack([index_vectors(names), np.zeros((1, DIMENSIONS), np.int8)])
-    place = np.arange(len(words)) + REACH * (1 + np.repeat(np.arange(len(first) - 1), np.diff(first)))
+    place = (np.arange(len(words)) + REACH * (1 + np.repeat(np.arange(len(first) - 1), np.diff(first))))[order]
     padded = np.full(len(words) + REACH * len(first), len(names))
     padded[place] = local
-    local, place = ordered, place[order]
+    # Numbers are raised by NONZERO, so none is below zero and whole rows are added as a few long
+    # numbers: the neighbours of a place stay below 2**8 in each dimension, those of a part below 2**16.
+    raised = np.full((len(names) + 1, DIMENSIONS), NONZERO, dtype=np.uint8)
+    for k in range(0, len(names), _PART):
+        raised[k : k + _PART][: len(names) - k] += index_vectors(names[k : k + _PART]).view(np.uint8)
+    raised = raised.view(np.uint64)
     sums = np.zeros((len(names), DIMENSIONS), dtype=np.int32)
-    # A long text is a block of its own and is summed in parts, each with the words beside it.
-    for k in range(REACH, len(padded) - REACH, 1 << 17):
-        to = min(len(padded) - REACH, k + (1 << 17))
-        own = index[padded[k - REACH : to + REACH]]
-        around = np.zeros((to - k, DIMENSIONS), dtype=np.int8)
+    for k in range(0, len(words), _PART):
+        at, own = place[k : k + _PART], local[k : k + _PART]
+        around = np.zeros((len(at), raised.shape[1]), dtype=np.uint64)
         for step in range(1, REACH + 1):
-            around += own[REACH - step : REACH - step + to - k]
-            around += own[REACH + step : REACH + step + to - k]
-        at = np.flatnonzero((place >= k) & (place < to))
-        heads = _heads(local[at])
-        sums[local[at][heads]] += _group_sums(around[place[at] - k], heads, np.int32)
+            around += raised.take(padded.take(at - step), axis=0)
+            around += raised.take(padded.take(at + step), axis=0)
+        upto = np.zeros((len(at) + 1, DIMENSIONS), dtype=np.uint16)
+        upto[1:] = around.view(np.uint8)
+        upto = upto.view(np.uint64)
+        np.cumsum(upto[1:], axis=0, out=upto[1:])
+        # Differences are exact though the sums up to a place run over. Names follow each other.
+        heads = np.append(_heads(own), len(own))
+        part = sums[own[0] : own[-1] + 1]
+        part += np.diff(upto[heads], axis=0).view(np.uint16)
+        part -= (2 * REACH * NONZERO) * np.diff(heads).astype(np.int32)[:, None]
     return names, n, sums
 
 
@@ -208,7 +235,8 @@ class Held:
         slots[~met] = len(self.words) + np.arange((~met).sum())
         self.words, self.slots = np.insert(self.words, place[~met], words[~met]), np.insert(self.slots, place[~met], slots[~met])
         self.n[slots] += n
-        self.sums[slots] += sums
+        for k in range(0, len(slots), _PART):
+            self.sums[slots[k : k + _PART]] += sums[k : k + _PART]
         self.tokens += int(n.sum())
 
     def give(self, keep: int) -> Iterator[pa.RecordBatch]:
@@ -250,7 +278,8 @@ def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """One row per word from rows sorted by word; a word without neighbours has its own index vector."""
     for table, _ in whole_groups(batches, ["word"], rows=1 << 14):
         words, n = (table.column(c).to_numpy() for c in ("word", "n"))
-        words, n, sums = _summed(words, n, _numbers(table.column("sums")).astype(np.int64))
+        heads = _heads(words)
+        words, n, sums = words[heads], np.add.reduceat(n, heads), _group_sums(_numbers(table.column("sums")), heads, np.int64)
         alone = np.flatnonzero(~sums.any(axis=1))
         sums[alone] = index_vectors(words[alone].view(np.uint64))
         yield _rows(words, n, sums)
@@ -262,13 +291,16 @@ def units(sums: np.ndarray) -> np.ndarray:
     return np.rint(sums * (ONE / np.maximum(np.sqrt((sums * sums).sum(axis=1, keepdims=True)), 1e-9))).astype(np.int64)
 
 
-def look_up(head, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def look_up(head, rounds: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Each text's sum over the words of the head, and its other words with their counts, by round."""
     known, vectors = head.value
     for batch in batches:
         for at, to, data, offsets in T.blocks(batch.column("text"), POOL_BYTES):
             words, first = _both(data, offsets)
-            names, local = np.unique(words, return_inverse=True)
+            order = np.argsort(words)
+            heads = _heads(words[order])
+            names, local = words[order[heads]], np.empty(len(words), dtype=np.int64)
+            local[order] = np.repeat(np.arange(len(names)), np.diff(np.append(heads, len(words))))
             place = np.minimum(np.searchsorted(known, names), max(0, len(known) - 1))
             found = known[place] == names if len(known) else np.zeros(len(names), dtype=bool)
             # Words outside the head take the last row, which is zero.
@@ -277,21 +309,21 @@ def look_up(head, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             # Parts of 1,024 words stay below 2**31.
             for i in np.flatnonzero(n):
                 for k in range(first[i], first[i + 1], 1 << 10):
-                    out[i] += vectors[place[k : min(k + (1 << 10), first[i + 1])]].sum(axis=0, dtype=np.int32)
+                    out[i] += vectors.take(place[k : min(k + (1 << 10), first[i + 1])], axis=0).sum(axis=0, dtype=np.int32)
             rest = np.flatnonzero(place == len(known))
             doc = np.searchsorted(first, rest, side="right") - 1
             pairs, many = np.unique(doc * len(names) + local[rest], return_counts=True)
             doc, word = np.divmod(pairs, max(1, len(names)))
             entries = np.empty(len(pairs), dtype=_ENTRY)
             entries["word"], entries["n"] = names[word].view(np.int64), many
-            turn, tails = names[word] % _U(ROUNDS), []
-            for k in range(ROUNDS):
+            turn, tails = names[word] % _U(rounds), []
+            for k in range(rounds):
                 mine = np.flatnonzero(turn == _U(k))
                 tails.append(_binary(entries[mine], np.searchsorted(doc[mine], np.arange(1, to - at + 1)) * _ENTRY.itemsize))
             part = batch.slice(at, to - at)
             yield pa.RecordBatch.from_arrays(
                 [part.column("h1"), part.column("h2"), pa.array(n, pa.int64()), _planes(out), *tails],
-                names=["h1", "h2", "size", "sums", *_TAILS],
+                names=["h1", "h2", "size", "sums", *_tails(rounds)],
             )
 
 
@@ -310,12 +342,10 @@ def tail_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def pool(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Sums of each text so far (rows without ``n``) and of words it holds ``n`` times, from rows sorted by text."""
     held = None
-    for batch in batches:
-        if not batch.num_rows:
-            continue
+    for batch in (batch.slice(k, _PART) for batch in batches for k in range(0, batch.num_rows, _PART)):
         n = batch.column("n").fill_null(0).to_numpy(zero_copy_only=False)
-        rows, of_word = _numbers(batch.column("sums")).astype(np.int64), n > 0
-        rows[of_word] = units(rows[of_word]) * n[of_word, None]
+        rows, of_word = _numbers(batch.column("sums")).astype(np.int64), np.flatnonzero(n)
+        rows[of_word] = units(rows.take(of_word, axis=0)) * n[of_word, None]
         texts = batch.column("text").to_numpy()
         # Only the row of the sums so far has these; they add up to themselves.
         own = np.stack([batch.column(c).fill_null(0).to_numpy(zero_copy_only=False) for c in ("h1", "h2", "size")], axis=1)
@@ -366,28 +396,33 @@ class WordVectors:
         self.head = docs.sparkSession.sparkContext.broadcast((names[order], np.vstack([vectors, np.zeros((1, DIMENSIONS), np.int32)])))
         self.tail = self.words.where(level < self.level).select("word", "sums")
 
-    def pooled(self, docs: DataFrame) -> DataFrame:
+    def pooled(self, docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
         """``(h1, h2, x)``: the mean word vector of each row's text, by the text's hashes."""
-        tails = "".join(f", {c} binary" for c in _TAILS)
-        seen = docs.select(*text_key("text"), "text").mapInArrow(narrow(look_up, self.head), f"{_TEXT}, size long, sums binary{tails}")
+        tails = "".join(f", {c} binary" for c in _tails(rounds))
+        seen = docs.select(*text_key("text"), "text").mapInArrow(narrow(look_up, self.head, rounds), f"{_TEXT}, size long, sums binary{tails}")
         # Numbers of rows are short in a shuffle; they are fixed by being written.
         seen = self.scratch.table(seen.withColumn("text", F.monotonically_increasing_id()), "seen")
         found = seen.select("text", *_OWN)
-        for k, tail in enumerate(_TAILS):
+        for k, tail in enumerate(_tails(rounds)):
             if k:
                 found = self.scratch.table(found, f"sums{k}", instead=f"sums{k - 1}")
                 self.scratch.release()
             rest = seen.select("text", tail).where(F.length(tail) > 0).mapInArrow(tail_rows, "text long, word long, n int")
-            rest = rest.join(self.tail.where(_round("word") == k), "word").select("text", "n", "sums", *(F.lit(None).cast("long").alias(c) for c in ("h1", "h2", "size")))
+            words = self.tail.where(_round("word", rounds) == k)
+            rest = rest.join(words, "word").select("text", "n", "sums", *(F.lit(None).cast("long").alias(c) for c in ("h1", "h2", "size")))
             whole = found.select("text", F.lit(None).cast("int").alias("n"), "sums", "h1", "h2", "size")
             met = whole.union(rest).repartition("text").sortWithinPartitions("text")
             found = met.mapInArrow(pool, f"text long, {_TEXT}, size long, sums binary")
         return found.mapInArrow(means, f"{_TEXT}, x binary")
 
 
-def _round(word: str) -> F.Column:
+def _tails(rounds: int) -> list[str]:
+    return [f"tail{k}" for k in range(rounds)]
+
+
+def _round(word: str, rounds: int) -> F.Column:
     """The round of a word: its hash, taken as unsigned, modulo the number of rounds, a power of two."""
-    return F.col(word).bitwiseAND(F.lit(ROUNDS - 1))
+    return F.col(word).bitwiseAND(F.lit(rounds - 1))
 
 
 def text_key(text: str) -> list[F.Column]:
@@ -468,9 +503,12 @@ def fit(docs: DataFrame, labels: DataFrame, scratch: Scratch, label: str = "qual
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(picked), "doc_id")
     sample = scratch.table(texts, "sample")
     vectors = WordVectors(docs, scratch)
-    found = vectors.pooled(sample).dropDuplicates(["h1", "h2"])
+    # One round shuffles as many words as all rounds together, but reads their table and pools the texts once.
+    found = vectors.pooled(sample, rounds=1).dropDuplicates(["h1", "h2"])
     rows = sample.select("doc_id", "label", *text_key("text")).join(found, ["h1", "h2"])
     rows = rows.select("doc_id", "h1", "h2", "label", "x").toArrow().sort_by([(c, "ascending") for c in ("doc_id", "h1", "h2")])
+    del found
+    scratch.release()
     return vectors, train(_floats(rows.column("x")), rows.column("label").to_numpy())
 
 

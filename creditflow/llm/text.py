@@ -151,7 +151,11 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, rule: st
     n = len(data)
     up, down = _word_powers.get(n + 1)
     sums = np.zeros(n + 1, dtype=np.uint64)
-    np.cumsum((fold[data].astype(np.uint64) + _U(1)) * up[:n], out=sums[1:])
+    # One array from the bytes to their sums; "clip" only keeps take from buffering, bytes are in range.
+    own = sums[1:]
+    np.take(fold.astype(np.uint64) + _U(1), data, out=own, mode="clip")
+    own *= up[:n]
+    np.cumsum(own, out=own)
     return mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 import time
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -14,6 +15,7 @@ from pyspark.sql import functions as F
 from conftest_llm import fresh, hard_rows
 from creditflow.llm import langid, quality, urls
 from creditflow.llm.queries import URL_RULES, registered
+from creditflow.llm.scratch import Scratch
 from creditflow.sources.tables import table
 
 
@@ -188,6 +190,56 @@ def test_held_sums_add_up(monkeypatch, room):
     assert all(found[w][0] == k and (found[w][1] == own).all() for w, k, own in zip(names.view(np.int64).tolist(), n, sums))
 
 
+def test_words_and_sign_runs_take_one_pass(monkeypatch):
+    """In their order, cut at texts' ends, and hashed as the rules of words do, over the bytes once."""
+    texts = ["ab, cd!!x", "", "...a", "b ...", " \n", "\u00e9t\u00e9\u4e2d (x)\x00", "tail"]
+    data, offsets = quality.T.utf8(pa.array(texts))
+    kinds = re.compile(rb"[0-9A-Za-z\x80-\xff]+|[^0-9A-Za-z\x80-\xff\x20\x09-\x0d]+")
+    spans = [(a + m.start(), a + m.end()) for a, b in zip(offsets, offsets[1:]) for m in kinds.finditer(data[a:b].tobytes())]
+    want = quality.T.span_hashes(data, *np.array(spans).T, "letters")
+    calls, hashes = [], quality.T.span_hashes
+    monkeypatch.setattr(quality.T, "span_hashes", lambda *a: calls.append(1) or hashes(*a))
+    words, first = quality._both(data, offsets)
+    assert (words == want).all() and first.tolist() == [sum(a < o for a, _ in spans) for o in offsets]
+    assert len(calls) == 1
+    assert [len(x) for x in quality._both(*quality.T.utf8(pa.array([None, ""])))] == [0, 3]
+
+
+def test_neighbours_are_summed_in_small_parts():
+    """Runs of a word longer than a part add up, and no vector per occurrence is held."""
+    rng = np.random.RandomState(8)
+    words = np.concatenate([np.full(20_000, 7), rng.randint(0, 400, 80_000)]).astype(np.uint64)
+    first = np.array([0, 1, 5_000, 5_000, 60_000, 100_000])
+    want = np.zeros((400, quality.DIMENSIONS), np.int64)
+    for a, b in zip(first, first[1:]):
+        own = quality.index_vectors(words[a:b]).astype(np.int64)
+        for step in range(1, quality.REACH + 1):
+            there = max(0, b - a - step)
+            np.add.at(want, words[a : a + there].astype(int), own[step:])
+            np.add.at(want, words[b - there : b].astype(int), own[:there])
+    tracemalloc.start()
+    names, n, sums = quality._neighbours(words, first)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert n.sum() == len(words) and (sums == want[names.astype(int)]).all()
+    assert peak < len(words) * quality.DIMENSIONS
+
+
+def test_the_sample_is_pooled_in_one_round(spark, documents):
+    """Fitting reads the words once for its few texts; scoring all texts takes every round."""
+    class Names(Scratch):
+        def table(self, df, name, instead=None):
+            names.append(name)
+            return super().table(df, name, instead)
+
+    names, docs = [], documents([(1, "a b c"), (2, None), (3, "a b d")])
+    scratch = Names(spark, "test")
+    model = quality.fit(docs, spark.createDataFrame([(1, 1), (3, 0)], "doc_id long, quality int"), scratch)
+    assert names == ["sample", "words", "seen"]
+    assert quality.scored(docs, model, ["doc_id"]).count() == 3
+    assert names[3:] == ["seen", *(f"sums{k}" for k in range(1, quality.ROUNDS)), "scores"]
+
+
 def test_temperature_calibrates():
     """Noisy labels: the mean probability follows the frequency."""
     rng = np.random.RandomState(1)
