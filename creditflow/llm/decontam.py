@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from creditflow.llm import text as T
-from creditflow.llm.scratch import Scratch, narrow, other_columns
+from creditflow.llm.scratch import Scratch, chained, narrow, other_columns
 
 RULE = "alnum_lower"
 WINDOW = 10
@@ -191,8 +191,8 @@ def _merged(spans: np.ndarray) -> np.ndarray:
     return np.stack([spans[first, 0], reach[np.append(first[1:], len(spans)) - 1]], axis=1)
 
 
-def _measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Replace spans and items by their measures."""
+def _measured(kept: list[str], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The columns named in ``kept``, and the measures of spans and items."""
     for batch in batches:
         hit = [int(np.diff(np.frombuffer(x, np.int64).reshape(-1, 2), axis=1).sum()) for x in batch.column("spans").to_pylist()]
         items = batch.column("items").to_pylist()
@@ -201,8 +201,7 @@ def _measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             "n_items": pa.array([len(x) for x in items], pa.int64()),
             "items_sha256": pa.array([hashlib.sha256(",".join(sorted(x)).encode()).hexdigest() for x in items], pa.string()),
         }
-        kept = [c for c in batch.schema.names if c not in ("spans", "items")]
-        yield pa.RecordBatch.from_arrays([batch.column(c) for c in kept] + list(columns.values()), names=kept + list(columns))
+        yield pa.RecordBatch.from_arrays([batch.column(c) for c in kept] + list(columns.values()), names=[*kept, *columns])
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, scratch: Scratch, window: int = WINDOW, keep: bool = False, unnamed: bool = False) -> DataFrame:
@@ -235,8 +234,10 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, scratch: Scratch, window
         if block:
             # Cut here, so that a task holds one block at a time.
             state = scratch.table(state, f"block-{block}")
-        state = state.mapInArrow(narrow(search, index), state.schema)
+        if block < n_blocks - 1:
+            state = state.mapInArrow(narrow(search, index), state.schema)
     kept = ["doc_id", *(["text", "row"] if keep else []), "n_words"]
     ddl = ", ".join(f"{c} {state.schema[c].dataType.simpleString()}" for c in kept)
-    measured = state.select(*kept, "spans", "items").mapInArrow(_measured, f"{ddl}, n_hit long, n_items long, items_sha256 string")
+    last = chained(narrow(search, index), narrow(_measured, kept))
+    measured = state.mapInArrow(last, f"{ddl}, n_hit long, n_items long, items_sha256 string")
     return measured.withColumn("contaminated", F.col("n_hit") > 0)

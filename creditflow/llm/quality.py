@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from creditflow.llm import text as T
-from creditflow.llm.scratch import Scratch, narrow, return_memory, whole_groups
+from creditflow.llm.scratch import Scratch, chained, narrow, return_memory, whole_groups
 
 SAMPLE = 4000
 #: The dimensions are a power of two.
@@ -396,8 +396,11 @@ class WordVectors:
         self.head = docs.sparkSession.sparkContext.broadcast((names[order], np.vstack([vectors, np.zeros((1, DIMENSIONS), np.int32)])))
         self.tail = self.words.where(level < self.level).select("word", "sums")
 
-    def pooled(self, docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
-        """``(h1, h2, x)``: the mean word vector of each row's text, by the text's hashes."""
+    def pooled(self, docs: DataFrame, rounds: int = ROUNDS, then=None, shape: str = "x binary") -> DataFrame:
+        """``(h1, h2, x)``: the mean word vector of each row's text, by the text's hashes.
+
+        ``then`` turns batches of these into such of ``shape`` in place of ``x``, in the same worker.
+        """
         tails = "".join(f", {c} binary" for c in _tails(rounds))
         seen = docs.select(*text_key("text"), "text").mapInArrow(narrow(look_up, self.head, rounds), f"{_TEXT}, size long, sums binary{tails}")
         # Numbers of rows are short in a shuffle; they are fixed by being written.
@@ -412,8 +415,9 @@ class WordVectors:
             rest = rest.join(words, "word").select("text", "n", "sums", *(F.lit(None).cast("long").alias(c) for c in ("h1", "h2", "size")))
             whole = found.select("text", F.lit(None).cast("int").alias("n"), "sums", "h1", "h2", "size")
             met = whole.union(rest).repartition("text").sortWithinPartitions("text")
-            found = met.mapInArrow(pool, f"text long, {_TEXT}, size long, sums binary")
-        return found.mapInArrow(means, f"{_TEXT}, x binary")
+            if k < rounds - 1:
+                found = met.mapInArrow(pool, f"text long, {_TEXT}, size long, sums binary")
+        return met.mapInArrow(chained(pool, means, *([then] if then else [])), f"{_TEXT}, {shape}")
 
 
 def _tails(rounds: int) -> list[str]:
@@ -520,7 +524,7 @@ def scored(docs: DataFrame, model, keep: list[str]) -> DataFrame:
     """
     vectors, net = model
     net = docs.sparkSession.sparkContext.broadcast(net)
-    scores = vectors.pooled(docs).mapInArrow(narrow(score_rows, net), f"{_TEXT}, _score double")
+    scores = vectors.pooled(docs, then=narrow(score_rows, net), shape="_score double")
     scores = vectors.scratch.table(scores.groupBy("h1", "h2").agg(F.max("_score").alias("_score")), "scores").toDF("_h1", "_h2", "_score")
     vectors.scratch.release()
     h1, h2 = text_key("text")

@@ -141,3 +141,17 @@ def return_memory() -> None:
 def narrow(function, *args):
     """``function`` with leading arguments bound, for ``mapInArrow``."""
     return partial(function, *args)
+
+
+def chained(*steps):
+    """``steps`` over batches one after another, for one ``mapInArrow``.
+
+    A ``mapInArrow`` on top of another one holds two Python workers in each task, which Spark keeps.
+    """
+    return partial(_through, steps)
+
+
+def _through(steps, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for step in steps:
+        batches = step(batches)
+    return batches

@@ -11,6 +11,7 @@ from conftest_llm import DOCUMENT, fresh, hard_rows
 from creditflow.llm import stages
 from creditflow.llm.queries import tokenizer_path
 from creditflow.llm.reference import statements
+from creditflow.llm.scratch import Scratch
 from creditflow.sources.tables import table
 from oracle_check import compare, connect
 
@@ -100,6 +101,38 @@ def test_stages_take_hard_rows(spark, documents, data):
     assert packed.select("doc_id").distinct().count() == repeated.select("doc_id").distinct().count()
 
 
+def python_workers(df):
+    """The most Python steps that stand above each other without an exchange, as a task holds a worker for each."""
+    most, path = 0, []
+    for line in df._jdf.queryExecution().executedPlan().toString().splitlines():
+        name = line.lstrip(" :+-")
+        path = [(depth, kind) for depth, kind in path if depth < len(line) - len(name)]
+        path.append((len(line) - len(name), "exchange" if "Exchange" in name else "python" if "InArrow" in name else ""))
+        kinds = [kind for _, kind in path]
+        own = kinds[len(kinds) - kinds[::-1].index("exchange") :] if "exchange" in kinds else kinds
+        most = max(most, own.count("python"))
+    return most
+
+
+def test_a_task_holds_one_python_worker(spark, documents, data, monkeypatch):
+    """Workers are kept, so the most that tasks hold at once is what an executor's memory has for good."""
+    plain = spark.range(3).mapInArrow(lambda batches: batches, "id long")
+    assert [python_workers(df) for df in (plain, plain.mapInArrow(lambda batches: batches, "id long"), plain.repartition("id").mapInArrow(lambda batches: batches, "id long"))] == [1, 2, 1]
+    seen, write = {}, Scratch.table
+
+    def table_(self, df, name, instead=None):
+        seen[name] = max(seen.get(name, 0), python_workers(df))
+        return write(self, df, name, instead)
+
+    monkeypatch.setattr(Scratch, "table", table_)
+    docs = documents(hard_rows())
+    for name, stage in corpus_pipeline.STAGES:
+        seen[name] = python_workers(stage(spark, docs, data))
+    assert {name: n for name, n in seen.items() if n > 1} == {}
+    python = ["scores", "signatures", "first-links", "spans", "pieces", "benchmark decontamination"]
+    assert {name: seen[name] for name in python} == dict.fromkeys(python, 1)
+
+
 def test_texts_that_share_an_id_are_documents_of_their_own(spark, data):
     one, two = (" ".join(f"{c}{k}" for k in range(40)) for c in ("left", "right"))
     other = " ".join(f"other{k}" for k in range(40))
