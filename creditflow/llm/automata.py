@@ -13,7 +13,7 @@ from dataclasses import dataclass
 
 import numpy as np
 
-from creditflow.llm.text import mix
+from creditflow.llm.text import hash_order, mix
 
 _U = np.uint64
 _ODD = _U(0xD6E8FEB86659FD93)
@@ -59,12 +59,12 @@ class Counted:
 
     def summed(self) -> Counted:
         """Each sequence once, with the sum of its counts, in the order of hashes."""
-        order = np.argsort(self.keys(), kind="stable")
-        rows = self[order]
+        key = self.keys()
+        order = hash_order(key)
+        rows, key = self[order], key[order]
         if not len(rows):
             return rows
         same = (rows.labels[1:] == rows.labels[:-1]).all(axis=1)
-        key = rows.keys()
         if (same != (key[1:] == key[:-1])).any():  # two sequences of one hash
             rows = self.sorted()
             same = (rows.labels[1:] == rows.labels[:-1]).all(axis=1)
@@ -138,7 +138,11 @@ def build(counts: Counted) -> CountTransducer:
         first = np.searchsorted(row, np.arange(n + 1))
         sign = mix(weights[depth].astype(np.uint64))
         np.add.at(sign, row, mix(mix(label) * _ODD + target.astype(np.uint64)))
-        _, kept, place = np.unique(sign, return_index=True, return_inverse=True)
+        order = hash_order(sign)
+        new = np.ones(n, dtype=bool)
+        new[1:] = sign[order][1:] != sign[order][:-1]
+        kept, place = order[new], np.empty(n, dtype=np.int64)
+        place[order] = np.cumsum(new) - 1
         if not _alike(kept[place], weights[depth], first, label, target):
             kept = place = np.arange(n)
         count = (first[1:] - first[:-1])[kept]

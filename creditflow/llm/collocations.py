@@ -1,11 +1,14 @@
 """Phrases whose words come together more often than chance, by weighted acyclic automata.
 
 A phrase that occurs often enough has no rarer part. A first pass therefore counts hashes of words
-and word pairs, and the frequent ones set bits in a map of fixed size. The second pass takes the
-words and chains of pairs that the map lets through: each task sorts its phrases and builds count
-transducers from them, one per range of two-word prefixes. They are dealt by range, where their
-union sums the weights. The parts of the candidates are looked up where their prefix lies, by
-composing a transducer of all parts asked for with that of the counts.
+and word pairs, and the frequent ones set bits in a map of fixed size. A second pass does the same
+for three words whose pairs the map lets through: in a large table most pairs are frequent, while
+most chains of them occur once. The third pass takes the words, pairs and chains of threes that the
+map lets through: each task sorts its phrases and builds count transducers from them, one per range
+of two-word prefixes. They are dealt by range, where their union sums the weights. The parts of the
+candidates are looked up where their prefix lies, by composing a transducer of all parts asked for
+with that of the counts. The map goes by the leading 40 bits of a hash: hashes that share them let
+more through, never less.
 
 Labels are 64-bit hashes of the words, a phrase is the sequence of them behind its language's;
 a count would be wrong only if two different words that both occur often had one hash.
@@ -22,17 +25,19 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from creditflow.llm.automata import Counted, CountTransducer, build, composed, union
-from creditflow.llm.scratch import Scratch, narrow, return_memory, whole_groups
-from creditflow.llm.text import BLOCK_BYTES, ENDS, Words, blocks, mix, utf8, words
+from creditflow.llm.scratch import Scratch, narrow, reusing, whole_groups
+from creditflow.llm.text import BLOCK_BYTES, ENDS, Words, blocks, hash_order, mix, utf8, words
 
-#: Bits of the map of frequent words and pairs (8 MB), and of one part of it.
-MAP_BITS, PART_BITS = 26, 16
+#: Bits of the map of frequent words, pairs and threes (16 MB), and of one part of it.
+MAP_BITS, PART_BITS = 27, 17
 #: Hashes, and phrases, that a task counts before it sends them on.
-HELD_HASHES, HELD_PHRASES = 1 << 21, 1 << 19
+HELD_HASHES, HELD_PHRASES = 1 << 22, 1 << 20
 #: Prefix ranges per square root of the GB of text.
 RANGES = 64
-#: Transducers of one range that are united at once.
+#: Transducers of one range that are united at once, at least.
 UNITED = 16
+#: The greatest count that is packed in the low bits of a hash.
+_MOST = (1 << 24) - 1
 _U = np.uint64
 _NEXT = _U(0x9E3779B97F4A7C15)
 _ENDS = np.zeros(256, dtype=np.int32)
@@ -86,70 +91,129 @@ def _hashes(found: Words, lang: np.ndarray, goes_on: np.ndarray) -> tuple[np.nda
     return single, pair
 
 
-def _summed(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    order = np.argsort(keys, kind="stable")
-    keys, n = keys[order], n[order]
-    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.empty(0, np.int64)
-    return keys[first], np.add.reduceat(n, first) if len(first) else n
+def _passed(found: Words, goes_on: np.ndarray, pair: np.ndarray, bits: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Which words begin a pair that the map lets through, and where two such pairs stand in a row, with the hash of the three words."""
+    chained = goes_on & _set(bits, pair)
+    at = np.flatnonzero(chained[:-1] & chained[1:])
+    return chained, at, mix(pair[at] * _NEXT + found.hashes[at + 2])
 
 
-def count_hashes(most: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """How often each hash of a word or pair occurs in the task's texts."""
-    held, names = [], {}
+def _packed(keys: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Numbers of the leading bits of a hash and its count; a count beyond its bits takes several."""
+    if len(n) and n.max() > _MOST:
+        times = -(-n // _MOST)
+        keys, rest = np.repeat(keys, times), n - (times - 1) * _MOST
+        n = np.full(len(keys), _MOST, dtype=np.int64)
+        n[np.cumsum(times) - 1] = rest
+    return (keys & ~_U(_MOST)) | n.astype(np.uint64)
+
+
+def _summed(packed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The leading bits of the hashes, each once and in order, and their counts; sorts ``packed``."""
+    packed.sort()
+    first = np.flatnonzero(np.concatenate([[True], (packed[1:] ^ packed[:-1]) > _U(_MOST)])) if len(packed) else np.empty(0, np.int64)
+    keys = packed[first] & ~_U(_MOST)
+    packed &= _U(_MOST)
+    return keys, np.add.reduceat(packed.view(np.int64), first) if len(first) else np.empty(0, np.int64)
 
-    def sums():
-        return _summed(*(np.concatenate(side) for side in zip(*held)))
 
-    def rows(keys, n):
-        for k in range(0, len(keys), 1 << 16):
-            yield pa.RecordBatch.from_arrays([pa.array(keys[k : k + (1 << 16)].view(np.int64)), pa.array(n[k : k + (1 << 16)])], names=["h", "n"])
+def count_hashes(most: int, parts: int, bits, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """How often each hash occurs in the task's texts, packed, a row for each of the ``parts`` of the map.
+
+    Counted are words and pairs or, with the map of these, three words whose pairs it lets through.
+    """
+    held, new, size, names = np.empty(0, np.uint64), [], 0, {}
+
+    def rows(packed):
+        bounds = np.append(np.searchsorted(packed, np.array([(k << 64) // parts for k in range(parts)], dtype=np.uint64)), len(packed))
+        some = np.flatnonzero(np.diff(bounds))
+        offsets = (8 * np.append(bounds[some], len(packed))).astype(np.int32)
+        counts = pa.BinaryArray.from_buffers(pa.binary(), len(some), [None, pa.py_buffer(offsets), pa.py_buffer(packed)])
+        whole = pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), counts], names=["part", "counts"])
+        for k in range(0, len(some), 64):
+            yield whole.slice(k, 64)
+
+    def sums():
+        return _packed(*_summed(np.concatenate([held, *new])))
 
     for batch in batches:
         for found, _, lang, goes_on in _word_blocks(batch, names):
             single, pair = _hashes(found, lang, goes_on)
-            held.append(np.unique(np.concatenate([single, pair[goes_on]]), return_counts=True))
-            if sum(len(keys) for keys, _ in held) > most:
-                held = [sums()]
-                if len(held[0][0]) > most // 2:
-                    yield from rows(*held.pop())
-    if held:
-        yield from rows(*sums())
-    del held
-    return_memory()
+            if bits is None:
+                own = np.concatenate([single, pair[goes_on]])
+            else:
+                _, _, own = _passed(found, goes_on, pair, bits.value)
+            new.append((own & ~_U(_MOST)) | _U(1))
+            size += len(own)
+            if size > most:
+                held, new, size = sums(), [], 0
+                if len(held) > most // 2:
+                    yield from rows(held)
+                    held = held[:0].copy()
+    if len(held) or size:
+        yield from rows(sums())
+
+
+def map_parts(least: int, most: int, parts: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The ``parts`` of the bit map with the bits of hashes that occur ``least`` times, from rows sorted by part."""
+    now, held, size, line = None, [], 0, most
+    shift = _U(65 - parts.bit_length() - PART_BITS)
+
+    def row():
+        keys, n = _summed(np.concatenate(held))
+        own = np.zeros(1 << PART_BITS, dtype=bool)
+        own[(keys[n >= least] >> shift) & _U((1 << PART_BITS) - 1)] = True
+        bits = np.packbits(own, bitorder="little").tobytes()
+        return pa.RecordBatch.from_arrays([pa.array([now], pa.int32()), pa.array([bits], pa.binary())], names=["part", "bits"])
 
-
-def map_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Parts of the bit map, from rows sorted by part."""
-    for table, bounds in whole_groups(batches, ["part"]):
-        part, bit = table.column("part").to_numpy(), table.column("bit").to_numpy()
-        numbers, bits = [], []
-        for s, e in zip(bounds, [*bounds[1:], len(part)]):
-            own = np.zeros(1 << PART_BITS, dtype=bool)
-            own[bit[s:e]] = True
-            numbers.append(int(part[s]))
-            bits.append(np.packbits(own, bitorder="little").tobytes())
-        yield pa.RecordBatch.from_arrays([pa.array(numbers, pa.int32()), pa.array(bits, pa.binary())], names=["part", "bits"])
+    for batch in batches:
+        part, counts = batch.column("part").to_numpy(), batch.column("counts").cast(pa.large_binary())
+        _, offsets, data = counts.buffers()
+        offsets = np.frombuffer(offsets, dtype=np.int64)[counts.offset : counts.offset + len(counts) + 1]
+        new = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]])) if len(part) else []
+        for s, e in zip(new, [*new[1:], len(part)]):
+            if part[s] != now:
+                if held:
+                    yield row()
+                now, held, size, line = int(part[s]), [], 0, most
+            n = int(offsets[e] - offsets[s]) // 8
+            held.append(np.frombuffer(data, dtype=np.uint64, count=n, offset=int(offsets[s])).copy())
+            size += n
+            if size > line:
+                held = [_packed(*_summed(np.concatenate(held)))]
+                size = len(held[0])
+                line = max(most, 2 * size)
+    if held:
+        yield row()
 
 
 def _set(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-    at = hashes & _U(8 * len(bits) - 1)
+    at = hashes >> _U(65 - (8 * len(bits)).bit_length())
     return (bits[at >> _U(3)] >> (at & _U(7)).astype(np.uint8)) & np.uint8(1) > 0
 
 
-def frequent_map(docs: DataFrame, scratch: Scratch, least: int) -> np.ndarray:
-    """A bit map in which the bits of all words and pairs of ``docs`` are set that occur ``least`` times."""
-    counted = docs.mapInArrow(narrow(count_hashes, HELD_HASHES), "h long, n long")
-    # Tasks have counted already; a further count in the map task would only cost memory.
-    frequent = counted.repartition("h").groupBy("h").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
-    bit = F.col("h").bitwiseAND(F.lit((1 << MAP_BITS) - 1))
-    frequent = frequent.select(F.shiftright(bit, PART_BITS).cast("int").alias("part"), bit.bitwiseAND(F.lit((1 << PART_BITS) - 1)).cast("int").alias("bit"))
-    parts = frequent.distinct().repartition("part").sortWithinPartitions("part").mapInArrow(narrow(map_parts), "part int, bits binary")
-    # At most 2 ** (MAP_BITS - PART_BITS) rows of fixed size.
-    rows = scratch.table(parts, "map").toArrow()
-    bits = np.zeros((1 << (MAP_BITS - PART_BITS), 1 << (PART_BITS - 3)), dtype=np.uint8)
+def frequent_map(docs: DataFrame, scratch: Scratch, least: int, bits=None) -> np.ndarray:
+    """A bit map with the bits of all words and pairs of ``docs`` that occur ``least`` times.
+
+    Where ``bits`` has that map as a broadcast, one of three words in a row instead.
+    """
+    parts = 1 << (MAP_BITS - PART_BITS)
+    counted = docs.mapInArrow(reusing(narrow(count_hashes, HELD_HASHES, parts, bits)), "part int, counts binary")
+    dealt = counted.repartition("part").sortWithinPartitions("part")
+    # As many rows of fixed size as there are parts.
+    rows = scratch.table(dealt.mapInArrow(reusing(narrow(map_parts, least, HELD_HASHES, parts)), "part int, bits binary"), "map").toArrow()
+    made = np.zeros((parts, 1 << (PART_BITS - 3)), dtype=np.uint8)
     for part, own in zip(rows.column("part").to_pylist(), rows.column("bits").to_pylist()):
-        bits[part] = np.frombuffer(own, dtype=np.uint8)
-    return bits.ravel()
+        made[part] = np.frombuffer(own, dtype=np.uint8)
+    return made.ravel()
+
+
+def _distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Each hash once, the first place where it stands, and how often."""
+    order = hash_order(keys)
+    own = keys[order]
+    first = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]])) if len(keys) else np.empty(0, np.int64)
+    return own[first], order[first], np.diff(first, append=len(keys))
 
 
 class _Phrases:
@@ -162,21 +226,24 @@ class _Phrases:
 
     def add(self, found: Words, lang: np.ndarray, goes_on: np.ndarray, bits: np.ndarray) -> None:
         single, pair = _hashes(found, lang, goes_on)
-        chained = goes_on & _set(bits, pair)
+        chained, three, key = _passed(found, goes_on, pair, bits)
+        # Whether three words in a row are frequent; longer phrases consist of such.
+        going = np.zeros(len(chained), dtype=bool)
+        going[three[_set(bits, key)]] = True
         frequent = np.flatnonzero(_set(bits, single))
         self._name(found, np.flatnonzero(chained | np.concatenate([[False], chained[:-1]])))
         langs, n = np.unique(lang, return_counts=True)
         taken = [(mix(langs), np.searchsorted(langs, langs), np.zeros(len(langs), np.int64), n)]
-        own, where, n = np.unique(single[frequent], return_index=True, return_counts=True)
+        own, where, n = _distinct(single[frequent])
         taken.append((own, frequent[where], np.ones(len(own), np.int64), n))
-        # The pairs that a phrase consists of are frequent, and so are its words.
+        # The parts that a phrase consists of are frequent.
         at = np.flatnonzero(chained)
         key = single[at]
         for size in range(2, self.longest + 1):
             key = mix(key * _NEXT + found.hashes[at + size - 1])
-            own, where, n = np.unique(key, return_index=True, return_counts=True)
+            own, where, n = _distinct(key)
             taken.append((own, at[where], np.full(len(own), size), n))
-            on = chained[at + size - 1]
+            on = going[at + size - 2]
             at, key = at[on], key[on]
         key, at, size, n = (np.concatenate(side) for side in zip(*taken))
         labels = np.zeros((len(key), self.longest + 1), dtype=np.uint64)
@@ -191,7 +258,7 @@ class _Phrases:
 
     def _name(self, found: Words, at: np.ndarray) -> None:
         """Words of pairs that were not met before, with their hashes."""
-        h, where = np.unique(found.hashes[at], return_index=True)
+        h, where, _ = _distinct(found.hashes[at])
         place = np.searchsorted(self.known, h)
         old = place < len(self.known)
         old[old] = self.known[place[old]] == h[old]
@@ -202,7 +269,7 @@ class _Phrases:
         """Phrases of one hash become one."""
         key = np.concatenate([x for x, _ in self.held])
         rows = Counted.joined([x for _, x in self.held])
-        order = np.argsort(key, kind="stable")
+        order = hash_order(key)
         key = key[order]
         first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
         self.held = [(key[first], Counted(rows.labels[order[first]], np.add.reduceat(rows.n[order], first)))]
@@ -216,12 +283,12 @@ class _Phrases:
             return
         self._merge()
         ((_, rows),) = self.held
-        rows = rows.sorted()
         of = prefix_ranges(rows.labels, ranges)
         order = np.argsort(of, kind="stable")
-        bounds = np.flatnonzero(np.concatenate([[True], of[order][1:] != of[order][:-1], [True]]))
+        of, rows = of[order], rows[order]
+        bounds = np.flatnonzero(np.concatenate([[True], of[1:] != of[:-1], [True]]))
         for s, e in zip(bounds, bounds[1:]):
-            yield transducer_row(int(of[order[s]]), build(rows[order[s:e]]))
+            yield transducer_row(int(of[s]), build(rows[slice(s, e)].sorted()))
         self.held = []
 
     def name_rows(self) -> Iterator[pa.RecordBatch]:
@@ -269,25 +336,29 @@ def count_phrases(bits, ranges: int, longest: int, most: int, batches: Iterator[
     if names:
         h = [int(x) for x in lang_hashes(list(names)).view(np.int64)]
         yield pa.RecordBatch.from_arrays([*(pa.nulls(len(h), f.type) for f in _ROW), pa.array(h, pa.int64()), pa.array(list(names), pa.string())], schema=_ROWS)
-    del held
-    return_memory()
 
 
 def unite(least: int, most: int, width: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One transducer per range with the phrases of at least ``least`` occurrences, from rows sorted by range."""
-    now, held = None, []
+    """One transducer per range with the phrases of at least ``least`` occurrences, from rows sorted by range.
+
+    What was united waits until as much has come again, so that no phrase is taken along more than
+    a few times however many transducers a range has.
+    """
+    now, held, new = None, [], 0
     for batch in batches:
         for r, part in transducers(batch, width):
             if r != now and held:
                 yield transducer_row(now, union(held, least))
                 held = []
-            now = r
+            if r != now:
+                now, new, line = r, 0, 0
             held.append(part)
-            if len(held) == most:
+            new += len(part.labels)
+            if len(held) >= most and new >= line:
                 held = [union(held)]
+                new, line = 0, len(held[0].labels)
     if held:
         yield transducer_row(now, union(held, least))
-    return_memory()
 
 
 def _lists(labels: np.ndarray) -> pa.ListArray:
@@ -353,21 +424,27 @@ def collocations(docs: DataFrame, scratch: Scratch, least: int = 100, longest: i
     docs = docs.select(F.col("text").cast("string").alias("text"), F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"))
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     ranges = int(RANGES * max(1, np.ceil(np.sqrt(size / 1e9))))
-    bits = docs.sparkSession.sparkContext.broadcast(frequent_map(docs, scratch, least))
+    send = docs.sparkSession.sparkContext.broadcast
+    bits = send(frequent_map(docs, scratch, least))
     scratch.release()
+    if longest > 2:
+        whole = bits.value | frequent_map(docs, scratch, least, bits)
+        bits.destroy()
+        bits = send(whole)
+        scratch.release()
     width = longest + 1
-    shards = docs.mapInArrow(narrow(count_phrases, bits, ranges, longest, HELD_PHRASES), f"{_TRANSDUCER}, {_NAME}")
+    shards = docs.mapInArrow(reusing(narrow(count_phrases, bits, ranges, longest, HELD_PHRASES)), f"{_TRANSDUCER}, {_NAME}")
     shards = scratch.table(shards, "shards")
     own = shards.where("weights is not null").repartition("range").sortWithinPartitions("range")
-    counts = scratch.table(own.mapInArrow(narrow(unite, least, UNITED, width), f"{_TRANSDUCER}, {_NAME}").drop("h", "name"), "counts")
+    counts = scratch.table(own.mapInArrow(reusing(narrow(unite, least, UNITED, width)), f"{_TRANSDUCER}, {_NAME}").drop("h", "name"), "counts")
     names = scratch.table(shards.where("name is not null").groupBy("h").agg(F.min("name").alias("name")), "names")
     shape = "lang long, words array<long>, a long, k int, head array<long>, tail array<long>, head_range int, tail_range int, lang_range int"
-    cuts = scratch.table(counts.mapInArrow(narrow(cut_candidates, ranges, width), shape), "cuts")
+    cuts = scratch.table(counts.mapInArrow(reusing(narrow(cut_candidates, ranges, width)), shape), "cuts")
     none = F.array().cast("array<long>")
     parts = F.explode(F.array(*(F.struct(F.col(r).alias("range"), p.alias("part")) for r, p in (("head_range", F.col("head")), ("tail_range", F.col("tail")), ("lang_range", none)))))
     asked = cuts.select("lang", parts.alias("p")).select("p.range", "lang", "p.part").distinct()
     met = counts.unionByName(asked, allowMissingColumns=True).repartition("range").sortWithinPartitions("range")
-    answers = scratch.table(met.mapInArrow(narrow(look_up, width), "lang long, part array<long>, f long"), "answers")
+    answers = scratch.table(met.mapInArrow(reusing(narrow(look_up, width)), "lang long, part array<long>, f long"), "answers")
     heads = answers.select("lang", F.col("part").alias("head"), F.col("f").alias("l"))
     tails = answers.select("lang", F.col("part").alias("tail"), F.col("f").alias("r"))
     totals = answers.where(F.size("part") == 0).select("lang", F.col("f").alias("n"))

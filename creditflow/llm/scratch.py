@@ -138,6 +138,40 @@ def return_memory() -> None:
         ctypes.CDLL(None).malloc_trim(0)
 
 
+#: The C library's names for two of the settings of _WORKER_MEMORY, and what a busy step takes instead.
+_TRIM, _MMAP, _BUSY_TRIM, _BUSY_MMAP = -1, -3, 64 << 20, 8 << 20
+
+
+@contextlib.contextmanager
+def reused_memory() -> Iterator[None]:
+    """Let this worker use its freed blocks again until the step ends, then give them back.
+
+    Blocks that are mapped anew for each array cost a step of many passing arrays as much CPU time as
+    its own work. Where the C library can't be told, its settings stay.
+    """
+    set_ = lambda what, to: None
+    with contextlib.suppress(OSError, AttributeError):
+        set_ = ctypes.CDLL(None).mallopt
+    set_(_TRIM, _BUSY_TRIM)
+    set_(_MMAP, _BUSY_MMAP)
+    try:
+        yield
+    finally:
+        for what, name in ((_TRIM, "MALLOC_TRIM_THRESHOLD_"), (_MMAP, "MALLOC_MMAP_THRESHOLD_")):
+            set_(what, int(os.environ.get(name) or _WORKER_MEMORY[name]))
+        return_memory()
+
+
+def reusing(step):
+    """``step`` over batches, for ``mapInArrow``, under :func:`reused_memory`."""
+    return partial(_reusing, step)
+
+
+def _reusing(step, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    with reused_memory():
+        yield from step(batches)
+
+
 def narrow(function, *args):
     """``function`` with leading arguments bound, for ``mapInArrow``."""
     return partial(function, *args)

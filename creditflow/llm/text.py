@@ -55,6 +55,22 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _U(31))
 
 
+def hash_order(keys: np.ndarray) -> np.ndarray:
+    """The stable order of 64-bit hashes.
+
+    The place of each rides in its low bits, so that numbers are sorted and no places with them.
+    """
+    low = _U((1 << len(keys).bit_length()) - 1)
+    packed = (keys & ~low) | np.arange(len(keys), dtype=np.uint64)
+    packed.sort()
+    order = (packed & low).astype(np.int64)
+    own = keys[order]
+    apart = own[1:] ^ own[:-1]
+    if ((apart != 0) & (apart <= low)).any():  # hashes that differ in low bits only
+        return np.argsort(keys, kind="stable")
+    return order
+
+
 class _Powers:
     """Powers of a base and of its inverse, modulo 2**64, grown when needed."""
 

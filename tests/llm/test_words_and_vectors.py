@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 import brute
 from conftest_llm import fresh, hard_rows
-from creditflow.llm import automata, collocations, neighbours, spelling
+from creditflow.llm import automata, collocations, neighbours, spelling, text
 from creditflow.llm.queries import registered
 from creditflow.sources.tables import table
 
@@ -200,6 +200,43 @@ def test_phrases_in_small_parts(spark, data, monkeypatch):
     assert found(collocations.collocations(docs.repartition(5), fresh(spark), 12)) == phrases(rows, 12)
 
 
+def test_chains_of_frequent_pairs_are_not_phrases(spark):
+    """Of words at random all pairs are frequent and no three in a row are: no task takes longer chains along."""
+    rng = np.random.RandomState(5)
+    rows = [(" ".join(f"w{x}" for x in rng.randint(0, 12, 400)), "en") for _ in range(20)]
+    scratch = fresh(spark)
+    got = found(collocations.collocations(spark.createDataFrame(rows, "text string, lang string"), scratch, 25))
+    assert got == phrases(rows, 25) and len(got) > 100
+    shards = spark.read.parquet(f"{scratch.root}/*-shards").where("weights is not null").toArrow()
+    assert max(t.counted().sizes.max() for _, t in collocations.transducers(shards, 6)) == 3
+
+
+def test_uniting_goes_by_what_there_is(monkeypatch):
+    """However many transducers a range has, each phrase is taken along a few times only."""
+    met = []
+    monkeypatch.setattr(collocations, "union", lambda parts, *a: met.append(sum(len(p.labels) for p in parts)) or automata.union(parts, *a))
+    parts = [automata.build(automata.Counted.of([((1, 10 + i), 1), ((1, 1000), 2)], 3)) for i in range(600)]
+    rows = [collocations.transducer_row(4, t) for t in parts]
+    (out,) = collocations.unite(2, 16, 3, iter(rows))
+    ((r, t),) = collocations.transducers(out, 3)
+    assert r == 4 and pairs_of(t.counted()) == [((1, 1000), 1200)]
+    assert sum(met) < 5 * sum(len(t.labels) for t in parts)
+
+
+def test_packed_counts_beyond_their_bits():
+    keys, n = np.array([5 << 30, 7 << 30], np.uint64), np.array([3, (1 << 26) + 5])
+    got = collocations._summed(np.concatenate([collocations._packed(keys, n)] * 2))
+    assert got[0].tolist() == keys.tolist() and got[1].tolist() == (2 * n).tolist()
+
+
+def test_hash_order_is_the_stable_order():
+    rng = np.random.RandomState(1)
+    for n, top in ((0, 9), (1, 9), (999, 50), (999, 1 << 62), (70_000, 1 << 62)):
+        keys = rng.randint(0, top, n).astype(np.uint64)
+        keys[n // 2 :] = keys[: n - n // 2]
+        assert (text.hash_order(keys) == np.argsort(keys, kind="stable")).all()
+
+
 def test_phrases_query(spark, data):
     rows = [tuple(r) for r in table(spark, data, "documents").select("text", "lang").collect()]
     assert found(registered()["op13_collocations"](spark, data)) == phrases(rows)
